@@ -1,0 +1,6 @@
+"""Streaming.
+
+The workload this package re-creates has no stream source, sink, watermark
+or stateful operator: every step is a batch job over tables.  Nothing is
+registered here on purpose (see README, "Not built").
+"""
