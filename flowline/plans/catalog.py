@@ -608,3 +608,285 @@ def q_running_best_loss(spark, d):
               .agg(F.round(F.avg("value"), 6).alias("val_loss"))
     w = Window.orderBy("epoch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return daily.withColumn("best_loss", F.min("val_loss").over(w))
+
+
+# =========================================================== runs and registry
+# runs: one per order (parent = the order whose key is the customer key);
+# params from the order; per-epoch metrics from its line items.
+_STATUS_STAGE = {"F": "Production", "O": "Staging", "P": "Archived"}
+
+
+def _runs_tables(spark, d):
+    o = T(spark, d, "orders")
+    runs = o.select(F.col("o_orderkey").alias("run_id"), F.col("o_custkey").alias("parent_run_id"),
+                    F.col("o_orderstatus").alias("status"))
+    params = o.select(F.col("o_orderkey").alias("run_id"),
+                      F.explode(F.map_from_arrays(
+                          F.array(F.lit("optimizer"), F.lit("batch_size")),
+                          F.array(F.col("o_orderpriority"),
+                                  (F.lit(32) * (F.col("o_orderkey") % 3 + 1)).cast("string")))).alias("key", "value"))
+    li = T(spark, d, "lineitem")
+    per_step = li.groupBy(F.col("l_orderkey").alias("run_id"), F.col("l_linenumber").cast("bigint").alias("step")) \
+                 .agg(F.avg("l_discount").alias("val_loss"), F.avg("l_tax").alias("val_accuracy"))
+    mets = per_step.select("run_id", "step", F.explode(F.map_from_arrays(
+        F.array(F.lit("val_loss"), F.lit("val_accuracy")),
+        F.array("val_loss", "val_accuracy"))).alias("key", "value"))
+    return runs, params, mets
+
+
+def _wide(spark, d):
+    runs, params, mets = _runs_tables(spark, d)
+    from flowline.operators import runs as R
+    w = R.wide_runs(runs, params, mets, ["optimizer", "batch_size"], ["val_loss", "val_accuracy"])
+    return w.withColumn("val_loss", F.round("val_loss", 6)).withColumn("val_accuracy", F.round("val_accuracy", 6))
+
+
+_WIDE_SQL = """m AS (SELECT l_orderkey AS run_id, CAST(l_linenumber AS BIGINT) AS step,
+                avg(l_discount) AS val_loss, avg(l_tax) AS val_accuracy
+         FROM lineitem GROUP BY 1, 2),
+last AS (SELECT run_id, arg_max(val_loss, step) AS val_loss, arg_max(val_accuracy, step) AS val_accuracy
+         FROM m GROUP BY 1),
+wide AS (SELECT o_orderkey AS run_id, o_custkey AS parent_run_id, o_orderstatus AS status,
+                o_orderpriority AS optimizer, CAST(32 * (o_orderkey % 3 + 1) AS VARCHAR) AS batch_size,
+                round(val_loss, 6) AS val_loss, round(val_accuracy, 6) AS val_accuracy
+         FROM orders LEFT JOIN last ON last.run_id = o_orderkey)"""
+
+
+@register("runs_wide", f"WITH {_WIDE_SQL} SELECT * FROM wide")
+def q_runs_wide(spark, d):
+    return _wide(spark, d).select("run_id", "parent_run_id", "status", "optimizer", "batch_size",
+                                  "val_loss", "val_accuracy")
+
+
+@register("search_runs", f"""
+WITH {_WIDE_SQL}
+SELECT parent_run_id, run_id, val_accuracy,
+       row_number() OVER (PARTITION BY parent_run_id ORDER BY val_accuracy DESC NULLS LAST, run_id) AS rank
+FROM wide""")
+def q_search_runs(spark, d):
+    from flowline.operators import runs as R
+    ranked = R.rank_runs(_wide(spark, d), "val_accuracy", "parent_run_id")
+    return ranked.select("parent_run_id", "run_id", "val_accuracy", F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("top_run", f"""
+WITH {_WIDE_SQL}
+SELECT parent_run_id, run_id, val_accuracy FROM (
+  SELECT *, row_number() OVER (PARTITION BY parent_run_id ORDER BY val_accuracy DESC NULLS LAST, run_id) AS rn
+  FROM wide) WHERE rn = 1""")
+def q_top_run(spark, d):
+    from flowline.operators import runs as R
+    return R.top_runs(_wide(spark, d), "val_accuracy", "parent_run_id")
+
+
+@register("child_runs", """
+SELECT c.o_orderkey AS run_id, c.o_custkey AS parent_run_id, p.o_orderstatus AS parent_status
+FROM orders c JOIN orders p ON c.o_custkey = p.o_orderkey""")
+def q_child_runs(spark, d):
+    from flowline.operators import runs as R
+    runs, _, _ = _runs_tables(spark, d)
+    return R.child_runs(runs, cols=["status"]).select("run_id", "parent_run_id", "parent_status")
+
+
+@register("final_metric", """
+WITH m AS (SELECT l_orderkey AS run_id, CAST(l_linenumber AS BIGINT) AS step,
+                  avg(l_discount) AS val_loss, avg(l_tax) AS val_accuracy
+           FROM lineitem GROUP BY 1, 2),
+u AS (SELECT run_id, step, 'val_loss' AS key, val_loss AS value FROM m
+      UNION ALL SELECT run_id, step, 'val_accuracy' AS key, val_accuracy AS value FROM m)
+SELECT run_id, key, round(arg_max(value, step), 6) AS value, max(step) AS last_step FROM u GROUP BY 1, 2""")
+def q_final_metric(spark, d):
+    _, _, mets = _runs_tables(spark, d)
+    f = metrics.final_metric(mets)
+    return f.select("run_id", "key", F.round("value", 6).alias("value"), "last_step")
+
+
+def _registrations(spark, d):
+    return T(spark, d, "orders").select(F.col("o_orderpriority").alias("name"),
+                                        F.col("o_orderkey").alias("run_id"),
+                                        F.col("o_orderdate").alias("registered_at"),
+                                        "o_orderstatus")
+
+
+_VERSIONS_SQL = """versions AS (
+  SELECT o_orderpriority AS name, o_orderkey AS run_id, o_orderstatus, o_orderdate,
+         row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS version
+  FROM orders)"""
+
+
+@register("model_versions", f"WITH {_VERSIONS_SQL} SELECT name, run_id, version FROM versions")
+def q_model_versions(spark, d):
+    from flowline.operators import runs as R
+    v = R.model_versions(_registrations(spark, d))
+    return v.select("name", "run_id", F.col("version").cast("bigint").alias("version"))
+
+
+def _stage_events(spark, d):
+    from flowline.operators import runs as R
+    v = R.model_versions(_registrations(spark, d))
+    stage = F.when(F.col("o_orderstatus") == "F", "Production") \
+             .when(F.col("o_orderstatus") == "O", "Staging").otherwise("Archived")
+    e1 = v.select("name", "version", stage.alias("stage"), F.col("registered_at").alias("ts"),
+                  F.lit(1).cast("bigint").alias("seq"))
+    returned = (T(spark, d, "lineitem").filter(F.col("l_returnflag") == "R")
+                .groupBy(F.col("l_orderkey").alias("run_id")).agg(F.max("l_shipdate").alias("ts")))
+    e2 = v.join(returned, "run_id").select("name", "version", F.lit("Archived").alias("stage"), "ts",
+                                           F.lit(2).cast("bigint").alias("seq"))
+    return v, e1.unionByName(e2)
+
+
+_STAGES_SQL = f"""{_VERSIONS_SQL},
+ev AS (
+  SELECT name, version, CASE o_orderstatus WHEN 'F' THEN 'Production' WHEN 'O' THEN 'Staging' ELSE 'Archived' END AS stage,
+         o_orderdate AS ts, 1 AS seq
+  FROM versions
+  UNION ALL
+  SELECT name, version, 'Archived' AS stage, r.ts, 2 AS seq
+  FROM versions JOIN (SELECT l_orderkey, max(l_shipdate) AS ts FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) r
+    ON r.l_orderkey = versions.run_id),
+cur AS (SELECT name, version, stage FROM (
+  SELECT *, row_number() OVER (PARTITION BY name, version ORDER BY ts DESC, seq DESC) AS rn FROM ev) WHERE rn = 1)"""
+
+
+@register("current_stage", f"WITH {_STAGES_SQL} SELECT name, version, stage FROM cur")
+def q_current_stage(spark, d):
+    from flowline.operators import runs as R
+    _, ev = _stage_events(spark, d)
+    cur = R.current_stages(ev)
+    return cur.select("name", F.col("version").cast("bigint").alias("version"), "stage")
+
+
+@register("production_model", f"""
+WITH {_STAGES_SQL},
+best AS (SELECT name, max(version) AS version FROM cur WHERE lower(stage) = 'production' GROUP BY 1)
+SELECT b.name, b.version, v.run_id FROM best b JOIN versions v ON v.name = b.name AND v.version = b.version""")
+def q_production_model(spark, d):
+    from flowline.operators import runs as R
+    v, ev = _stage_events(spark, d)
+    best = R.version_in_stage(R.current_stages(ev), "production")
+    out = best.join(v.select("name", "version", "run_id"), ["name", "version"])
+    return out.select("name", F.col("version").cast("bigint").alias("version"), "run_id")
+
+
+# =========================================================== hyper-parameter search
+from flowline.operators import search as S  # noqa: E402
+
+SPACE = {"optimizer": S.choice("Adadelta", "Adam"), "learning_rate": S.loguniform(-5, 0),
+         "dropout": S.uniform(0.1, 0.9), "batch_size": S.choice(32, 64, 128)}
+
+
+def _points_sql(key: str, salt: str) -> str:
+    return (f"['Adadelta', 'Adam'][CAST(floor({u_sql(key, salt + 'optimizer')} * 2) AS INTEGER) + 1] AS optimizer, "
+            f"exp(CAST(-5.0 AS DOUBLE) + CAST(5.0 AS DOUBLE) * {u_sql(key, salt + 'learning_rate')}) AS learning_rate, "
+            f"CAST(0.1 AS DOUBLE) + CAST(0.8 AS DOUBLE) * {u_sql(key, salt + 'dropout')} AS dropout, "
+            f"[32, 64, 128][CAST(floor({u_sql(key, salt + 'batch_size')} * 3) AS INTEGER) + 1] AS batch_size")
+
+
+def _trials(spark, d):
+    """One trial per brand: parameters hashed from the brand, accuracy from
+    its parts; every fifth brand number is a failed trial (null loss)."""
+    p = T(spark, d, "part")
+    t = p.groupBy("p_brand").agg(F.avg(F.when(F.col("p_size") > 25, 1.0).otherwise(0.0)).alias("accuracy"))
+    tid = F.substring("p_brand", 7, 10).cast("bigint")
+    ok = (tid % 5) != 0
+    return t.select(tid.alias("trial_id"), *S.point_columns("p_brand", SPACE, "trial:"),
+                    F.round("accuracy", 6).alias("accuracy"),
+                    F.when(ok, -F.round("accuracy", 6)).alias("loss"),
+                    F.when(ok, F.lit("ok")).otherwise(F.lit("fail")).alias("status"))
+
+
+_TRIALS_SQL = f"""trials AS (
+  SELECT CAST(substr(p_brand, 7) AS BIGINT) AS trial_id, {_points_sql('p_brand', 'trial:')},
+         round(avg(CASE WHEN p_size > 25 THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+         CASE WHEN CAST(substr(p_brand, 7) AS BIGINT) % 5 <> 0 THEN -round(avg(CASE WHEN p_size > 25 THEN 1.0 ELSE 0.0 END), 6) END AS loss,
+         CASE WHEN CAST(substr(p_brand, 7) AS BIGINT) % 5 <> 0 THEN 'ok' ELSE 'fail' END AS status
+  FROM part GROUP BY p_brand)"""
+
+
+@register("search_space_points", f"""
+SELECT p_partkey, optimizer, round(learning_rate, 9) AS learning_rate, round(dropout, 9) AS dropout, batch_size
+FROM (SELECT p_partkey, {_points_sql('p_partkey', 'point:')} FROM part)""")
+def q_search_space_points(spark, d):
+    p = T(spark, d, "part").select("p_partkey", *S.point_columns("p_partkey", SPACE, "point:"))
+    return p.select("p_partkey", "optimizer", F.round("learning_rate", 9).alias("learning_rate"),
+                    F.round("dropout", 9).alias("dropout"), "batch_size")
+
+
+@register("negated_objective", f"""
+WITH {_TRIALS_SQL} SELECT trial_id, accuracy, -accuracy AS loss FROM trials""")
+def q_negated_objective(spark, d):
+    t = _trials(spark, d)
+    return t.select("trial_id", "accuracy", C.negate("accuracy").alias("loss"))
+
+
+@register("best_trial", f"""
+WITH {_TRIALS_SQL}
+SELECT trial_id, loss, optimizer, round(learning_rate, 9) AS learning_rate, round(dropout, 9) AS dropout, batch_size
+FROM trials WHERE status = 'ok' AND loss IS NOT NULL ORDER BY loss, trial_id LIMIT 1""")
+def q_best_trial(spark, d):
+    b = S.best_trial(_trials(spark, d), list(SPACE))
+    return b.select("trial_id", "loss", "optimizer", F.round("learning_rate", 9).alias("learning_rate"),
+                    F.round("dropout", 9).alias("dropout"), "batch_size")
+
+
+@register("failed_trials_excluded", f"""
+WITH {_TRIALS_SQL}
+SELECT count(*) AS n_trials, count(*) FILTER (WHERE status <> 'ok') AS n_failed,
+       (SELECT trial_id FROM trials WHERE status = 'ok' ORDER BY loss, trial_id LIMIT 1) AS best_trial_id
+FROM trials""")
+def q_failed_trials_excluded(spark, d):
+    t = _trials(spark, d)
+    best = S.best_trial(t, list(SPACE)).select("trial_id").scalar()
+    return t.agg(F.count(F.lit(1)).alias("n_trials"),
+                 F.count(F.when(F.col("status") != "ok", 1)).alias("n_failed")) \
+            .select("n_trials", "n_failed", best.alias("best_trial_id"))
+
+
+@register("best_params_logged", f"""
+WITH {_TRIALS_SQL},
+b AS (SELECT * FROM trials WHERE status = 'ok' ORDER BY loss, trial_id LIMIT 1)
+SELECT 'optimizer' AS key, CAST(NULL AS DOUBLE) AS num_value, optimizer AS str_value FROM b
+UNION ALL SELECT 'learning_rate', round(learning_rate, 9), NULL FROM b
+UNION ALL SELECT 'dropout', round(dropout, 9), NULL FROM b
+UNION ALL SELECT 'batch_size', CAST(batch_size AS DOUBLE), NULL FROM b""")
+def q_best_params_logged(spark, d):
+    b = S.best_trial(_trials(spark, d), list(SPACE))
+    rows = F.array(
+        F.struct(F.lit("optimizer").alias("key"), F.lit(None).cast("double").alias("num_value"),
+                 F.col("optimizer").alias("str_value")),
+        *[F.struct(F.lit(k).alias("key"), v.alias("num_value"), F.lit(None).cast("string").alias("str_value"))
+          for k, v in (("learning_rate", F.round("learning_rate", 9)), ("dropout", F.round("dropout", 9)),
+                       ("batch_size", F.col("batch_size").cast("double")))])
+    return b.select(F.inline(rows))
+
+
+@register("tpe_density_ratio", f"""
+WITH {_TRIALS_SQL},
+ok AS (SELECT * FROM trials WHERE status = 'ok' AND loss IS NOT NULL),
+lab AS (SELECT *, (row_number() OVER (ORDER BY loss, trial_id) - 1) <
+                  greatest(1, ceil((SELECT count(*) FROM ok) * 0.25)) AS good FROM ok),
+cand AS (SELECT p_name, {_points_sql('p_name', 'cand:')} FROM (SELECT DISTINCT p_name FROM part)),
+pairs AS (SELECT c.p_name, l.good,
+                 exp(-power((ln(c.learning_rate) + 5.0) / 5.0 - (ln(l.learning_rate) + 5.0) / 5.0, 2) / 0.08) AS k_lr,
+                 exp(-power((c.dropout - 0.1) / 0.8 - (l.dropout - 0.1) / 0.8, 2) / 0.08) AS k_do,
+                 CASE WHEN c.optimizer = l.optimizer THEN 1 ELSE 0 END AS m_opt,
+                 CASE WHEN c.batch_size = l.batch_size THEN 1 ELSE 0 END AS m_bs
+          FROM cand c CROSS JOIN lab l),
+agg AS (SELECT p_name,
+               sum(CASE WHEN good THEN 1 ELSE 0 END) AS n_l, sum(CASE WHEN good THEN 0 ELSE 1 END) AS n_g,
+               sum(CASE WHEN good THEN k_lr ELSE 0 END) AS kl_lr, sum(CASE WHEN good THEN 0 ELSE k_lr END) AS kg_lr,
+               sum(CASE WHEN good THEN k_do ELSE 0 END) AS kl_do, sum(CASE WHEN good THEN 0 ELSE k_do END) AS kg_do,
+               sum(CASE WHEN good THEN m_opt ELSE 0 END) AS ml_opt, sum(CASE WHEN good THEN 0 ELSE m_opt END) AS mg_opt,
+               sum(CASE WHEN good THEN m_bs ELSE 0 END) AS ml_bs, sum(CASE WHEN good THEN 0 ELSE m_bs END) AS mg_bs
+        FROM pairs GROUP BY p_name)
+SELECT p_name, round(
+    ln((ml_opt + 1.0) / (n_l + 2)) - ln((mg_opt + 1.0) / (n_g + 2))
+  + ln((kl_lr * {1 / (0.2 * math.sqrt(2 * math.pi))!r} + 1.0) / (n_l + 1.0)) - ln((kg_lr * {1 / (0.2 * math.sqrt(2 * math.pi))!r} + 1.0) / (n_g + 1.0))
+  + ln((kl_do * {1 / (0.2 * math.sqrt(2 * math.pi))!r} + 1.0) / (n_l + 1.0)) - ln((kg_do * {1 / (0.2 * math.sqrt(2 * math.pi))!r} + 1.0) / (n_g + 1.0))
+  + ln((ml_bs + 1.0) / (n_l + 3)) - ln((mg_bs + 1.0) / (n_g + 3)), 6) AS score
+FROM agg""")
+def q_tpe_density_ratio(spark, d):
+    names = T(spark, d, "part").select("p_name").distinct()
+    cands = names.select("p_name", *S.point_columns("p_name", SPACE, "cand:"))
+    scored = S.tpe_scores(cands, _trials(spark, d), SPACE, gamma=0.25, bw=0.2)
+    return scored.select("p_name", F.round("score", 6).alias("score"))
