@@ -890,3 +890,260 @@ def q_tpe_density_ratio(spark, d):
     cands = names.select("p_name", *S.point_columns("p_name", SPACE, "cand:"))
     scored = S.tpe_scores(cands, _trials(spark, d), SPACE, gamma=0.25, bw=0.2)
     return scored.select("p_name", F.round("score", 6).alias("score"))
+
+
+# =========================================================== files and images
+from flowline.operators import features as FE  # noqa: E402
+from flowline.sources import files as FS  # noqa: E402
+
+
+@register("binary_file_scan", """
+SELECT 'lang=' || lang AS label, sum(octet_length(encode(text)) + 1) AS n_bytes FROM documents GROUP BY 1""")
+def q_binary_file_scan(spark, d):
+    """Documents written as text files in one directory per language (by
+    Spark), then scanned back as binary rows: glob, recursive lookup, label
+    from the parent directory."""
+    root = scratch_path(spark, "docs_as_files")
+    docs = T(spark, d, "documents")
+    # spread every language over several writers: no hot-key task
+    (docs.repartition(8, "lang", C.hash_bucket("doc_id", 4, "file"))
+         .select("lang", "text").write.mode("overwrite").partitionBy("lang").text(root))
+    files = FS.binary_files(spark, root, glob="*.txt", recursive=True)
+    silver = prepare.with_label_from_path(files.select("path", "length"), "path")
+    return silver.groupBy("label").agg(F.sum("length").alias("n_bytes"))
+
+
+def _quantised(spark, d):
+    e = T(spark, d, "embeddings")
+    q = F.transform("embedding", lambda x: F.least(F.lit(255), F.greatest(
+        F.lit(0), F.floor((x.cast("double") + F.lit(1.0)) * F.lit(127.5)).cast("int"))))
+    # RGB triples with distinct channels, so a channel-order slip shows up
+    px = F.flatten(F.transform(q, lambda v: F.array(v, F.lit(255) - v, (v * 7) % 256)))
+    rel = F.concat(F.lit("class_"), F.col("label").cast("string"), F.lit("/"),
+                   F.col("vec_id").cast("string"), F.lit(".png"))
+    return e.select("vec_id", "label", rel.alias("rel"), px.alias("pixels"))
+
+
+def _images_from_embeddings(spark, d):
+    """Every embedding row becomes an 8x8 RGB PNG under its class folder,
+    written by the executors, then decoded by Spark's image source."""
+    root = scratch_path(spark, "png")
+    written = FS.write_png_files(_quantised(spark, d), root, "rel", "pixels", 8, 8)
+    written.agg(F.count(F.lit(1))).collect()      # action: the files exist after this
+    return root, FS.image_files(spark, root, glob="*.png", recursive=True)
+
+
+_Q_SQL = "least(255, greatest(0, CAST(floor((CAST(x AS DOUBLE) + 1.0) * 127.5) AS INTEGER)))"
+
+
+@register("image_decode", f"""
+SELECT vec_id, 'class_' || CAST(label AS VARCHAR) AS label,
+       round(avg({_Q_SQL}), 6) AS r_mean, round(avg(255 - {_Q_SQL}), 6) AS g_mean,
+       round(avg(({_Q_SQL} * 7) % 256), 6) AS b_mean
+FROM (SELECT vec_id, label, unnest(embedding) AS x FROM embeddings) GROUP BY vec_id, label""")
+def q_image_decode(spark, d):
+    _, imgs = _images_from_embeddings(spark, d)
+    means = FE.channel_means(imgs, keep=("path",))
+    return means.select(
+        F.regexp_extract("path", r"/(\d+)\.png$", 1).cast("bigint").alias("vec_id"),
+        C.label_from_path("path").alias("label"),
+        F.round("r_mean", 6).alias("r_mean"), F.round("g_mean", 6).alias("g_mean"),
+        F.round("b_mean", 6).alias("b_mean"))
+
+
+@register("featurise_images")
+def q_featurise_images(spark, d):
+    """Decoded PNGs -> resize to a non-square 12x16 -> scale -> 2x2 block means
+    per channel (12 features) -> label from the folder."""
+    _, imgs = _images_from_embeddings(spark, d)
+    f = FE.featurise(imgs, height=12, width=16, grid=2, keep=("path",))
+    return f.select("path", C.label_from_path("path").alias("label"), F.size("features").alias("n_features"),
+                    F.round(C.array_sum("features"), 6).alias("feature_sum"))
+
+
+@register("decode_join_report")
+def q_decode_join_report(spark, d):
+    """Binary rows joined to decoded pixels on the normalised path (J5) and
+    the anti-join report of files the decoder dropped (P8)."""
+    root, imgs = _images_from_embeddings(spark, d)
+    raw = FS.binary_files(spark, root, glob="*.png", recursive=True)
+    joined = FS.with_decoded(raw.select("path", "length"), imgs.select("path", "height", "width"))
+    dropped = FS.undecodable(raw.select("path"), imgs.select("path"))
+    return joined.agg(F.count(F.lit(1)).alias("decoded"), F.sum("length").alias("n_bytes")) \
+                 .select("decoded", "n_bytes", dropped.agg(F.count(F.lit(1))).scalar().alias("dropped"))
+
+
+# =========================================================== training, search, scoring
+def _split_indexed(spark, d):
+    from flowline.plans.pipelines import embeddings_silver, prepare_tables
+    return prepare_tables(embeddings_silver(spark, d), "row_id")
+
+
+def _history_frame(spark, history: list, extra: dict | None = None) -> DataFrame:
+    rows = [{**(extra or {}), **h} for h in history]
+    return spark.createDataFrame(pd.DataFrame(rows))
+
+
+@register("softmax_fit")
+def q_softmax_fit(spark, d):
+    """Full-batch multinomial fit (MLlib, L-BFGS), evaluated on validation."""
+    t = _split_indexed(spark, d)
+    fit = TR.fit_full_batch(t.train, t.num_classes, max_iter=50, reg=1e-3)
+    scored = t.val.withColumn("logits", metrics.dense_logits("features", fit.weights.T.tolist(), fit.bias.tolist()))
+    return metrics.loss_and_accuracy(scored)
+
+
+@register("distributed_fit")
+def q_distributed_fit(spark, d):
+    """Synchronous data-parallel fit: 2 shards, batch 32 per shard, Adam with
+    the learning rate scaled by workers and warmed up, dropout 0.5."""
+    t = _split_indexed(spark, d)
+    cfg = TR.TrainConfig(epochs=3, batch_size=32, workers=2, learning_rate=1e-3, dropout=0.5,
+                         warmup_epochs=5, plateau_patience=10)
+    fit = TR.fit(t.train, t.val, t.num_classes, cfg)
+    return _history_frame(spark, fit.history)
+
+
+@register("parallel_trials")
+def q_parallel_trials(spark, d):
+    """TPE search, 8 trials 4 at a time, each round fused into shared passes."""
+    t = _split_indexed(spark, d)
+    base = TR.TrainConfig(epochs=2, batch_size=32, workers=2)
+    obj = S.fused_fit_objective(t.train, t.val, t.num_classes, base, metric="val_accuracy")
+    res = S.run_search(spark, obj, SPACE, max_evals=8, parallelism=4, n_startup=4, seed="par")
+    return res.trials
+
+
+@register("sequential_trials")
+def q_sequential_trials(spark, d):
+    """Sequential search (one trial at a time, each a distributed fit)
+    minimising validation loss, with batch size searched."""
+    t = _split_indexed(spark, d)
+    base = TR.TrainConfig(epochs=1, batch_size=64, workers=2)
+    space = {"learning_rate": S.loguniform(-5, 0), "dropout": S.uniform(0.1, 0.9),
+             "batch_size": S.choice(32, 64, 128)}
+    obj = S.fused_fit_objective(t.train, t.val, t.num_classes, base, metric="val_loss")
+    return S.run_search(spark, obj, space, max_evals=4, parallelism=1, n_startup=2, seed="seq").trials
+
+
+@register("packaged_model_scores")
+def q_packaged_model_scores(spark, d):
+    """Fit, package (head + vocabulary + preprocessing config), save, load,
+    and score the whole table with the batch UDF (sub-batches of 128)."""
+    from flowline.operators.infer import score
+    from flowline.plans.pipelines import embeddings_silver, model_from_fit
+    t = _split_indexed(spark, d)
+    fit = TR.fit_full_batch(t.train, t.num_classes, max_iter=30, reg=1e-3)
+    path = scratch_path(spark, "models")
+    model_from_fit(fit, t.vocab, {"img_height": 224, "img_width": 224}).save(spark, path)
+    from flowline.operators.infer import PackagedModel
+    loaded = PackagedModel.load(spark, path)
+    scored = score(embeddings_silver(spark, d), loaded, "features", "prediction", batch_size=128)
+    return scored.select("row_id", "label", "prediction")
+
+
+@register("checkpoint_resume")
+def q_checkpoint_resume(spark, d):
+    """Two epochs with a weight checkpoint after each, then a restart from the
+    newest checkpoint for the third epoch."""
+    t = _split_indexed(spark, d)
+    path = scratch_path(spark, "checkpoints")
+    cfg = TR.TrainConfig(epochs=2, batch_size=32, workers=2, dropout=0.2)
+
+    def save(epoch, W, histories):
+        TB.save_checkpoint(spark, path, "run0", epoch, W[0, :-1], W[0, -1])
+
+    first = TR.fit(t.train, t.val, t.num_classes, cfg, on_epoch=save)
+    epoch, w, b = TB.latest_checkpoint(spark, path, "run0")
+    init = np.vstack([w, b[None, :]])
+    resumed = TR.fit(t.train, t.val, t.num_classes, TR.with_config(cfg, epochs=3),
+                     init=init, start_epoch=epoch + 1)
+    return _history_frame(spark, first.history + resumed.history)
+
+
+@register("early_stopping_epoch")
+def q_early_stopping_epoch(spark, d):
+    """Per event type, daily mean value as an epoch metric; the early-stopping
+    rule (best moves only when beaten by more than min_delta, stop after
+    `patience` epochs without improvement) as a fold over each series."""
+    ev = T(spark, d, "events").withColumn("day", F.to_date("ts"))
+    first = ev.agg(F.min("day")).scalar()
+    daily = ev.groupBy(F.col("event_type").alias("run"), F.datediff("day", first).alias("epoch")) \
+              .agg(F.avg("value").alias("val_loss"))
+    return early_stop_fold(daily, patience=3, min_delta=0.01)
+
+
+def early_stop_fold(epoch_metrics: DataFrame, patience: int, min_delta: float,
+                    run: str = "run", epoch: str = "epoch", value: str = "val_loss") -> DataFrame:
+    """Spark form of ``trainer.early_stop_epoch``: one row per run with the
+    stop epoch (null if never) and the best value.  Each run's series is as
+    long as its epoch count, so collecting it per group is bounded."""
+    series = epoch_metrics.groupBy(run).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(epoch).alias("e"), F.col(value).alias("v")))).alias("s"))
+    init = F.struct(F.lit(float("inf")).alias("best"), F.lit(0).alias("wait"),
+                    F.lit(None).cast("int").alias("stop"))
+
+    def step(acc, x):
+        improved = x["v"] < acc["best"] - F.lit(min_delta)
+        wait = F.when(improved, F.lit(0)).otherwise(acc["wait"] + 1)
+        stop = F.when(acc["stop"].isNotNull(), acc["stop"]) \
+                .when(~improved & (wait >= patience), x["e"].cast("int"))
+        best = F.when(acc["stop"].isNull() & improved, x["v"]).otherwise(acc["best"])
+        return F.struct(best.alias("best"), wait.alias("wait"), stop.alias("stop"))
+
+    out = series.select(run, F.aggregate("s", init, step).alias("r"))
+    return out.select(run, F.col("r.stop").alias("stop_epoch"), F.round("r.best", 6).alias("best_loss"))
+
+
+@register("weights_round_trip", f"""
+WITH {_GRAD_SQL} SELECT k, pos, round(-0.5 * g, 6) + 0.0 AS w FROM grad""")
+def q_weights_round_trip(spark, d):
+    """One SGD step from zero computed by the all-reduce, saved as a weights
+    table and read back."""
+    data = _emb_features(spark, d)
+    g, _, _ = TR.gradient(data, np.zeros((DIM, NUM_CLASSES)))
+    w1 = -0.5 * g
+    path = scratch_path(spark, "weights")
+    TB.save_weights(spark, path, "step1", w1[:DIM], w1[DIM])
+    back = spark.read.parquet(path).filter(F.col("run_id") == "step1")
+    return back.select("k", "pos", (F.round("w", 6) + F.lit(0.0)).alias("w"))
+
+
+@register("score_table", f"""
+WITH {_LOGITS_SQL}
+SELECT vec_id, 'class_' || CAST(any_value(label) AS VARCHAR) AS label,
+       'class_' || CAST(arg_max(k, logit) AS VARCHAR) AS prediction
+FROM logits GROUP BY vec_id""")
+def q_score_table(spark, d):
+    """Batch scoring of the whole table with a packaged head (fixed sine
+    weights) through predict_batch_udf; class names from the vocabulary."""
+    from flowline.operators.infer import PackagedModel, score
+    from flowline.plans.pipelines import embeddings_silver
+    silver = embeddings_silver(spark, d)
+    vocab = prepare.build_vocab(silver)
+    classes = [r.label for r in vocab.orderBy("label_idx").collect()]   # bounded: K rows
+    w = np.array(metrics.sine_weights(DIM, NUM_CLASSES)).T
+    model = PackagedModel(w, np.zeros(NUM_CLASSES), classes, {"img_height": 224, "img_width": 224})
+    out = score(silver, model, "features", "prediction", batch_size=128)
+    return out.select(F.col("row_id").alias("vec_id"), "label", "prediction")
+
+
+@register("worker_partitions")
+def q_worker_partitions(spark, d):
+    """Repartition to the worker count before training (round-robin)."""
+    e = feed.repartition_for_workers(T(spark, d, "embeddings"), 2)
+    return e.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("bernoulli_sample")
+def q_bernoulli_sample(spark, d):
+    """Seeded Bernoulli sample (keywords, so the seed is honoured)."""
+    return prepare.bernoulli_sample(T(spark, d, "documents"), 0.5, seed=1).select("doc_id")
+
+
+@register("random_split_parity")
+def q_random_split_parity(spark, d):
+    """randomSplit([0.9, 0.1], seed=42) for parity; sizes only (layout-dependent)."""
+    tr, va = prepare.random_split(T(spark, d, "embeddings"), (0.9, 0.1), 42)
+    return tr.select(F.lit("train").alias("split")).unionByName(va.select(F.lit("val").alias("split"))) \
+             .groupBy("split").count()
