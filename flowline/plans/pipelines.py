@@ -65,3 +65,56 @@ def flagship(spark: SparkSession, sf_dir: str, config: TR.TrainConfig | None = N
                        F.round(F.avg((F.col("prediction") == F.col("label")).cast("double")), 6)
                         .alias("accuracy"))
                   .orderBy("label"))
+
+
+# ---------------------------------------------------------------- Entry A / C on image files
+def ingest_images(spark: SparkSession, image_dir: str, database: str, glob: str = "*.jpg",
+                  fmt: str = "parquet", sample_fraction: float | None = None,
+                  location: str | None = None, weights=(0.9, 0.1)) -> PreparedTables:
+    """Files -> bronze (bytes, uncompressed) -> silver (+label) -> train/val
+    (+label_idx) and the vocabulary, all saved as tables of ``database``."""
+    from flowline.sources import files as FS
+    from flowline.sources import tables as TB
+
+    bronze = FS.binary_files(spark, image_dir, glob=glob, recursive=True)
+    if sample_fraction is not None:
+        bronze = prepare.hash_sample(bronze, "path", sample_fraction)
+    TB.create_database(spark, database, location)
+    TB.save_table(bronze, f"{database}.bronze", fmt, compression="uncompressed")
+    silver = prepare.with_label_from_path(spark.table(f"{database}.bronze"), "path")
+    TB.save_table(silver, f"{database}.silver", fmt, compression="uncompressed")
+    t = prepare_tables(spark.table(f"{database}.silver"), "path", weights=weights)
+    TB.save_table(t.train, f"{database}.silver_train", fmt, compression="uncompressed")
+    TB.save_table(t.val, f"{database}.silver_val", fmt, compression="uncompressed")
+    TB.save_table(t.vocab, f"{database}.vocab", fmt)
+    return PreparedTables(spark.table(f"{database}.silver_train"), spark.table(f"{database}.silver_val"),
+                          spark.table(f"{database}.vocab"), t.num_classes)
+
+
+def image_features(spark: SparkSession, image_dir: str, labelled: DataFrame, glob: str = "*.jpg",
+                   height: int = 224, width: int = 224, grid: int = 4) -> DataFrame:
+    """Decode the files in the executors' JVM, featurise once, and attach
+    the features to labelled rows (``path``, ``label_idx``) by normalised path."""
+    from flowline.operators import features as FE
+    from flowline.sources import files as FS
+
+    imgs = FS.image_files(spark, image_dir, glob=glob, recursive=True)
+    feats = FE.featurise(imgs, height, width, grid, keep=("path",))
+    return FS.with_decoded(labelled, feats)
+
+
+def train_on_images(spark: SparkSession, image_dir: str, database: str,
+                    config: TR.TrainConfig | None = None, glob: str = "*.jpg",
+                    height: int = 224, width: int = 224, grid: int = 4):
+    """Entry A + B + C on image files; returns (fit, model, scored silver)."""
+    t = ingest_images(spark, image_dir, database, glob=glob)
+    feats_tr = image_features(spark, image_dir, t.train.select("path", "label_idx"), glob, height, width, grid)
+    feats_va = image_features(spark, image_dir, t.val.select("path", "label_idx"), glob, height, width, grid)
+    key = F.xxhash64("path").alias("row_id")
+    tr = feats_tr.select(key, "features", "label_idx")
+    va = feats_va.select(key, "features", "label_idx")
+    fit = TR.fit(tr, va, t.num_classes, config or TR.TrainConfig(epochs=3, batch_size=8, workers=2))
+    model = model_from_fit(fit, t.vocab, {"img_height": height, "img_width": width, "grid": grid})
+    silver = spark.table(f"{database}.silver").select("path", "label")
+    scored = score(image_features(spark, image_dir, silver, glob, height, width, grid), model)
+    return fit, model, scored.select("path", "label", "prediction")
