@@ -33,7 +33,8 @@ def with_batches(df: DataFrame, key: str, shards: int, batch_size: int,
     """Adds ``shard``, ``pos`` (0-based position in the shard, hash order) and
     ``batch_id = pos // batch_size``."""
     s = with_shard(df, key, shards, salt).withColumn("_h", hash_u32(key, order_salt))
-    idx = row_index(s, ["_h", key], ["shard"], out="pos", partitions=partitions)
+    idx = row_index(s, ["_h", key], ["shard"], out="pos", partitions=partitions,
+                    groups_bound=shards)
     return (idx.withColumn("batch_id", F.floor(F.col("pos") / F.lit(batch_size)).cast("bigint"))
                .drop("_h"))
 

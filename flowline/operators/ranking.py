@@ -49,11 +49,14 @@ def default_partitions(spark) -> int:
 
 
 def row_index(df: DataFrame, order_cols, group_cols=(), out: str = "row_idx",
-              partitions: int | None = None, path: str | None = None) -> DataFrame:
+              partitions: int | None = None, path: str | None = None,
+              groups_bound: int | None = None) -> DataFrame:
     """0-based position of each row in its group, ordered by ``order_cols``.
 
     ``order_cols`` must give a total order inside each group (end with a
-    unique id) so the result is deterministic."""
+    unique id) so the result is deterministic.  ``groups_bound`` (a known
+    upper bound on the number of groups) proves the offsets table small
+    (at most partitions + groups rows) without counting it."""
     spark = df.sparkSession
     order_cols = list(order_cols)
     group_cols = list(group_cols)
@@ -78,6 +81,7 @@ def row_index(df: DataFrame, order_cols, group_cols=(), out: str = "row_idx",
     cond = [F.shiftright(snap["_rid"], 33) == offs["_part"]]
     cond += [snap[g].eqNullSafe(offs[f"_g_{g}"]) for g in group_cols]
     cond = reduce(lambda a, b: a & b, cond)
-    joined = join_small(snap, offs, cond, "inner")
+    bound = None if groups_bound is None and group_cols else p + (groups_bound or 1)
+    joined = join_small(snap, offs, cond, "inner", small_rows=bound)
     return (joined.withColumn(out, (F.col("_rid") - F.col("_first") + F.col("_off")).cast("bigint"))
                   .drop("_rid", "_part", "_first", "_off", *[f"_g_{g}" for g in group_cols]))

@@ -191,6 +191,9 @@ def fused_fit_objective(train: DataFrame, val: DataFrame, num_classes: int, base
     ``metric`` (negated for accuracy, which is maximised)."""
     from flowline.operators import trainer as TR
 
+    # one snapshot per (batch size, workers) for the whole search
+    cache = TR.FeedCache(train, val)
+
     def objective(points):
         cfgs = []
         for p in points:
@@ -206,7 +209,7 @@ def fused_fit_objective(train: DataFrame, val: DataFrame, num_classes: int, base
             groups.setdefault((c.batch_size, c.workers), []).append(i)
         for idx in groups.values():
             try:
-                fits = TR.fit_many(train, val, num_classes, [cfgs[i] for i in idx])
+                fits = TR.fit_many(train, val, num_classes, [cfgs[i] for i in idx], feed=cache)
             except Exception:   # a failing trial keeps its row, with no loss
                 for i in idx:
                     out[i] = (None, "fail")
@@ -221,4 +224,5 @@ def fused_fit_objective(train: DataFrame, val: DataFrame, num_classes: int, base
                     store.log_history(rid, f.history)
                     store.end_run(rid)
         return out
+    objective.cache = cache
     return objective

@@ -69,6 +69,31 @@ def _softmax_rows(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def batch_partials(X: np.ndarray, y: np.ndarray, keys: np.ndarray, weights: np.ndarray,
+                   dropout: np.ndarray, seed: int, epoch: int, step: int, train: bool,
+                   grad: np.ndarray, loss: np.ndarray, correct: np.ndarray) -> None:
+    """Add one block of rows' gradient sums, loss sums and hits (all trials)
+    into the accumulators."""
+    T, D1, K = weights.shape
+    D = D1 - 1
+    rows = np.arange(len(y))
+    for t in range(T):
+        Xt = X
+        if train and dropout[t] > 0:
+            keep = dropout_keep(keys, D, float(dropout[t]), seed, t, epoch, step)
+            Xt = np.where(keep, X / (1.0 - dropout[t]), 0.0)
+        z = Xt @ weights[t, :D, :] + weights[t, D, :]
+        zmax = z.max(axis=1, keepdims=True)
+        lse = zmax[:, 0] + np.log(np.exp(z - zmax).sum(axis=1))
+        loss[t] += float((lse - z[rows, y]).sum())
+        correct[t] += float((z.argmax(axis=1) == y).sum())
+        if train:
+            r = _softmax_rows(z)
+            r[rows, y] -= 1.0
+            grad[t, :D, :] += Xt.T @ r
+            grad[t, D, :] += r.sum(axis=0)
+
+
 def partial_sums(batches, weights: np.ndarray, dropout: np.ndarray, seed: int,
                  epoch: int, step: int, train: bool, feature_col: str,
                  label_col: str, key_col: str):
@@ -76,7 +101,6 @@ def partial_sums(batches, weights: np.ndarray, dropout: np.ndarray, seed: int,
 
     weights: (T, D+1, K) with the bias in the last row."""
     T, D1, K = weights.shape
-    D = D1 - 1
     grad = np.zeros((T, D1, K))
     loss = np.zeros(T)
     correct = np.zeros(T)
@@ -88,22 +112,7 @@ def partial_sums(batches, weights: np.ndarray, dropout: np.ndarray, seed: int,
         y = pdf[label_col].to_numpy().astype(np.int64)
         keys = pdf[key_col].to_numpy().astype(np.int64)
         n += len(y)
-        rows = np.arange(len(y))
-        for t in range(T):
-            Xt = X
-            if train and dropout[t] > 0:
-                keep = dropout_keep(keys, D, float(dropout[t]), seed, t, epoch, step)
-                Xt = np.where(keep, X / (1.0 - dropout[t]), 0.0)
-            z = Xt @ weights[t, :D, :] + weights[t, D, :]
-            zmax = z.max(axis=1, keepdims=True)
-            lse = zmax[:, 0] + np.log(np.exp(z - zmax).sum(axis=1))
-            loss[t] += float((lse - z[rows, y]).sum())
-            correct[t] += float((z.argmax(axis=1) == y).sum())
-            if train:
-                r = _softmax_rows(z)
-                r[rows, y] -= 1.0
-                grad[t, :D, :] += Xt.T @ r
-                grad[t, D, :] += r.sum(axis=0)
+        batch_partials(X, y, keys, weights, dropout, seed, epoch, step, train, grad, loss, correct)
     out_t, out_k, out_p, out_g = [], [], [], []
     for t in range(T):
         out_t += [t, t, t]
@@ -152,6 +161,81 @@ def all_reduce(df: DataFrame, weights: np.ndarray, dropout: np.ndarray, seed: in
     return grad, loss, correct, int(round(n))
 
 
+# ---------------------------------------------------------------- barrier mode
+def shard_feed(snap_df: DataFrame, workers: int, key_col: str, feature_col: str, label_col: str):
+    """Rows of shard r in partition r, sorted by (batch, position): the input
+    of the barrier trainer.  Persisted, so every epoch reuses one shuffle."""
+    from pyspark import StorageLevel
+    rdd = (snap_df.select("shard", "batch_id", "pos", key_col, feature_col, label_col).rdd
+           .map(lambda r: ((int(r[0]), int(r[1]), int(r[2])), (int(r[3]), r[4], int(r[5]))))
+           .repartitionAndSortWithinPartitions(workers, partitionFunc=lambda k: k[0]))
+    return rdd.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def barrier_epoch(feed_rdd, W: np.ndarray, opts: list, configs: list, scales: np.ndarray,
+                  active: np.ndarray, drops: np.ndarray, seed: int, epoch: int, steps: int):
+    """One epoch as ONE barrier job: every task streams its shard batch by
+    batch; after each batch the tasks exchange partial sums with
+    ``allGather`` (rank order, so every task adds them identically) and apply
+    the same update.  Task 0 returns the new weights, optimizer states and
+    the epoch's training sums.  A failed task fails the stage, which Spark
+    re-runs as a whole; inputs are deterministic, so the retry is exact."""
+    import base64
+    import pickle
+
+    W0 = np.array(W, dtype=np.float64)
+    opts0 = pickle.dumps(opts)
+    act = np.array(active, dtype=bool)
+    cfg = [(c.learning_rate * (c.workers if c.scale_lr else 1), c.workers, c.warmup_epochs) for c in configs]
+
+    def run(it):
+        from pyspark import BarrierTaskContext
+        ctx = BarrierTaskContext.get()
+        w = W0.copy()
+        optim = pickle.loads(opts0)
+        T, D1, K = w.shape
+        tr_loss, tr_corr, tr_n = np.zeros(T), np.zeros(T), 0
+        it = iter(it)
+        pending = next(it, None)
+        for s in range(steps):
+            keys, xs, ys = [], [], []
+            while pending is not None and pending[0][1] <= s:
+                if pending[0][1] == s:
+                    keys.append(pending[1][0])
+                    xs.append(pending[1][1])
+                    ys.append(pending[1][2])
+                pending = next(it, None)
+            grad, loss, corr = np.zeros((T, D1, K)), np.zeros(T), np.zeros(T)
+            if ys:
+                batch_partials(np.asarray(xs, dtype=np.float64), np.asarray(ys, dtype=np.int64),
+                               np.asarray(keys, dtype=np.int64), w, drops, seed, epoch, s, True,
+                               grad, loss, corr)
+            msg = np.concatenate([grad.ravel(), loss, corr, [float(len(ys))]])
+            got = ctx.allGather(base64.b64encode(msg.tobytes()).decode("ascii"))
+            tot = np.zeros_like(msg)
+            for g in got:
+                tot += np.frombuffer(base64.b64decode(g), dtype=np.float64)
+            n = int(round(tot[-1]))
+            cells = T * D1 * K
+            tr_loss += tot[cells:cells + T]
+            tr_corr += tot[cells + T:cells + 2 * T]
+            tr_n += n
+            if n == 0:
+                continue
+            g_all = tot[:cells].reshape(T, D1, K)
+            for t in range(T):
+                if not act[t]:
+                    continue
+                target, workers, warm = cfg[t]
+                lr = warmup_lr(target, workers, epoch + s / steps, warm) * scales[t]
+                w[t] = optim[t].update(w[t], g_all[t] / n, lr)
+        if ctx.partitionId() == 0:
+            yield pickle.dumps((w, optim, tr_loss, tr_corr, tr_n))
+
+    out = feed_rdd.barrier().mapPartitions(run).collect()
+    return pickle.loads(out[0])
+
+
 # ---------------------------------------------------------------- optimizers
 class Optimizer:
     """Keras-compatible update rules on (D+1) x K arrays."""
@@ -240,6 +324,10 @@ class TrainConfig:
     plateau_patience: int | None = None
     early_stop_patience: int | None = None
     early_stop_min_delta: float = 1e-2
+    # "steps": one aggregation job per step (any number of partitions);
+    # "barrier": one barrier job per epoch, gradients via allGather (few
+    # workers, small heads: no per-step job overhead)
+    mode: str = "steps"
 
     def params(self) -> dict:
         return asdict(self)
@@ -271,98 +359,155 @@ def feature_snapshot(df: DataFrame, key_col: str, feature_col: str, label_col: s
                      workers: int, batch_size: int) -> Snapshot:
     """Features + shard + batch number, written once and cached; sorted by
     batch so each step's filter prunes files and cached batches."""
+    # ``row_index`` (inside with_batches) already wrote the rows, clustered by
+    # (shard, position): batch ids are sorted inside every file, so a step's
+    # filter prunes row groups and cached batches.  Only cache and count.
+    # Many range partitions (not one per worker): a shard holds 1/workers of
+    # the data, far too much for one task at scale.
     b = with_batches(df.select(key_col, feature_col, label_col), key_col, workers, batch_size)
-    p = default_partitions(df.sparkSession)
-    staged = b.repartitionByRange(p, "batch_id", "shard").sortWithinPartitions("batch_id", "shard", "pos")
-    return Snapshot(staged)
+    return Snapshot(b, written=True)
+
+
+class FeedCache:
+    """Feature snapshots keyed by (batch_size, workers), shared by every fit
+    that uses the same layout (e.g. all rounds of a search)."""
+
+    def __init__(self, train_df: DataFrame, val_df: DataFrame | None, key_col: str = "row_id",
+                 feature_col: str = "features", label_col: str = "label_idx"):
+        self.train_df, self.val_df = train_df, val_df
+        self.cols = (key_col, feature_col, label_col)
+        self._train: dict = {}
+        self._val = None
+
+    def train(self, batch_size: int, workers: int) -> Snapshot:
+        k = (batch_size, workers)
+        if k not in self._train:
+            self._train[k] = feature_snapshot(self.train_df, *self.cols, workers, batch_size)
+        return self._train[k]
+
+    def val(self) -> Snapshot | None:
+        if self._val is None and self.val_df is not None:
+            self._val = Snapshot(self.val_df.select(*self.cols))
+        return self._val
+
+    def release(self) -> None:
+        for s in self._train.values():
+            s.release()
+        if self._val is not None:
+            self._val.release()
+        self._train, self._val = {}, None
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *exc):
+        self.release()
+        return False
 
 
 def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
              configs: list[TrainConfig], num_features: int | None = None,
              key_col: str = "row_id", feature_col: str = "features",
              label_col: str = "label_idx", on_epoch=None,
-             init: np.ndarray | None = None, start_epoch: int = 0) -> list[FitResult]:
+             init: np.ndarray | None = None, start_epoch: int = 0,
+             feed: FeedCache | None = None) -> list[FitResult]:
     """Fit several configurations in lock-step, one data pass per step.
 
     All configurations must share ``batch_size`` and ``workers`` (the shard
-    and batch layout); group them by those before calling."""
+    and batch layout); group them by those before calling.  Pass a
+    ``FeedCache`` to reuse snapshots across calls."""
     if len({(c.batch_size, c.workers) for c in configs}) != 1:
         raise ValueError("fused trials must share batch_size and workers")
     base = configs[0]
-    if num_features is None:
-        num_features = int(train_df.select(F.max(F.size(feature_col))).first()[0])
-    T, D, K = len(configs), num_features, num_classes
-    with feature_snapshot(train_df, key_col, feature_col, label_col,
-                          base.workers, base.batch_size) as snap:
+    own = feed is None
+    barrier_feed = None
+    feed = feed or FeedCache(train_df, val_df, key_col, feature_col, label_col)
+    try:
+        snap = feed.train(base.batch_size, base.workers)
+        val_snap = feed.val()
+        if num_features is None:
+            num_features = int(snap.df.select(F.size(feature_col)).first()[0])
+        T, D, K = len(configs), num_features, num_classes
         n = snap.count
         steps = steps_per_epoch(n, base.batch_size, base.workers)
-        val_snap = Snapshot(val_df.select(key_col, feature_col, label_col)) if val_df is not None else None
-        try:
-            W = np.stack([init if init is not None else glorot(D, K, c.seed) for c in configs])
-            opts = [Optimizer(c.optimizer, W[0].shape) for c in configs]
-            plateaus = [Plateau(patience=c.plateau_patience) if c.plateau_patience else None for c in configs]
-            active = np.ones(T, dtype=bool)
-            stopped = [None] * T
-            histories = [[] for _ in range(T)]
-            drops = np.array([c.dropout for c in configs])
-            for epoch in range(start_epoch, max(c.epochs for c in configs)):
+        W = np.stack([init if init is not None else glorot(D, K, c.seed) for c in configs])
+        opts = [Optimizer(c.optimizer, W[0].shape) for c in configs]
+        plateaus = [Plateau(patience=c.plateau_patience) if c.plateau_patience else None for c in configs]
+        active = np.ones(T, dtype=bool)
+        stopped = [None] * T
+        histories = [[] for _ in range(T)]
+        drops = np.array([c.dropout for c in configs])
+        barrier_feed = None
+        for epoch in range(start_epoch, max(c.epochs for c in configs)):
+            for t, c in enumerate(configs):
+                if epoch >= c.epochs:
+                    active[t] = False
+            if not active.any():
+                break
+            tr_loss = np.zeros(T)
+            tr_corr = np.zeros(T)
+            tr_n = 0
+            lrs = np.zeros(T)
+            if base.mode == "barrier":
+                scales = np.array([p.scale if p else 1.0 for p in plateaus])
+                if barrier_feed is None:
+                    barrier_feed = shard_feed(snap.df, base.workers, key_col, feature_col, label_col)
+                W, opts, tr_loss, tr_corr, tr_n = barrier_epoch(
+                    barrier_feed, W, opts, configs, scales, active, drops, base.seed, epoch, steps)
                 for t, c in enumerate(configs):
-                    if epoch >= c.epochs:
-                        active[t] = False
-                if not active.any():
-                    break
-                tr_loss = np.zeros(T)
-                tr_corr = np.zeros(T)
-                tr_n = 0
-                lrs = np.zeros(T)
-                for s in range(steps):
-                    batch = snap.df.filter(F.col("batch_id") == F.lit(s))
-                    grad, loss, corr, nb = all_reduce(batch, W, drops, base.seed, epoch, s, True,
-                                                      feature_col, label_col, key_col)
-                    tr_loss += loss
-                    tr_corr += corr
-                    tr_n += nb
-                    if nb == 0:
-                        continue
-                    for t, c in enumerate(configs):
-                        if not active[t]:
-                            continue
-                        target = c.learning_rate * (c.workers if c.scale_lr else 1)
-                        lr = warmup_lr(target, c.workers, epoch + s / steps, c.warmup_epochs)
-                        if plateaus[t]:
-                            lr *= plateaus[t].scale
-                        lrs[t] = lr
-                        W[t] = opts[t].update(W[t], grad[t] / nb, lr)
-                vl = va = None
-                if val_snap is not None:
-                    _, vloss, vcorr, vn = all_reduce(val_snap.df, W, drops, base.seed, epoch, -1, False,
-                                                     feature_col, label_col, key_col)
-                    vl = vloss / max(vn, 1)
-                    va = vcorr / max(vn, 1)
+                    target = c.learning_rate * (c.workers if c.scale_lr else 1)
+                    lrs[t] = warmup_lr(target, c.workers, epoch + (steps - 1) / steps,
+                                       c.warmup_epochs) * scales[t]
+            for s in range(steps if base.mode != "barrier" else 0):
+                batch = snap.df.filter(F.col("batch_id") == F.lit(s))
+                grad, loss, corr, nb = all_reduce(batch, W, drops, base.seed, epoch, s, True,
+                                                  feature_col, label_col, key_col)
+                tr_loss += loss
+                tr_corr += corr
+                tr_n += nb
+                if nb == 0:
+                    continue
                 for t, c in enumerate(configs):
                     if not active[t]:
                         continue
-                    h = {"epoch": epoch, "loss": float(tr_loss[t] / max(tr_n, 1)),
-                         "accuracy": float(tr_corr[t] / max(tr_n, 1)), "lr": float(lrs[t]),
-                         "steps": steps, "rows": tr_n}
-                    if vl is not None:
-                        h["val_loss"] = float(vl[t])
-                        h["val_accuracy"] = float(va[t])
-                    histories[t].append(h)
-                    monitor = h.get("val_loss", h["loss"])
+                    target = c.learning_rate * (c.workers if c.scale_lr else 1)
+                    lr = warmup_lr(target, c.workers, epoch + s / steps, c.warmup_epochs)
                     if plateaus[t]:
-                        plateaus[t].observe(monitor, lrs[t] or c.learning_rate)
-                    if c.early_stop_patience:
-                        stop = early_stop_epoch([x.get("val_loss", x["loss"]) for x in histories[t]],
-                                                c.early_stop_patience, c.early_stop_min_delta)
-                        if stop is not None:
-                            active[t] = False
-                            stopped[t] = epoch
-                if on_epoch is not None:
-                    on_epoch(epoch, W, histories)
-        finally:
+                        lr *= plateaus[t].scale
+                    lrs[t] = lr
+                    W[t] = opts[t].update(W[t], grad[t] / nb, lr)
+            vl = va = None
             if val_snap is not None:
-                val_snap.release()
+                _, vloss, vcorr, vn = all_reduce(val_snap.df, W, drops, base.seed, epoch, -1, False,
+                                                 feature_col, label_col, key_col)
+                vl = vloss / max(vn, 1)
+                va = vcorr / max(vn, 1)
+            for t, c in enumerate(configs):
+                if not active[t]:
+                    continue
+                h = {"epoch": epoch, "loss": float(tr_loss[t] / max(tr_n, 1)),
+                     "accuracy": float(tr_corr[t] / max(tr_n, 1)), "lr": float(lrs[t]),
+                     "steps": steps, "rows": tr_n}
+                if vl is not None:
+                    h["val_loss"] = float(vl[t])
+                    h["val_accuracy"] = float(va[t])
+                histories[t].append(h)
+                monitor = h.get("val_loss", h["loss"])
+                if plateaus[t]:
+                    plateaus[t].observe(monitor, lrs[t] or c.learning_rate)
+                if c.early_stop_patience:
+                    stop = early_stop_epoch([x.get("val_loss", x["loss"]) for x in histories[t]],
+                                            c.early_stop_patience, c.early_stop_min_delta)
+                    if stop is not None:
+                        active[t] = False
+                        stopped[t] = epoch
+            if on_epoch is not None:
+                on_epoch(epoch, W, histories)
+    finally:
+        if barrier_feed is not None:
+            barrier_feed.unpersist()
+        if own:
+            feed.release()
     return [FitResult(weights=W[t, :D].copy(), bias=W[t, D].copy(), history=histories[t],
                       config=configs[t], steps_per_epoch=steps, stopped_epoch=stopped[t])
             for t in range(T)]

@@ -77,14 +77,19 @@ class Snapshot:
     block) unpersists and deletes the files."""
 
     def __init__(self, df: DataFrame, path: str | None = None, cache: bool = True,
-                 compression: str | None = None):
+                 compression: str | None = None, written: bool = False):
+        """``written=True``: ``df`` already reads from files written under the
+        checkpoint folder (lineage already cut); only cache and count."""
         self.spark = df.sparkSession
-        self.path = path or scratch_path(self.spark, "snapshot")
-        w = df.write.mode("overwrite")
-        if compression:
-            w = w.option("compression", compression)
-        w.parquet(self.path)
-        self.df = self.spark.read.parquet(self.path)
+        self.path = None if written else (path or scratch_path(self.spark, "snapshot"))
+        if written:
+            self.df = df
+        else:
+            w = df.write.mode("overwrite")
+            if compression:
+                w = w.option("compression", compression)
+            w.parquet(self.path)
+            self.df = self.spark.read.parquet(self.path)
         if cache:
             self.df = self.df.persist(StorageLevel.MEMORY_AND_DISK)
         self.count = self.df.count()
@@ -94,7 +99,8 @@ class Snapshot:
 
     def release(self) -> None:
         self.df.unpersist()
-        delete_path(self.spark, self.path)
+        if self.path:
+            delete_path(self.spark, self.path)
 
     def __enter__(self):
         return self

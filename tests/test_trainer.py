@@ -135,3 +135,14 @@ def test_sharded_step_equals_single_shard(spark):
     # one step over all rows either way: same update
     assert f1.steps_per_epoch == f2.steps_per_epoch == 1
     assert np.allclose(f1.weights, f2.weights, atol=1e-9)
+
+
+def test_barrier_mode_equals_step_jobs(spark):
+    df = _emb(spark)
+    cfg = TR.TrainConfig(epochs=2, batch_size=64, workers=2, learning_rate=0.01, dropout=0.3,
+                         warmup_epochs=5)
+    a = TR.fit(df, df, 10, cfg)
+    b = TR.fit(df, df, 10, TR.with_config(cfg, mode="barrier"))
+    assert np.allclose(a.weights, b.weights, atol=1e-9) and np.allclose(a.bias, b.bias, atol=1e-9)
+    assert abs(a.history[-1]["loss"] - b.history[-1]["loss"]) < 1e-9
+    assert a.history[-1]["val_loss"] == pytest.approx(b.history[-1]["val_loss"], abs=1e-9)
