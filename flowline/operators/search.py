@@ -101,22 +101,24 @@ def tpe_scores(candidates: DataFrame, trials: DataFrame, space: dict, gamma: flo
                bw: float = 0.2, trial: str = "trial_id") -> DataFrame:
     """Adds ``score`` = sum_d log l_d(x) - log g_d(x) to every candidate.
 
-    The good/bad trial values are aggregated into ONE row of arrays (the
-    history is bounded by ``max_evals``) and attached to the candidates by a
-    broadcast equi-join on a constant key; kernels are then per-row array
-    expressions -- no candidate x trial pairs are materialised."""
+    The good/bad trial values are aggregated into ONE row of arrays -- the
+    history is the search state, bounded by ``max_evals`` -- and enter the
+    plan as literal arrays; kernels are per-row array expressions, so no
+    candidate x trial pairs are ever materialised and no join is needed."""
     labelled = split_good_bad(trials, gamma, trial)
     aggs = []
     for name, spec in space.items():
         v = F.col(name) if spec[0] == "choice" else unit_value(name, spec)
         for side, flag in (("l", True), ("g", False)):
             aggs.append(F.collect_list(F.when(F.col("good") == F.lit(flag), v)).alias(f"_h_{side}_{name}"))
-    hist = labelled.agg(*aggs).withColumn("_one", F.lit(1))
-    joined = candidates.withColumn("_one", F.lit(1)).join(F.broadcast(hist), "_one")
+    hist = labelled.agg(*aggs).first()          # one row, bounded by the trial count
     score = F.lit(0.0)
     for name, spec in space.items():
         for side in ("l", "g"):
-            vals = F.col(f"_h_{side}_{name}")
+            vals = F.array(*[F.lit(x) for x in hist[f"_h_{side}_{name}"]])
+            if not hist[f"_h_{side}_{name}"]:
+                vals = vals.cast("array<string>" if spec[0] == "choice" and isinstance(spec[1][0], str)
+                                 else ("array<int>" if spec[0] == "choice" else "array<double>"))
             if spec[0] == "choice":
                 k = len(spec[1])
                 dens = (F.size(F.filter(vals, lambda v: v == F.col(name))) + F.lit(1.0)) / \
@@ -130,7 +132,7 @@ def tpe_scores(candidates: DataFrame, trials: DataFrame, space: dict, gamma: flo
                 dens = (kern * norm + F.lit(1.0)) / (F.size(vals) + F.lit(1.0))
             term = F.log(dens)
             score = score + term if side == "l" else score - term
-    return joined.withColumn("score", score).select(*candidates.columns, "score")
+    return candidates.withColumn("score", score)
 
 
 def tpe_propose(trials: DataFrame, space: dict, n: int, round_id: int, n_candidates: int = 24,

@@ -532,10 +532,11 @@ SELECT CAST(step AS INTEGER) AS step, round(step / {_SPE_EMB}, 6) AS epoch_frac,
                   ELSE 0.002 END, 9) AS lr
 FROM range(0, 6 * {_SPE_EMB}) r(step)""")
 def q_lr_warmup(spark, d):
-    spe = T(spark, d, "embeddings").agg(
-        F.greatest(F.lit(1).cast("bigint"), F.floor(F.count(F.lit(1)) / F.lit(64))).alias("spe"))
-    steps = spe.select("spe", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("spe") * 6 - 1)).alias("step"))
-    ef = F.col("step") / F.col("spe")
+    # the step table grows with the data: generate it with a partitioned
+    # range, not by exploding one row in one task
+    spe = max(1, T(spark, d, "embeddings").count() // 64)
+    steps = spark.range(0, 6 * spe).withColumnRenamed("id", "step")
+    ef = F.col("step") / F.lit(spe)
     return steps.select(F.col("step").cast("int").alias("step"), F.round(ef, 6).alias("epoch_frac"),
                         F.round(C.warmup_lr(C.scaled_lr(F.lit(0.001), F.lit(2)), F.lit(2), ef, 5), 9).alias("lr"))
 
@@ -763,8 +764,8 @@ SELECT b.name, b.version, v.run_id FROM best b JOIN versions v ON v.name = b.nam
 def q_production_model(spark, d):
     from flowline.operators import runs as R
     v, ev = _stage_events(spark, d)
-    best = R.version_in_stage(R.current_stages(ev), "production")
-    out = best.join(v.select("name", "version", "run_id"), ["name", "version"])
+    best = R.version_in_stage(R.current_stages(ev), "production")     # one row per name
+    out = join_small(v.select("name", "version", "run_id"), best, ["name", "version"])
     return out.select("name", F.col("version").cast("bigint").alias("version"), "run_id")
 
 
@@ -905,8 +906,9 @@ def q_binary_file_scan(spark, d):
     from the parent directory."""
     root = scratch_path(spark, "docs_as_files")
     docs = T(spark, d, "documents")
-    # spread every language over several writers: no hot-key task
-    (docs.repartition(8, "lang", C.hash_bucket("doc_id", 4, "file"))
+    # shuffle on (lang, hash bucket): a hot language is spread over up to 64
+    # writers; the writer count follows spark.sql.shuffle.partitions / AQE
+    (docs.repartition("lang", C.hash_bucket("doc_id", 64, "file"))
          .select("lang", "text").write.mode("overwrite").partitionBy("lang").text(root))
     files = FS.binary_files(spark, root, glob="*.txt", recursive=True)
     silver = prepare.with_label_from_path(files.select("path", "length"), "path")
