@@ -44,8 +44,9 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     from flowline.plans.catalog import QUERIES
 
-    # warm-up: JVM, Python workers, Arrow path
-    QUERIES["label_from_path"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # warm-up (not timed): JVM code paths, Python workers with pandas/Arrow
+    for w in ("label_from_path", "label_from_path_pandas"):
+        QUERIES[w](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     times = {}
     for n in names:

@@ -29,12 +29,13 @@ def with_shard(df: DataFrame, key: str, shards: int, salt: str = "shard",
 
 def with_batches(df: DataFrame, key: str, shards: int, batch_size: int,
                  salt: str = "shard", order_salt: str = "order",
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, staged_paths: list | None = None) -> DataFrame:
     """Adds ``shard``, ``pos`` (0-based position in the shard, hash order) and
-    ``batch_id = pos // batch_size``."""
+    ``batch_id = pos // batch_size``.  The folder ``row_index`` writes is
+    appended to ``staged_paths`` (for the caller to delete later)."""
     s = with_shard(df, key, shards, salt).withColumn("_h", hash_u32(key, order_salt))
     idx = row_index(s, ["_h", key], ["shard"], out="pos", partitions=partitions,
-                    groups_bound=shards)
+                    groups_bound=shards, staged_paths=staged_paths)
     return (idx.withColumn("batch_id", F.floor(F.col("pos") / F.lit(batch_size)).cast("bigint"))
                .drop("_h"))
 

@@ -50,7 +50,7 @@ def default_partitions(spark) -> int:
 
 def row_index(df: DataFrame, order_cols, group_cols=(), out: str = "row_idx",
               partitions: int | None = None, path: str | None = None,
-              groups_bound: int | None = None) -> DataFrame:
+              groups_bound: int | None = None, staged_paths: list | None = None) -> DataFrame:
     """0-based position of each row in its group, ordered by ``order_cols``.
 
     ``order_cols`` must give a total order inside each group (end with a
@@ -67,6 +67,8 @@ def row_index(df: DataFrame, order_cols, group_cols=(), out: str = "row_idx",
                 .withColumn("_rid", F.monotonically_increasing_id()))
     path = path or scratch_path(spark, "row_index")
     staged.write.mode("overwrite").parquet(path)
+    if staged_paths is not None:
+        staged_paths.append(path)
     snap = spark.read.parquet(path)
 
     stats = (snap.groupBy(F.shiftright("_rid", 33).alias("_part"), *group_cols)

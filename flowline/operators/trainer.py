@@ -141,8 +141,12 @@ def all_reduce(df: DataFrame, weights: np.ndarray, dropout: np.ndarray, seed: in
     def fn(it):
         return partial_sums(it, w, d, seed, epoch, step, train, feature_col, label_col, key_col)
 
+    # Partials are already one row per cell per partition, so the reduce side
+    # is sized by the model (cells), not by the data.
+    reducers = max(1, (T * D1 * K) // 200_000)
     rows = (df.select(key_col, feature_col, label_col)
               .mapInPandas(fn, PARTIAL_SCHEMA)
+              .repartition(reducers, "t", "k", "pos")
               .groupBy("t", "k", "pos").agg(F.sum("g").alias("g"))
               .collect())
     grad = np.zeros((T, D1, K))
@@ -364,8 +368,10 @@ def feature_snapshot(df: DataFrame, key_col: str, feature_col: str, label_col: s
     # filter prunes row groups and cached batches.  Only cache and count.
     # Many range partitions (not one per worker): a shard holds 1/workers of
     # the data, far too much for one task at scale.
-    b = with_batches(df.select(key_col, feature_col, label_col), key_col, workers, batch_size)
-    return Snapshot(b, written=True)
+    staged: list = []
+    b = with_batches(df.select(key_col, feature_col, label_col), key_col, workers, batch_size,
+                     staged_paths=staged)
+    return Snapshot(b, written=True, owned_paths=staged)
 
 
 class FeedCache:

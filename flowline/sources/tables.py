@@ -77,10 +77,13 @@ class Snapshot:
     block) unpersists and deletes the files."""
 
     def __init__(self, df: DataFrame, path: str | None = None, cache: bool = True,
-                 compression: str | None = None, written: bool = False):
+                 compression: str | None = None, written: bool = False,
+                 owned_paths: list | None = None):
         """``written=True``: ``df`` already reads from files written under the
-        checkpoint folder (lineage already cut); only cache and count."""
+        checkpoint folder (lineage already cut); only cache and count.
+        ``owned_paths`` are deleted on release as well."""
         self.spark = df.sparkSession
+        self.owned = list(owned_paths or [])
         self.path = None if written else (path or scratch_path(self.spark, "snapshot"))
         if written:
             self.df = df
@@ -99,8 +102,8 @@ class Snapshot:
 
     def release(self) -> None:
         self.df.unpersist()
-        if self.path:
-            delete_path(self.spark, self.path)
+        for p in ([self.path] if self.path else []) + self.owned:
+            delete_path(self.spark, p)
 
     def __enter__(self):
         return self
