@@ -98,3 +98,23 @@ def test_ingest_train_score_images(spark, image_dir, tmp_dir):
     bronze = spark.table(f"{db}.bronze")
     assert bronze.count() == 14
     drop_database(spark, db, cascade=True)
+
+
+def test_bronze_is_uncompressed_and_cascade_is_explicit(spark, image_dir, tmp_dir):
+    import glob
+    import pyarrow.parquet as pq
+    from flowline.sources import tables as TB
+    db = "flowline_codec_test"
+    TB.drop_database(spark, db, cascade=True)
+    TB.create_database(spark, db, f"{tmp_dir}/wh2")
+    raw = FS.binary_files(spark, image_dir, glob="*.jpg")
+    TB.save_table(raw, f"{db}.bronze", compression="uncompressed", path=f"{tmp_dir}/bronze")
+    files = glob.glob(f"{tmp_dir}/bronze/*.parquet")
+    assert files
+    md = pq.ParquetFile(files[0]).metadata
+    assert md.row_group(0).column(0).compression == "UNCOMPRESSED"
+    # the session codec was not changed
+    assert spark.conf.get("spark.sql.parquet.compression.codec") != "uncompressed"
+    with pytest.raises(Exception):
+        TB.drop_database(spark, db)                  # not empty, no cascade asked
+    TB.drop_database(spark, db, cascade=True)

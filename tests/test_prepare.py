@@ -57,3 +57,11 @@ def test_seeded_bernoulli_sample_is_stable(spark):
     b = prepare.bernoulli_sample(df, 0.5, seed=3).count()
     assert a == b
     assert abs(prepare.hash_sample(df, "id", 0.5).count() - 500) < 60
+
+
+def test_vocab_independent_of_partitions(spark):
+    rows = [(f"l{i % 13}",) for i in range(500)]
+    base = spark.createDataFrame(rows, "label string")
+    ref = sorted(tuple(r) for r in prepare.build_vocab(base).collect())
+    for n in (1, 2, 7):
+        assert sorted(tuple(r) for r in prepare.build_vocab(base.repartition(n)).collect()) == ref

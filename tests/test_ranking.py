@@ -24,3 +24,15 @@ def test_row_index_global_and_desc(spark):
     expect = {r.id: r.i for r in df.select(
         "id", (F.row_number().over(Window.orderBy(F.col("v").desc(), "id")) - 1).alias("i")).collect()}
     assert {r.id: r.row_idx for r in got.collect()} == expect
+
+
+def test_hot_group_is_spread_over_tasks(spark):
+    # 90% of rows in one group: the staged (range-partitioned) files must
+    # spread that group instead of giving it to one task
+    rows = [(i, "hot" if i % 10 else "cold") for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, g string")
+    staged = []
+    row_index(df, ["id"], ["g"], partitions=8, staged_paths=staged)
+    per_file = (spark.read.parquet(staged[0]).groupBy(F.input_file_name()).count()
+                .select("count").collect())
+    assert max(r[0] for r in per_file) < 0.3 * 4000
