@@ -19,9 +19,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowline.functions import columns as C
+from flowline.operators import features as FE
 from flowline.operators import feed, metrics, prepare
+from flowline.operators import runs as R
+from flowline.operators import search as S
 from flowline.operators import trainer as TR
+from flowline.operators.infer import PackagedModel, score
 from flowline.operators.ranking import join_small
+from flowline.sources import files as FS
 from flowline.sources import tables as TB
 from flowline.session import scratch_path
 
@@ -637,7 +642,6 @@ def _runs_tables(spark, d):
 
 def _wide(spark, d):
     runs, params, mets = _runs_tables(spark, d)
-    from flowline.operators import runs as R
     w = R.wide_runs(runs, params, mets, ["optimizer", "batch_size"], ["val_loss", "val_accuracy"])
     return w.withColumn("val_loss", F.round("val_loss", 6)).withColumn("val_accuracy", F.round("val_accuracy", 6))
 
@@ -665,7 +669,6 @@ SELECT parent_run_id, run_id, val_accuracy,
        row_number() OVER (PARTITION BY parent_run_id ORDER BY val_accuracy DESC NULLS LAST, run_id) AS rank
 FROM wide""")
 def q_search_runs(spark, d):
-    from flowline.operators import runs as R
     ranked = R.rank_runs(_wide(spark, d), "val_accuracy", "parent_run_id")
     return ranked.select("parent_run_id", "run_id", "val_accuracy", F.col("rank").cast("bigint").alias("rank"))
 
@@ -676,7 +679,6 @@ SELECT parent_run_id, run_id, val_accuracy FROM (
   SELECT *, row_number() OVER (PARTITION BY parent_run_id ORDER BY val_accuracy DESC NULLS LAST, run_id) AS rn
   FROM wide) WHERE rn = 1""")
 def q_top_run(spark, d):
-    from flowline.operators import runs as R
     return R.top_runs(_wide(spark, d), "val_accuracy", "parent_run_id")
 
 
@@ -684,7 +686,6 @@ def q_top_run(spark, d):
 SELECT c.o_orderkey AS run_id, c.o_custkey AS parent_run_id, p.o_orderstatus AS parent_status
 FROM orders c JOIN orders p ON c.o_custkey = p.o_orderkey""")
 def q_child_runs(spark, d):
-    from flowline.operators import runs as R
     runs, _, _ = _runs_tables(spark, d)
     return R.child_runs(runs, cols=["status"]).select("run_id", "parent_run_id", "parent_status")
 
@@ -717,13 +718,11 @@ _VERSIONS_SQL = """versions AS (
 
 @register("model_versions", f"WITH {_VERSIONS_SQL} SELECT name, run_id, version FROM versions")
 def q_model_versions(spark, d):
-    from flowline.operators import runs as R
     v = R.model_versions(_registrations(spark, d))
     return v.select("name", "run_id", F.col("version").cast("bigint").alias("version"))
 
 
 def _stage_events(spark, d):
-    from flowline.operators import runs as R
     v = R.model_versions(_registrations(spark, d))
     stage = F.when(F.col("o_orderstatus") == "F", "Production") \
              .when(F.col("o_orderstatus") == "O", "Staging").otherwise("Archived")
@@ -751,7 +750,6 @@ cur AS (SELECT name, version, stage FROM (
 
 @register("current_stage", f"WITH {_STAGES_SQL} SELECT name, version, stage FROM cur")
 def q_current_stage(spark, d):
-    from flowline.operators import runs as R
     _, ev = _stage_events(spark, d)
     cur = R.current_stages(ev)
     return cur.select("name", F.col("version").cast("bigint").alias("version"), "stage")
@@ -762,7 +760,6 @@ WITH {_STAGES_SQL},
 best AS (SELECT name, max(version) AS version FROM cur WHERE lower(stage) = 'production' GROUP BY 1)
 SELECT b.name, b.version, v.run_id FROM best b JOIN versions v ON v.name = b.name AND v.version = b.version""")
 def q_production_model(spark, d):
-    from flowline.operators import runs as R
     v, ev = _stage_events(spark, d)
     best = R.version_in_stage(R.current_stages(ev), "production")     # one row per name
     out = join_small(v.select("name", "version", "run_id"), best, ["name", "version"])
@@ -770,7 +767,6 @@ def q_production_model(spark, d):
 
 
 # =========================================================== hyper-parameter search
-from flowline.operators import search as S  # noqa: E402
 
 SPACE = {"optimizer": S.choice("Adadelta", "Adam"), "learning_rate": S.loguniform(-5, 0),
          "dropout": S.uniform(0.1, 0.9), "batch_size": S.choice(32, 64, 128)}
@@ -894,12 +890,10 @@ def q_tpe_density_ratio(spark, d):
 
 
 # =========================================================== files and images
-from flowline.operators import features as FE  # noqa: E402
-from flowline.sources import files as FS  # noqa: E402
 
 
 @register("binary_file_scan", """
-SELECT 'lang=' || lang AS label, sum(octet_length(encode(text)) + 1) AS n_bytes FROM documents GROUP BY 1""")
+SELECT 'lang=' || lang AS label, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes FROM documents GROUP BY 1""")
 def q_binary_file_scan(spark, d):
     """Documents written as text files in one directory per language (by
     Spark), then scanned back as binary rows: glob, recursive lookup, label
@@ -1039,13 +1033,11 @@ def q_sequential_trials(spark, d):
 def q_packaged_model_scores(spark, d):
     """Fit, package (head + vocabulary + preprocessing config), save, load,
     and score the whole table with the batch UDF (sub-batches of 128)."""
-    from flowline.operators.infer import score
     from flowline.plans.pipelines import embeddings_silver, model_from_fit
     t = _split_indexed(spark, d)
     fit = TR.fit_full_batch(t.train, t.num_classes, max_iter=30, reg=1e-3)
     path = scratch_path(spark, "models")
     model_from_fit(fit, t.vocab, {"img_height": 224, "img_width": 224}).save(spark, path)
-    from flowline.operators.infer import PackagedModel
     loaded = PackagedModel.load(spark, path)
     scored = score(embeddings_silver(spark, d), loaded, "features", "prediction", batch_size=128)
     return scored.select("row_id", "label", "prediction")
@@ -1146,7 +1138,6 @@ FROM logits GROUP BY vec_id""")
 def q_score_table(spark, d):
     """Batch scoring of the whole table with a packaged head (fixed sine
     weights) through predict_batch_udf; class names from the vocabulary."""
-    from flowline.operators.infer import PackagedModel, score
     from flowline.plans.pipelines import embeddings_silver
     silver = embeddings_silver(spark, d)
     vocab = prepare.build_vocab(silver)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import struct
+import uuid
 import zlib
 
 import numpy as np
@@ -17,8 +18,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowline.operators.ranking import join_small
-
 
 def binary_files(spark: SparkSession, path: str, glob: str | None = "*.jpg",
                  recursive: bool = True) -> DataFrame:
@@ -85,7 +84,9 @@ def write_png_files(df: DataFrame, root: str, path_col: str, pixels_col: str,
                     height: int, width: int) -> DataFrame:
     """Each task writes the PNGs of its own rows under ``root`` (a shared
     folder); file names come from the data, so a retried task rewrites the
-    same files.  Returns (path, n_bytes) per file (lazy)."""
+    same files; each file appears atomically (written aside, then renamed),
+    so a speculative duplicate task cannot leave a torn file.  Returns
+    (path, n_bytes) per file (lazy)."""
     if root.startswith("file:"):
         root = root[5:]
 
@@ -97,8 +98,10 @@ def write_png_files(df: DataFrame, root: str, path_col: str, pixels_col: str,
                 full = os.path.join(root, rel)
                 os.makedirs(os.path.dirname(full), exist_ok=True)
                 data = png_bytes(img)
-                with open(full, "wb") as fh:
+                tmp = f"{full}.{uuid.uuid4().hex}.part"
+                with open(tmp, "wb") as fh:
                     fh.write(data)
+                os.replace(tmp, full)
                 out_p.append(full)
                 out_n.append(len(data))
             yield pd.DataFrame({"path": out_p, "n_bytes": np.asarray(out_n, dtype=np.int64)})
