@@ -171,6 +171,24 @@ class RunStore:
         require_metric(wide, metric)
         return wide.orderBy(F.col(metric).desc_nulls_last(), F.col("run_id"))
 
+    # ------------------------------------------------------------ artifacts
+    def log_model(self, run_id: str, model) -> str:
+        """Store a ``PackagedModel`` (head, vocabulary, preprocessing config)
+        under the run."""
+        path = f"{self.root}/models/{run_id}"
+        model.save(self.spark, path, run_id)
+        return path
+
+    def load_model(self, run_id: str):
+        from flowline.operators.infer import PackagedModel
+        return PackagedModel.load(self.spark, f"{self.root}/models/{run_id}", run_id)
+
+    def load_by_stage(self, name: str, stage: str = "production"):
+        rid = self.run_for_stage(name, stage)
+        if rid is None:
+            raise KeyError(f"no version of {name!r} in stage {stage!r}")
+        return self.load_model(rid)
+
     # ------------------------------------------------------------ registry
     def register_model(self, name: str, run_id: str) -> int:
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)

@@ -186,6 +186,17 @@ def run_search(spark: SparkSession, objective, space: dict, max_evals: int = 20,
     return SearchResult(trials, best.asDict() if best and best["trial_id"] is not None else {})
 
 
+def trial_config(base, point: dict):
+    """A training config with a point's hyper-parameters applied."""
+    from flowline.operators import trainer as TR
+    kw = {k: v for k, v in point.items() if k in ("learning_rate", "dropout", "optimizer", "batch_size")}
+    if "optimizer" in kw:
+        kw["optimizer"] = str(kw["optimizer"]).lower()
+    if "batch_size" in kw:
+        kw["batch_size"] = int(kw["batch_size"])
+    return TR.with_config(base, **kw)
+
+
 def fused_fit_objective(train: DataFrame, val: DataFrame, num_classes: int, base,
                         metric: str = "val_loss", store=None, parent_run_id: str | None = None):
     """Objective for ``run_search``: fits every point of a round with the
@@ -197,14 +208,7 @@ def fused_fit_objective(train: DataFrame, val: DataFrame, num_classes: int, base
     cache = TR.FeedCache(train, val)
 
     def objective(points):
-        cfgs = []
-        for p in points:
-            kw = {k: v for k, v in p.items() if k in ("learning_rate", "dropout", "optimizer", "batch_size")}
-            if "optimizer" in kw:
-                kw["optimizer"] = str(kw["optimizer"]).lower()
-            if "batch_size" in kw:
-                kw["batch_size"] = int(kw["batch_size"])
-            cfgs.append(TR.with_config(base, **kw))
+        cfgs = [trial_config(base, p) for p in points]
         out = [None] * len(points)
         groups: dict = {}
         for i, c in enumerate(cfgs):

@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,3 +119,86 @@ def train_on_images(spark: SparkSession, image_dir: str, database: str,
     silver = spark.table(f"{database}.silver").select("path", "label")
     scored = score(image_features(spark, image_dir, silver, glob, height, width, grid), model)
     return fit, model, scored.select("path", "label", "prediction")
+
+
+# ---------------------------------------------------------------- Entry B with tracking, Entry D
+@dataclass
+class DataConfig:
+    """Where the training inputs live."""
+    train_table: str
+    validation_table: str
+    key_col: str = "row_id"
+    feature_col: str = "features"
+    label_col: str = "label_idx"
+
+
+def train_from_tables(spark: SparkSession, data: DataConfig, config: TR.TrainConfig, store,
+                      vocab: DataFrame, preprocess: dict | None = None, run_name: str = "fit",
+                      parent_run_id: str | None = None):
+    """Read train/validation tables, fit, evaluate on the whole validation
+    table, and record everything in the run store: parameters, the
+    preprocessing config, per-epoch metrics, ``val_``-prefixed final
+    metrics and the packaged model.  Returns (run_id, model, fit)."""
+    cols = [data.key_col, data.feature_col, data.label_col]
+    train = spark.table(data.train_table).select(*cols)
+    val = spark.table(data.validation_table).select(*cols)
+    k = vocab.count()
+    run_id = store.start_run(run_name, parent_run_id)
+    store.log_params(run_id, {**config.params(), "preprocess": json.dumps(preprocess or {}, sort_keys=True)})
+    fit = TR.fit(train, val, k, config, key_col=data.key_col, feature_col=data.feature_col,
+                 label_col=data.label_col)
+    store.log_history(run_id, fit.history)
+    final = TR.evaluate(val, fit.weights, fit.bias, data.feature_col, data.label_col, data.key_col)
+    store.log_metrics(run_id, {f"val_{m}": final[m] for m in ("loss", "accuracy")}, step=len(fit.history))
+    model = model_from_fit(fit, vocab, preprocess)
+    store.log_model(run_id, model)
+    store.end_run(run_id)
+    return run_id, model, fit
+
+
+def tune_register_promote(spark: SparkSession, train: DataFrame, val: DataFrame, vocab: DataFrame,
+                          store, model_name: str, space: dict, base: TR.TrainConfig,
+                          max_evals: int = 8, parallelism: int = 4, metric: str = "val_accuracy"):
+    """Search (trials fused per round, each trial a child run), log the best
+    parameters on the parent run, rank the children by ``metric``, register
+    the top run's model and move it to Production.  Returns
+    (best_run_id, version, model loaded back by stage)."""
+    from flowline.operators import search as S
+
+    k = vocab.count()
+    parent = store.start_run("search")
+    cache = TR.FeedCache(train, val)
+    names = list(space)
+    children: list = []
+
+    def objective(points):
+        cfgs = [S.trial_config(base, p) for p in points]
+        out = [None] * len(points)
+        groups: dict = {}
+        for i, c in enumerate(cfgs):
+            groups.setdefault((c.batch_size, c.workers), []).append(i)
+        for idx in groups.values():
+            fits = TR.fit_many(train, val, k, [cfgs[i] for i in idx], feed=cache)
+            for i, f in zip(idx, fits):
+                rid = store.start_run(f"trial_{len(children)}", parent)
+                children.append(rid)
+                store.log_params(rid, points[i])
+                store.log_history(rid, f.history)
+                store.log_model(rid, model_from_fit(f, vocab))
+                store.end_run(rid)
+                v = f.final.get(metric)
+                out[i] = ((-v if "accuracy" in metric else v), "ok") if v is not None else (None, "fail")
+        return out
+
+    try:
+        res = S.run_search(spark, objective, space, max_evals=max_evals, parallelism=parallelism)
+    finally:
+        cache.release()
+    store.log_params(parent, {n: res.best[n] for n in names})          # values, not indexes
+    store.end_run(parent)
+    ranked = store.search_runs(parent, metric, param_keys=names, metric_keys=[metric])
+    best_run = ranked.select("run_id").first().run_id                  # top-1 after ordering
+    version = store.register_model(model_name, best_run)
+    store.transition_stage(model_name, version, "Production")
+    return best_run, version, store.load_by_stage(model_name, "production")
+
