@@ -11,8 +11,9 @@ SF = "/root/testdata/sf0.001"
 
 def test_train_from_tables_logs_run_and_model(spark, tmp_dir):
     t = P.prepare_tables(P.embeddings_silver(spark, SF), "row_id")
-    t.train.write.mode("overwrite").saveAsTable("flowline_t_train")
-    t.val.write.mode("overwrite").saveAsTable("flowline_t_val")
+    from flowline.sources.tables import save_table
+    save_table(t.train, "flowline_t_train", path=f"{tmp_dir}/t_train")
+    save_table(t.val, "flowline_t_val", path=f"{tmp_dir}/t_val")
     store = R.RunStore(spark, f"{tmp_dir}/runs")
     cfg = TR.TrainConfig(epochs=2, batch_size=32, workers=2, learning_rate=1e-2)
     rid, model, fit = P.train_from_tables(spark, P.DataConfig("flowline_t_train", "flowline_t_val"),
