@@ -61,25 +61,31 @@ def block_mean(x: np.ndarray, grid: int) -> np.ndarray:
 
 
 def featurise(images: DataFrame, height: int = 224, width: int = 224, grid: int = 4,
-              scale: bool = True, keep=("path",), extractor=None) -> DataFrame:
+              scale: bool = True, keep=("path",), extractor=None, sub_batch: int = 64) -> DataFrame:
     """Decoded images -> (keep..., features array<float>).  ``extractor``
-    (optional) maps an (n, H, W, 3) batch to (n, D)."""
+    (optional) maps an (n, H, W, 3) batch to (n, D) and is fed ``sub_batch``
+    images at a time; the default pools each image as soon as it is resized,
+    so memory stays at one image (a 224x224x3 float image is ~1.2 MB)."""
     keep = list(keep)
 
+    def prep(data, h, w, c):
+        x = resize_bilinear(to_rgb(bytes(data), int(h), int(w), int(c)), height, width)
+        return scale_pixels(x) if scale else x
+
     def run(batches):
         for pdf in batches:
-            imgs = []
-            for data, h, w, c in zip(pdf["data"], pdf["height"], pdf["width"], pdf["nChannels"]):
-                x = resize_bilinear(to_rgb(bytes(data), int(h), int(w), int(c)), height, width)
-                imgs.append(scale_pixels(x) if scale else x)
-            if not imgs:
+            if len(pdf) == 0:
                 continue
-            if extractor is not None:
-                feats = np.asarray(extractor(np.stack(imgs)), dtype=np.float32)
+            rows = list(zip(pdf["data"], pdf["height"], pdf["width"], pdf["nChannels"]))
+            if extractor is None:
+                feats = [block_mean(prep(*r), grid).astype(np.float32) for r in rows]
             else:
-                feats = np.stack([block_mean(x, grid) for x in imgs]).astype(np.float32)
+                feats = []
+                for i in range(0, len(rows), sub_batch):
+                    chunk = np.stack([prep(*r) for r in rows[i:i + sub_batch]])
+                    feats += list(np.asarray(extractor(chunk), dtype=np.float32))
             out = pdf[keep].copy()
-            out["features"] = list(feats)
+            out["features"] = feats
             yield out
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in images.schema if f.name in keep)

@@ -21,8 +21,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Image / feature rows are wide: keep Arrow batches small.
+    # Arrow batches to Python workers: capped by rows AND bytes, so decoded
+    # image rows (~150 KB each) stay near 32 MB per batch while narrow
+    # feature rows still travel 1024 at a time.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
     "spark.ui.enabled": "false",
 }
 

@@ -118,3 +118,18 @@ def test_bronze_is_uncompressed_and_cascade_is_explicit(spark, image_dir, tmp_di
     with pytest.raises(Exception):
         TB.drop_database(spark, db)                  # not empty, no cascade asked
     TB.drop_database(spark, db, cascade=True)
+
+
+def test_pluggable_extractor_in_sub_batches(spark, image_dir):
+    seen = []
+
+    def extractor(batch):
+        seen.append(len(batch))
+        return batch.reshape(len(batch), -1).mean(axis=1, keepdims=True)   # one feature per image
+
+    imgs = FS.image_files(spark, image_dir, glob="*.jpg").coalesce(1)
+    f = FE.featurise(imgs, height=6, width=6, extractor=extractor, sub_batch=4).collect()
+    assert len(f) == 13 and all(len(r.features) == 1 for r in f)
+    default = {r.path: r.features for r in FE.featurise(imgs, height=6, width=6, grid=1).collect()}
+    for r in f:
+        assert abs(r.features[0] - sum(default[r.path]) / 3) < 1e-5
