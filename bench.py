@@ -15,28 +15,29 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-HEADLINE = [
-    "label_from_path",          # pages: label extraction
-    "bronze_binary_rows",       # documents: bronze/silver rows
-    "label_index_join",         # events: vocabulary + index join
-    "hash_split_rows",          # embeddings: reproducible split
-    "minibatches",              # orders: shard + mini-batch numbering
-    "gradient_step0",           # embeddings: one all-reduce
-    "distributed_fit",          # embeddings: synchronous data-parallel fit
-    "parallel_trials",          # embeddings: fused trials
-    "score_table",              # embeddings: batch scoring
-    "image_decode",             # embeddings -> PNG files -> decode -> pool
-    "runs_wide",                # orders + lineitem: run table pivot
-    "search_runs",              # orders + lineitem: rank runs per parent
-    "current_stage",            # orders + lineitem: registry stages
-    "tpe_density_ratio",        # part: TPE proposal scores
-]
+# query -> main input table (for rows/s)
+HEADLINE = {
+    "label_from_path": "pages",            # label extraction
+    "bronze_binary_rows": "documents",     # bronze/silver rows
+    "label_index_join": "events",          # vocabulary + index join
+    "hash_split_rows": "embeddings",       # reproducible split
+    "minibatches": "orders",               # shard + mini-batch numbering
+    "gradient_step0": "embeddings",        # one all-reduce
+    "distributed_fit": "embeddings",       # synchronous data-parallel fit
+    "parallel_trials": "embeddings",       # fused trials
+    "score_table": "embeddings",           # batch scoring
+    "image_decode": "embeddings",          # rows -> PNG files -> decode -> pool
+    "runs_wide": "lineitem",               # run table pivot (orders + lineitem)
+    "search_runs": "lineitem",             # rank runs per parent
+    "current_stage": "lineitem",           # registry stages (orders + lineitem)
+    "tpe_density_ratio": "part",           # TPE proposal scores
+}
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "4"))
-    names = sys.argv[1:] or HEADLINE
+    names = sys.argv[1:] or list(HEADLINE)
 
     from flowline.session import get_spark
     spark = get_spark(f"local[{cpus}]", app="flowline-bench", shuffle_partitions=2 * cpus,
@@ -56,8 +57,11 @@ def main() -> None:
         print(f"# {n}: {times[n]} s", file=sys.stderr, flush=True)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sizes = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count()
+             for t in {HEADLINE.get(n) for n in names} if t}
+    rps = {n: round(sizes[HEADLINE[n]] / times[n]) for n in names if HEADLINE.get(n) and times[n] > 0}
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus}))
+                      "queries": times, "sf": sf, "cpus": cpus, "rows_per_sec": rps}))
     spark.stop()
 
 

@@ -90,7 +90,11 @@ def build_vocab(df: DataFrame, label_col: str = "label", idx_col: str = "label_i
     Small vocabularies (the usual case: a few classes) are numbered by one
     window over the distinct labels.  Past ``max_window_rows`` the labels are
     numbered by the distributed ``row_index`` instead."""
-    labels = distinct_labels(df, label_col)
+    # One scan of the input: the distinct labels are checkpointed (reliable,
+    # under spark.checkpoint.dir), so the count here and every later count,
+    # join or window reads the small stored set instead of re-running the
+    # distinct over the whole table.
+    labels = distinct_labels(df, label_col).checkpoint(eager=True)
     k = labels.count()
     if k <= max_window_rows:
         out = labels.withColumn(idx_col, (F.row_number().over(Window.orderBy(label_col)) - 1).cast("int"))
