@@ -287,15 +287,21 @@ class Plateau:
     wait: int = 0
     scale: float = 1.0
 
-    def observe(self, value: float, lr: float) -> None:
+    def observe(self, value: float, lr: float | None = None) -> None:
+        """One epoch's monitored value; after ``patience`` epochs without an
+        improvement larger than ``min_delta`` the rate is multiplied by
+        ``factor`` (``apply`` enforces ``min_lr``)."""
         if value < self.best - self.min_delta:
             self.best, self.wait = value, 0
             return
         self.wait += 1
         if self.wait >= self.patience:
-            self.scale = max(lr * self.scale * self.factor, self.min_lr) / lr if lr else self.scale
+            self.scale *= self.factor
             self.wait = 0
 
+    def apply(self, lr: float) -> float:
+        return max(lr * self.scale, self.min_lr)
+
 
 def early_stop_epoch(values: list[float], patience: int, min_delta: float = 0.0) -> int | None:
     """Epoch index (0-based) after which training stops, or None.
@@ -479,7 +485,7 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
                     target = c.learning_rate * (c.workers if c.scale_lr else 1)
                     lr = warmup_lr(target, c.workers, epoch + s / steps, c.warmup_epochs)
                     if plateaus[t]:
-                        lr *= plateaus[t].scale
+                        lr = plateaus[t].apply(lr)
                     lrs[t] = lr
                     W[t] = opts[t].update(W[t], grad[t] / nb, lr)
             vl = va = None
@@ -500,7 +506,7 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
                 histories[t].append(h)
                 monitor = h.get("val_loss", h["loss"])
                 if plateaus[t]:
-                    plateaus[t].observe(monitor, lrs[t] or c.learning_rate)
+                    plateaus[t].observe(monitor)
                 if c.early_stop_patience:
                     stop = early_stop_epoch([x.get("val_loss", x["loss"]) for x in histories[t]],
                                             c.early_stop_patience, c.early_stop_min_delta)

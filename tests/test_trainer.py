@@ -92,9 +92,19 @@ def test_early_stop_rule():
 
 def test_plateau_reduces_lr():
     p = TR.Plateau(patience=2, factor=0.5)
-    for v in (1.0, 1.0, 1.0):
-        p.observe(v, 0.1)
-    assert abs(p.scale - 0.5) < 1e-12
+    for v in (1.0, 1.0, 1.0):              # best 1.0, then two epochs without gain
+        p.observe(v)
+    assert p.scale == 0.5 and p.apply(0.1) == 0.05
+    for v in (1.0, 1.0):                   # two more: reduced again, not compounded twice
+        p.observe(v)
+    assert p.scale == 0.25
+    p.observe(0.5)                         # an improvement resets the counter
+    p.observe(0.5)
+    assert p.scale == 0.25
+    q = TR.Plateau(patience=1, factor=0.1, min_lr=1e-3)
+    for _ in range(4):                     # best, then three reductions: 0.1 * 1e-3 < floor
+        q.observe(1.0)
+    assert q.apply(0.1) == 1e-3            # floor
 
 
 def test_full_batch_fit_approaches_convex_optimum(spark):
