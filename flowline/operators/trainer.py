@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from flowline.operators.feed import steps_per_epoch, with_batches
 from flowline.operators.ranking import default_partitions
+from flowline.session import scratch_path
 from flowline.sources.tables import Snapshot
 
 PARTIAL_SCHEMA = "t int, k int, pos int, g double"
@@ -367,17 +368,22 @@ def glorot(num_features: int, num_classes: int, seed: int) -> np.ndarray:
 
 def feature_snapshot(df: DataFrame, key_col: str, feature_col: str, label_col: str,
                      workers: int, batch_size: int) -> Snapshot:
-    """Features + shard + batch number, written once and cached; sorted by
-    batch so each step's filter prunes files and cached batches."""
-    # ``row_index`` (inside with_batches) already wrote the rows, clustered by
-    # (shard, position): batch ids are sorted inside every file, so a step's
-    # filter prunes row groups and cached batches.  Only cache and count.
-    # Many range partitions (not one per worker): a shard holds 1/workers of
-    # the data, far too much for one task at scale.
+    """Features + shard + batch number, written once, one directory per
+    mini-batch (``batch_id=<s>/``).  A step's ``batch_id = s`` filter is then
+    partition pruning at planning time: the step reads only its batch's
+    files (about one per shard), never the whole snapshot, and launches
+    about ``workers`` tasks however large the table is."""
+    spark = df.sparkSession
     staged: list = []
+    # many range partitions (not one per worker: a shard is 1/workers of the
+    # data); each holds contiguous positions of one shard, so every writer
+    # task emits one file per batch in its range -- no extra shuffle
     b = with_batches(df.select(key_col, feature_col, label_col), key_col, workers, batch_size,
                      staged_paths=staged)
-    return Snapshot(b, written=True, owned_paths=staged)
+    path = scratch_path(spark, "feed")
+    b.write.mode("overwrite").partitionBy("batch_id").parquet(path)
+    return Snapshot(spark.read.parquet(path), written=True, cache=False,
+                    owned_paths=staged + [path])
 
 
 class FeedCache:
