@@ -71,25 +71,60 @@ def flagship(spark: SparkSession, sf_dir: str, config: TR.TrainConfig | None = N
 # ---------------------------------------------------------------- Entry A / C on image files
 def ingest_images(spark: SparkSession, image_dir: str, database: str, glob: str = "*.jpg",
                   fmt: str = "parquet", sample_fraction: float | None = None,
-                  location: str | None = None, weights=(0.9, 0.1)) -> PreparedTables:
-    """Files -> bronze (bytes, uncompressed) -> silver (+label) -> train/val
-    (+label_idx) and the vocabulary, all saved as tables of ``database``."""
+                  location: str | None = None, weights=(0.9, 0.1), handle_unseen: str = "error",
+                  materialize: bool = False) -> PreparedTables:
+    """Files -> bronze -> silver -> train/val (+label_idx) and the vocabulary,
+    as tables/views of ``database``.
+
+    The image bytes are written ONCE: bronze carries the path-derived
+    ``label`` and the hash ``split`` and is partitioned by split; ``silver``,
+    ``silver_train`` and ``silver_val`` are views over it (the latter two
+    joined to the stored vocabulary), so reading the validation rows prunes
+    to their partition.  ``materialize=True`` writes the three as tables
+    instead (four copies of the bytes, as the original workflow does)."""
+    from flowline.operators.ranking import MAX_BROADCAST_ROWS
     from flowline.sources import files as FS
     from flowline.sources import tables as TB
 
-    bronze = FS.binary_files(spark, image_dir, glob=glob, recursive=True)
+    raw = FS.binary_files(spark, image_dir, glob=glob, recursive=True)
     if sample_fraction is not None:
-        bronze = prepare.hash_sample(bronze, "path", sample_fraction)
+        raw = prepare.hash_sample(raw, "path", sample_fraction)
     TB.create_database(spark, database, location)
-    TB.save_table(bronze, f"{database}.bronze", fmt, compression="uncompressed")
-    silver = prepare.with_label_from_path(spark.table(f"{database}.bronze"), "path")
-    TB.save_table(silver, f"{database}.silver", fmt, compression="uncompressed")
-    t = prepare_tables(spark.table(f"{database}.silver"), "path", weights=weights)
-    TB.save_table(t.train, f"{database}.silver_train", fmt, compression="uncompressed")
-    TB.save_table(t.val, f"{database}.silver_val", fmt, compression="uncompressed")
-    TB.save_table(t.vocab, f"{database}.vocab", fmt)
+    if materialize:
+        TB.save_table(raw, f"{database}.bronze", fmt, compression="uncompressed")
+        silver = prepare.with_label_from_path(spark.table(f"{database}.bronze"), "path")
+        TB.save_table(silver, f"{database}.silver", fmt, compression="uncompressed")
+        t = prepare_tables(spark.table(f"{database}.silver"), "path", weights=weights,
+                           handle_unseen=handle_unseen)
+        TB.save_table(t.train, f"{database}.silver_train", fmt, compression="uncompressed")
+        TB.save_table(t.val, f"{database}.silver_val", fmt, compression="uncompressed")
+        TB.save_table(t.vocab, f"{database}.vocab", fmt)
+    else:
+        bronze = (prepare.with_label_from_path(raw, "path")
+                  .withColumn("split", prepare.split_column("path", weights, ("train", "val"))))
+        TB.save_table(bronze, f"{database}.bronze", fmt, compression="uncompressed",
+                      partition_by=["split"])
+        b = spark.table(f"{database}.bronze")
+        vocab = prepare.build_vocab(b.where(F.col("split") == "train").select("label"))
+        TB.save_table(vocab, f"{database}.vocab", fmt)
+        k = spark.table(f"{database}.vocab").count()
+        hint = "/*+ BROADCAST(v) */ " if k <= MAX_BROADCAST_ROWS else ""
+        cols = "b.path, b.modificationTime, b.length, b.content, b.label"
+        unseen = {"error": "CASE WHEN v.label_idx IS NULL THEN raise_error(concat('label not in vocabulary: ', "
+                           "coalesce(b.label, 'NULL'))) ELSE v.label_idx END",
+                  "keep": f"CAST(coalesce(v.label_idx, {k}) AS INT)",
+                  "skip": "v.label_idx"}[handle_unseen]
+        val_join = "JOIN" if handle_unseen == "skip" else "LEFT JOIN"
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.silver AS "
+                  f"SELECT {cols} FROM {database}.bronze b")
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.silver_train AS "
+                  f"SELECT {hint}{cols}, v.label_idx FROM {database}.bronze b "
+                  f"JOIN {database}.vocab v ON b.label = v.label WHERE b.split = 'train'")
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.silver_val AS "
+                  f"SELECT {hint}{cols}, CAST({unseen} AS INT) AS label_idx FROM {database}.bronze b "
+                  f"{val_join} {database}.vocab v ON b.label = v.label WHERE b.split = 'val'")
     return PreparedTables(spark.table(f"{database}.silver_train"), spark.table(f"{database}.silver_val"),
-                          spark.table(f"{database}.vocab"), t.num_classes)
+                          spark.table(f"{database}.vocab"), spark.table(f"{database}.vocab").count())
 
 
 def image_features(spark: SparkSession, image_dir: str, labelled: DataFrame, glob: str = "*.jpg",

@@ -133,3 +133,20 @@ def test_pluggable_extractor_in_sub_batches(spark, image_dir):
     default = {r.path: r.features for r in FE.featurise(imgs, height=6, width=6, grid=1).collect()}
     for r in f:
         assert abs(r.features[0] - sum(default[r.path]) / 3) < 1e-5
+
+
+def test_ingest_writes_bytes_once_and_matches_materialized(spark, image_dir, tmp_dir):
+    from flowline.plans.pipelines import ingest_images
+    from flowline.sources.tables import drop_database
+    for db in ("flowline_views", "flowline_copies"):
+        drop_database(spark, db, cascade=True)
+    a = ingest_images(spark, image_dir, "flowline_views", location=f"{tmp_dir}/a")
+    b = ingest_images(spark, image_dir, "flowline_copies", location=f"{tmp_dir}/b", materialize=True)
+    key = lambda df: sorted((r.path, r.label, r.label_idx) for r in df.select("path", "label", "label_idx").collect())
+    assert key(a.train) == key(b.train) and key(a.val) == key(b.val)
+    assert a.num_classes == b.num_classes == 3
+    assert spark.catalog.getTable("flowline_views.silver_val").tableType == "VIEW"
+    plan = spark.table("flowline_views.silver_val")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan                       # reads only split=val
+    for db in ("flowline_views", "flowline_copies"):
+        drop_database(spark, db, cascade=True)
