@@ -142,17 +142,26 @@ def image_features(spark: SparkSession, image_dir: str, labelled: DataFrame, glo
 def train_on_images(spark: SparkSession, image_dir: str, database: str,
                     config: TR.TrainConfig | None = None, glob: str = "*.jpg",
                     height: int = 224, width: int = 224, grid: int = 4):
-    """Entry A + B + C on image files; returns (fit, model, scored silver)."""
+    """Entry A + B + C on image files; returns (fit, model, scored silver).
+
+    The base is frozen, so every image is decoded and featurised ONCE into
+    ``<database>.features``; training, validation and scoring rows join it
+    by normalised path."""
+    from flowline.operators import features as FE
+    from flowline.sources import files as FS
+    from flowline.sources import tables as TB
+
     t = ingest_images(spark, image_dir, database, glob=glob)
-    feats_tr = image_features(spark, image_dir, t.train.select("path", "label_idx"), glob, height, width, grid)
-    feats_va = image_features(spark, image_dir, t.val.select("path", "label_idx"), glob, height, width, grid)
+    imgs = FS.image_files(spark, image_dir, glob=glob, recursive=True)
+    TB.save_table(FE.featurise(imgs, height, width, grid, keep=("path",)), f"{database}.features")
+    feats = spark.table(f"{database}.features")
     key = F.xxhash64("path").alias("row_id")
-    tr = feats_tr.select(key, "features", "label_idx")
-    va = feats_va.select(key, "features", "label_idx")
+    tr = FS.with_decoded(t.train.select("path", "label_idx"), feats).select(key, "features", "label_idx")
+    va = FS.with_decoded(t.val.select("path", "label_idx"), feats).select(key, "features", "label_idx")
     fit = TR.fit(tr, va, t.num_classes, config or TR.TrainConfig(epochs=3, batch_size=8, workers=2))
     model = model_from_fit(fit, t.vocab, {"img_height": height, "img_width": width, "grid": grid})
     silver = spark.table(f"{database}.silver").select("path", "label")
-    scored = score(image_features(spark, image_dir, silver, glob, height, width, grid), model)
+    scored = score(FS.with_decoded(silver, feats), model)
     return fit, model, scored.select("path", "label", "prediction")
 
 
