@@ -48,6 +48,24 @@ def default_partitions(spark) -> int:
     return max(sp, spark.sparkContext.defaultParallelism)
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_PARTITIONS = 200_000
+
+
+def partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Partition count for an explicit (fixed-count) shuffle such as
+    ``repartitionByRange(n)``, which AQE will not split: about
+    ``target_bytes`` per partition by the optimizer's size estimate, never
+    fewer than the session default."""
+    base = default_partitions(df.sparkSession)
+    try:
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = v if isinstance(v, int) else int(v.toString())
+    except Exception:   # no estimate available
+        return base
+    return int(min(MAX_PARTITIONS, max(base, -(-size // target_bytes))))
+
+
 def row_index(df: DataFrame, order_cols, group_cols=(), out: str = "row_idx",
               partitions: int | None = None, path: str | None = None,
               groups_bound: int | None = None, staged_paths: list | None = None) -> DataFrame:
@@ -60,7 +78,7 @@ def row_index(df: DataFrame, order_cols, group_cols=(), out: str = "row_idx",
     spark = df.sparkSession
     order_cols = list(order_cols)
     group_cols = list(group_cols)
-    p = partitions or default_partitions(spark)
+    p = partitions or partitions_for(df)
     keys = group_cols + order_cols
     staged = (df.repartitionByRange(p, *keys)
                 .sortWithinPartitions(*keys)
