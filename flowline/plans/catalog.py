@@ -85,16 +85,17 @@ def q_bronze_binary_rows(spark, d):
     return silver.select("doc_id", "path", "length", F.md5("content").alias("content_md5"), "label")
 
 
-@register("sql_select_all", "SELECT * FROM nation")
+@register("sql_select_all", "SELECT * FROM customer")
 def q_sql_select_all(spark, d):
-    T(spark, d, "nation").createOrReplaceTempView("nation")
-    return TB.sql_scan(spark, "nation")
+    # a namespaced view name: never replaces a view the caller registered
+    T(spark, d, "customer").createOrReplaceTempView("flowline_customer")
+    return TB.sql_scan(spark, "flowline_customer")
 
 
-@register("table_round_trip", "SELECT * FROM nation")
+@register("table_round_trip", "SELECT * FROM customer")
 def q_table_round_trip(spark, d):
-    name = "flowline_nation_round_trip"
-    TB.save_table(T(spark, d, "nation"), name, compression="uncompressed",
+    name = "flowline_customer_round_trip"
+    TB.save_table(T(spark, d, "customer"), name, compression="uncompressed",
                   path=scratch_path(spark, "tables", name))
     return TB.read_table(spark, name)
 
@@ -547,11 +548,16 @@ def q_lr_warmup(spark, d):
 
 
 @register("lr_scaled", """
-SELECT r_regionkey + 1 AS workers, round(CAST(0.001 AS DOUBLE) * (r_regionkey + 1), 9) AS lr FROM region""")
+SELECT o_orderkey AS run_id, CAST(o_orderkey % 8 + 1 AS INTEGER) AS workers,
+       round(CAST(0.001 AS DOUBLE) * CAST(o_orderkey % 8 + 1 AS INTEGER), 9) AS lr
+FROM orders""")
 def q_lr_scaled(spark, d):
-    r = T(spark, d, "region")
-    w = (F.col("r_regionkey") + 1)
-    return r.select(w.alias("workers"), F.round(C.scaled_lr(F.lit(0.001), w), 9).alias("lr"))
+    """Linear scaling rule per run: each run (order) trains on 1..8 workers;
+    its learning rate is the base rate times its worker count."""
+    o = T(spark, d, "orders")
+    w = (F.col("o_orderkey") % 8 + 1).cast("int")
+    return o.select(F.col("o_orderkey").alias("run_id"), w.alias("workers"),
+                    F.round(C.scaled_lr(F.lit(0.001), w), 9).alias("lr"))
 
 
 _ACCOUNT_SQL = "lower(replace(c_name, '#', '.')) || '@example.com'"
