@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowline.operators.feed import steps_per_epoch, with_batches
-from flowline.operators.ranking import default_partitions
 from flowline.session import scratch_path
 from flowline.sources.tables import Snapshot
 

@@ -1,6 +1,4 @@
 """Property-based checks (hypothesis) of the invariants the operators rely on."""
-import math
-
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st

@@ -1,6 +1,5 @@
 import math
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from flowline.operators import search as S
