@@ -963,6 +963,31 @@ def q_featurise_images(spark, d):
                     F.round(C.array_sum("features"), 6).alias("feature_sum"))
 
 
+@register("block_features", f"""
+WITH px AS (
+  SELECT vec_id, label, i - 1 AS p, {_Q_SQL} AS q
+  FROM (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)),
+ch AS (
+  SELECT vec_id, label, ((p // 8) // 4) * 2 + (p % 8) // 4 AS cell, 0 AS c, q AS v FROM px
+  UNION ALL SELECT vec_id, label, ((p // 8) // 4) * 2 + (p % 8) // 4, 1, 255 - q FROM px
+  UNION ALL SELECT vec_id, label, ((p // 8) // 4) * 2 + (p % 8) // 4, 2, (q * 7) % 256 FROM px),
+feat AS (
+  SELECT vec_id, label, cell, c, CAST(avg(CAST(v AS DOUBLE) / 127.5 - 1) AS FLOAT) AS f
+  FROM ch GROUP BY vec_id, label, cell, c)
+SELECT vec_id, 'class_' || CAST(label AS VARCHAR) AS label, CAST(count(*) AS INTEGER) AS n_features,
+       round(sum(CAST(f AS DOUBLE)), 6) AS feature_sum
+FROM feat GROUP BY vec_id, label""")
+def q_block_features(spark, d):
+    """The default frozen featuriser end to end on decoded PNGs at their
+    native 8x8 size: RGB fix, scaling to [-1, 1], 2x2 block means per channel
+    (12 float32 features per image)."""
+    _, imgs = _images_from_embeddings(spark, d)
+    f = FE.featurise(imgs, height=8, width=8, grid=2, keep=("path",))
+    return f.select(F.regexp_extract("path", r"/(\d+)\.png$", 1).cast("bigint").alias("vec_id"),
+                    C.label_from_path("path").alias("label"), F.size("features").alias("n_features"),
+                    F.round(C.array_sum("features"), 6).alias("feature_sum"))
+
+
 @register("decode_join_report", """
 SELECT count(*) AS decoded, CAST(count(*) * 64 AS BIGINT) AS n_pixels, CAST(0 AS BIGINT) AS dropped
 FROM embeddings""")
