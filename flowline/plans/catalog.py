@@ -58,6 +58,12 @@ def u32_sql(expr: str, salt: str = "") -> str:
     return f"CAST('0x' || substr(md5({s}), 1, 8) AS BIGINT)"
 
 
+def _r6(c):
+    """Round to 6 digits; ``+ 0.0`` turns a rounded -0.0 into 0.0 (the SQL
+    oracles do the same), so signed zeros never differ between engines."""
+    return F.round(F.col(c) if isinstance(c, str) else c, 6) + F.lit(0.0)
+
+
 # Fixed parameters of the registered queries (not tuned per data set).
 SPLIT = (0.9, 0.1)
 SHARDS = 4
@@ -261,12 +267,12 @@ def q_index_to_label(spark, d):
 
 @register("training_projection", """
 SELECT vec_id, label AS label_idx, CAST(len(embedding) AS INTEGER) AS n_features,
-       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS feature_sum
+       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) + 0.0 AS feature_sum
 FROM embeddings""")
 def q_training_projection(spark, d):
     e = T(spark, d, "embeddings").select("vec_id", F.col("label").alias("label_idx"), "embedding")
     return e.select("vec_id", "label_idx", F.size("embedding").alias("n_features"),
-                    F.round(C.array_sum("embedding"), 6).alias("feature_sum"))
+                    _r6(C.array_sum("embedding")).alias("feature_sum"))
 
 
 # =========================================================== feed: shards, batches, steps
@@ -336,20 +342,20 @@ def q_steps_per_epoch(spark, d):
 
 # =========================================================== arrays, pooling, head
 @register("pixel_scale", """
-SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) / 127.5 - 1)), 6) AS scaled_sum
+SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) / 127.5 - 1)), 6) + 0.0 AS scaled_sum
 FROM embeddings""")
 def q_pixel_scale(spark, d):
     e = T(spark, d, "embeddings")
-    return e.select("vec_id", F.round(C.array_sum(C.pixel_scale("embedding")), 6).alias("scaled_sum"))
+    return e.select("vec_id", _r6(C.array_sum(C.pixel_scale("embedding"))).alias("scaled_sum"))
 
 
 @register("float_cast", """
-SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: CAST(CAST(CAST(x AS DOUBLE) * 3 AS FLOAT) AS DOUBLE))), 6) AS float_sum
+SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: CAST(CAST(CAST(x AS DOUBLE) * 3 AS FLOAT) AS DOUBLE))), 6) + 0.0 AS float_sum
 FROM embeddings""")
 def q_float_cast(spark, d):
     e = T(spark, d, "embeddings")
     tripled = F.transform("embedding", lambda x: x.cast("double") * F.lit(3.0))
-    return e.select("vec_id", F.round(C.array_sum(C.to_float_array(tripled)), 6).alias("float_sum"))
+    return e.select("vec_id", _r6(C.array_sum(C.to_float_array(tripled))).alias("float_sum"))
 
 
 def global_avg_pool(arr, channels: int):
@@ -363,13 +369,13 @@ def global_avg_pool(arr, channels: int):
 
 
 @register("global_avg_pool", """
-SELECT vec_id, CAST((i - 1) % 4 AS INTEGER) AS channel, round(avg(CAST(x AS DOUBLE)), 6) AS pooled
+SELECT vec_id, CAST((i - 1) % 4 AS INTEGER) AS channel, round(avg(CAST(x AS DOUBLE)), 6) + 0.0 AS pooled
 FROM (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)
 GROUP BY 1, 2""")
 def q_global_avg_pool(spark, d):
     e = T(spark, d, "embeddings")
     pooled = e.select("vec_id", F.posexplode(global_avg_pool(F.col("embedding"), 4)).alias("channel", "pooled"))
-    return pooled.select("vec_id", "channel", F.round("pooled", 6).alias("pooled"))
+    return pooled.select("vec_id", "channel", _r6("pooled").alias("pooled"))
 
 
 _LOGITS_SQL = f"""logits AS (
@@ -385,11 +391,11 @@ def _sine_scored(spark, d):
 
 @register("dense_logits", f"""
 WITH {_LOGITS_SQL}
-SELECT vec_id, CAST(k AS INTEGER) AS k, round(logit, 6) AS logit FROM logits""")
+SELECT vec_id, CAST(k AS INTEGER) AS k, round(logit, 6) + 0.0 AS logit FROM logits""")
 def q_dense_logits(spark, d):
     s = _sine_scored(spark, d)
     return s.select("vec_id", F.posexplode("logits").alias("k", "logit")) \
-            .select("vec_id", "k", F.round("logit", 6).alias("logit"))
+            .select("vec_id", "k", _r6("logit").alias("logit"))
 
 
 @register("softmax_probs", f"""
@@ -609,7 +615,7 @@ def q_head_by_id(spark, d):
 @register("running_best_loss", """
 WITH daily AS (
   SELECT CAST(date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) AS INTEGER) AS epoch,
-         round(avg(value), 6) AS val_loss
+         round(avg(value), 6) + 0.0 AS val_loss
   FROM events GROUP BY 1)
 SELECT epoch, val_loss, min(val_loss) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_loss
 FROM daily""")
@@ -617,7 +623,7 @@ def q_running_best_loss(spark, d):
     ev = T(spark, d, "events").withColumn("day", F.to_date("ts"))
     first = ev.agg(F.min("day")).scalar()
     daily = ev.groupBy(F.datediff("day", first).cast("int").alias("epoch")) \
-              .agg(F.round(F.avg("value"), 6).alias("val_loss"))
+              .agg(_r6(F.avg("value")).alias("val_loss"))
     w = Window.orderBy("epoch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return daily.withColumn("best_loss", F.min("val_loss").over(w))
 
@@ -886,13 +892,13 @@ SELECT p_name, round(
     ln((ml_opt + 1.0) / (n_l + 2)) - ln((mg_opt + 1.0) / (n_g + 2))
   + ln((kl_lr * {1 / (0.2 * math.sqrt(2 * math.pi))!r} + 1.0) / (n_l + 1.0)) - ln((kg_lr * {1 / (0.2 * math.sqrt(2 * math.pi))!r} + 1.0) / (n_g + 1.0))
   + ln((kl_do * {1 / (0.2 * math.sqrt(2 * math.pi))!r} + 1.0) / (n_l + 1.0)) - ln((kg_do * {1 / (0.2 * math.sqrt(2 * math.pi))!r} + 1.0) / (n_g + 1.0))
-  + ln((ml_bs + 1.0) / (n_l + 3)) - ln((mg_bs + 1.0) / (n_g + 3)), 6) AS score
+  + ln((ml_bs + 1.0) / (n_l + 3)) - ln((mg_bs + 1.0) / (n_g + 3)), 6) + 0.0 AS score
 FROM agg""")
 def q_tpe_density_ratio(spark, d):
     names = T(spark, d, "part").select("p_name").distinct()
     cands = names.select("p_name", *S.point_columns("p_name", SPACE, "cand:"))
     scored = S.tpe_scores(cands, _trials(spark, d), SPACE, gamma=0.25, bw=0.2)
-    return scored.select("p_name", F.round("score", 6).alias("score"))
+    return scored.select("p_name", _r6("score").alias("score"))
 
 
 # =========================================================== files and images
@@ -975,7 +981,7 @@ feat AS (
   SELECT vec_id, label, cell, c, CAST(avg(CAST(v AS DOUBLE) / 127.5 - 1) AS FLOAT) AS f
   FROM ch GROUP BY vec_id, label, cell, c)
 SELECT vec_id, 'class_' || CAST(label AS VARCHAR) AS label, CAST(count(*) AS INTEGER) AS n_features,
-       round(sum(CAST(f AS DOUBLE)), 6) AS feature_sum
+       round(sum(CAST(f AS DOUBLE)), 6) + 0.0 AS feature_sum
 FROM feat GROUP BY vec_id, label""")
 def q_block_features(spark, d):
     """The default frozen featuriser end to end on decoded PNGs at their
@@ -985,7 +991,7 @@ def q_block_features(spark, d):
     f = FE.featurise(imgs, height=8, width=8, grid=2, keep=("path",))
     return f.select(F.regexp_extract("path", r"/(\d+)\.png$", 1).cast("bigint").alias("vec_id"),
                     C.label_from_path("path").alias("label"), F.size("features").alias("n_features"),
-                    F.round(C.array_sum("features"), 6).alias("feature_sum"))
+                    _r6(C.array_sum("features")).alias("feature_sum"))
 
 
 @register("decode_join_report", """
@@ -1113,7 +1119,7 @@ folded AS (
                    WHEN NOT (x.v < acc.best - 0.01) AND acc.wait + 1 >= 3 THEN x.e END,
       'e': x.e, 'v': x.v}) AS r
   FROM series)
-SELECT run, r.stop AS stop_epoch, round(r.best, 6) AS best_loss FROM folded""")
+SELECT run, r.stop AS stop_epoch, round(r.best, 6) + 0.0 AS best_loss FROM folded""")
 def q_early_stopping_epoch(spark, d):
     """Per event type, daily mean value as an epoch metric; the early-stopping
     rule (best moves only when beaten by more than min_delta, stop after
@@ -1144,7 +1150,7 @@ def early_stop_fold(epoch_metrics: DataFrame, patience: int, min_delta: float,
         return F.struct(best.alias("best"), wait.alias("wait"), stop.alias("stop"))
 
     out = series.select(run, F.aggregate("s", init, step).alias("r"))
-    return out.select(run, F.col("r.stop").alias("stop_epoch"), F.round("r.best", 6).alias("best_loss"))
+    return out.select(run, F.col("r.stop").alias("stop_epoch"), _r6("r.best").alias("best_loss"))
 
 
 @register("weights_round_trip", f"""
