@@ -58,11 +58,25 @@ def partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) ->
     ``target_bytes`` per partition by the optimizer's size estimate, never
     fewer than the session default."""
     base = default_partitions(df.sparkSession)
+
+    def as_int(v):
+        return v if isinstance(v, int) else int(v.toString())
+
     try:
-        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = v if isinstance(v, int) else int(v.toString())
+        plan = df._jdf.queryExecution().optimizedPlan()
+        top = as_int(plan.stats().sizeInBytes())
+        # Join estimates can be wildly high (a 2,000-row join was estimated
+        # at ~1 TB), so bound the estimate by what is actually read: the sum
+        # of the leaves' sizes (scans, cached or checkpointed relations).
+        # Leaves with no statistics report Long.MaxValue and are ignored.
+        leaves = plan.collectLeaves()
+        known = [as_int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.length())]
+        known = [k for k in known if k < (1 << 62)]
+        size = min(top, sum(known)) if known else top
     except Exception:   # no estimate available
         return base
+    if size >= (1 << 62):
+        return base
     return int(min(MAX_PARTITIONS, max(base, -(-size // target_bytes))))
 
 

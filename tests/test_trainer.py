@@ -173,3 +173,16 @@ def test_checkpoint_resume_equals_straight_run(spark, tmp_dir):
     resumed = TR.fit(df, None, 10, cfg, init=np.vstack([w, b[None, :]]), start_epoch=2)
     # SGD keeps no optimizer state, and masks depend on the epoch number only
     assert np.allclose(resumed.weights, straight.weights, atol=1e-12)
+
+
+def test_direct_and_shuffle_all_reduce_agree(spark, monkeypatch):
+    df = _emb(spark).repartition(5)
+    rng = np.random.default_rng(3)
+    W = rng.normal(0, 0.1, size=(2, 65, 10))
+    drops = np.array([0.0, 0.3])
+    direct = TR.all_reduce(df, W, drops, 7, 1, 2, True)
+    monkeypatch.setattr(TR, "DIRECT_REDUCE_VALUES", 0)        # force the shuffle path
+    shuffled = TR.all_reduce(df, W, drops, 7, 1, 2, True)
+    assert direct[3] == shuffled[3] == 500
+    for a, b in zip(direct[:3], shuffled[:3]):
+        assert np.allclose(a, b, rtol=0, atol=1e-9)
