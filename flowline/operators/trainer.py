@@ -74,16 +74,20 @@ def _softmax_rows(z: np.ndarray) -> np.ndarray:
 
 def batch_partials(X: np.ndarray, y: np.ndarray, keys: np.ndarray, weights: np.ndarray,
                    dropout: np.ndarray, seed: int, epoch: int, step: int, train: bool,
-                   grad: np.ndarray, loss: np.ndarray, correct: np.ndarray) -> None:
+                   grad: np.ndarray, loss: np.ndarray, correct: np.ndarray,
+                   trial_ids=None) -> None:
     """Add one block of rows' gradient sums, loss sums and hits (all trials)
-    into the accumulators."""
+    into the accumulators.  ``trial_ids`` key each trial's dropout masks (by
+    default its position), so a trial's masks do not change when other
+    trials leave a fused pass."""
     T, D1, K = weights.shape
     D = D1 - 1
     rows = np.arange(len(y))
-    for t in range(T):
+    ids = range(T) if trial_ids is None else trial_ids
+    for t, tid in zip(range(T), ids):
         Xt = X
         if train and dropout[t] > 0:
-            keep = dropout_keep(keys, D, float(dropout[t]), seed, t, epoch, step)
+            keep = dropout_keep(keys, D, float(dropout[t]), seed, int(tid), epoch, step)
             Xt = np.where(keep, X / (1.0 - dropout[t]), 0.0)
         z = Xt @ weights[t, :D, :] + weights[t, D, :]
         zmax = z.max(axis=1, keepdims=True)
@@ -99,7 +103,7 @@ def batch_partials(X: np.ndarray, y: np.ndarray, keys: np.ndarray, weights: np.n
 
 def partial_sums(batches, weights: np.ndarray, dropout: np.ndarray, seed: int,
                  epoch: int, step: int, train: bool, feature_col: str,
-                 label_col: str, key_col: str):
+                 label_col: str, key_col: str, trial_ids=None):
     """mapInPandas body: one partition in, one set of partial sums out.
 
     weights: (T, D+1, K) with the bias in the last row."""
@@ -115,7 +119,8 @@ def partial_sums(batches, weights: np.ndarray, dropout: np.ndarray, seed: int,
         y = pdf[label_col].to_numpy().astype(np.int64)
         keys = pdf[key_col].to_numpy().astype(np.int64)
         n += len(y)
-        batch_partials(X, y, keys, weights, dropout, seed, epoch, step, train, grad, loss, correct)
+        batch_partials(X, y, keys, weights, dropout, seed, epoch, step, train, grad, loss, correct,
+                       trial_ids)
     out_t, out_k, out_p, out_g = [], [], [], []
     for t in range(T):
         out_t += [t, t, t]
@@ -134,15 +139,17 @@ def partial_sums(batches, weights: np.ndarray, dropout: np.ndarray, seed: int,
 
 def all_reduce(df: DataFrame, weights: np.ndarray, dropout: np.ndarray, seed: int,
                epoch: int, step: int, train: bool, feature_col: str = "features",
-               label_col: str = "label_idx", key_col: str = "row_id"):
+               label_col: str = "label_idx", key_col: str = "row_id", trial_ids=None):
     """Run one distributed pass; returns (grad_sums (T,D+1,K), loss_sums (T,),
     correct (T,), n).  Gradient sums are not yet divided by n."""
     T, D1, K = weights.shape
     w = np.array(weights, dtype=np.float64)
     d = np.array(dropout, dtype=np.float64)
 
+    ids = None if trial_ids is None else [int(i) for i in trial_ids]
+
     def fn(it):
-        return partial_sums(it, w, d, seed, epoch, step, train, feature_col, label_col, key_col)
+        return partial_sums(it, w, d, seed, epoch, step, train, feature_col, label_col, key_col, ids)
 
     parts = df.select(key_col, feature_col, label_col).mapInPandas(fn, PARTIAL_SCHEMA)
     cells = T * D1 * K + 3 * T
@@ -485,15 +492,19 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
                     target = c.learning_rate * (c.workers if c.scale_lr else 1)
                     lrs[t] = warmup_lr(target, c.workers, epoch + (steps - 1) / steps,
                                        c.warmup_epochs) * scales[t]
+            live = np.flatnonzero(active)          # finished trials leave the pass
             for s in range(steps if base.mode != "barrier" else 0):
                 batch = snap.df.filter(F.col("batch_id") == F.lit(s))
-                grad, loss, corr, nb = all_reduce(batch, W, drops, base.seed, epoch, s, True,
-                                                  feature_col, label_col, key_col)
-                tr_loss += loss
-                tr_corr += corr
+                g_live, loss, corr, nb = all_reduce(batch, W[live], drops[live], base.seed, epoch, s,
+                                                    True, feature_col, label_col, key_col,
+                                                    trial_ids=live)
+                tr_loss[live] += loss
+                tr_corr[live] += corr
                 tr_n += nb
                 if nb == 0:
                     continue
+                grad = np.zeros_like(W)
+                grad[live] = g_live
                 for t, c in enumerate(configs):
                     if not active[t]:
                         continue
@@ -505,10 +516,12 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
                     W[t] = opts[t].update(W[t], grad[t] / nb, lr)
             vl = va = None
             if val_snap is not None:
-                _, vloss, vcorr, vn = all_reduce(val_snap.df, W, drops, base.seed, epoch, -1, False,
-                                                 feature_col, label_col, key_col)
-                vl = vloss / max(vn, 1)
-                va = vcorr / max(vn, 1)
+                _, vloss, vcorr, vn = all_reduce(val_snap.df, W[live], drops[live], base.seed, epoch,
+                                                 -1, False, feature_col, label_col, key_col,
+                                                 trial_ids=live)
+                vl, va = np.zeros(T), np.zeros(T)
+                vl[live] = vloss / max(vn, 1)
+                va[live] = vcorr / max(vn, 1)
             for t, c in enumerate(configs):
                 if not active[t]:
                     continue

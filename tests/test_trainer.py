@@ -186,3 +186,15 @@ def test_direct_and_shuffle_all_reduce_agree(spark, monkeypatch):
     assert direct[3] == shuffled[3] == 500
     for a, b in zip(direct[:3], shuffled[:3]):
         assert np.allclose(a, b, rtol=0, atol=1e-9)
+
+
+def test_finished_trial_leaves_fused_pass_without_changing_others(spark):
+    df = _emb(spark)
+    a_short = TR.TrainConfig(epochs=1, batch_size=128, workers=2, learning_rate=0.01, dropout=0.4)
+    b = TR.with_config(a_short, epochs=3, learning_rate=0.003, dropout=0.2)
+    short = TR.fit_many(df, df, 10, [a_short, b])
+    full = TR.fit_many(df, df, 10, [TR.with_config(a_short, epochs=3), b])
+    assert len(short[0].history) == 1 and len(short[1].history) == 3
+    # b's masks are keyed by its trial id, so a's early exit changes nothing for b
+    assert np.allclose(short[1].weights, full[1].weights, atol=1e-12)
+    assert short[1].history[-1]["val_loss"] == full[1].history[-1]["val_loss"]
