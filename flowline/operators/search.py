@@ -197,8 +197,15 @@ def trial_config(base, point: dict):
     return TR.with_config(base, **kw)
 
 
+def checkpoint_name(point: dict) -> str:
+    """Folder name of a trial from its hyper-parameters, e.g.
+    ``learning_rate_0.01_dropout_0.5_batch_size_64``."""
+    return "_".join(f"{k}_{point[k]}" for k in sorted(point))
+
+
 def fused_fit_objective(train: DataFrame, val: DataFrame, num_classes: int, base,
-                        metric: str = "val_loss", store=None, parent_run_id: str | None = None):
+                        metric: str = "val_loss", store=None, parent_run_id: str | None = None,
+                        checkpoint_root: str | None = None):
     """Objective for ``run_search``: fits every point of a round with the
     distributed trainer, fusing points that share a batch size, and returns
     ``metric`` (negated for accuracy, which is maximised)."""
@@ -214,8 +221,20 @@ def fused_fit_objective(train: DataFrame, val: DataFrame, num_classes: int, base
         for i, c in enumerate(cfgs):
             groups.setdefault((c.batch_size, c.workers), []).append(i)
         for idx in groups.values():
+            on_epoch = None
+            if checkpoint_root is not None:
+                from flowline.sources import tables as TB
+                spark = train.sparkSession
+
+                def on_epoch(epoch, W, histories, idx=idx):
+                    # one weights checkpoint per trial and epoch, in a folder
+                    # named after the trial's hyper-parameters
+                    for j, i in enumerate(idx):
+                        TB.save_checkpoint(spark, f"{checkpoint_root}/{checkpoint_name(points[i])}",
+                                           "trial", epoch, W[j, :-1], W[j, -1])
             try:
-                fits = TR.fit_many(train, val, num_classes, [cfgs[i] for i in idx], feed=cache)
+                fits = TR.fit_many(train, val, num_classes, [cfgs[i] for i in idx], feed=cache,
+                                   on_epoch=on_epoch)
             except Exception:   # a failing trial keeps its row, with no loss
                 for i in idx:
                     out[i] = (None, "fail")

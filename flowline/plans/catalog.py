@@ -1057,12 +1057,14 @@ def q_parallel_trials(spark, d):
 @register("sequential_trials")
 def q_sequential_trials(spark, d):
     """Sequential search (one trial at a time, each a distributed fit)
-    minimising validation loss, with batch size searched."""
+    minimising validation loss, with batch size searched; every trial writes
+    per-epoch weight checkpoints to a folder named after its parameters."""
     t = _split_indexed(spark, d)
     base = TR.TrainConfig(epochs=1, batch_size=64, workers=2)
     space = {"learning_rate": S.loguniform(-5, 0), "dropout": S.uniform(0.1, 0.9),
              "batch_size": S.choice(32, 64, 128)}
-    obj = S.fused_fit_objective(t.train, t.val, t.num_classes, base, metric="val_loss")
+    obj = S.fused_fit_objective(t.train, t.val, t.num_classes, base, metric="val_loss",
+                                checkpoint_root=scratch_path(spark, "trial_checkpoints"))
     return S.run_search(spark, obj, space, max_evals=4, parallelism=1, n_startup=2, seed="seq").trials
 
 

@@ -72,3 +72,25 @@ def test_run_search_rounds(spark):
     if oks:
         assert res.best["loss"] == min(r.loss for r in oks)
     assert all(r.loss is None for r in rows if r.status == "fail")
+
+
+def test_fused_objective_checkpoints_each_trial(spark, tmp_dir):
+    import os
+    from flowline.operators import trainer as TR
+    from flowline.plans.pipelines import embeddings_silver, prepare_tables
+    from flowline.sources.tables import latest_checkpoint
+    t = prepare_tables(embeddings_silver(spark, "/root/testdata/sf0.001"), "row_id")
+    base = TR.TrainConfig(epochs=2, batch_size=64, workers=2)
+    root = f"{tmp_dir}/ckpt"
+    obj = S.fused_fit_objective(t.train, t.val, t.num_classes, base, "val_loss", checkpoint_root=root)
+    points = [{"learning_rate": 0.01, "dropout": 0.5, "batch_size": 64},
+              {"learning_rate": 0.001, "dropout": 0.2, "batch_size": 32}]
+    res = obj(points)
+    obj.cache.release()
+    assert all(status == "ok" for _, status in res)
+    names = sorted(os.listdir(root))
+    assert names == sorted(S.checkpoint_name(p) for p in points)
+    assert names[0].startswith("batch_size_") and "learning_rate_0.01" in " ".join(names)
+    for p in points:
+        epoch, w, b = latest_checkpoint(spark, f"{root}/{S.checkpoint_name(p)}", "trial")
+        assert epoch == 1 and w.shape == (64, 10)
