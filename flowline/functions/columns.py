@@ -89,7 +89,7 @@ def negate(c) -> Column:
 
 # ---------------------------------------------------------------- arrays
 def pixel_scale(arr) -> Column:
-    """[0, 255] -> [-1, 1] (MobileNet-style ``x/127.5 - 1``)."""
+    """[0, 255] -> [-1, 1] (``x/127.5 - 1``)."""
     return F.transform(_c(arr), lambda x: x.cast("double") / F.lit(127.5) - F.lit(1.0))
 
 

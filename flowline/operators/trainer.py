@@ -259,7 +259,8 @@ def barrier_epoch(feed_rdd, W: np.ndarray, opts: list, configs: list, scales: np
 
 # ---------------------------------------------------------------- optimizers
 class Optimizer:
-    """Keras-compatible update rules on (D+1) x K arrays."""
+    """Standard update rules on (D+1) x K arrays (Adam: beta1 0.9, beta2 0.999,
+    eps 1e-7; Adadelta: rho 0.95, eps 1e-7; plain SGD)."""
 
     def __init__(self, name: str, shape):
         self.name = name.lower()

@@ -28,11 +28,11 @@ def test_adding_rows_keeps_assignment(spark):
 
 
 def test_vocab_sorted_contiguous(spark):
-    df = spark.createDataFrame([(l,) for l in "tulips roses daisy roses daisy sunflowers".split()] + [(None,)],
+    df = spark.createDataFrame([(l,) for l in "delta_ gamma alpha gamma alpha epsilon".split()] + [(None,)],
                                "label string")
     v = prepare.build_vocab(df)
     rows = v.orderBy("label_idx").collect()
-    assert [r.label for r in rows] == ["daisy", "roses", "sunflowers", "tulips"]
+    assert [r.label for r in rows] == ["alpha", "delta_", "epsilon", "gamma"]
     assert [r.label_idx for r in rows] == [0, 1, 2, 3]
     big = prepare.build_vocab(df, max_window_rows=1)        # distributed numbering path
     assert sorted(tuple(r) for r in big.collect()) == sorted(tuple(r) for r in v.collect())
