@@ -74,22 +74,31 @@ _SHIPPED: set = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``flowline`` importable in executors' Python workers, as
-    ``--py-files`` would: zip the package once per context and add it."""
+    ``--py-files`` would.  The zip is built in memory and written through
+    the Hadoop FileSystem API into the shared checkpoint folder (no
+    machine-local temporary folder), then added with ``addPyFile``."""
     sc = spark.sparkContext
     key = sc.applicationId
     if key in _SHIPPED:
         return
-    import tempfile
+    import io
     import zipfile
 
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    out_dir = tempfile.mkdtemp(prefix="flowline-pyfiles-")
-    zpath = os.path.join(out_dir, "flowline.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _dirs, files in os.walk(pkg_dir):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(zpath)
+    target = scratch_path(spark, "pyfiles") + "/flowline.zip"
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(target)
     _SHIPPED.add(key)
