@@ -8,7 +8,6 @@ joinable.  The image source stores pixels as BGR(A).
 
 from __future__ import annotations
 
-import os
 import struct
 import uuid
 import zlib
@@ -80,6 +79,18 @@ def png_bytes(rgb: np.ndarray) -> bytes:
             + chunk(b"IDAT", zlib.compress(raw, 6)) + chunk(b"IEND", b""))
 
 
+def _filesystem(root: str):
+    """(pyarrow filesystem, path) for a Spark-style URI: ``file:`` paths map to
+    the local filesystem; other schemes (hdfs://, s3://, ...) resolve through
+    pyarrow, so tasks write straight into the shared folder."""
+    from pyarrow import fs as pafs
+    if root.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + root[5:].lstrip("/")
+    if "://" not in root:
+        return pafs.LocalFileSystem(), root
+    return pafs.FileSystem.from_uri(root)
+
+
 def write_png_files(df: DataFrame, root: str, path_col: str, pixels_col: str,
                     height: int, width: int) -> DataFrame:
     """Each task writes the PNGs of its own rows under ``root`` (a shared
@@ -87,21 +98,24 @@ def write_png_files(df: DataFrame, root: str, path_col: str, pixels_col: str,
     same files; each file appears atomically (written aside, then renamed),
     so a speculative duplicate task cannot leave a torn file.  Returns
     (path, n_bytes) per file (lazy)."""
-    if root.startswith("file:"):
-        root = root[5:]
 
     def write(batches):
+        fs, base = _filesystem(root)
+        made = set()
         for pdf in batches:
             out_p, out_n = [], []
             for rel, px in zip(pdf[path_col], pdf[pixels_col]):
                 img = np.asarray(px, dtype=np.uint8).reshape(height, width, 3)
-                full = os.path.join(root, rel)
-                os.makedirs(os.path.dirname(full), exist_ok=True)
+                full = f"{base.rstrip('/')}/{rel}"
+                parent = full.rsplit("/", 1)[0]
+                if parent not in made:
+                    fs.create_dir(parent, recursive=True)
+                    made.add(parent)
                 data = png_bytes(img)
                 tmp = f"{full}.{uuid.uuid4().hex}.part"
-                with open(tmp, "wb") as fh:
+                with fs.open_output_stream(tmp) as fh:
                     fh.write(data)
-                os.replace(tmp, full)
+                fs.move(tmp, full)
                 out_p.append(full)
                 out_n.append(len(data))
             yield pd.DataFrame({"path": out_p, "n_bytes": np.asarray(out_n, dtype=np.int64)})
