@@ -139,9 +139,13 @@ def partial_sums(batches, weights: np.ndarray, dropout: np.ndarray, seed: int,
 
 def all_reduce(df: DataFrame, weights: np.ndarray, dropout: np.ndarray, seed: int,
                epoch: int, step: int, train: bool, feature_col: str = "features",
-               label_col: str = "label_idx", key_col: str = "row_id", trial_ids=None):
+               label_col: str = "label_idx", key_col: str = "row_id", trial_ids=None,
+               max_partitions: int | None = None):
     """Run one distributed pass; returns (grad_sums (T,D+1,K), loss_sums (T,),
-    correct (T,), n).  Gradient sums are not yet divided by n."""
+    correct (T,), n).  Gradient sums are not yet divided by n.
+    ``max_partitions`` is an upper bound on the input's partition count
+    (e.g. the unfiltered snapshot's, computed once per fit); without it the
+    input is planned once more to count them."""
     T, D1, K = weights.shape
     w = np.array(weights, dtype=np.float64)
     d = np.array(dropout, dtype=np.float64)
@@ -153,7 +157,7 @@ def all_reduce(df: DataFrame, weights: np.ndarray, dropout: np.ndarray, seed: in
 
     parts = df.select(key_col, feature_col, label_col).mapInPandas(fn, PARTIAL_SCHEMA)
     cells = T * D1 * K + 3 * T
-    n_in = df._jdf.rdd().getNumPartitions()          # planning only, no job
+    n_in = max_partitions if max_partitions is not None else df._jdf.rdd().getNumPartitions()
     if n_in * cells <= DIRECT_REDUCE_VALUES:
         # Proven small: every input partition sends one model-sized partial,
         # and n_in x cells values fit the bound -- sum them on the driver in a
@@ -465,6 +469,10 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
         T, D, K = len(configs), num_features, num_classes
         n = snap.count
         steps = steps_per_epoch(n, base.batch_size, base.workers)
+        # partition-count bounds for the all-reduce, planned once per fit:
+        # a step's pruned scan never has more partitions than the whole feed
+        train_parts = snap.df._jdf.rdd().getNumPartitions()
+        val_parts = val_snap.df._jdf.rdd().getNumPartitions() if val_snap is not None else None
         W = np.stack([init if init is not None else glorot(D, K, c.seed) for c in configs])
         opts = [Optimizer(c.optimizer, W[0].shape) for c in configs]
         plateaus = [Plateau(patience=c.plateau_patience) if c.plateau_patience else None for c in configs]
@@ -498,7 +506,7 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
                 batch = snap.df.filter(F.col("batch_id") == F.lit(s))
                 g_live, loss, corr, nb = all_reduce(batch, W[live], drops[live], base.seed, epoch, s,
                                                     True, feature_col, label_col, key_col,
-                                                    trial_ids=live)
+                                                    trial_ids=live, max_partitions=train_parts)
                 tr_loss[live] += loss
                 tr_corr[live] += corr
                 tr_n += nb
@@ -519,7 +527,7 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
             if val_snap is not None:
                 _, vloss, vcorr, vn = all_reduce(val_snap.df, W[live], drops[live], base.seed, epoch,
                                                  -1, False, feature_col, label_col, key_col,
-                                                 trial_ids=live)
+                                                 trial_ids=live, max_partitions=val_parts)
                 vl, va = np.zeros(T), np.zeros(T)
                 vl[live] = vloss / max(vn, 1)
                 va[live] = vcorr / max(vn, 1)
