@@ -36,3 +36,17 @@ def test_hot_group_is_spread_over_tasks(spark):
     per_file = (spark.read.parquet(staged[0]).groupBy(F.input_file_name()).count()
                 .select("count").collect())
     assert max(r[0] for r in per_file) < 0.3 * 4000
+
+
+def test_partitions_grow_with_input_but_not_with_join_estimates(spark):
+    from flowline.operators.ranking import default_partitions, partitions_for
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    base = default_partitions(spark)
+    assert partitions_for(li) == base                        # small input: the default
+    many = partitions_for(li, target_bytes=64 * 1024)
+    assert many > base                                        # grows with the bytes read
+    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    joined = li.join(o, li.l_orderkey == o.o_orderkey)
+    # the join's own estimate can be far larger than its inputs; the count is
+    # bounded by what is read
+    assert partitions_for(joined, target_bytes=64 * 1024) <= many + partitions_for(o, 64 * 1024)
