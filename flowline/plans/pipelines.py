@@ -246,3 +246,21 @@ def tune_register_promote(spark: SparkSession, train: DataFrame, val: DataFrame,
     store.transition_stage(model_name, version, "Production")
     return best_run, version, store.load_by_stage(model_name, "production")
 
+
+
+def score_images(spark: SparkSession, image_dir: str, model: PackagedModel, glob: str = "*.jpg",
+                 batch_size: int = 128) -> DataFrame:
+    """Entry C on files: decode in the JVM, featurise with the model's own
+    stored preprocessing config (so training and serving share one
+    preprocess), predict in Arrow batches.  Returns (path, label, prediction)
+    where ``label`` is the parent folder."""
+    from flowline.operators import features as FE
+    from flowline.sources import files as FS
+
+    cfg = model.preprocess or {}
+    imgs = FS.image_files(spark, image_dir, glob=glob, recursive=True)
+    feats = FE.featurise(imgs, int(cfg.get("img_height", 224)), int(cfg.get("img_width", 224)),
+                         int(cfg.get("grid", 4)), keep=("path",))
+    out = score(feats, model, "features", "prediction", batch_size=batch_size)
+    from flowline.functions.columns import label_from_path
+    return out.select("path", label_from_path("path").alias("label"), "prediction")

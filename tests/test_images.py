@@ -99,6 +99,12 @@ def test_ingest_train_score_images(spark, image_dir, tmp_dir):
     assert acc >= 0.8                           # colours are separable (the gray image may miss)
     bronze = spark.table(f"{db}.bronze")
     assert bronze.count() == 14
+    # serving from files with the model's stored preprocessing reproduces the
+    # pipeline's own predictions
+    from flowline.plans.pipelines import score_images
+    served = {r.path: (r.label, r.prediction) for r in score_images(spark, image_dir, model).collect()}
+    norm = lambda p: p[len("file:"):] if p.startswith("file:") else p
+    assert served == {norm(r.path): (r.label, r.prediction) for r in rows}
     drop_database(spark, db, cascade=True)
 
 
