@@ -44,8 +44,13 @@ def wide_runs(runs: DataFrame, params: DataFrame | None, metrics: DataFrame | No
         p = params.groupBy(run).pivot("key", list(param_keys)).agg(F.first("value"))
         out = out.join(p, run, "left")
     if metrics is not None and metric_keys:
-        last = metrics.groupBy(run, "key").agg(F.max_by("value", "step").alias("value"))
-        m = last.groupBy(run).pivot("key", list(metric_keys)).agg(F.first("value"))
+        # last value per key in ONE aggregation (one shuffle on the run id):
+        # max_by ignores rows whose ordering value is null, so each key only
+        # sees its own rows
+        m = metrics.groupBy(run).agg(*[
+            F.max_by(F.when(F.col("key") == k, F.col("value")),
+                     F.when(F.col("key") == k, F.col("step"))).alias(k)
+            for k in metric_keys])
         out = out.join(m, run, "left")
     return out
 
