@@ -136,10 +136,11 @@ class RunStore:
     def table(self, t: str) -> DataFrame:
         schema = {"runs": RUNS, "run_params": PARAMS, "run_metrics": METRICS,
                   "registrations": REGS, "stage_events": STAGES}[t]
-        try:
-            return self.spark.read.schema(schema).parquet(self._path(t))
-        except Exception:  # nothing written yet
-            return self.spark.createDataFrame([], schema)
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self._path(t))
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return self.spark.createDataFrame([], schema)      # nothing written yet
+        return self.spark.read.schema(schema).parquet(self._path(t))
 
     # ------------------------------------------------------------ runs
     def start_run(self, name: str, parent_run_id: str | None = None) -> str:
