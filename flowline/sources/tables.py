@@ -20,13 +20,28 @@ from flowline.session import scratch_path
 
 
 # ---------------------------------------------------------------- databases
+CREATED_BY_US = "flowline.created"
+
+
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create a database tagged as ours (a database property), so a later
+    cascade drop can prove it only removes what this package created."""
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc} "
+              f"WITH DBPROPERTIES ('{CREATED_BY_US}' = 'true')")
+
+
+def created_by_us(spark: SparkSession, name: str) -> bool:
+    rows = spark.sql(f"DESCRIBE DATABASE EXTENDED `{name}`").collect()     # a few rows
+    props = " ".join(str(v) for r in rows for v in r)
+    return CREATED_BY_US in props
 
 
-def drop_database(spark: SparkSession, name: str, cascade: bool = False) -> None:
-    """Drop a database; ``cascade`` must be asked for explicitly."""
+def drop_database(spark: SparkSession, name: str, cascade: bool = False, force: bool = False) -> None:
+    """Drop a database.  ``cascade`` must be asked for explicitly, and is
+    refused on a database this package did not create unless ``force``."""
+    if cascade and not force and spark.catalog.databaseExists(name) and not created_by_us(spark, name):
+        raise PermissionError(f"refusing DROP ... CASCADE of {name!r}: not created by flowline")
     spark.sql(f"DROP DATABASE IF EXISTS `{name}`{' CASCADE' if cascade else ''}")
 
 

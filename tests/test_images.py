@@ -86,8 +86,9 @@ def test_ingest_train_score_images(spark, image_dir, tmp_dir):
     from flowline.plans.pipelines import train_on_images
     from flowline.sources.tables import drop_database
     db = "flowline_img_test"
+    from flowline.sources.tables import create_database
     drop_database(spark, db, cascade=True)
-    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_dir}/wh'")
+    create_database(spark, db, f"{tmp_dir}/wh")
     # batch 8 per shard holds every training image (about 11 over 2 shards), so
     # no class is left out of the single full step per epoch
     cfg = TR.TrainConfig(epochs=30, batch_size=8, workers=2, learning_rate=0.1, dropout=0.0)
@@ -158,3 +159,17 @@ def test_ingest_writes_bytes_once_and_matches_materialized(spark, image_dir, tmp
     assert "PartitionFilters: [isnotnull(split" in plan                       # reads only split=val
     for db in ("flowline_views", "flowline_copies"):
         drop_database(spark, db, cascade=True)
+
+
+def test_cascade_drop_only_on_our_databases(spark, tmp_dir):
+    from flowline.sources import tables as TB
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS flowline_foreign LOCATION '{tmp_dir}/foreign'")
+    spark.range(3).write.option("path", f"{tmp_dir}/foreign_t").saveAsTable("flowline_foreign.t")
+    with pytest.raises(PermissionError):
+        TB.drop_database(spark, "flowline_foreign", cascade=True)
+    assert spark.catalog.databaseExists("flowline_foreign")
+    TB.drop_database(spark, "flowline_foreign", cascade=True, force=True)
+    TB.create_database(spark, "flowline_ours", f"{tmp_dir}/ours")
+    assert TB.created_by_us(spark, "flowline_ours")
+    TB.drop_database(spark, "flowline_ours", cascade=True)
+    assert not spark.catalog.databaseExists("flowline_ours")
