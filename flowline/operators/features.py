@@ -12,7 +12,6 @@ network where one is available).
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 
 
@@ -112,6 +111,3 @@ def channel_means(images: DataFrame, keep=("path",)) -> DataFrame:
     return images.select(*keep, "height", "width", "nChannels", "data") \
                  .mapInPandas(run, f"{schema}, r_mean double, g_mean double, b_mean double")
 
-
-def features_from_pandas(pdf: pd.DataFrame) -> np.ndarray:
-    return np.stack(pdf["features"].to_numpy())

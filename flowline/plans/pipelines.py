@@ -127,18 +127,6 @@ def ingest_images(spark: SparkSession, image_dir: str, database: str, glob: str
                           spark.table(f"{database}.vocab"), spark.table(f"{database}.vocab").count())
 
 
-def image_features(spark: SparkSession, image_dir: str, labelled: DataFrame, glob: str = "*.jpg",
-                   height: int = 224, width: int = 224, grid: int = 4) -> DataFrame:
-    """Decode the files in the executors' JVM, featurise once, and attach
-    the features to labelled rows (``path``, ``label_idx``) by normalised path."""
-    from flowline.operators import features as FE
-    from flowline.sources import files as FS
-
-    imgs = FS.image_files(spark, image_dir, glob=glob, recursive=True)
-    feats = FE.featurise(imgs, height, width, grid, keep=("path",))
-    return FS.with_decoded(labelled, feats)
-
-
 def train_on_images(spark: SparkSession, image_dir: str, database: str,
                     config: TR.TrainConfig | None = None, glob: str = "*.jpg",
                     height: int = 224, width: int = 224, grid: int = 4):

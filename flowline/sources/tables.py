@@ -8,8 +8,6 @@ written uncompressed.
 
 from __future__ import annotations
 
-import json
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -186,11 +184,3 @@ def latest_checkpoint(spark: SparkSession, path: str, run_id: str):
     w, b = weights_from_rows([r.asDict() for r in rows])
     return int(last), w, b
 
-
-# ---------------------------------------------------------------- configs
-def config_json(**values) -> str:
-    return json.dumps(values, sort_keys=True)
-
-
-def parse_config(text: str) -> dict:
-    return json.loads(text)
