@@ -81,6 +81,7 @@ SELECT doc_id,
        string_split('documents/' || lang || '/' || CAST(doc_id AS VARCHAR) || '.txt', '/')[-2] AS label
 FROM documents""")
 def q_bronze_binary_rows(spark, d):
+    """Documents as bronze rows (path, length, content digest) + label from the path."""
     docs = T(spark, d, "documents")
     bronze = docs.select(
         "doc_id",
@@ -93,6 +94,7 @@ def q_bronze_binary_rows(spark, d):
 
 @register("sql_select_all", "SELECT * FROM customer")
 def q_sql_select_all(spark, d):
+    """SQL scan over a registered view."""
     # a namespaced view name: never replaces a view the caller registered
     T(spark, d, "customer").createOrReplaceTempView("flowline_customer")
     return TB.sql_scan(spark, "flowline_customer")
@@ -100,6 +102,7 @@ def q_sql_select_all(spark, d):
 
 @register("table_round_trip", "SELECT * FROM customer")
 def q_table_round_trip(spark, d):
+    """Overwrite sink with a per-write uncompressed codec, read back."""
     name = "flowline_customer_round_trip"
     TB.save_table(T(spark, d, "customer"), name, compression="uncompressed",
                   path=scratch_path(spark, "tables", name))
@@ -108,6 +111,7 @@ def q_table_round_trip(spark, d):
 
 @register("snapshot_count", "SELECT count(*) AS n_rows FROM embeddings")
 def q_snapshot_count(spark, d):
+    """Snapshot written under the checkpoint folder; its length."""
     snap = TB.Snapshot(T(spark, d, "embeddings"), cache=False)
     return snap.df.agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -118,11 +122,13 @@ _LABEL_SQL = "SELECT page_id, url, string_split(url, '/')[-2] AS label FROM page
 
 @register("label_from_path", _LABEL_SQL)
 def q_label_from_path(spark, d):
+    """label = parent directory (built-in split, no UDF)."""
     return prepare.with_label_from_path(T(spark, d, "pages").select("page_id", "url"), "url")
 
 
 @register("label_from_path_pandas", _LABEL_SQL)
 def q_label_from_path_pandas(spark, d):
+    """The same label through a scalar pandas UDF (parity)."""
     @F.pandas_udf("string")
     def parent_dir(paths: pd.Series) -> pd.Series:
         return paths.map(lambda p: p.split("/")[-2] if p is not None and p.count("/") >= 1 else None)
@@ -133,6 +139,7 @@ def q_label_from_path_pandas(spark, d):
 @register("hash_sample_half", f"""
 SELECT doc_id, lang FROM documents WHERE {u_sql('doc_id', 'sample')} < 0.5""")
 def q_hash_sample_half(spark, d):
+    """P5: reproducible 50% sample by an md5 hash of the id."""
     return prepare.hash_sample(T(spark, d, "documents"), "doc_id", 0.5).select("doc_id", "lang")
 
 
@@ -142,12 +149,14 @@ _SPLIT_SQL = f"CASE WHEN {u_sql('vec_id', 'split')} < 0.9 THEN 'train' ELSE 'val
 @register("hash_split_sizes", f"""
 SELECT {_SPLIT_SQL} AS split, count(*) AS n_rows FROM embeddings GROUP BY 1""")
 def q_hash_split_sizes(spark, d):
+    """90/10 hash split, rows per split."""
     e = T(spark, d, "embeddings").withColumn("split", prepare.split_column("vec_id", SPLIT))
     return e.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("hash_split_rows", f"SELECT vec_id, {_SPLIT_SQL} AS split FROM embeddings")
 def q_hash_split_rows(spark, d):
+    """The split of every row."""
     return T(spark, d, "embeddings").select("vec_id", prepare.split_column("vec_id", SPLIT).alias("split"))
 
 
@@ -164,18 +173,21 @@ SELECT CAST(sum(CASE WHEN t IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_row
        CAST(sum(CASE WHEN wk IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS extra_rows
 FROM j""")
 def q_split_is_partition(spark, d):
+    """The split parts cover the input exactly once."""
     e = T(spark, d, "embeddings")
     return prepare.split_partition_check(e, prepare.hash_split(e, "vec_id", SPLIT), "vec_id")
 
 
 @register("distinct_labels", "SELECT DISTINCT event_type AS label FROM events WHERE event_type IS NOT NULL")
 def q_distinct_labels(spark, d):
+    """A2/O1: distinct labels, sorted."""
     ev = T(spark, d, "events").withColumnRenamed("event_type", "label")
     return prepare.distinct_labels(ev, "label").orderBy("label")
 
 
 @register("num_classes", "SELECT count(DISTINCT label) AS num_classes FROM embeddings")
 def q_num_classes(spark, d):
+    """A3: number of distinct classes."""
     return prepare.num_classes(T(spark, d, "embeddings"), "label")
 
 
@@ -185,6 +197,7 @@ FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL)"""
 
 @register("label_vocab", _VOCAB_DOCS)
 def q_label_vocab(spark, d):
+    """Dense index over the sorted distinct labels."""
     return prepare.build_vocab(T(spark, d, "documents").withColumnRenamed("lang", "label"))
 
 
@@ -201,12 +214,14 @@ WITH {_VOCAB_EVENTS.format(cond='')}
 SELECT e.event_id, e.event_type AS label, v.label_idx
 FROM events e LEFT JOIN vocab v ON e.event_type = v.label""")
 def q_label_index_join(spark, d):
+    """Label -> index by a size-checked broadcast join."""
     ev = _events_labelled(spark, d)
     return prepare.index_labels(ev, prepare.build_vocab(ev), handle_unseen="error")
 
 
 @register("label_index_pandas", ORACLE["label_index_join"])
 def q_label_index_pandas(spark, d):
+    """The same index through a pandas UDF with a bounded closure lookup."""
     ev = _events_labelled(spark, d)
     vocab = prepare.build_vocab(ev)
     if vocab.count() > 100_000:   # the lookup travels inside the UDF closure
@@ -230,6 +245,7 @@ WITH {_VOCAB_EVENTS.format(cond="AND event_type <> 'view'")}
 SELECT e.event_id, e.event_type AS label, v.label_idx
 FROM events e JOIN vocab v ON e.event_type = v.label""")
 def q_unseen_skip(spark, d):
+    """Labels missing from the vocabulary are skipped."""
     ev, vocab = _vocab_without_view(spark, d)
     return prepare.index_labels(ev, vocab, handle_unseen="skip")
 
@@ -240,6 +256,7 @@ SELECT e.event_id, e.event_type AS label,
        CAST(coalesce(v.label_idx, (SELECT count(*) FROM vocab)) AS INTEGER) AS label_idx
 FROM events e LEFT JOIN vocab v ON e.event_type = v.label""")
 def q_unseen_keep(spark, d):
+    """Labels missing from the vocabulary get index = vocabulary size."""
     ev, vocab = _vocab_without_view(spark, d)
     return prepare.index_labels(ev, vocab, handle_unseen="keep")
 
@@ -249,6 +266,7 @@ WITH {_VOCAB_EVENTS.format(cond="AND event_type <> 'view'")}
 SELECT e.event_id, e.event_type AS label
 FROM events e ANTI JOIN vocab v ON e.event_type = v.label""")
 def q_unseen_report(spark, d):
+    """Rows whose label has no vocabulary entry (anti join)."""
     ev, vocab = _vocab_without_view(spark, d)
     return prepare.unseen_labels(ev, vocab)
 
@@ -259,6 +277,7 @@ SELECT e.event_id, v.label_idx, v2.label
 FROM events e JOIN vocab v ON e.event_type = v.label
 LEFT JOIN vocab v2 ON v.label_idx = v2.label_idx""")
 def q_index_to_label(spark, d):
+    """Index -> label through the vocabulary."""
     ev = _events_labelled(spark, d)
     vocab = prepare.build_vocab(ev)
     idx = prepare.index_labels(ev, vocab).select("event_id", "label_idx")
@@ -270,6 +289,7 @@ SELECT vec_id, label AS label_idx, CAST(len(embedding) AS INTEGER) AS n_features
        round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) + 0.0 AS feature_sum
 FROM embeddings""")
 def q_training_projection(spark, d):
+    """The (key, label index, features) projection fed to training."""
     e = T(spark, d, "embeddings").select("vec_id", F.col("label").alias("label_idx"), "embedding")
     return e.select("vec_id", "label_idx", F.size("embedding").alias("n_features"),
                     _r6(C.array_sum("embedding")).alias("feature_sum"))
@@ -281,6 +301,7 @@ _SHARD_SQL = f"CAST({u32_sql('o_orderkey', 'shard')} % {SHARDS} AS INTEGER)"
 
 @register("shard_sizes", f"SELECT {_SHARD_SQL} AS shard, count(*) AS n_rows FROM orders GROUP BY 1")
 def q_shard_sizes(spark, d):
+    """Rows per hash shard."""
     o = feed.with_shard(T(spark, d, "orders"), "o_orderkey", SHARDS)
     return o.groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -297,6 +318,7 @@ def _batched_orders(spark, d):
 
 @register("minibatches", f"WITH {_BATCH_SQL} SELECT o_orderkey, shard, batch_id FROM batched")
 def q_minibatches(spark, d):
+    """Mini-batch number inside each shard (distributed row_index)."""
     return _batched_orders(spark, d).select("o_orderkey", "shard", "batch_id")
 
 
@@ -308,6 +330,7 @@ WITH {_BATCH_SQL}
 SELECT shard, batch_id, count(*) AS n_rows FROM batched
 WHERE batch_id < {_STEPS_ORDERS} GROUP BY 1, 2""")
 def q_full_batches_only(spark, d):
+    """Only the batches every shard can fill in an epoch."""
     b = _batched_orders(spark, d)
     n = T(spark, d, "orders").count()
     return (feed.full_batches_only(b, n, BATCH, SHARDS)
@@ -319,6 +342,7 @@ WITH {_BATCH_SQL}
 SELECT batch_id AS step, count(*) AS n_rows FROM batched
 WHERE batch_id < {_STEPS_ORDERS} GROUP BY 1""")
 def q_rows_per_step(spark, d):
+    """Rows per synchronous step across shards."""
     b = _batched_orders(spark, d)
     n = T(spark, d, "orders").count()
     return (feed.full_batches_only(b, n, BATCH, SHARDS)
@@ -332,6 +356,7 @@ SELECT count(*) FILTER (WHERE {_SPLIT_SQL} = 'train') AS n_train,
        CAST(greatest(1, floor(count(*) FILTER (WHERE {_SPLIT_SQL} = 'val') / (32 * 2))) AS BIGINT) AS validation_steps
 FROM embeddings""")
 def q_steps_per_epoch(spark, d):
+    """rows // (batch x workers), never below 1."""
     e = T(spark, d, "embeddings").withColumn("split", prepare.split_column("vec_id", SPLIT))
     counts = e.agg(F.count(F.when(F.col("split") == "train", 1)).alias("n_train"),
                    F.count(F.when(F.col("split") == "val", 1)).alias("n_val"))
@@ -345,6 +370,7 @@ def q_steps_per_epoch(spark, d):
 SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) / 127.5 - 1)), 6) + 0.0 AS scaled_sum
 FROM embeddings""")
 def q_pixel_scale(spark, d):
+    """x / 127.5 - 1 over arrays."""
     e = T(spark, d, "embeddings")
     return e.select("vec_id", _r6(C.array_sum(C.pixel_scale("embedding"))).alias("scaled_sum"))
 
@@ -353,6 +379,7 @@ def q_pixel_scale(spark, d):
 SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: CAST(CAST(CAST(x AS DOUBLE) * 3 AS FLOAT) AS DOUBLE))), 6) + 0.0 AS float_sum
 FROM embeddings""")
 def q_float_cast(spark, d):
+    """cast to float32 arrays."""
     e = T(spark, d, "embeddings")
     tripled = F.transform("embedding", lambda x: x.cast("double") * F.lit(3.0))
     return e.select("vec_id", _r6(C.array_sum(C.to_float_array(tripled))).alias("float_sum"))
@@ -373,6 +400,7 @@ SELECT vec_id, CAST((i - 1) % 4 AS INTEGER) AS channel, round(avg(CAST(x AS DOUB
 FROM (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)
 GROUP BY 1, 2""")
 def q_global_avg_pool(spark, d):
+    """Per-channel mean of interleaved pixel arrays (per row, no explode)."""
     e = T(spark, d, "embeddings")
     pooled = e.select("vec_id", F.posexplode(global_avg_pool(F.col("embedding"), 4)).alias("channel", "pooled"))
     return pooled.select("vec_id", "channel", _r6("pooled").alias("pooled"))
@@ -393,6 +421,7 @@ def _sine_scored(spark, d):
 WITH {_LOGITS_SQL}
 SELECT vec_id, CAST(k AS INTEGER) AS k, round(logit, 6) + 0.0 AS logit FROM logits""")
 def q_dense_logits(spark, d):
+    """M2: dense head logits with a fixed closed-form head."""
     s = _sine_scored(spark, d)
     return s.select("vec_id", F.posexplode("logits").alias("k", "logit")) \
             .select("vec_id", "k", _r6("logit").alias("logit"))
@@ -404,6 +433,7 @@ m AS (SELECT vec_id, max(logit) AS mx FROM logits GROUP BY 1),
 e AS (SELECT l.vec_id, l.k, exp(l.logit - m.mx) AS ex FROM logits l JOIN m USING (vec_id))
 SELECT vec_id, CAST(k AS INTEGER) AS k, round(ex / sum(ex) OVER (PARTITION BY vec_id), 6) AS prob FROM e""")
 def q_softmax_probs(spark, d):
+    """F16: class probabilities."""
     s = _sine_scored(spark, d)
     return s.select("vec_id", F.posexplode(C.softmax("logits")).alias("k", "prob")) \
             .select("vec_id", "k", F.round("prob", 6).alias("prob"))
@@ -413,6 +443,7 @@ def q_softmax_probs(spark, d):
 WITH {_LOGITS_SQL}
 SELECT vec_id, CAST(arg_max(k, logit) AS INTEGER) AS pred_idx FROM logits GROUP BY 1""")
 def q_argmax_class(spark, d):
+    """First-maximum class index."""
     return _sine_scored(spark, d).select("vec_id", C.array_argmax("logits").alias("pred_idx"))
 
 
@@ -429,6 +460,7 @@ per_row AS (
 WITH {_CE_SQL}
 SELECT round(avg(ce), 6) AS loss, count(*) AS n_rows FROM per_row""")
 def q_cross_entropy(spark, d):
+    """A4: mean cross-entropy from logits."""
     s = _sine_scored(spark, d).withColumnRenamed("label", "label_idx")
     return metrics.loss_and_accuracy(s).select("loss", "n_rows")
 
@@ -437,6 +469,7 @@ def q_cross_entropy(spark, d):
 WITH {_CE_SQL}
 SELECT round(avg(hit), 6) AS accuracy, count(*) AS n_rows FROM per_row""")
 def q_accuracy(spark, d):
+    """A5: accuracy."""
     s = _sine_scored(spark, d).withColumnRenamed("label", "label_idx")
     return metrics.loss_and_accuracy(s).select("accuracy", "n_rows")
 
@@ -450,6 +483,7 @@ s AS (SELECT {_SHARD2_SQL} AS shard, sum(ce) AS loss_sum, sum(hit) AS correct, c
       FROM per_row GROUP BY 1)
 SELECT round(sum(loss_sum) / sum(n), 6) AS loss, round(sum(correct) / sum(n), 6) AS accuracy FROM s""")
 def q_metric_average_weighted(spark, d):
+    """Metric all-reduce weighted by shard rows."""
     s = feed.with_shard(_sine_scored(spark, d).withColumnRenamed("label", "label_idx"), "vec_id", 2)
     return metrics.metric_average(metrics.shard_metrics(s), weighted=True)
 
@@ -460,6 +494,7 @@ s AS (SELECT {_SHARD2_SQL} AS shard, sum(ce) AS loss_sum, sum(hit) AS correct, c
       FROM per_row GROUP BY 1)
 SELECT round(avg(loss_sum / n), 6) AS loss, round(avg(correct / n), 6) AS accuracy FROM s""")
 def q_metric_average_shards(spark, d):
+    """Plain mean of per-shard metrics."""
     s = feed.with_shard(_sine_scored(spark, d).withColumnRenamed("label", "label_idx"), "vec_id", 2)
     return metrics.metric_average(metrics.shard_metrics(s), weighted=False)
 
@@ -470,6 +505,7 @@ SELECT 'val_loss' AS metric, round(avg(ce), 6) AS value FROM per_row
 UNION ALL
 SELECT 'val_accuracy' AS metric, round(avg(hit), 6) AS value FROM per_row""")
 def q_prefixed_metrics(spark, d):
+    """metrics as a val_-prefixed map, one row per metric."""
     s = _sine_scored(spark, d).withColumnRenamed("label", "label_idx")
     return metrics.prefixed_metrics(metrics.loss_and_accuracy(s))
 
@@ -481,6 +517,7 @@ SELECT 'val_loss' AS metric, round(avg(ce), 6) AS value FROM v
 UNION ALL
 SELECT 'val_accuracy' AS metric, round(avg(hit), 6) AS value FROM v""")
 def q_final_evaluation(spark, d):
+    """Final loss/accuracy on the validation split."""
     e = T(spark, d, "embeddings")
     _, val = prepare.hash_split(e, "vec_id", SPLIT)
     s = val.withColumn("logits", metrics.sine_logits("embedding", DIM, NUM_CLASSES)) \
@@ -509,6 +546,7 @@ def _emb_features(spark, d):
 
 @register("gradient_step0", f"WITH {_GRAD_SQL} SELECT k, pos, round(g, 6) + 0.0 AS grad FROM grad")
 def q_gradient_step0(spark, d):
+    """Mean gradient at zero weights through the distributed all-reduce."""
     W = np.zeros((1, DIM + 1, NUM_CLASSES))
     g = TR.gradient_frame(_emb_features(spark, d), W)
     return g.select("k", "pos", (F.round("grad", 6) + F.lit(0.0)).alias("grad"))
@@ -527,6 +565,7 @@ pr AS (SELECT vec_id, any_value(label) AS label,
        FROM (SELECT *, max(logit) OVER (PARTITION BY vec_id) AS mx FROM lg) GROUP BY vec_id)
 SELECT round(avg(ce), 6) AS loss, round(avg(hit), 6) AS accuracy FROM pr""")
 def q_sgd_step1(spark, d):
+    """Loss and accuracy after one SGD step from zero."""
     data = _emb_features(spark, d)
     g, _, _ = TR.gradient(data, np.zeros((DIM, NUM_CLASSES)))
     w1 = -0.5 * g                         # one SGD step from zero, lr 0.5
@@ -544,6 +583,7 @@ SELECT CAST(step AS INTEGER) AS step, round(step / {_SPE_EMB}, 6) AS epoch_frac,
                   ELSE 0.002 END, 9) AS lr
 FROM range(0, 6 * {_SPE_EMB}) r(step)""")
 def q_lr_warmup(spark, d):
+    """warm-up schedule over every step of a 6-epoch fit."""
     # the step table grows with the data: generate it with a partitioned
     # range, not by exploding one row in one task
     spe = max(1, T(spark, d, "embeddings").count() // 64)
@@ -582,17 +622,20 @@ def _customer_names(spark, d):
 
 @register("identifier_from_user", f"SELECT c_custkey, {_IDENT_SQL} AS identifier FROM customer")
 def q_identifier_from_user(spark, d):
+    """account -> safe identifier."""
     return _customer_names(spark, d).select("c_custkey", "identifier")
 
 
 @register("param_string", f"SELECT c_custkey, {_PARAM_SQL} AS param_string FROM customer")
 def q_param_string(spark, d):
+    """run name from integer parameters."""
     return _customer_names(spark, d).select("c_custkey", "param_string")
 
 
 @register("checkpoint_path", f"""
 SELECT c_custkey, '/checkpoints/' || {_IDENT_SQL} || '/' || {_PARAM_SQL} AS checkpoint_path FROM customer""")
 def q_checkpoint_path(spark, d):
+    """checkpoint path from identifier and parameters."""
     n = _customer_names(spark, d)
     return n.select("c_custkey", C.path_join(F.lit("/checkpoints"), "identifier", "param_string").alias("checkpoint_path"))
 
@@ -600,6 +643,7 @@ def q_checkpoint_path(spark, d):
 @register("json_config", """
 SELECT event_id, CAST(props ->> '$.k' AS INTEGER) AS k, 224 AS img_height, 224 AS img_width FROM events""")
 def q_json_config(spark, d):
+    """JSON config encode/decode round trip."""
     ev = T(spark, d, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     cfg = F.to_json(F.struct(F.lit(224).alias("img_height"), F.lit(224).alias("img_width"), k.alias("k")))
@@ -609,6 +653,7 @@ def q_json_config(spark, d):
 
 @register("head_by_id", "SELECT event_id, event_type, value FROM events ORDER BY event_id LIMIT 10")
 def q_head_by_id(spark, d):
+    """Ordered head-10 preview (the limit is the feature)."""
     return TB.preview(T(spark, d, "events").select("event_id", "event_type", "value"), 10, ["event_id"])
 
 
@@ -620,6 +665,7 @@ WITH daily AS (
 SELECT epoch, val_loss, min(val_loss) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_loss
 FROM daily""")
 def q_running_best_loss(spark, d):
+    """Per-epoch loss and its running minimum."""
     ev = T(spark, d, "events").withColumn("day", F.to_date("ts"))
     first = ev.agg(F.min("day")).scalar()
     daily = ev.groupBy(F.datediff("day", first).cast("int").alias("epoch")) \
@@ -671,6 +717,7 @@ wide AS (SELECT o_orderkey AS run_id, o_custkey AS parent_run_id, o_orderstatus
 
 @register("runs_wide", f"WITH {_WIDE_SQL} SELECT * FROM wide")
 def q_runs_wide(spark, d):
+    """One row per run with params and final metrics."""
     return _wide(spark, d).select("run_id", "parent_run_id", "status", "optimizer", "batch_size",
                                   "val_loss", "val_accuracy")
 
@@ -681,6 +728,7 @@ SELECT parent_run_id, run_id, val_accuracy,
        row_number() OVER (PARTITION BY parent_run_id ORDER BY val_accuracy DESC NULLS LAST, run_id) AS rank
 FROM wide""")
 def q_search_runs(spark, d):
+    """Runs ranked per parent by val_accuracy desc nulls last."""
     ranked = R.rank_runs(_wide(spark, d), "val_accuracy", "parent_run_id")
     return ranked.select("parent_run_id", "run_id", "val_accuracy", F.col("rank").cast("bigint").alias("rank"))
 
@@ -691,6 +739,7 @@ SELECT parent_run_id, run_id, val_accuracy FROM (
   SELECT *, row_number() OVER (PARTITION BY parent_run_id ORDER BY val_accuracy DESC NULLS LAST, run_id) AS rn
   FROM wide) WHERE rn = 1""")
 def q_top_run(spark, d):
+    """O3: best run per parent (aggregate, not a sort)."""
     return R.top_runs(_wide(spark, d), "val_accuracy", "parent_run_id")
 
 
@@ -698,6 +747,7 @@ def q_top_run(spark, d):
 SELECT c.o_orderkey AS run_id, c.o_custkey AS parent_run_id, p.o_orderstatus AS parent_status
 FROM orders c JOIN orders p ON c.o_custkey = p.o_orderkey""")
 def q_child_runs(spark, d):
+    """Children joined to their parent run."""
     runs, _, _ = _runs_tables(spark, d)
     return R.child_runs(runs, cols=["status"]).select("run_id", "parent_run_id", "parent_status")
 
@@ -710,6 +760,7 @@ u AS (SELECT run_id, step, 'val_loss' AS key, val_loss AS value FROM m
       UNION ALL SELECT run_id, step, 'val_accuracy' AS key, val_accuracy AS value FROM m)
 SELECT run_id, key, round(arg_max(value, step), 6) AS value, max(step) AS last_step FROM u GROUP BY 1, 2""")
 def q_final_metric(spark, d):
+    """A10: last logged value of every metric of every run."""
     _, _, mets = _runs_tables(spark, d)
     f = metrics.final_metric(mets)
     return f.select("run_id", "key", F.round("value", 6).alias("value"), "last_step")
@@ -730,6 +781,7 @@ _VERSIONS_SQL = """versions AS (
 
 @register("model_versions", f"WITH {_VERSIONS_SQL} SELECT name, run_id, version FROM versions")
 def q_model_versions(spark, d):
+    """Version numbers per model name in registration order."""
     v = R.model_versions(_registrations(spark, d))
     return v.select("name", "run_id", F.col("version").cast("bigint").alias("version"))
 
@@ -762,6 +814,7 @@ cur AS (SELECT name, version, stage FROM (
 
 @register("current_stage", f"WITH {_STAGES_SQL} SELECT name, version, stage FROM cur")
 def q_current_stage(spark, d):
+    """Latest stage of every model version (append-only events)."""
     _, ev = _stage_events(spark, d)
     cur = R.current_stages(ev)
     return cur.select("name", F.col("version").cast("bigint").alias("version"), "stage")
@@ -772,6 +825,7 @@ WITH {_STAGES_SQL},
 best AS (SELECT name, max(version) AS version FROM cur WHERE lower(stage) = 'production' GROUP BY 1)
 SELECT b.name, b.version, v.run_id FROM best b JOIN versions v ON v.name = b.name AND v.version = b.version""")
 def q_production_model(spark, d):
+    """Highest version currently in Production, per name."""
     v, ev = _stage_events(spark, d)
     best = R.version_in_stage(R.current_stages(ev), "production")     # one row per name
     out = join_small(v.select("name", "version", "run_id"), best, ["name", "version"])
@@ -816,6 +870,7 @@ _TRIALS_SQL = f"""trials AS (
 SELECT p_partkey, optimizer, round(learning_rate, 9) AS learning_rate, round(dropout, 9) AS dropout, batch_size
 FROM (SELECT p_partkey, {_points_sql('p_partkey', 'point:')} FROM part)""")
 def q_search_space_points(spark, d):
+    """H1/H6: search-space points hashed from a key."""
     p = T(spark, d, "part").select("p_partkey", *S.point_columns("p_partkey", SPACE, "point:"))
     return p.select("p_partkey", "optimizer", F.round("learning_rate", 9).alias("learning_rate"),
                     F.round("dropout", 9).alias("dropout"), "batch_size")
@@ -824,6 +879,7 @@ def q_search_space_points(spark, d):
 @register("negated_objective", f"""
 WITH {_TRIALS_SQL} SELECT trial_id, accuracy, -accuracy AS loss FROM trials""")
 def q_negated_objective(spark, d):
+    """loss = -accuracy per trial."""
     t = _trials(spark, d)
     return t.select("trial_id", "accuracy", C.negate("accuracy").alias("loss"))
 
@@ -833,6 +889,7 @@ WITH {_TRIALS_SQL}
 SELECT trial_id, loss, optimizer, round(learning_rate, 9) AS learning_rate, round(dropout, 9) AS dropout, batch_size
 FROM trials WHERE status = 'ok' AND loss IS NOT NULL ORDER BY loss, trial_id LIMIT 1""")
 def q_best_trial(spark, d):
+    """Argmin of loss over successful trials (ties by id)."""
     b = S.best_trial(_trials(spark, d), list(SPACE))
     return b.select("trial_id", "loss", "optimizer", F.round("learning_rate", 9).alias("learning_rate"),
                     F.round("dropout", 9).alias("dropout"), "batch_size")
@@ -844,6 +901,7 @@ SELECT count(*) AS n_trials, count(*) FILTER (WHERE status <> 'ok') AS n_failed,
        (SELECT trial_id FROM trials WHERE status = 'ok' ORDER BY loss, trial_id LIMIT 1) AS best_trial_id
 FROM trials""")
 def q_failed_trials_excluded(spark, d):
+    """H7: failed trials keep a row but never win."""
     t = _trials(spark, d)
     best = S.best_trial(t, list(SPACE)).select("trial_id").scalar()
     return t.agg(F.count(F.lit(1)).alias("n_trials"),
@@ -859,6 +917,7 @@ UNION ALL SELECT 'learning_rate', round(learning_rate, 9), NULL FROM b
 UNION ALL SELECT 'dropout', round(dropout, 9), NULL FROM b
 UNION ALL SELECT 'batch_size', CAST(batch_size AS DOUBLE), NULL FROM b""")
 def q_best_params_logged(spark, d):
+    """H8: best parameters logged as values, not indexes."""
     b = S.best_trial(_trials(spark, d), list(SPACE))
     rows = F.array(
         F.struct(F.lit("optimizer").alias("key"), F.lit(None).cast("double").alias("num_value"),
@@ -895,6 +954,7 @@ SELECT p_name, round(
   + ln((ml_bs + 1.0) / (n_l + 3)) - ln((mg_bs + 1.0) / (n_g + 3)), 6) + 0.0 AS score
 FROM agg""")
 def q_tpe_density_ratio(spark, d):
+    """H5: Parzen-estimator score of every candidate."""
     names = T(spark, d, "part").select("p_name").distinct()
     cands = names.select("p_name", *S.point_columns("p_name", SPACE, "cand:"))
     scored = S.tpe_scores(cands, _trials(spark, d), SPACE, gamma=0.25, bw=0.2)
@@ -950,6 +1010,7 @@ SELECT vec_id, 'class_' || CAST(label AS VARCHAR) AS label,
        round(avg(({_Q_SQL} * 7) % 256), 6) AS b_mean
 FROM (SELECT vec_id, label, unnest(embedding) AS x FROM embeddings) GROUP BY vec_id, label""")
 def q_image_decode(spark, d):
+    """Rows -> PNG files -> JVM decode -> RGB channel means."""
     _, imgs = _images_from_embeddings(spark, d)
     means = FE.channel_means(imgs, keep=("path",))
     return means.select(
