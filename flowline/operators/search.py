@@ -64,6 +64,18 @@ def sample_points(spark: SparkSession, space: dict, n: int, salt: str = "rand")
     return spark.range(n).select(F.col("id").alias("point_id"), *point_columns("id", space, salt))
 
 
+def param_type(spec) -> str:
+    """Spark SQL type of a parameter's values."""
+    if spec[0] != "choice":
+        return "double"
+    opts = spec[1]
+    if all(isinstance(o, str) for o in opts):
+        return "string"
+    if all(isinstance(o, int) and not isinstance(o, bool) for o in opts):
+        return "bigint"
+    return "double"
+
+
 def unit_value(name: str, spec, col: Column | None = None) -> Column:
     """Numeric parameter mapped to [0, 1) (log scale for loguniform)."""
     c = F.col(name) if col is None else col
@@ -160,9 +172,8 @@ def run_search(spark: SparkSession, objective, space: dict, max_evals: int = 20,
     results of rounds < r.  ``objective(points: list[dict]) -> list[(loss,
     status)]`` evaluates a whole round (e.g. fused training)."""
     names = list(space)
-    schema = "trial_id bigint, " + ", ".join(
-        f"{n} {'string' if space[n][0] == 'choice' and isinstance(space[n][1][0], str) else ('bigint' if space[n][0] == 'choice' else 'double')}"
-        for n in names) + ", loss double, status string"
+    schema = "trial_id bigint, " + ", ".join(f"{n} {param_type(space[n])}" for n in names) + \
+        ", loss double, status string"
     history: list[tuple] = []
     rnd = 0
     while len(history) < max_evals:

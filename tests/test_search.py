@@ -94,3 +94,12 @@ def test_fused_objective_checkpoints_each_trial(spark, tmp_dir):
     for p in points:
         epoch, w, b = latest_checkpoint(spark, f"{root}/{S.checkpoint_name(p)}", "trial")
         assert epoch == 1 and w.shape == (64, 10)
+
+
+def test_run_search_with_float_and_int_choices(spark):
+    space = {"dropout": S.choice(0.1, 0.5), "batch_size": S.choice(32, 64), "opt": S.choice("a", "b")}
+    res = S.run_search(spark, lambda pts: [(p["dropout"] + p["batch_size"] / 100, "ok") for p in pts],
+                       space, max_evals=3, parallelism=3, algo="rand")
+    types = dict(res.trials.dtypes)
+    assert (types["dropout"], types["batch_size"], types["opt"]) == ("double", "bigint", "string")
+    assert res.best["loss"] == min(r.loss for r in res.trials.collect())
