@@ -129,8 +129,7 @@ def tpe_scores(candidates: DataFrame, trials: DataFrame, space: dict, gamma: flo
         for side in ("l", "g"):
             vals = F.array(*[F.lit(x) for x in hist[f"_h_{side}_{name}"]])
             if not hist[f"_h_{side}_{name}"]:
-                vals = vals.cast("array<string>" if spec[0] == "choice" and isinstance(spec[1][0], str)
-                                 else ("array<int>" if spec[0] == "choice" else "array<double>"))
+                vals = vals.cast(f"array<{param_type(spec)}>")
             if spec[0] == "choice":
                 k = len(spec[1])
                 dens = (F.size(F.filter(vals, lambda v: v == F.col(name))) + F.lit(1.0)) / \
