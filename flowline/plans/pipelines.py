@@ -129,17 +129,20 @@ def ingest_images(spark: SparkSession, image_dir: str, database: str, glob: str
 
 def train_on_images(spark: SparkSession, image_dir: str, database: str,
                     config: TR.TrainConfig | None = None, glob: str = "*.jpg",
-                    height: int = 224, width: int = 224, grid: int = 4):
+                    height: int = 224, width: int = 224, grid: int = 4,
+                    prepared: PreparedTables | None = None):
     """Entry A + B + C on image files; returns (fit, model, scored silver).
 
-    The base is frozen, so every image is decoded and featurised ONCE into
-    ``<database>.features``; training, validation and scoring rows join it
-    by normalised path."""
+    ``prepared`` reuses an earlier ``ingest_images`` of the same database
+    (re-ingesting would overwrite its tables under DataFrames already handed
+    out).  The base is frozen, so every image is decoded and featurised ONCE
+    into ``<database>.features``; training, validation and scoring rows join
+    it by normalised path."""
     from flowline.operators import features as FE
     from flowline.sources import files as FS
     from flowline.sources import tables as TB
 
-    t = ingest_images(spark, image_dir, database, glob=glob)
+    t = prepared or ingest_images(spark, image_dir, database, glob=glob)
     imgs = FS.image_files(spark, image_dir, glob=glob, recursive=True)
     TB.save_table(FE.featurise(imgs, height, width, grid, keep=("path",)), f"{database}.features")
     feats = spark.table(f"{database}.features")
