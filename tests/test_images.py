@@ -92,7 +92,11 @@ def test_ingest_train_score_images(spark, image_dir, tmp_dir):
     # batch 8 per shard holds every training image (about 11 over 2 shards), so
     # no class is left out of the single full step per epoch
     cfg = TR.TrainConfig(epochs=30, batch_size=8, workers=2, learning_rate=0.1, dropout=0.0)
-    fit, model, scored = train_on_images(spark, image_dir, db, cfg, height=8, width=8, grid=1)
+    from flowline.plans.pipelines import ingest_images
+    prepared = ingest_images(spark, image_dir, db)
+    fit, model, scored = train_on_images(spark, image_dir, db, cfg, height=8, width=8, grid=1,
+                                         prepared=prepared)
+    assert prepared.vocab.count() == 3            # still readable: not overwritten
     assert sorted(model.classes) == sorted(CLASSES)
     rows = scored.collect()
     assert len(rows) == 13                      # bad.jpg is not decodable
