@@ -387,13 +387,20 @@ def glorot(num_features: int, num_classes: int, seed: int) -> np.ndarray:
     return w
 
 
+# Most directories a training feed may create.  Past it, consecutive batches
+# share a ``batch_block`` directory and a step prunes by block (directories)
+# and then by ``batch_id`` (row-group statistics: files are written sorted).
+MAX_FEED_DIRS = 10_000
+
+
 def feature_snapshot(df: DataFrame, key_col: str, feature_col: str, label_col: str,
                      workers: int, batch_size: int) -> Snapshot:
     """Features + shard + batch number, written once, one directory per
-    mini-batch (``batch_id=<s>/``).  A step's ``batch_id = s`` filter is then
-    partition pruning at planning time: the step reads only its batch's
-    files (about one per shard), never the whole snapshot, and launches
-    about ``workers`` tasks however large the table is."""
+    mini-batch (``batch_id=<s>/``) -- or per block of batches when there
+    would be more than ``MAX_FEED_DIRS``.  A step's filter is then partition
+    pruning at planning time: the step reads only its batch's files (about
+    one per shard), never the whole snapshot, and launches about ``workers``
+    tasks however large the table is.  Use ``feed_step(snap, s)``."""
     spark = df.sparkSession
     staged: list = []
     # many range partitions (not one per worker: a shard is 1/workers of the
@@ -401,10 +408,26 @@ def feature_snapshot(df: DataFrame, key_col: str, feature_col: str, label_col: s
     # task emits one file per batch in its range -- no extra shuffle
     b = with_batches(df.select(key_col, feature_col, label_col), key_col, workers, batch_size,
                      staged_paths=staged)
+    top = b.agg(F.max("batch_id")).first()[0]
+    per_block = max(1, -(-((top or 0) + 1) // MAX_FEED_DIRS))
     path = scratch_path(spark, "feed")
-    b.write.mode("overwrite").partitionBy("batch_id").parquet(path)
-    return Snapshot(spark.read.parquet(path), written=True, cache=False,
-                    owned_paths=staged + [path])
+    if per_block == 1:
+        b.write.mode("overwrite").partitionBy("batch_id").parquet(path)
+    else:
+        (b.withColumn("batch_block", F.floor(F.col("batch_id") / F.lit(per_block)).cast("bigint"))
+          .write.mode("overwrite").partitionBy("batch_block").parquet(path))
+    snap = Snapshot(spark.read.parquet(path), written=True, cache=False, owned_paths=staged + [path])
+    snap.batches_per_dir = per_block
+    return snap
+
+
+def feed_step(snap: Snapshot, step: int) -> DataFrame:
+    """The rows of mini-batch ``step`` (all shards), pruned by directory."""
+    per = getattr(snap, "batches_per_dir", 1)
+    cond = F.col("batch_id") == F.lit(step)
+    if per > 1:
+        cond = (F.col("batch_block") == F.lit(step // per)) & cond
+    return snap.df.filter(cond)
 
 
 class FeedCache:
@@ -503,7 +526,7 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
                                        c.warmup_epochs) * scales[t]
             live = np.flatnonzero(active)          # finished trials leave the pass
             for s in range(steps if base.mode != "barrier" else 0):
-                batch = snap.df.filter(F.col("batch_id") == F.lit(s))
+                batch = feed_step(snap, s)
                 g_live, loss, corr, nb = all_reduce(batch, W[live], drops[live], base.seed, epoch, s,
                                                     True, feature_col, label_col, key_col,
                                                     trial_ids=live, max_partitions=train_parts)

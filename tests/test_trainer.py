@@ -198,3 +198,19 @@ def test_finished_trial_leaves_fused_pass_without_changing_others(spark):
     # b's masks are keyed by its trial id, so a's early exit changes nothing for b
     assert np.allclose(short[1].weights, full[1].weights, atol=1e-12)
     assert short[1].history[-1]["val_loss"] == full[1].history[-1]["val_loss"]
+
+
+def test_blocked_feed_layout_gives_the_same_fit(spark, monkeypatch):
+    df = _emb(spark)
+    cfg = TR.TrainConfig(epochs=2, batch_size=32, workers=2, learning_rate=0.01, dropout=0.3)
+    plain = TR.fit(df, None, 10, cfg)
+    monkeypatch.setattr(TR, "MAX_FEED_DIRS", 3)        # force several batches per directory
+    snap = TR.feature_snapshot(df, "row_id", "features", "label_idx", 2, 32)
+    assert snap.batches_per_dir > 1 and "batch_block" in snap.df.columns
+    step = TR.feed_step(snap, 4)
+    plan = step._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "batch_block" in plan
+    assert {r.batch_id for r in step.select("batch_id").collect()} == {4}
+    snap.release()
+    blocked = TR.fit(df, None, 10, cfg)
+    assert np.allclose(plain.weights, blocked.weights, atol=1e-12)
