@@ -36,6 +36,8 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 def split_column(key: str, weights=(0.9, 0.1), names=("train", "val"),
                  salt: str = "split") -> Column:
     """Name of the split each row falls in, from cumulative weight bounds."""
+    if len(weights) != len(names) or not weights or any(w < 0 for w in weights) or sum(weights) <= 0:
+        raise ValueError("one non-negative weight per split name, with a positive total")
     total = float(sum(weights))
     u = hash_unit(key, salt)
     bounds, acc = [], 0.0

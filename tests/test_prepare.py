@@ -65,3 +65,14 @@ def test_vocab_independent_of_partitions(spark):
     ref = sorted(tuple(r) for r in prepare.build_vocab(base).collect())
     for n in (1, 2, 7):
         assert sorted(tuple(r) for r in prepare.build_vocab(base.repartition(n)).collect()) == ref
+
+
+def test_split_validates_weights(spark):
+    import pytest as _pt
+    with _pt.raises(ValueError):
+        prepare.split_column("id", (0.9, 0.1), ("only",))
+    with _pt.raises(ValueError):
+        prepare.split_column("id", (0.0, 0.0), ("a", "b"))
+    parts = prepare.hash_split(spark.range(3000), "id", (0.8, 0.1, 0.1))
+    sizes = [p.count() for p in parts]
+    assert sum(sizes) == 3000 and sizes[0] > sizes[1] and sizes[0] > sizes[2]
