@@ -409,7 +409,9 @@ def feature_snapshot(df: DataFrame, key_col: str, feature_col: str, label_col: s
     b = with_batches(df.select(key_col, feature_col, label_col), key_col, workers, batch_size,
                      staged_paths=staged)
     top = b.agg(F.max("batch_id")).first()[0]
-    per_block = max(1, -(-((top or 0) + 1) // MAX_FEED_DIRS))
+    if top is None:
+        raise ValueError("no training rows: the training table is empty")
+    per_block = max(1, -(-(top + 1) // MAX_FEED_DIRS))
     path = scratch_path(spark, "feed")
     if per_block == 1:
         b.write.mode("overwrite").partitionBy("batch_id").parquet(path)

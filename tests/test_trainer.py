@@ -214,3 +214,9 @@ def test_blocked_feed_layout_gives_the_same_fit(spark, monkeypatch):
     snap.release()
     blocked = TR.fit(df, None, 10, cfg)
     assert np.allclose(plain.weights, blocked.weights, atol=1e-12)
+
+
+def test_empty_training_table_is_a_clear_error(spark):
+    df = _emb(spark).limit(0)
+    with pytest.raises(ValueError, match="no training rows"):
+        TR.fit(df, None, 10, TR.TrainConfig(epochs=1))
