@@ -6,8 +6,6 @@ from flowline.plans.catalog import ORACLE, QUERIES
 from tests.oracle_harness import compare, duck
 
 SF = "/root/testdata/sf0.001"
-# long iterative queries are exercised by their own tests
-SKIP = {"parallel_trials", "sequential_trials", "checkpoint_resume", "distributed_fit"}
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +19,7 @@ def test_oracle_parity(spark, con, name):
     assert r["ok"], r
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_rows_only_queries_run(spark, name):
     df = QUERIES[name](spark, SF)
     assert df.count() >= 0 and len(df.columns) > 0
