@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from flowline.llm import mixing
+from flowline.llm import hyperminhash, mixing
 
 QUERIES = {
+    "op2_hyperminhash": hyperminhash.op2_hyperminhash,
     "op8_mixing": mixing.op8_mixing,
 }
 
