@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from flowline.llm import hyperminhash, mixing
+from flowline.llm import doubling, hyperminhash, mixing
 
 QUERIES = {
     "op2_hyperminhash": hyperminhash.op2_hyperminhash,
+    "op4_doubling": doubling.op4_doubling,
     "op8_mixing": mixing.op8_mixing,
 }
 
 ORACLE = {
+    "op4_doubling": doubling.op4_doubling,
     "op8_mixing": mixing.oracle_sql(),
 }
