@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from flowline.llm import doubling, hyperminhash, mixing
+from flowline.llm import doubling, hyperminhash, mixing, toxicity
 
 QUERIES = {
     "op2_hyperminhash": hyperminhash.op2_hyperminhash,
     "op4_doubling": doubling.op4_doubling,
     "op8_mixing": mixing.op8_mixing,
+    "op9_toxicity": toxicity.op9_toxicity,
 }
 
 ORACLE = {
