@@ -157,7 +157,8 @@ def taken_pieces(docs: DataFrame, takes: DataFrame, block_words: int = BLOCK_WOR
                                         F.lit(block_words)))
               .withColumn("begin", F.col("block") * block_words + F.col("lo") - F.col("start"))
               .drop("start", "size"))
-    hit = pieces.join(takes.select("src", "pass", "block", "words"), ["src", "block"])
+    # slots come out of an explode, whose size no estimate sees: never broadcast them
+    hit = pieces.join(takes.select("src", "pass", "block", "words").hint("merge"), ["src", "block"])
     return (hit.withColumn("words", F.least("hi", "words") - F.col("lo")).filter("words > 0")
             .select("uid", "pass", "begin", "words"))
 
@@ -171,7 +172,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, cap: int = CAP
     d = staged(placed(sizes, targets), "mixing_places")
     taken = (taken_pieces(d, slots(targets, cap, block_words), block_words)
              .groupBy("uid").agg(F.sum("words").alias("taken")))
-    return (d.join(taken, "uid", "left")
+    return (d.join(taken.hint("merge"), "uid", "left")
             .select("doc_id", "size", "source_size", "target",
                     F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken")))
 
@@ -196,7 +197,7 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, ca
         "_runs", lambda r: F.slice(words, (r["begin"] + 1).cast("int"), r["words"].cast("int")))), " ")
     text = F.when(F.col("_n") == F.col("size"), F.col("row.text")).otherwise(part)
     schema: StructType = docs.schema
-    rows = sizes.join(runs, "uid").select("row", text.alias("_text"))
+    rows = sizes.join(runs.hint("merge"), "uid").select("row", text.alias("_text"))
     return rows.select(*[F.col("_text").alias(f.name) if f.name == "text"
                          else F.length("_text").cast(f.dataType).alias(f.name) if f.name == "n_chars"
                          else F.col("row").getField(f.name).alias(f.name) for f in schema])
