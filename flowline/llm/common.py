@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def releasing(spark: SparkSession):
+    """Within it, a write lets go of its shuffle files when it has ended."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once under the shared checkpoint folder and read back.
 
@@ -30,30 +40,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     the job.  The shuffle files of the write are released with it."""
     spark = df.sparkSession
     path = scratch_path(spark, "llm", name)
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with releasing(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_rows(df: DataFrame, fn: Callable[[list[list]], list], schema: pa.Schema) -> DataFrame:
-    """Apply ``fn`` to the column lists of each Arrow batch; it returns the
-    output columns."""
-    from pyspark.sql.pandas.types import from_arrow_schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                out = fn([c.to_pylist() for c in b.columns])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t.type) for c, t in zip(out, schema, strict=True)], schema=schema)
-
-    return df.mapInArrow(run, from_arrow_schema(schema))
-
-
 def mix64(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Order-sensitive 64-bit hash of two uint64 arrays, element by element."""
     x = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b + np.uint64(0x7F4A7C159E3779B9))

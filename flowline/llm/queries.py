@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from flowline.llm import doubling, hyperminhash, mixing, secrets, toxicity
+from flowline.llm import bitplane, doubling, hyperminhash, mixing, secrets, toxicity
 
 QUERIES = {
     "op2_hyperminhash": hyperminhash.op2_hyperminhash,
     "op4_doubling": doubling.op4_doubling,
     "op5_secrets": secrets.op5_secrets,
+    "op7_bitplane": bitplane.op7_bitplane,
     "op8_mixing": mixing.op8_mixing,
     "op9_toxicity": toxicity.op9_toxicity,
 }
