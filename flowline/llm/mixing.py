@@ -34,38 +34,25 @@ BLOCK_WORDS = 64
 BUCKETS = 4096       # parts of a source's prefix sum
 SHARD_SLOTS = 1024   # blocks of an output shard
 SEQUENCE = 65_536    # slots made from one row
-ROUNDS = 4
-WALK = 64
-PRIME = 2_147_483_647
+ROUNDS = 24          # of the permutation
+PRIME, PRIME_2 = 2_147_483_647, 2_147_483_629
 
 
-def _step_sql(x: str, n: str, key: str) -> str:
-    """SQL (of Spark and of DuckDB) for one pass of the permutation network: a
-    Feistel network over a x b >= n cells, a = ceil(sqrt(n))."""
-    div = "CAST(floor({} / {}) AS BIGINT)".format
-    a = f"CAST(ceil(sqrt({n})) AS BIGINT)"
-    b = f"CAST(ceil({n} / CAST({a} AS DOUBLE)) AS BIGINT)"
-    left, right = div(f"({x})", f"CAST({b} AS DOUBLE)"), f"(({x}) % {b})"
-    for r in range(ROUNDS):
-        v = right if r % 2 == 0 else left
-        f = f"(((({v} * 1103515245 + {key} + {r * 40503 + 7}) % {PRIME}) * 1566083941) % {PRIME})"
-        f = f"(((({f}) + {v}) * 69069) % {PRIME})"
-        if r % 2 == 0:
-            left = f"(({left} + {f}) % {a})"
-        else:
-            right = f"(({right} + {f}) % {b})"
-    return f"({left} * {b} + {right})"
+def _swap_sql(v: str, r: str, n: str, key: str) -> str:
+    """SQL (of Spark and of DuckDB) for round ``r`` of a swap-or-not shuffle of
+    0..n-1: v and its partner K - v change places if a hash of the larger of
+    the two says so, which makes each round a bijection for any n."""
+    turn = f"((((({key} + {r} * 104729) * 69621) % {PRIME}) * 40503) % {n})"
+    partner = f"(({turn} + {n} - {v}) % {n})"
+    high = f"greatest({v}, {partner})"
+    bits = (f"((({high} % {PRIME}) * 1103515245 + ({high} % {PRIME_2}) * 69069 + {key} + {r} * 40503) % {PRIME})"
+            f" * 1566083941 % {PRIME}")
+    return f"CASE WHEN ({bits}) % 1024 < 512 THEN {partner} ELSE {v} END"
 
 
 def permute(x: str, n: str, key: str) -> Column:
-    """A pseudorandom permutation of 0..n-1 at ``x``.  A value outside 0..n-1
-    goes through the network again until it falls inside (cycle walking); at
-    most ``ceil(sqrt(n))`` cells lie outside, so 64 rounds always suffice for
-    n up to 4,096 and fail with a chance below 64**-64 beyond it."""
-    once = _step_sql(x, n, key)
-    again = (f"aggregate(sequence(1, {WALK}), {once}, "
-             f"(v, i) -> CASE WHEN v < {n} THEN v ELSE {_step_sql('v', n, key)} END)")
-    return F.expr(f"CASE WHEN {once} < {n} THEN {once} ELSE {again} END")
+    """A pseudorandom permutation of 0..n-1 at ``x``."""
+    return F.expr(f"aggregate(sequence(1L, {ROUNDS}L), {x}, (v, r) -> {_swap_sql('v', 'r', n, key)})")
 
 
 def sized(docs: DataFrame, *carry: str) -> DataFrame:
@@ -210,7 +197,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oracle_sql() -> str:
     """The same mix for DuckDB."""
-    n_b, b = "blocks", BLOCK_WORDS
+    b = BLOCK_WORDS
     return f"""
 WITH sizes AS (
   SELECT doc_id, source,
@@ -242,12 +229,11 @@ counted AS (
   SELECT *, CAST(ceil(words / {float(b)}) AS BIGINT) AS n,
          CAST((src * 7919 + pass * 104729 + 12345) % {PRIME} AS BIGINT) AS key FROM passes),
 drawn AS (SELECT *, unnest(range(n)) AS j FROM counted WHERE n > 0),
-stepped AS (SELECT *, {_step_sql('j', n_b, 'key')} AS v FROM drawn),
 takes AS (
   SELECT src, CASE WHEN words = source_size THEN {b} ELSE least({b}, words - j * {b}) END AS words,
-         list_reduce([v] || range(1, {WALK + 1}),
-                     lambda x, i: CASE WHEN x < blocks THEN x ELSE {_step_sql('x', n_b, 'key')} END) AS block
-  FROM stepped),
+         list_reduce([j] || range(1, {ROUNDS + 1}),
+                     lambda v, r: {_swap_sql('v', 'r', 'blocks', 'key')}) AS block
+  FROM drawn),
 places AS (
   SELECT doc_id, size, t.src, source_size, target,
          CAST(sum(size) OVER (PARTITION BY t.src ORDER BY bucket, doc_id
