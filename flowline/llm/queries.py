@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from flowline.llm import bitplane, doubling, hyperminhash, mixing, secrets, toxicity
+from flowline.llm import bitplane, doubling, hyperminhash, mixing, nbest, secrets, toxicity
 
 QUERIES = {
     "op2_hyperminhash": hyperminhash.op2_hyperminhash,
+    "op3_nbest": nbest.op3_nbest,
     "op4_doubling": doubling.op4_doubling,
     "op5_secrets": secrets.op5_secrets,
     "op7_bitplane": bitplane.op7_bitplane,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_nbest": nbest.op3_nbest,
     "op4_doubling": doubling.op4_doubling,
     "op8_mixing": mixing.oracle_sql(),
 }
