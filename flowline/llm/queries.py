@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from flowline.llm import bitplane, doubling, hyperminhash, mixing, nbest, secrets, toxicity
+from flowline.llm import bitplane, doubling, htmlcrf, hyperminhash, mixing, nbest, secrets, toxicity
 
 QUERIES = {
+    "op1_htmlcrf": htmlcrf.op1_htmlcrf,
     "op2_hyperminhash": hyperminhash.op2_hyperminhash,
     "op3_nbest": nbest.op3_nbest,
     "op4_doubling": doubling.op4_doubling,
