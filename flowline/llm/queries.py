@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowline.llm import bitplane, doubling, htmlcrf, hyperminhash, mixing, nbest, secrets, toxicity
+from flowline.llm import bitplane, doubling, htmlcrf, hyperminhash, mixing, nbest, secrets, toxicity, voronoi
 
 QUERIES = {
     "op1_htmlcrf": htmlcrf.op1_htmlcrf,
@@ -10,12 +10,14 @@ QUERIES = {
     "op3_nbest": nbest.op3_nbest,
     "op4_doubling": doubling.op4_doubling,
     "op5_secrets": secrets.op5_secrets,
+    "op6_voronoi": voronoi.op6_voronoi,
     "op7_bitplane": bitplane.op7_bitplane,
     "op8_mixing": mixing.op8_mixing,
     "op9_toxicity": toxicity.op9_toxicity,
 }
 
 ORACLE = {
+    "op6_voronoi": voronoi.oracle_sql(),
     "op3_nbest": nbest.op3_nbest,
     "op4_doubling": doubling.op4_doubling,
     "op8_mixing": mixing.oracle_sql(),
