@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowline.llm import bitplane, doubling, htmlcrf, hyperminhash, mixing, nbest, secrets, toxicity, voronoi
+from flowline.llm import bitplane, doubling, graphann, htmlcrf, hyperminhash, mixing, nbest, secrets, toxicity, voronoi
 
 QUERIES = {
     "op1_htmlcrf": htmlcrf.op1_htmlcrf,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_bitplane": bitplane.op7_bitplane,
     "op8_mixing": mixing.op8_mixing,
     "op9_toxicity": toxicity.op9_toxicity,
+    "op10_graphann": graphann.op10_graphann,
 }
 
 ORACLE = {
