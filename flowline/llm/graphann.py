@@ -203,7 +203,7 @@ def _nodes(vectors: DataFrame, k: int) -> DataFrame:
 
 def _graph(nodes: DataFrame, shards: int) -> DataFrame:
     """(shard, node, start, x, ids, edges): the graphs as a table."""
-    def make(key, t: pa.Table) -> pa.Table:
+    def make(key, t):
         t = t.take(pa.array(np.array(sorted(range(t.num_rows), key=t.column("x").to_pylist().__getitem__))))
         x = unit_rows(matrix(t.column("x"))).astype(np.float32)
         edges, start = build(x)
@@ -231,7 +231,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
     held = graph.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
-    def find(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def find(key, left, right):
         parts: list = [[], [], []]
         q = matrix(left.column("x")) if left.num_rows else np.zeros((0, 1))
         who = left.column("id").to_numpy()[(q != 0).any(axis=1)] if left.num_rows else np.zeros(0, np.int64)
