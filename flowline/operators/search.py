@@ -20,7 +20,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -169,25 +169,25 @@ def run_search(spark: SparkSession, objective, space: dict, max_evals: int = 20,
                on_trial=None) -> SearchResult:
     """Rounds of ``parallelism`` points; proposals for round r see the
     results of rounds < r.  ``objective(points: list[dict]) -> list[(loss,
-    status)]`` evaluates a whole round (e.g. fused training)."""
+    status[, error])]`` evaluates a whole round (e.g. fused training)."""
     names = list(space)
     schema = "trial_id bigint, " + ", ".join(f"{n} {param_type(space[n])}" for n in names) + \
-        ", loss double, status string"
+        ", loss double, status string, error string"
     history: list[tuple] = []
     rnd = 0
     while len(history) < max_evals:
         k = min(parallelism, max_evals - len(history))
-        if algo == "rand" or len(history) < n_startup or not any(h[-1] == "ok" for h in history):
+        if algo == "rand" or len(history) < n_startup or not any(h[-2] == "ok" for h in history):
             pts = sample_points(spark, space, k, f"{seed}:rand{rnd}:")
         else:
             done = spark.createDataFrame(history, schema)
             pts = tpe_propose(done, space, k, rnd, n_candidates, gamma, seed=f"{seed}:tpe")
         points = [{n: r[n] for n in names} for r in pts.select(*names).collect()]   # k rows
         results = objective(points)
-        for p, (loss, status) in zip(points, results):
+        for p, (loss, status, *error) in zip(points, results):
             tid = len(history)
             history.append((tid, *[p[n] for n in names], None if loss is None else float(loss),
-                            status if loss is not None else "fail"))
+                            status if loss is not None else "fail", error[0] if error else None))
             if on_trial:
                 on_trial(tid, p, loss, status)
         rnd += 1
@@ -198,13 +198,25 @@ def run_search(spark: SparkSession, objective, space: dict, max_evals: int = 20,
 
 def trial_config(base, point: dict):
     """A training config with a point's hyper-parameters applied."""
-    from flowline.operators import trainer as TR
     kw = {k: v for k, v in point.items() if k in ("learning_rate", "dropout", "optimizer", "batch_size")}
     if "optimizer" in kw:
         kw["optimizer"] = str(kw["optimizer"]).lower()
     if "batch_size" in kw:
         kw["batch_size"] = int(kw["batch_size"])
-    return TR.with_config(base, **kw)
+    return replace(base, **kw)
+
+
+def config_fault(config) -> str | None:
+    """Why a configuration can't be trained, or None."""
+    if config.optimizer not in ("adam", "adadelta", "sgd"):
+        return f"unknown optimizer {config.optimizer!r}"
+    if not config.learning_rate > 0 or not math.isfinite(config.learning_rate):
+        return f"learning rate {config.learning_rate} is not positive"
+    if not 0 <= config.dropout < 1:
+        return f"dropout {config.dropout} is not in [0, 1)"
+    if config.batch_size < 1 or config.epochs < 1:
+        return "batch size and epochs must be positive"
+    return None
 
 
 def checkpoint_name(point: dict) -> str:
@@ -215,49 +227,66 @@ def checkpoint_name(point: dict) -> str:
 
 def fused_fit_objective(train: DataFrame, val: DataFrame, num_classes: int, base,
                         metric: str = "val_loss", store=None, parent_run_id: str | None = None,
-                        checkpoint_root: str | None = None):
+                        checkpoint_root: str | None = None, on_fit=None):
     """Objective for ``run_search``: fits every point of a round with the
     distributed trainer, fusing points that share a batch size, and returns
-    ``metric`` (negated for accuracy, which is maximised)."""
+    (``metric``, status, error), the metric negated if larger is better.
+
+    A point that can't be trained fails alone, with its reason; an error of
+    the cluster is raised.  A trial's masks depend on its own seed, so its
+    result is the same in any company.  With a store each trial is a child
+    run (FAILED if it failed); ``on_fit(run_id, fit)`` may add to it.  Call
+    ``objective.cache.release()`` (or use it as a context) when done."""
     from flowline.operators import trainer as TR
+    from flowline.operators.runs import lower_is_better
 
-    # one snapshot per (batch size, workers) for the whole search
     cache = TR.FeedCache(train, val)
+    sign = 1 if lower_is_better(metric) else -1
+    done = 0
+
+    def record(point, fit, error):
+        nonlocal done
+        if store is not None:
+            rid = store.start_run(f"trial_{done}", parent_run_id)
+            store.log_params(rid, {**point, **({"error": error} if error else {})})
+            if fit is not None:
+                store.log_history(rid, fit.history)
+                if error is None and on_fit is not None:
+                    on_fit(rid, fit)
+            store.end_run(rid, "FAILED" if error else "FINISHED")
+        done += 1
 
     def objective(points):
         cfgs = [trial_config(base, p) for p in points]
-        out = [None] * len(points)
+        fits: list = [None] * len(points)
+        errors = [config_fault(c) for c in cfgs]
         groups: dict = {}
         for i, c in enumerate(cfgs):
-            groups.setdefault((c.batch_size, c.workers), []).append(i)
+            if errors[i] is None:
+                groups.setdefault((c.batch_size, c.workers), []).append(i)
         for idx in groups.values():
             on_epoch = None
             if checkpoint_root is not None:
                 from flowline.sources import tables as TB
                 spark = train.sparkSession
 
-                def on_epoch(epoch, W, histories, idx=idx):
-                    # one weights checkpoint per trial and epoch, in a folder
-                    # named after the trial's hyper-parameters
+                def on_epoch(epoch, W, histories, states, idx=idx):
+                    # one checkpoint per trial and epoch, in a folder named
+                    # after the trial's hyper-parameters
                     for j, i in enumerate(idx):
                         TB.save_checkpoint(spark, f"{checkpoint_root}/{checkpoint_name(points[i])}",
                                            "trial", epoch, W[j, :-1], W[j, -1])
-            try:
-                fits = TR.fit_many(train, val, num_classes, [cfgs[i] for i in idx], feed=cache,
-                                   on_epoch=on_epoch)
-            except Exception:   # a failing trial keeps its row, with no loss
-                for i in idx:
-                    out[i] = (None, "fail")
-                continue
-            for i, f in zip(idx, fits):
-                v = f.final.get(metric)
-                loss = None if v is None or not math.isfinite(v) else (-v if "accuracy" in metric else v)
-                out[i] = (loss, "ok" if loss is not None else "fail")
-                if store is not None:
-                    rid = store.start_run(f"trial_{i}", parent_run_id)
-                    store.log_params(rid, points[i])
-                    store.log_history(rid, f.history)
-                    store.end_run(rid)
+            for i, f in zip(idx, TR.fit_many(train, val, num_classes, [cfgs[i] for i in idx], feed=cache,
+                                             on_epoch=on_epoch)):
+                fits[i] = f
+        out = []
+        for p, f, error in zip(points, fits, errors):
+            value = f.final.get(metric) if f is not None else None
+            if error is None and (value is None or not math.isfinite(value)):
+                error = f"{metric} is {value}"
+            record(p, f, error)
+            out.append((None, "fail", error) if error else (sign * value, "ok", None))
         return out
+
     objective.cache = cache
     return objective

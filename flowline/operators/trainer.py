@@ -5,8 +5,9 @@ pooled features, trained with sparse categorical cross-entropy on logits:
 multinomial logistic regression.  Features are computed once (they are
 frozen), written as a snapshot, and every optimisation step is one Spark job:
 
-    weights (closure, D x K) -> mapInPandas partial sums per partition
-    -> groupBy(trial, k, pos).sum  (the all-reduce)  -> optimizer on the driver
+    weights (broadcast, D x K) -> mapInPandas, one array of partial sums per
+    partition -> merged ``FAN_IN`` at a time (the all-reduce) -> optimizer on
+    the driver
 
 The driver only ever holds model-sized arrays (trials x (D+1) x K).  Several
 trials that share a batch size are fused: one scan computes every trial's
@@ -27,14 +28,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowline.operators.feed import steps_per_epoch, with_batches
+from flowline.operators.feed import steps_per_epoch, visits, with_positions
 from flowline.session import scratch_path
 from flowline.sources.tables import Snapshot
 
 PARTIAL_SCHEMA = "t int, k int, pos int, g double"
-# Largest (input partitions x model cells) summed on the driver directly
-# (~16 MB of doubles); above it the all-reduce is a shuffle aggregation.
-DIRECT_REDUCE_VALUES = 2_000_000
+SUMS_SCHEMA = "part int, sums binary"
+# Partial sums that one task merges.
+FAN_IN = 64
 # Extra partial rows (k = 0) carry statistics next to the gradient cells.
 POS_LOSS, POS_CORRECT, POS_COUNT = -1, -2, -3
 
@@ -73,21 +74,27 @@ def _softmax_rows(z: np.ndarray) -> np.ndarray:
 
 
 def batch_partials(X: np.ndarray, y: np.ndarray, keys: np.ndarray, weights: np.ndarray,
-                   dropout: np.ndarray, seed: int, epoch: int, step: int, train: bool,
+                   dropout: np.ndarray, seeds, epoch: int, step: int, train: bool,
                    grad: np.ndarray, loss: np.ndarray, correct: np.ndarray,
-                   trial_ids=None) -> None:
+                   trial_ids=None) -> int:
     """Add one block of rows' gradient sums, loss sums and hits (all trials)
-    into the accumulators.  ``trial_ids`` key each trial's dropout masks (by
-    default its position), so a trial's masks do not change when other
-    trials leave a fused pass."""
+    into the accumulators; returns the number of rows with a known class.
+
+    ``seeds`` (one, or one per trial) and ``trial_ids`` key each trial's
+    dropout masks, so they don't change with its place in a fused pass.  A
+    class that the head doesn't have (an unseen label kept as index K) gives
+    neither loss nor gradient and is a miss."""
     T, D1, K = weights.shape
     D = D1 - 1
+    known = (y >= 0) & (y < K)
+    X, y, keys = X[known], y[known], keys[known]
     rows = np.arange(len(y))
-    ids = range(T) if trial_ids is None else trial_ids
+    ids = [0] * T if trial_ids is None else trial_ids
+    seeds = [seeds] * T if np.ndim(seeds) == 0 else seeds
     for t, tid in zip(range(T), ids):
         Xt = X
         if train and dropout[t] > 0:
-            keep = dropout_keep(keys, D, float(dropout[t]), seed, int(tid), epoch, step)
+            keep = dropout_keep(keys, D, float(dropout[t]), int(seeds[t]), int(tid), epoch, step)
             Xt = np.where(keep, X / (1.0 - dropout[t]), 0.0)
         z = Xt @ weights[t, :D, :] + weights[t, D, :]
         zmax = z.max(axis=1, keepdims=True)
@@ -99,166 +106,91 @@ def batch_partials(X: np.ndarray, y: np.ndarray, keys: np.ndarray, weights: np.n
             r[rows, y] -= 1.0
             grad[t, :D, :] += Xt.T @ r
             grad[t, D, :] += r.sum(axis=0)
+    return len(y)
 
 
-def partial_sums(batches, weights: np.ndarray, dropout: np.ndarray, seed: int,
-                 epoch: int, step: int, train: bool, feature_col: str,
-                 label_col: str, key_col: str, trial_ids=None):
-    """mapInPandas body: one partition in, one set of partial sums out.
-
-    weights: (T, D+1, K) with the bias in the last row."""
+def _accumulate(batches, weights, dropout, seeds, epoch, step, train, feature_col, label_col, key_col, trial_ids):
+    """(grad, loss, correct, rows, rows of a known class) of one partition."""
     T, D1, K = weights.shape
-    grad = np.zeros((T, D1, K))
-    loss = np.zeros(T)
-    correct = np.zeros(T)
-    n = 0
+    grad, loss, correct = np.zeros((T, D1, K)), np.zeros(T), np.zeros(T)
+    n = known = 0
     for pdf in batches:
         if len(pdf) == 0:
             continue
-        X = np.stack(pdf[feature_col].to_numpy()).astype(np.float64)
-        y = pdf[label_col].to_numpy().astype(np.int64)
-        keys = pdf[key_col].to_numpy().astype(np.int64)
+        times = pdf["visits"].to_numpy(np.int64) if "visits" in pdf.columns else np.ones(len(pdf), np.int64)
+        X = np.repeat(np.stack(pdf[feature_col].to_numpy()).astype(np.float64), times, axis=0)
+        y = np.repeat(pdf[label_col].to_numpy().astype(np.int64), times)
+        keys = np.repeat(pdf[key_col].to_numpy().astype(np.int64), times)
         n += len(y)
-        batch_partials(X, y, keys, weights, dropout, seed, epoch, step, train, grad, loss, correct,
-                       trial_ids)
-    out_t, out_k, out_p, out_g = [], [], [], []
-    for t in range(T):
-        out_t += [t, t, t]
-        out_k += [0, 0, 0]
-        out_p += [POS_LOSS, POS_CORRECT, POS_COUNT]
-        out_g += [loss[t], correct[t], float(n)]
+        known += batch_partials(X, y, keys, weights, dropout, seeds, epoch, step, train, grad, loss, correct,
+                                trial_ids)
+    return grad, loss, correct, n, known
+
+
+def partial_sums(batches, weights: np.ndarray, dropout: np.ndarray, seeds,
+                 epoch: int, step: int, train: bool, feature_col: str,
+                 label_col: str, key_col: str, trial_ids=None):
+    """mapInPandas body: one partition in, its sums as one row per cell out.
+
+    weights: (T, D+1, K) with the bias in the last row."""
+    T, D1, K = weights.shape
+    grad, loss, correct, n, known = _accumulate(batches, weights, dropout, seeds, epoch, step, train,
+                                                feature_col, label_col, key_col, trial_ids)
+    t = np.repeat(np.arange(T, dtype=np.int32), 3)
+    out = pd.DataFrame({"t": t, "k": np.zeros(3 * T, np.int32),
+                        "pos": np.tile(np.array([POS_LOSS, POS_CORRECT, POS_COUNT], np.int32), T),
+                        "g": np.stack([loss, correct, np.full(T, float(known))], axis=1).ravel()})
     if train and n:
         tt, pp, kk = np.meshgrid(np.arange(T), np.arange(D1), np.arange(K), indexing="ij")
-        out_t += tt.ravel().tolist()
-        out_p += pp.ravel().tolist()
-        out_k += kk.ravel().tolist()
-        out_g += grad.ravel().tolist()
-    yield pd.DataFrame({"t": np.asarray(out_t, dtype=np.int32), "k": np.asarray(out_k, dtype=np.int32),
-                        "pos": np.asarray(out_p, dtype=np.int32), "g": np.asarray(out_g, dtype=np.float64)})
+        cells = pd.DataFrame({"t": tt.ravel().astype(np.int32), "k": kk.ravel().astype(np.int32),
+                              "pos": pp.ravel().astype(np.int32), "g": grad.ravel()})
+        out = pd.concat([out, cells], ignore_index=True)
+    yield out
 
 
-def all_reduce(df: DataFrame, weights: np.ndarray, dropout: np.ndarray, seed: int,
+def all_reduce(df: DataFrame, weights: np.ndarray, dropout: np.ndarray, seeds,
                epoch: int, step: int, train: bool, feature_col: str = "features",
-               label_col: str = "label_idx", key_col: str = "row_id", trial_ids=None,
-               max_partitions: int | None = None):
+               label_col: str = "label_idx", key_col: str = "row_id", trial_ids=None):
     """Run one distributed pass; returns (grad_sums (T,D+1,K), loss_sums (T,),
-    correct (T,), n).  Gradient sums are not yet divided by n.
-    ``max_partitions`` is an upper bound on the input's partition count
-    (e.g. the unfiltered snapshot's, computed once per fit); without it the
-    input is planned once more to count them."""
-    T, D1, K = weights.shape
-    w = np.array(weights, dtype=np.float64)
-    d = np.array(dropout, dtype=np.float64)
+    correct (T,), rows, rows of a known class).  Gradient sums are not yet
+    divided.
 
+    Each input partition gives one array; a second stage merges at most
+    ``FAN_IN`` of them per task, so the driver adds partitions / FAN_IN arrays
+    of the model's size.  A ``visits`` column, if there, repeats rows."""
+    T, D1, K = weights.shape
+    sc = df.sparkSession.sparkContext
+    shared = sc.broadcast((np.array(weights, dtype=np.float64), np.array(dropout, dtype=np.float64)))
     ids = None if trial_ids is None else [int(i) for i in trial_ids]
-
-    def fn(it):
-        return partial_sums(it, w, d, seed, epoch, step, train, feature_col, label_col, key_col, ids)
-
-    parts = df.select(key_col, feature_col, label_col).mapInPandas(fn, PARTIAL_SCHEMA)
-    cells = T * D1 * K + 3 * T
-    n_in = max_partitions if max_partitions is not None else df._jdf.rdd().getNumPartitions()
-    if n_in * cells <= DIRECT_REDUCE_VALUES:
-        # Proven small: every input partition sends one model-sized partial,
-        # and n_in x cells values fit the bound -- sum them on the driver in a
-        # single-stage job (no shuffle).
-        pdf = parts.toPandas()
-    else:
-        # The all-reduce as a shuffle: partials are one row per cell per
-        # partition, so the reduce side is sized by the model, not the data.
-        reducers = max(1, cells // 200_000)
-        pdf = (parts.repartition(reducers, "t", "k", "pos")
-                    .groupBy("t", "k", "pos").agg(F.sum("g").alias("g"))
-                    .toPandas())
-    grad = np.zeros((T, D1, K))
-    loss = np.zeros(T)
-    correct = np.zeros(T)
-    t_ = pdf["t"].to_numpy(np.int64)
-    k_ = pdf["k"].to_numpy(np.int64)
-    p_ = pdf["pos"].to_numpy(np.int64)
-    g_ = pdf["g"].to_numpy(np.float64)
-    m = p_ >= 0
-    np.add.at(grad, (t_[m], p_[m], k_[m]), g_[m])
-    np.add.at(loss, t_[p_ == POS_LOSS], g_[p_ == POS_LOSS])
-    np.add.at(correct, t_[p_ == POS_CORRECT], g_[p_ == POS_CORRECT])
-    cnt = np.zeros(T)
-    np.add.at(cnt, t_[p_ == POS_COUNT], g_[p_ == POS_COUNT])
-    return grad, loss, correct, int(round(cnt[0])) if T else 0
-
-
-# ---------------------------------------------------------------- barrier mode
-def shard_feed(snap_df: DataFrame, workers: int, key_col: str, feature_col: str, label_col: str):
-    """Rows of shard r in partition r, sorted by (batch, position): the input
-    of the barrier trainer.  Persisted, so every epoch reuses one shuffle."""
-    from pyspark import StorageLevel
-    rdd = (snap_df.select("shard", "batch_id", "pos", key_col, feature_col, label_col).rdd
-           .map(lambda r: ((int(r[0]), int(r[1]), int(r[2])), (int(r[3]), r[4], int(r[5]))))
-           .repartitionAndSortWithinPartitions(workers, partitionFunc=lambda k: k[0]))
-    return rdd.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def barrier_epoch(feed_rdd, W: np.ndarray, opts: list, configs: list, scales: np.ndarray,
-                  active: np.ndarray, drops: np.ndarray, seed: int, epoch: int, steps: int):
-    """One epoch as ONE barrier job: every task streams its shard batch by
-    batch; after each batch the tasks exchange partial sums with
-    ``allGather`` (rank order, so every task adds them identically) and apply
-    the same update.  Task 0 returns the new weights, optimizer states and
-    the epoch's training sums.  A failed task fails the stage, which Spark
-    re-runs as a whole; inputs are deterministic, so the retry is exact."""
-    import base64
-    import pickle
-
-    W0 = np.array(W, dtype=np.float64)
-    opts0 = pickle.dumps(opts)
-    act = np.array(active, dtype=bool)
-    cfg = [(c.learning_rate * (c.workers if c.scale_lr else 1), c.workers, c.warmup_epochs) for c in configs]
-
-    def run(it):
-        from pyspark import BarrierTaskContext
-        ctx = BarrierTaskContext.get()
-        w = W0.copy()
-        optim = pickle.loads(opts0)
-        T, D1, K = w.shape
-        tr_loss, tr_corr, tr_n = np.zeros(T), np.zeros(T), 0
-        it = iter(it)
-        pending = next(it, None)
-        for s in range(steps):
-            keys, xs, ys = [], [], []
-            while pending is not None and pending[0][1] <= s:
-                if pending[0][1] == s:
-                    keys.append(pending[1][0])
-                    xs.append(pending[1][1])
-                    ys.append(pending[1][2])
-                pending = next(it, None)
-            grad, loss, corr = np.zeros((T, D1, K)), np.zeros(T), np.zeros(T)
-            if ys:
-                batch_partials(np.asarray(xs, dtype=np.float64), np.asarray(ys, dtype=np.int64),
-                               np.asarray(keys, dtype=np.int64), w, drops, seed, epoch, s, True,
-                               grad, loss, corr)
-            msg = np.concatenate([grad.ravel(), loss, corr, [float(len(ys))]])
-            got = ctx.allGather(base64.b64encode(msg.tobytes()).decode("ascii"))
-            tot = np.zeros_like(msg)
-            for g in got:
-                tot += np.frombuffer(base64.b64decode(g), dtype=np.float64)
-            n = int(round(tot[-1]))
-            cells = T * D1 * K
-            tr_loss += tot[cells:cells + T]
-            tr_corr += tot[cells + T:cells + 2 * T]
-            tr_n += n
-            if n == 0:
-                continue
-            g_all = tot[:cells].reshape(T, D1, K)
-            for t in range(T):
-                if not act[t]:
-                    continue
-                target, workers, warm = cfg[t]
-                lr = warmup_lr(target, workers, epoch + s / steps, warm) * scales[t]
-                w[t] = optim[t].update(w[t], g_all[t] / n, lr)
-        if ctx.partitionId() == 0:
-            yield pickle.dumps((w, optim, tr_loss, tr_corr, tr_n))
-
-    out = feed_rdd.barrier().mapPartitions(run).collect()
-    return pickle.loads(out[0])
+    fan_in = FAN_IN
+
+    def partial(it):
+        from pyspark import TaskContext
+        w, d = shared.value
+        grad, loss, correct, n, known = _accumulate(it, w, d, seeds, epoch, step, train,
+                                                    feature_col, label_col, key_col, ids)
+        sums = np.concatenate([loss, correct, [float(n), float(known)], grad.ravel() if train else []])
+        yield pd.DataFrame({"part": np.array([TaskContext.get().partitionId() // fan_in], np.int32),
+                            "sums": [sums.tobytes()]})
+
+    def merge(it):
+        total: dict = {}
+        for pdf in it:
+            for part, raw in zip(pdf["part"], pdf["sums"]):
+                x = np.frombuffer(raw)
+                total[part] = x + total[part] if part in total else x
+        yield pd.DataFrame({"part": np.array(sorted(total), np.int32),
+                            "sums": [total[k].tobytes() for k in sorted(total)]})
+
+    cols = [key_col, feature_col, label_col] + (["visits"] if "visits" in df.columns else [])
+    parts = df.select(*cols).mapInPandas(partial, SUMS_SCHEMA)
+    merged = parts.repartition("part").mapInPandas(merge, SUMS_SCHEMA).collect()
+    shared.unpersist()
+    total = np.zeros(2 * T + 2 + (T * D1 * K if train else 0))
+    for row in sorted(merged, key=lambda r: r["part"]):
+        total += np.frombuffer(row["sums"])
+    grad = total[2 * T + 2:].reshape(T, D1, K) if train else np.zeros((T, D1, K))
+    return grad, total[:T].copy(), total[T:2 * T].copy(), int(total[2 * T]), int(total[2 * T + 1])
 
 
 # ---------------------------------------------------------------- optimizers
@@ -274,6 +206,12 @@ class Optimizer:
         self.m = np.zeros(shape)
         self.v = np.zeros(shape)
 
+    def state(self) -> dict:
+        return {"t": self.t, "m": self.m.copy(), "v": self.v.copy()}
+
+    def restore(self, state: dict) -> None:
+        self.t, self.m, self.v = int(state["t"]), np.array(state["m"]), np.array(state["v"])
+
     def update(self, w: np.ndarray, g: np.ndarray, lr: float) -> np.ndarray:
         self.t += 1
         if self.name == "sgd":
@@ -356,10 +294,6 @@ class TrainConfig:
     plateau_patience: int | None = None
     early_stop_patience: int | None = None
     early_stop_min_delta: float = 1e-2
-    # "steps": one aggregation job per step (any number of partitions);
-    # "barrier": one barrier job per epoch, gradients via allGather (few
-    # workers, small heads: no per-step job overhead)
-    mode: str = "steps"
 
     def params(self) -> dict:
         return asdict(self)
@@ -387,54 +321,50 @@ def glorot(num_features: int, num_classes: int, seed: int) -> np.ndarray:
     return w
 
 
-# Most directories a training feed may create.  Past it, consecutive batches
-# share a ``batch_block`` directory and a step prunes by block (directories)
-# and then by ``batch_id`` (row-group statistics: files are written sorted).
-MAX_FEED_DIRS = 10_000
+# Positions of a shard in one directory of the feed.
+FEED_BLOCK = 65_536
 
 
 def feature_snapshot(df: DataFrame, key_col: str, feature_col: str, label_col: str,
-                     workers: int, batch_size: int) -> Snapshot:
-    """Features + shard + batch number, written once, one directory per
-    mini-batch (``batch_id=<s>/``) -- or per block of batches when there
-    would be more than ``MAX_FEED_DIRS``.  A step's filter is then partition
-    pruning at planning time: the step reads only its batch's files (about
-    one per shard), never the whole snapshot, and launches about ``workers``
-    tasks however large the table is.  Use ``feed_step(snap, s)``."""
+                     workers: int) -> Snapshot:
+    """Features + shard + position, written once, sorted by position, one
+    directory per ``FEED_BLOCK`` positions.  It serves every batch size.  A
+    step's rows are found by directory and by the files' row-group statistics
+    on ``pos``; use ``feed_step(snap, first, last)``."""
     spark = df.sparkSession
     staged: list = []
-    # many range partitions (not one per worker: a shard is 1/workers of the
-    # data); each holds contiguous positions of one shard, so every writer
-    # task emits one file per batch in its range -- no extra shuffle
-    b = with_batches(df.select(key_col, feature_col, label_col), key_col, workers, batch_size,
-                     staged_paths=staged)
-    top = b.agg(F.max("batch_id")).first()[0]
-    if top is None:
-        raise ValueError("no training rows: the training table is empty")
-    per_block = max(1, -(-(top + 1) // MAX_FEED_DIRS))
     path = scratch_path(spark, "feed")
-    if per_block == 1:
-        b.write.mode("overwrite").partitionBy("batch_id").parquet(path)
-    else:
-        (b.withColumn("batch_block", F.floor(F.col("batch_id") / F.lit(per_block)).cast("bigint"))
-          .write.mode("overwrite").partitionBy("batch_block").parquet(path))
-    snap = Snapshot(spark.read.parquet(path), written=True, cache=False, owned_paths=staged + [path])
-    snap.batches_per_dir = per_block
+    b = with_positions(df.select(key_col, feature_col, label_col), key_col, workers, staged_paths=staged)
+    b = b.withColumn("pos_block", F.floor(F.col("pos") / FEED_BLOCK).cast("bigint"))
+    (b.sortWithinPartitions("pos_block", "shard", "pos")
+      .write.mode("overwrite").partitionBy("pos_block").parquet(path))
+    snap = Snapshot(spark.read.schema(b.schema).parquet(path), written=True, cache=False, owned_paths=staged + [path])
+    # one row per worker
+    snap.shard_rows = {r["shard"]: r["n"] for r in snap.df.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not snap.shard_rows:
+        raise ValueError("no training rows: the training table is empty")
     return snap
 
 
-def feed_step(snap: Snapshot, step: int) -> DataFrame:
-    """The rows of mini-batch ``step`` (all shards), pruned by directory."""
-    per = getattr(snap, "batches_per_dir", 1)
-    cond = F.col("batch_id") == F.lit(step)
-    if per > 1:
-        cond = (F.col("batch_block") == F.lit(step // per)) & cond
-    return snap.df.filter(cond)
+def feed_step(snap: Snapshot, first: int, last: int) -> DataFrame:
+    """Rows ``first`` up to ``last`` of every shard's endless feed, with
+    ``visits`` where the feed passes a row more than once."""
+    blocks, ranges = set(), None
+    for shard, n in sorted(snap.shard_rows.items()):
+        begin, size = first % n, min(last - first, n)
+        pieces = [(begin, min(begin + size, n))] + ([(0, begin + size - n)] if begin + size > n else [])
+        for lo, hi in pieces:
+            blocks.update(range(lo // FEED_BLOCK, (hi - 1) // FEED_BLOCK + 1))
+            here = (F.col("shard") == shard) & (F.col("pos") >= lo) & (F.col("pos") < hi)
+            ranges = here if ranges is None else ranges | here
+    rows = F.create_map(*[F.lit(x) for kv in sorted(snap.shard_rows.items()) for x in kv])
+    return (snap.df.filter(F.col("pos_block").isin(sorted(blocks)) & ranges)
+            .withColumn("visits", visits(F.col("pos"), F.element_at(rows, F.col("shard")), first, last)))
 
 
 class FeedCache:
-    """Feature snapshots keyed by (batch_size, workers), shared by every fit
-    that uses the same layout (e.g. all rounds of a search)."""
+    """Feature snapshots keyed by the worker count, shared by every fit that
+    uses the same shards (e.g. all rounds of a search, at any batch size)."""
 
     def __init__(self, train_df: DataFrame, val_df: DataFrame | None, key_col: str = "row_id",
                  feature_col: str = "features", label_col: str = "label_idx"):
@@ -443,11 +373,10 @@ class FeedCache:
         self._train: dict = {}
         self._val = None
 
-    def train(self, batch_size: int, workers: int) -> Snapshot:
-        k = (batch_size, workers)
-        if k not in self._train:
-            self._train[k] = feature_snapshot(self.train_df, *self.cols, workers, batch_size)
-        return self._train[k]
+    def train(self, workers: int) -> Snapshot:
+        if workers not in self._train:
+            self._train[workers] = feature_snapshot(self.train_df, *self.cols, workers)
+        return self._train[workers]
 
     def val(self) -> Snapshot | None:
         if self._val is None and self.val_df is not None:
@@ -474,97 +403,104 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
              key_col: str = "row_id", feature_col: str = "features",
              label_col: str = "label_idx", on_epoch=None,
              init: np.ndarray | None = None, start_epoch: int = 0,
-             feed: FeedCache | None = None) -> list[FitResult]:
+             feed: FeedCache | None = None, trial_ids: list[int] | None = None,
+             resume: list[dict] | None = None) -> list[FitResult]:
     """Fit several configurations in lock-step, one data pass per step.
 
     All configurations must share ``batch_size`` and ``workers`` (the shard
     and batch layout); group them by those before calling.  Pass a
-    ``FeedCache`` to reuse snapshots across calls."""
+    ``FeedCache`` to reuse snapshots across calls.  ``trial_ids`` key the
+    dropout masks together with each configuration's seed (by default all 0:
+    a trial's fit doesn't depend on its company).
+
+    Step t of the whole fit reads rows t*B up to (t+1)*B of every shard's
+    endless feed, so an epoch goes on where the last one ended and no row is
+    left out.  ``on_epoch(epoch, W, histories, states)`` may store the states;
+    ``resume`` takes them back and the fit goes on exactly as it would have."""
     if len({(c.batch_size, c.workers) for c in configs}) != 1:
         raise ValueError("fused trials must share batch_size and workers")
     base = configs[0]
     own = feed is None
-    barrier_feed = None
     feed = feed or FeedCache(train_df, val_df, key_col, feature_col, label_col)
     try:
-        snap = feed.train(base.batch_size, base.workers)
+        snap = feed.train(base.workers)
         val_snap = feed.val()
         if num_features is None:
             num_features = int(snap.df.select(F.size(feature_col)).first()[0])
         T, D, K = len(configs), num_features, num_classes
-        n = snap.count
-        steps = steps_per_epoch(n, base.batch_size, base.workers)
-        # partition-count bounds for the all-reduce, planned once per fit:
-        # a step's pruned scan never has more partitions than the whole feed
-        train_parts = snap.df._jdf.rdd().getNumPartitions()
-        val_parts = val_snap.df._jdf.rdd().getNumPartitions() if val_snap is not None else None
+        steps = steps_per_epoch(sum(snap.shard_rows.values()), base.batch_size, base.workers)
         W = np.stack([init if init is not None else glorot(D, K, c.seed) for c in configs])
         opts = [Optimizer(c.optimizer, W[0].shape) for c in configs]
         plateaus = [Plateau(patience=c.plateau_patience) if c.plateau_patience else None for c in configs]
         active = np.ones(T, dtype=bool)
         stopped = [None] * T
-        histories = [[] for _ in range(T)]
+        histories: list[list] = [[] for _ in range(T)]
+        for t, state in enumerate(resume or []):
+            W[t] = state["weights"]
+            opts[t].restore(state["optimizer"])
+            histories[t] = [dict(h) for h in state["history"]]
+            if plateaus[t] and state.get("plateau"):
+                plateaus[t] = replace(plateaus[t], **state["plateau"])
+            stopped[t] = state.get("stopped")
+            active[t] = stopped[t] is None
         drops = np.array([c.dropout for c in configs])
-        barrier_feed = None
+        seeds = np.array([c.seed for c in configs])
+        ids = np.array(trial_ids if trial_ids is not None else [0] * T)
+
+        def states():
+            return [{"weights": W[t].copy(), "optimizer": opts[t].state(), "history": list(histories[t]),
+                     "plateau": {k: getattr(plateaus[t], k) for k in ("best", "wait", "scale")} if plateaus[t] else None,
+                     "stopped": stopped[t]} for t in range(T)]
+
         for epoch in range(start_epoch, max(c.epochs for c in configs)):
             for t, c in enumerate(configs):
                 if epoch >= c.epochs:
                     active[t] = False
             if not active.any():
                 break
-            tr_loss = np.zeros(T)
-            tr_corr = np.zeros(T)
-            tr_n = 0
-            lrs = np.zeros(T)
-            if base.mode == "barrier":
-                scales = np.array([p.scale if p else 1.0 for p in plateaus])
-                if barrier_feed is None:
-                    barrier_feed = shard_feed(snap.df, base.workers, key_col, feature_col, label_col)
-                W, opts, tr_loss, tr_corr, tr_n = barrier_epoch(
-                    barrier_feed, W, opts, configs, scales, active, drops, base.seed, epoch, steps)
-                for t, c in enumerate(configs):
-                    target = c.learning_rate * (c.workers if c.scale_lr else 1)
-                    lrs[t] = warmup_lr(target, c.workers, epoch + (steps - 1) / steps,
-                                       c.warmup_epochs) * scales[t]
+            tr_loss, tr_corr, lrs = np.zeros(T), np.zeros(T), np.zeros(T)
+            tr_n = tr_known = 0
             live = np.flatnonzero(active)          # finished trials leave the pass
-            for s in range(steps if base.mode != "barrier" else 0):
-                batch = feed_step(snap, s)
-                g_live, loss, corr, nb = all_reduce(batch, W[live], drops[live], base.seed, epoch, s,
-                                                    True, feature_col, label_col, key_col,
-                                                    trial_ids=live, max_partitions=train_parts)
+            for s in range(steps):
+                at = (epoch * steps + s) * base.batch_size
+                batch = feed_step(snap, at, at + base.batch_size)
+                grad, loss, corr, nb, known = all_reduce(batch, W[live], drops[live], seeds[live], epoch, s,
+                                                         True, feature_col, label_col, key_col,
+                                                         trial_ids=ids[live])
                 tr_loss[live] += loss
                 tr_corr[live] += corr
                 tr_n += nb
-                if nb == 0:
+                tr_known += known
+                if known == 0:
                     continue
-                grad = np.zeros_like(W)
-                grad[live] = g_live
-                for t, c in enumerate(configs):
-                    if not active[t]:
-                        continue
+                for g, t in zip(grad, live):
+                    c = configs[t]
                     target = c.learning_rate * (c.workers if c.scale_lr else 1)
                     lr = warmup_lr(target, c.workers, epoch + s / steps, c.warmup_epochs)
                     if plateaus[t]:
                         lr = plateaus[t].apply(lr)
                     lrs[t] = lr
-                    W[t] = opts[t].update(W[t], grad[t] / nb, lr)
+                    W[t] = opts[t].update(W[t], g / known, lr)
             vl = va = None
             if val_snap is not None:
-                _, vloss, vcorr, vn = all_reduce(val_snap.df, W[live], drops[live], base.seed, epoch,
-                                                 -1, False, feature_col, label_col, key_col,
-                                                 trial_ids=live, max_partitions=val_parts)
+                _, vloss, vcorr, vn, vknown = all_reduce(val_snap.df, W[live], drops[live], seeds[live], epoch,
+                                                         -1, False, feature_col, label_col, key_col,
+                                                         trial_ids=ids[live])
                 vl, va = np.zeros(T), np.zeros(T)
-                vl[live] = vloss / max(vn, 1)
+                vl[live] = vloss / max(vknown, 1)
                 va[live] = vcorr / max(vn, 1)
-            for t, c in enumerate(configs):
-                if not active[t]:
-                    continue
-                h = {"epoch": epoch, "loss": float(tr_loss[t] / max(tr_n, 1)),
+            for t in live:
+                c = configs[t]
+                h = {"epoch": epoch, "loss": float(tr_loss[t] / max(tr_known, 1)),
                      "accuracy": float(tr_corr[t] / max(tr_n, 1)), "lr": float(lrs[t]),
                      "steps": steps, "rows": tr_n}
+                if tr_known < tr_n:
+                    h["unknown_rows"] = tr_n - tr_known
                 if vl is not None:
                     h["val_loss"] = float(vl[t])
                     h["val_accuracy"] = float(va[t])
+                    if vknown < vn:
+                        h["val_unknown_rows"] = vn - vknown
                 histories[t].append(h)
                 monitor = h.get("val_loss", h["loss"])
                 if plateaus[t]:
@@ -576,10 +512,8 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
                         active[t] = False
                         stopped[t] = epoch
             if on_epoch is not None:
-                on_epoch(epoch, W, histories)
+                on_epoch(epoch, W, histories, states())
     finally:
-        if barrier_feed is not None:
-            barrier_feed.unpersist()
         if own:
             feed.release()
     return [FitResult(weights=W[t, :D].copy(), bias=W[t, D].copy(), history=histories[t],
@@ -623,19 +557,22 @@ def gradient(df: DataFrame, weights: np.ndarray, bias: np.ndarray | None = None,
     W[0, :D] = weights
     if bias is not None:
         W[0, D] = bias
-    g, loss, _, n = all_reduce(df, W, np.zeros(1), 0, 0, 0, True, feature_col, label_col, key_col)
-    return g[0] / max(n, 1), float(loss[0] / max(n, 1)), n
+    g, loss, _, n, known = all_reduce(df, W, np.zeros(1), 0, 0, 0, True, feature_col, label_col, key_col)
+    return g[0] / max(known, 1), float(loss[0] / max(known, 1)), n
 
 
 def evaluate(df: DataFrame, weights: np.ndarray, bias: np.ndarray,
              feature_col: str = "features", label_col: str = "label_idx",
              key_col: str = "row_id") -> dict:
-    """Loss and accuracy of a head over a whole table."""
+    """Loss and accuracy of a head over a whole table (M10 / M11).  Rows of a
+    class the head doesn't have are misses without a loss; ``unknown`` says
+    how many there are."""
     D, K = weights.shape
     W = np.zeros((1, D + 1, K))
     W[0, :D], W[0, D] = weights, bias
-    _, loss, corr, n = all_reduce(df, W, np.zeros(1), 0, 0, -1, False, feature_col, label_col, key_col)
-    return {"loss": float(loss[0] / max(n, 1)), "accuracy": float(corr[0] / max(n, 1)), "n": n}
+    _, loss, corr, n, known = all_reduce(df, W, np.zeros(1), 0, 0, -1, False, feature_col, label_col, key_col)
+    return {"loss": float(loss[0] / max(known, 1)), "accuracy": float(corr[0] / max(n, 1)), "n": n,
+            "unknown": n - known}
 
 
 def fit_full_batch(train_df: DataFrame, num_classes: int, feature_col: str = "features",
@@ -663,7 +600,3 @@ def fit_full_batch(train_df: DataFrame, num_classes: int, feature_col: str = "fe
     return FitResult(weights=W, bias=b, history=[{"epoch": i, "loss": float(v)} for i, v in
                                                  enumerate(summ.objectiveHistory)],
                      config=None, steps_per_epoch=1)
-
-
-def with_config(c: TrainConfig, **kw) -> TrainConfig:
-    return replace(c, **kw)

@@ -12,6 +12,7 @@ with their class index.
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,6 @@ from flowline.operators import runs as R
 from flowline.operators import search as S
 from flowline.operators import trainer as TR
 from flowline.operators.infer import PackagedModel, score
-from flowline.operators.ranking import join_small
 from flowline.sources import files as FS
 from flowline.sources import tables as TB
 from flowline.session import scratch_path
@@ -131,7 +131,7 @@ def q_label_from_path_pandas(spark, d):
     """The same label through a scalar pandas UDF (parity)."""
     @F.pandas_udf("string")
     def parent_dir(paths: pd.Series) -> pd.Series:
-        return paths.map(lambda p: p.split("/")[-2] if p is not None and p.count("/") >= 1 else None)
+        return paths.str.rsplit("/", n=2).str.get(-2)
 
     return T(spark, d, "pages").select("page_id", "url", parent_dir("url").alias("label"))
 
@@ -221,18 +221,17 @@ def q_label_index_join(spark, d):
 
 @register("label_index_pandas", ORACLE["label_index_join"])
 def q_label_index_pandas(spark, d):
-    """The same index through a pandas UDF with a bounded closure lookup."""
+    """The same index through a pandas UDF: the vocabulary, one row per
+    class, travels beside each batch as two arrays of one broadcast row."""
     ev = _events_labelled(spark, d)
-    vocab = prepare.build_vocab(ev)
-    if vocab.count() > 100_000:   # the lookup travels inside the UDF closure
-        raise ValueError("vocabulary too large for a closure lookup; use index_labels")
-    lookup = {r.label: r.label_idx for r in vocab.collect()}
+    vocab = prepare.build_vocab(ev).agg(F.sort_array(F.collect_list(F.struct("label", "label_idx"))).alias("v"))
 
     @F.pandas_udf("int")
-    def to_idx(labels: pd.Series) -> pd.Series:
-        return labels.map(lambda x: lookup[x]).astype("int32")
+    def to_idx(labels: pd.Series, names: pd.Series, numbers: pd.Series) -> pd.Series:
+        return labels.map(pd.Series(numbers.iloc[0], index=names.iloc[0])).astype("Int32")
 
-    return ev.withColumn("label_idx", to_idx("label"))
+    return (ev.withColumns({"_n": vocab.select("v.label").scalar(), "_i": vocab.select("v.label_idx").scalar()})
+            .withColumn("label_idx", to_idx("label", "_n", "_i")).drop("_n", "_i"))
 
 
 def _vocab_without_view(spark, d):
@@ -281,7 +280,7 @@ def q_index_to_label(spark, d):
     ev = _events_labelled(spark, d)
     vocab = prepare.build_vocab(ev)
     idx = prepare.index_labels(ev, vocab).select("event_id", "label_idx")
-    return prepare.index_to_label(idx, vocab, vocab_size=None)
+    return prepare.index_to_label(idx, vocab)
 
 
 @register("training_projection", """
@@ -349,6 +348,20 @@ def q_rows_per_step(spark, d):
             .groupBy(F.col("batch_id").alias("step")).agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+@register("feed_visits", f"""
+WITH keyed AS (SELECT o_orderkey, {_SHARD_SQL} AS shard, {u32_sql('o_orderkey', 'order')} AS h FROM orders),
+sized AS (SELECT o_orderkey, row_number() OVER (PARTITION BY shard ORDER BY h, o_orderkey) - 1 AS pos,
+                 count(*) OVER (PARTITION BY shard) AS m FROM keyed),
+last AS (SELECT 3 * {BATCH} * {_STEPS_ORDERS} AS n)
+SELECT o_orderkey, CAST((n - pos + m - 1) // m - (m - 1 - pos) // m AS BIGINT) AS visits FROM sized, last""")
+def q_feed_visits(spark, d):
+    """How often the trainer reads each row in three epochs; the feed
+    goes on through the leftover of an epoch in the next one."""
+    o = T(spark, d, "orders").select("o_orderkey")
+    return (feed.feed_visits(feed.with_positions(o, "o_orderkey", SHARDS), BATCH, SHARDS, 3)
+            .select("o_orderkey", "visits"))
+
+
 @register("steps_per_epoch", f"""
 SELECT count(*) FILTER (WHERE {_SPLIT_SQL} = 'train') AS n_train,
        count(*) FILTER (WHERE {_SPLIT_SQL} = 'val') AS n_val,
@@ -743,6 +756,44 @@ def q_top_run(spark, d):
     return R.top_runs(_wide(spark, d), "val_accuracy", "parent_run_id")
 
 
+@register("search_runs_by_loss", f"""
+WITH {_WIDE_SQL}
+SELECT parent_run_id, run_id, val_loss,
+       row_number() OVER (PARTITION BY parent_run_id ORDER BY val_loss ASC NULLS LAST, run_id) AS rank
+FROM wide""")
+def q_search_runs_by_loss(spark, d):
+    """Runs ranked per parent by a loss, the smallest first."""
+    ranked = R.rank_runs(_wide(spark, d), "val_loss", "parent_run_id")
+    return ranked.select("parent_run_id", "run_id", "val_loss", F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("top_run_by_loss", f"""
+WITH {_WIDE_SQL}
+SELECT parent_run_id, run_id, val_loss FROM (
+  SELECT *, row_number() OVER (PARTITION BY parent_run_id ORDER BY val_loss ASC NULLS LAST, run_id) AS rn
+  FROM wide) WHERE rn = 1""")
+def q_top_run_by_loss(spark, d):
+    """O3: best run per parent by a loss (aggregate, not a sort)."""
+    return R.top_runs(_wide(spark, d), "val_loss", "parent_run_id")
+
+
+@register("run_status", """
+SELECT o_orderkey AS run_id, o_custkey AS parent_run_id,
+       CASE o_orderstatus WHEN 'O' THEN 'RUNNING' WHEN 'F' THEN 'FINISHED' ELSE 'FAILED' END AS status
+FROM orders""")
+def q_run_status(spark, d):
+    """G1: the status of every run from its rows: RUNNING at the start, one
+    more row at the end unless it still runs."""
+    o = T(spark, d, "orders")
+    rows = o.select(F.col("o_orderkey").alias("run_id"), F.col("o_custkey").alias("parent_run_id"),
+                    F.lit("run").alias("name"), F.col("o_orderdate").alias("started_at"),
+                    F.when(F.col("o_orderstatus") == "F", "FINISHED").when(F.col("o_orderstatus") == "P", "FAILED")
+                    .alias("end"))
+    events = (rows.withColumn("status", F.lit("RUNNING"))
+              .unionByName(rows.filter("end IS NOT NULL").withColumn("status", F.col("end"))).drop("end"))
+    return R.latest_status(events).select("run_id", "parent_run_id", "status")
+
+
 @register("child_runs", """
 SELECT c.o_orderkey AS run_id, c.o_custkey AS parent_run_id, p.o_orderstatus AS parent_status
 FROM orders c JOIN orders p ON c.o_custkey = p.o_orderkey""")
@@ -828,7 +879,7 @@ def q_production_model(spark, d):
     """Highest version currently in Production, per name."""
     v, ev = _stage_events(spark, d)
     best = R.version_in_stage(R.current_stages(ev), "production")     # one row per name
-    out = join_small(v.select("name", "version", "run_id"), best, ["name", "version"])
+    out = v.select("name", "version", "run_id").join(best, ["name", "version"])
     return out.select("name", F.col("version").cast("bigint").alias("version"), "run_id")
 
 
@@ -972,10 +1023,7 @@ def q_binary_file_scan(spark, d):
     from the parent directory."""
     root = scratch_path(spark, "docs_as_files")
     docs = T(spark, d, "documents")
-    # shuffle on (lang, hash bucket): a hot language is spread over up to 64
-    # writers; the writer count follows spark.sql.shuffle.partitions / AQE
-    (docs.repartition("lang", C.hash_bucket("doc_id", 64, "file"))
-         .select("lang", "text").write.mode("overwrite").partitionBy("lang").text(root))
+    docs.select("lang", "text").write.mode("overwrite").partitionBy("lang").text(root)
     files = FS.binary_files(spark, root, glob="*.txt", recursive=True)
     silver = prepare.with_label_from_path(files.select("path", "length"), "path")
     return silver.groupBy("label").agg(F.sum("length").alias("n_bytes"))
@@ -1105,14 +1153,14 @@ def q_distributed_fit(spark, d):
 @register("parallel_trials")
 def q_parallel_trials(spark, d):
     """TPE search over optimizer, learning rate and dropout (the concurrent
-    search's space), 8 trials 4 at a time, batch 32; the trials of a round are
+    search's space), 20 trials 4 at a time, 3 epochs, batch 32; the trials of a round are
     fused into one data pass per step."""
     t = _split_indexed(spark, d)
-    base = TR.TrainConfig(epochs=2, batch_size=32, workers=2)
+    base = TR.TrainConfig(epochs=3, batch_size=32, workers=2)
     space = {k: SPACE[k] for k in ("optimizer", "learning_rate", "dropout")}
     obj = S.fused_fit_objective(t.train, t.val, t.num_classes, base, metric="val_accuracy")
-    res = S.run_search(spark, obj, space, max_evals=8, parallelism=4, n_startup=4, seed="par")
-    return res.trials
+    with obj.cache:
+        return S.run_search(spark, obj, space, max_evals=20, parallelism=4, n_startup=4, seed="par").trials
 
 
 @register("sequential_trials")
@@ -1121,12 +1169,13 @@ def q_sequential_trials(spark, d):
     minimising validation loss, with batch size searched; every trial writes
     per-epoch weight checkpoints to a folder named after its parameters."""
     t = _split_indexed(spark, d)
-    base = TR.TrainConfig(epochs=1, batch_size=64, workers=2)
+    base = TR.TrainConfig(epochs=3, batch_size=64, workers=2)
     space = {"learning_rate": S.loguniform(-5, 0), "dropout": S.uniform(0.1, 0.9),
              "batch_size": S.choice(32, 64, 128)}
     obj = S.fused_fit_objective(t.train, t.val, t.num_classes, base, metric="val_loss",
                                 checkpoint_root=scratch_path(spark, "trial_checkpoints"))
-    return S.run_search(spark, obj, space, max_evals=4, parallelism=1, n_startup=2, seed="seq").trials
+    with obj.cache:
+        return S.run_search(spark, obj, space, max_evals=4, parallelism=1, n_startup=2, seed="seq").trials
 
 
 @register("packaged_model_scores")
@@ -1145,21 +1194,16 @@ def q_packaged_model_scores(spark, d):
 
 @register("checkpoint_resume")
 def q_checkpoint_resume(spark, d):
-    """Two epochs with a weight checkpoint after each, then a restart from the
-    newest checkpoint for the third epoch."""
+    """Two epochs with the fit's whole state stored after each, then a restart
+    from the newest state for the third epoch."""
+    from flowline.plans.pipelines import fit_with_checkpoints
     t = _split_indexed(spark, d)
     path = scratch_path(spark, "checkpoints")
     cfg = TR.TrainConfig(epochs=2, batch_size=32, workers=2, dropout=0.2)
-
-    def save(epoch, W, histories):
-        TB.save_checkpoint(spark, path, "run0", epoch, W[0, :-1], W[0, -1])
-
-    first = TR.fit(t.train, t.val, t.num_classes, cfg, on_epoch=save)
-    epoch, w, b = TB.latest_checkpoint(spark, path, "run0")
-    init = np.vstack([w, b[None, :]])
-    resumed = TR.fit(t.train, t.val, t.num_classes, TR.with_config(cfg, epochs=3),
-                     init=init, start_epoch=epoch + 1)
-    return _history_frame(spark, first.history + resumed.history)
+    fit_with_checkpoints(spark, t.train, t.val, t.num_classes, cfg, path)
+    resumed = fit_with_checkpoints(spark, t.train, t.val, t.num_classes, replace(cfg, epochs=3), path)
+    TB.delete_path(spark, path)
+    return _history_frame(spark, resumed.history)
 
 
 @register("early_stopping_epoch", """

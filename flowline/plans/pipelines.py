@@ -37,8 +37,8 @@ def prepare_tables(silver: DataFrame, key: str, label_col: str = "label",
     vocab = prepare.build_vocab(train, label_col)
     k = vocab.count()
     return PreparedTables(
-        train=prepare.index_labels(train, vocab, label_col, handle_unseen="error", vocab_size=k),
-        val=prepare.index_labels(val, vocab, label_col, handle_unseen=handle_unseen, vocab_size=k),
+        train=prepare.index_labels(train, vocab, label_col, handle_unseen="error"),
+        val=prepare.index_labels(val, vocab, label_col, handle_unseen=handle_unseen),
         vocab=vocab, num_classes=k)
 
 
@@ -82,7 +82,6 @@ def ingest_images(spark: SparkSession, image_dir: str, database: str, glob: str
     joined to the stored vocabulary), so reading the validation rows prunes
     to their partition.  ``materialize=True`` writes the three as tables
     instead (four copies of the bytes, as the original workflow does)."""
-    from flowline.operators.ranking import MAX_BROADCAST_ROWS
     from flowline.sources import files as FS
     from flowline.sources import tables as TB
 
@@ -108,7 +107,6 @@ def ingest_images(spark: SparkSession, image_dir: str, database: str, glob: str
         vocab = prepare.build_vocab(b.where(F.col("split") == "train").select("label"))
         TB.save_table(vocab, f"{database}.vocab", fmt)
         k = spark.table(f"{database}.vocab").count()
-        hint = "/*+ BROADCAST(v) */ " if k <= MAX_BROADCAST_ROWS else ""
         cols = "b.path, b.modificationTime, b.length, b.content, b.label"
         unseen = {"error": "CASE WHEN v.label_idx IS NULL THEN raise_error(concat('label not in vocabulary: ', "
                            "coalesce(b.label, 'NULL'))) ELSE v.label_idx END",
@@ -118,10 +116,10 @@ def ingest_images(spark: SparkSession, image_dir: str, database: str, glob: str
         spark.sql(f"CREATE OR REPLACE VIEW {database}.silver AS "
                   f"SELECT {cols} FROM {database}.bronze b")
         spark.sql(f"CREATE OR REPLACE VIEW {database}.silver_train AS "
-                  f"SELECT {hint}{cols}, v.label_idx FROM {database}.bronze b "
+                  f"SELECT {cols}, v.label_idx FROM {database}.bronze b "
                   f"JOIN {database}.vocab v ON b.label = v.label WHERE b.split = 'train'")
         spark.sql(f"CREATE OR REPLACE VIEW {database}.silver_val AS "
-                  f"SELECT {hint}{cols}, CAST({unseen} AS INT) AS label_idx FROM {database}.bronze b "
+                  f"SELECT {cols}, CAST({unseen} AS INT) AS label_idx FROM {database}.bronze b "
                   f"{val_join} {database}.vocab v ON b.label = v.label WHERE b.split = 'val'")
     return PreparedTables(spark.table(f"{database}.silver_train"), spark.table(f"{database}.silver_val"),
                           spark.table(f"{database}.vocab"), spark.table(f"{database}.vocab").count())
@@ -169,28 +167,46 @@ class DataConfig:
 
 def train_from_tables(spark: SparkSession, data: DataConfig, config: TR.TrainConfig, store,
                       vocab: DataFrame, preprocess: dict | None = None, run_name: str = "fit",
-                      parent_run_id: str | None = None):
+                      parent_run_id: str | None = None, checkpoint_path: str | None = None):
     """Read train/validation tables, fit, evaluate on the whole validation
     table, and record everything in the run store: parameters, the
     preprocessing config, per-epoch metrics, ``val_``-prefixed final
-    metrics and the packaged model.  Returns (run_id, model, fit)."""
+    metrics and the packaged model.  A run that raises ends as FAILED; with a
+    ``checkpoint_path`` a later call goes on from its last epoch.  Returns
+    (run_id, model, fit)."""
     cols = [data.key_col, data.feature_col, data.label_col]
     train = spark.table(data.train_table).select(*cols)
     val = spark.table(data.validation_table).select(*cols)
     k = vocab.count()
-    run_id = store.start_run(run_name, parent_run_id)
-    store.log_params(run_id, {**config.params(), "preprocess": json.dumps(preprocess or {}, sort_keys=True)})
-    fit = TR.fit(train, val, k, config, key_col=data.key_col, feature_col=data.feature_col,
-                 label_col=data.label_col)
-    store.log_history(run_id, fit.history)
-    final = TR.evaluate(val, fit.weights, fit.bias, data.feature_col, data.label_col, data.key_col)
-    store.log_metrics(run_id, {f"val_{m}": final[m] for m in ("loss", "accuracy")}, step=len(fit.history))
-    model = model_from_fit(fit, vocab, preprocess)
-    store.log_model(run_id, model)
-    store.end_run(run_id)
+    with store.run(run_name, parent_run_id) as run_id:
+        store.log_params(run_id, {**config.params(), "preprocess": json.dumps(preprocess or {}, sort_keys=True)})
+        fit = fit_with_checkpoints(spark, train, val, k, config, checkpoint_path, key_col=data.key_col,
+                                   feature_col=data.feature_col, label_col=data.label_col)
+        store.log_history(run_id, fit.history)
+        final = TR.evaluate(val, fit.weights, fit.bias, data.feature_col, data.label_col, data.key_col)
+        store.log_metrics(run_id, {f"val_{m}": final[m] for m in ("loss", "accuracy")}, step=len(fit.history))
+        model = model_from_fit(fit, vocab, preprocess)
+        store.log_model(run_id, model)
     return run_id, model, fit
 
 
+def fit_with_checkpoints(spark: SparkSession, train: DataFrame, val: DataFrame | None, num_classes: int,
+                         config: TR.TrainConfig, path: str | None, run_id: str = "fit", **kw):
+    """``TR.fit`` that stores its whole state after every epoch under ``path``
+    and goes on from the newest one found there."""
+    from flowline.sources import tables as TB
+
+    if path is None:
+        return TR.fit(train, val, num_classes, config, **kw)
+    last = TB.latest_state(spark, path, run_id)
+
+    def save(epoch, W, histories, states):
+        TB.save_state(spark, path, run_id, epoch, states[0])
+
+    return TR.fit(train, val, num_classes, config, on_epoch=save, start_epoch=last[0] + 1 if last else 0,
+                  resume=[last[1]] if last else None, **kw)
+
+
 def tune_register_promote(spark: SparkSession, train: DataFrame, val: DataFrame, vocab: DataFrame,
                           store, model_name: str, space: dict, base: TR.TrainConfig,
                           max_evals: int = 8, parallelism: int = 4, metric: str = "val_accuracy"):
@@ -201,44 +217,23 @@ def tune_register_promote(spark: SparkSession, train: DataFrame, val: DataFrame,
     from flowline.operators import search as S
 
     k = vocab.count()
-    parent = store.start_run("search")
-    cache = TR.FeedCache(train, val)
     names = list(space)
-    children: list = []
-
-    def objective(points):
-        cfgs = [S.trial_config(base, p) for p in points]
-        out = [None] * len(points)
-        groups: dict = {}
-        for i, c in enumerate(cfgs):
-            groups.setdefault((c.batch_size, c.workers), []).append(i)
-        for idx in groups.values():
-            fits = TR.fit_many(train, val, k, [cfgs[i] for i in idx], feed=cache)
-            for i, f in zip(idx, fits):
-                rid = store.start_run(f"trial_{len(children)}", parent)
-                children.append(rid)
-                store.log_params(rid, points[i])
-                store.log_history(rid, f.history)
-                store.log_model(rid, model_from_fit(f, vocab))
-                store.end_run(rid)
-                v = f.final.get(metric)
-                out[i] = ((-v if "accuracy" in metric else v), "ok") if v is not None else (None, "fail")
-        return out
-
-    try:
-        res = S.run_search(spark, objective, space, max_evals=max_evals, parallelism=parallelism)
-    finally:
-        cache.release()
-    store.log_params(parent, {n: res.best[n] for n in names})          # values, not indexes
-    store.end_run(parent)
+    with store.run("search") as parent:
+        objective = S.fused_fit_objective(
+            train, val, k, base, metric, store, parent,
+            on_fit=lambda rid, fit: store.log_model(rid, model_from_fit(fit, vocab)))
+        with objective.cache:
+            res = S.run_search(spark, objective, space, max_evals=max_evals, parallelism=parallelism)
+        if not res.best:
+            raise ValueError("no trial succeeded")
+        store.log_params(parent, {n: res.best[n] for n in names})          # values, not indexes
     ranked = store.search_runs(parent, metric, param_keys=names, metric_keys=[metric])
-    best_run = ranked.select("run_id").first().run_id                  # top-1 after ordering
+    best_run = ranked.filter("status = 'FINISHED'").select("run_id").first().run_id    # top-1 after ordering
     version = store.register_model(model_name, best_run)
     store.transition_stage(model_name, version, "Production")
     return best_run, version, store.load_by_stage(model_name, "production")
 
 
-
 def score_images(spark: SparkSession, image_dir: str, model: PackagedModel, glob: str = "*.jpg",
                  batch_size: int = 128) -> DataFrame:
     """Entry C on files: decode in the JVM, featurise with the model's own

@@ -8,6 +8,8 @@ written uncompressed.
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -184,3 +186,35 @@ def latest_checkpoint(spark: SparkSession, path: str, run_id: str):
     w, b = weights_from_rows([r.asDict() for r in rows])
     return int(last), w, b
 
+
+STATE_SCHEMA = "run_id string, epoch int, weights binary, m binary, v binary, shape array<int>, rest string"
+
+
+def save_state(spark: SparkSession, path: str, run_id: str, epoch: int, state: dict) -> None:
+    """The whole state of a fit after an epoch (``fit_many``'s ``states``):
+    weights, optimizer moments, history, plateau and stop (model-sized)."""
+    opt = state["optimizer"]
+    rest = json.dumps({"t": opt["t"], "history": state["history"], "plateau": state["plateau"],
+                       "stopped": state["stopped"]})
+    row = (run_id, int(epoch), bytearray(state["weights"].tobytes()), bytearray(opt["m"].tobytes()),
+           bytearray(opt["v"].tobytes()), list(state["weights"].shape), rest)
+    spark.createDataFrame([row], STATE_SCHEMA).write.mode("append").parquet(path)
+
+
+def latest_state(spark: SparkSession, path: str, run_id: str):
+    """(epoch, state) of a run's newest stored epoch, or None."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return None
+    row = (spark.read.schema(STATE_SCHEMA).parquet(path).filter(F.col("run_id") == run_id)
+           .orderBy(F.col("epoch").desc()).first())
+    if row is None:
+        return None
+    rest = json.loads(row["rest"])
+
+    def array(name):
+        return np.frombuffer(bytes(row[name])).reshape(row["shape"])
+
+    return row["epoch"], {"weights": array("weights"), "history": rest["history"], "plateau": rest["plateau"],
+                          "stopped": rest["stopped"],
+                          "optimizer": {"t": rest["t"], "m": array("m"), "v": array("v")}}

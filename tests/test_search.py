@@ -87,7 +87,7 @@ def test_fused_objective_checkpoints_each_trial(spark, tmp_dir):
               {"learning_rate": 0.001, "dropout": 0.2, "batch_size": 32}]
     res = obj(points)
     obj.cache.release()
-    assert all(status == "ok" for _, status in res)
+    assert all(status == "ok" for _, status, _ in res)
     names = sorted(os.listdir(root))
     assert names == sorted(S.checkpoint_name(p) for p in points)
     assert names[0].startswith("batch_size_") and "learning_rate_0.01" in " ".join(names)
@@ -103,3 +103,14 @@ def test_run_search_with_float_and_int_choices(spark):
     types = dict(res.trials.dtypes)
     assert (types["dropout"], types["batch_size"], types["opt"]) == ("double", "bigint", "string")
     assert res.best["loss"] == min(r.loss for r in res.trials.collect())
+
+
+def test_one_bad_trial_fails_alone(spark):
+    from flowline.operators import trainer as TR
+    from flowline.plans.pipelines import embeddings_silver, prepare_tables
+    t = prepare_tables(embeddings_silver(spark, "/root/testdata/sf0.001"), "row_id")
+    obj = S.fused_fit_objective(t.train, t.val, t.num_classes, TR.TrainConfig(epochs=1, batch_size=64, workers=2))
+    with obj.cache:
+        res = obj([{"optimizer": o, "learning_rate": 0.01, "dropout": 0.2} for o in ("adam", "nosuch", "adadelta")])
+    assert [r[1] for r in res] == ["ok", "fail", "ok"]
+    assert res[1][0] is None and "nosuch" in res[1][2]

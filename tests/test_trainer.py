@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -122,7 +124,7 @@ def test_full_batch_fit_approaches_convex_optimum(spark):
 def test_fused_trials_equal_separate_fits(spark):
     df = _emb(spark)
     a = TR.TrainConfig(epochs=2, batch_size=64, workers=2, learning_rate=0.01, dropout=0.3)
-    b = TR.with_config(a, learning_rate=0.003, optimizer="adadelta", dropout=0.0)
+    b = replace(a, learning_rate=0.003, optimizer="adadelta", dropout=0.0)
     fused = TR.fit_many(df, df, 10, [a, b])
     single = TR.fit(df, df, 10, b)
     # trial 1 of the fused pass uses trial index 1 for its masks; with no
@@ -131,86 +133,110 @@ def test_fused_trials_equal_separate_fits(spark):
     assert fused[0].history[-1]["val_loss"] > 0
 
 
-def test_sharded_step_equals_single_shard(spark):
-    df = _emb(spark)
-    cfg1 = TR.TrainConfig(epochs=1, batch_size=500, workers=1, dropout=0.0, scale_lr=False,
-                          optimizer="sgd", learning_rate=0.5)
-    # batch >= shard size: each shard's first batch is the whole shard, so
-    # the single step covers the same rows as the one-shard run
-    cfg2 = TR.with_config(cfg1, batch_size=500, workers=2)
-    f1 = TR.fit(df, None, 10, cfg1)
-    f2 = TR.fit(df, None, 10, cfg2)
-    # one step over all rows either way: same update
-    assert f1.steps_per_epoch == f2.steps_per_epoch == 1
-    assert np.allclose(f1.weights, f2.weights, atol=1e-9)
-
-
-def test_barrier_mode_equals_step_jobs(spark):
+def test_sharded_step_is_one_step_over_the_rows_it_reads(spark):
+    """Two shards, one SGD step: the update is that of all rows read, each as
+    often as the endless feed passes it (the batch is larger than a shard)."""
     df = _emb(spark)
-    cfg = TR.TrainConfig(epochs=2, batch_size=64, workers=2, learning_rate=0.01, dropout=0.3,
-                         warmup_epochs=5)
-    a = TR.fit(df, df, 10, cfg)
-    b = TR.fit(df, df, 10, TR.with_config(cfg, mode="barrier"))
-    assert np.allclose(a.weights, b.weights, atol=1e-9) and np.allclose(a.bias, b.bias, atol=1e-9)
-    assert abs(a.history[-1]["loss"] - b.history[-1]["loss"]) < 1e-9
-    assert a.history[-1]["val_loss"] == pytest.approx(b.history[-1]["val_loss"], abs=1e-9)
-
-
-def test_checkpoint_resume_equals_straight_run(spark, tmp_dir):
-    from flowline.sources import tables as TB
+    cfg = TR.TrainConfig(epochs=1, batch_size=500, workers=2, dropout=0.0, scale_lr=False,
+                         optimizer="sgd", learning_rate=0.5)
+    fit = TR.fit(df, None, 10, cfg)
+    snap = TR.feature_snapshot(df, "row_id", "features", "label_idx", 2)
+    rows = TR.feed_step(snap, 0, 500).select("features", "label_idx", "visits").collect()
+    snap.release()
+    times = np.array([r.visits for r in rows])
+    X = np.repeat(np.array([r.features for r in rows], dtype=np.float64), times, axis=0)
+    y = np.repeat([r.label_idx for r in rows], times)
+    assert fit.steps_per_epoch == 1 and len(y) == 1000
+    W = TR.glorot(64, 10, 42)
+    z = X @ W[:64] + W[64]
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    p[np.arange(len(y)), y] -= 1
+    assert np.allclose(fit.weights, W[:64] - 0.5 * X.T @ p / len(y), atol=1e-9)
+
+
+def test_resumed_fit_equals_straight_fit(spark, tmp_dir):
+    """Adam, plateau and dropout: the stored state is the whole state."""
+    from flowline.plans.pipelines import fit_with_checkpoints
     df = _emb(spark)
-    cfg = TR.TrainConfig(epochs=3, batch_size=128, workers=2, optimizer="sgd", learning_rate=0.5,
-                         dropout=0.2, scale_lr=False)
-    straight = TR.fit(df, None, 10, cfg)
-    path = f"{tmp_dir}/ck"
-
-    def save(epoch, W, histories):
-        TB.save_checkpoint(spark, path, "r", epoch, W[0, :-1], W[0, -1])
-
-    TR.fit(df, None, 10, TR.with_config(cfg, epochs=2), on_epoch=save)
-    epoch, w, b = TB.latest_checkpoint(spark, path, "r")
-    assert epoch == 1
-    resumed = TR.fit(df, None, 10, cfg, init=np.vstack([w, b[None, :]]), start_epoch=2)
-    # SGD keeps no optimizer state, and masks depend on the epoch number only
+    cfg = TR.TrainConfig(epochs=3, batch_size=128, workers=2, learning_rate=0.01, dropout=0.2, plateau_patience=1)
+    straight = TR.fit(df, df, 10, cfg)
+    path = f"{tmp_dir}/state"
+    fit_with_checkpoints(spark, df, df, 10, replace(cfg, epochs=2), path)
+    resumed = fit_with_checkpoints(spark, df, df, 10, cfg, path)
     assert np.allclose(resumed.weights, straight.weights, atol=1e-12)
+    assert [h["epoch"] for h in resumed.history] == [0, 1, 2]
+    assert resumed.history[-1]["val_loss"] == pytest.approx(straight.history[-1]["val_loss"], abs=1e-12)
 
 
-def test_direct_and_shuffle_all_reduce_agree(spark, monkeypatch):
-    df = _emb(spark).repartition(5)
-    rng = np.random.default_rng(3)
-    W = rng.normal(0, 0.1, size=(2, 65, 10))
+def test_all_reduce_is_the_same_for_any_partitioning(spark, monkeypatch):
+    df = _emb(spark)
+    W = np.random.default_rng(3).normal(0, 0.1, size=(2, 65, 10))
     drops = np.array([0.0, 0.3])
-    direct = TR.all_reduce(df, W, drops, 7, 1, 2, True)
-    monkeypatch.setattr(TR, "DIRECT_REDUCE_VALUES", 0)        # force the shuffle path
-    shuffled = TR.all_reduce(df, W, drops, 7, 1, 2, True)
-    assert direct[3] == shuffled[3] == 500
-    for a, b in zip(direct[:3], shuffled[:3]):
+    one = TR.all_reduce(df.coalesce(1), W, drops, 7, 1, 2, True)
+    monkeypatch.setattr(TR, "FAN_IN", 4)                       # 40 partials, at most 4 per merge
+    many = TR.all_reduce(df.repartition(40), W, drops, 7, 1, 2, True)
+    assert one[3:] == many[3:] == (500, 500)
+    for a, b in zip(one[:3], many[:3]):
         assert np.allclose(a, b, rtol=0, atol=1e-9)
 
 
+def test_unknown_class_is_a_counted_miss(spark):
+    df = _emb(spark)
+    kept = df.withColumn("label_idx", F.when(F.col("label_idx") == 9, 99).otherwise(F.col("label_idx")))
+    n = df.filter("label_idx = 9").count()
+    fit = TR.fit(kept, kept, 10, TR.TrainConfig(epochs=1, batch_size=64, workers=2))
+    assert fit.final["val_unknown_rows"] == n
+    ev = TR.evaluate(kept, fit.weights, fit.bias)
+    assert ev["unknown"] == n and ev["n"] == 500 and ev["accuracy"] <= (500 - n) / 500
+
+
+def test_a_trial_is_the_same_in_any_company(spark):
+    df = _emb(spark)
+    a = TR.TrainConfig(epochs=1, batch_size=128, workers=2, learning_rate=0.01, dropout=0.4)
+    b = replace(a, learning_rate=0.003, dropout=0.2, seed=7)
+    alone, second = TR.fit(df, None, 10, b), TR.fit_many(df, None, 10, [a, b])[1]
+    assert np.allclose(alone.weights, second.weights, atol=1e-12)
+
+
+def test_every_row_is_fed(spark):
+    """Steps of the whole fit walk each shard's endless feed without a cut."""
+    df = _emb(spark)
+    snap = TR.feature_snapshot(df, "row_id", "features", "label_idx", 3)
+    seen: dict = {}
+    for step in range(12):
+        rows = TR.feed_step(snap, step * 20, step * 20 + 20).select("row_id", "shard", "visits").collect()
+        per_shard: dict = {}
+        for r in rows:
+            seen[r.row_id] = seen.get(r.row_id, 0) + r.visits
+            per_shard[r.shard] = per_shard.get(r.shard, 0) + r.visits
+        assert set(per_shard.values()) == {20}
+    assert len(seen) == 500 and max(seen.values()) - min(seen.values()) <= 1
+    huge = TR.feed_step(snap, 7, 7 + 1000).agg(F.sum("visits")).first()[0]       # a batch above the shard
+    assert huge == 3000
+    snap.release()
+
+
 def test_finished_trial_leaves_fused_pass_without_changing_others(spark):
     df = _emb(spark)
     a_short = TR.TrainConfig(epochs=1, batch_size=128, workers=2, learning_rate=0.01, dropout=0.4)
-    b = TR.with_config(a_short, epochs=3, learning_rate=0.003, dropout=0.2)
+    b = replace(a_short, epochs=3, learning_rate=0.003, dropout=0.2)
     short = TR.fit_many(df, df, 10, [a_short, b])
-    full = TR.fit_many(df, df, 10, [TR.with_config(a_short, epochs=3), b])
+    full = TR.fit_many(df, df, 10, [replace(a_short, epochs=3), b])
     assert len(short[0].history) == 1 and len(short[1].history) == 3
     # b's masks are keyed by its trial id, so a's early exit changes nothing for b
     assert np.allclose(short[1].weights, full[1].weights, atol=1e-12)
     assert short[1].history[-1]["val_loss"] == full[1].history[-1]["val_loss"]
 
 
-def test_blocked_feed_layout_gives_the_same_fit(spark, monkeypatch):
+def test_block_size_of_the_feed_does_not_change_the_fit(spark, monkeypatch):
     df = _emb(spark)
     cfg = TR.TrainConfig(epochs=2, batch_size=32, workers=2, learning_rate=0.01, dropout=0.3)
     plain = TR.fit(df, None, 10, cfg)
-    monkeypatch.setattr(TR, "MAX_FEED_DIRS", 3)        # force several batches per directory
-    snap = TR.feature_snapshot(df, "row_id", "features", "label_idx", 2, 32)
-    assert snap.batches_per_dir > 1 and "batch_block" in snap.df.columns
-    step = TR.feed_step(snap, 4)
-    plan = step._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "batch_block" in plan
-    assert {r.batch_id for r in step.select("batch_id").collect()} == {4}
+    monkeypatch.setattr(TR, "FEED_BLOCK", 50)
+    snap = TR.feature_snapshot(df, "row_id", "features", "label_idx", 2)
+    plan = TR.feed_step(snap, 128, 160)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "pos_block" in plan
     snap.release()
     blocked = TR.fit(df, None, 10, cfg)
     assert np.allclose(plain.weights, blocked.weights, atol=1e-12)
