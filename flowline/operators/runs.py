@@ -2,7 +2,8 @@
 
 Tables (append-only Parquet under one root):
 
-    runs(run_id, parent_run_id, name, started_at, status)
+    runs(run_id, parent_run_id, name, started_at, status)   a RUNNING row at
+                                                  the start, one more at the end
     run_params(run_id, key, value)                 value as string
     run_metrics(run_id, key, step, value)          value as double
     registrations(name, run_id, registered_at)
@@ -19,11 +20,12 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowline.operators.ranking import join_small, row_index
+from flowline.operators.ranking import row_index
 from flowline.session import scratch_path
 
 RUNS = "run_id string, parent_run_id string, name string, started_at timestamp, status string"
@@ -62,29 +64,45 @@ def filter_children(runs: DataFrame, parent_run_id) -> DataFrame:
 
 def child_runs(runs: DataFrame, run: str = "run_id", parent: str = "parent_run_id",
                cols: list[str] = ()) -> DataFrame:
-    """Children joined to their parent run (one-to-many).  The parent side
-    is the set of runs that have children; it is broadcast when proven
-    small, otherwise the join shuffles and AQE splits a hot parent."""
-    ids = runs.select(F.col(parent).alias("_pid")).where(F.col("_pid").isNotNull()).distinct()
-    parents = runs.join(ids, runs[run] == ids["_pid"], "left_semi") \
-                  .select(F.col(run).alias("_prun"), *[F.col(c).alias(f"parent_{c}") for c in cols])
-    return join_small(runs.where(F.col(parent).isNotNull()), parents,
-                      F.col(parent) == F.col("_prun"), "inner").drop("_prun")
+    """Children joined to their parent run (one-to-many): a plain self-join;
+    AQE splits a hot parent."""
+    parents = runs.select(F.col(run).alias("_prun"), *[F.col(c).alias(f"parent_{c}") for c in cols])
+    children = runs.where(F.col(parent).isNotNull())
+    return children.join(parents, F.col(parent) == F.col("_prun")).drop("_prun")
+
+
+def lower_is_better(metric: str) -> bool:
+    """Losses and errors are minimised, every other metric maximised."""
+    return any(w in metric.lower() for w in ("loss", "error", "rmse", "mse", "mae"))
+
+
+def latest_status(runs: DataFrame) -> DataFrame:
+    """One row per run: its start, and the status it ended with, if it has
+    (RUNNING until then)."""
+    done = F.when(F.col("status") != "RUNNING", F.col("status"))
+    return (runs.groupBy("run_id")
+            .agg(F.first("parent_run_id", True).alias("parent_run_id"), F.first("name", True).alias("name"),
+                 F.min("started_at").alias("started_at"), F.coalesce(F.max(done), F.lit("RUNNING")).alias("status")))
 
 
 def rank_runs(wide: DataFrame, metric: str, group: str = "parent_run_id",
-              run: str = "run_id", out: str = "rank") -> DataFrame:
-    """Order runs by ``metric`` descending (nulls last), ties by run id, and
-    number them from 1 inside each group -- distributed, skew-safe."""
-    ranked = row_index(wide, [F.col(metric).desc_nulls_last(), F.col(run).asc()], [group], out="_r")
+              run: str = "run_id", out: str = "rank", ascending: bool | None = None) -> DataFrame:
+    """Order runs by ``metric`` (the best first: smallest for losses unless
+    ``ascending`` says otherwise; nulls last), ties by run id, and number them
+    from 1 inside each group -- distributed, skew-safe."""
+    up = lower_is_better(metric) if ascending is None else ascending
+    first = F.col(metric).asc_nulls_last() if up else F.col(metric).desc_nulls_last()
+    ranked = row_index(wide, [first, F.col(run).asc()], [group], out="_r")
     return ranked.withColumn(out, F.col("_r") + 1).drop("_r")
 
 
 def top_runs(wide: DataFrame, metric: str, group: str = "parent_run_id",
-             run: str = "run_id") -> DataFrame:
-    """Best run per group by ``metric`` desc, nulls last, then run id -- an
-    aggregate (partial per task), not a sort."""
-    key = F.struct(F.col(metric).isNull().alias("n"), (-F.col(metric)).alias("m"), F.col(run).alias("r"))
+             run: str = "run_id", ascending: bool | None = None) -> DataFrame:
+    """Best run per group by ``metric`` (see ``rank_runs``), nulls last, then
+    run id -- an aggregate (partial per task), not a sort."""
+    up = lower_is_better(metric) if ascending is None else ascending
+    value = F.col(metric) if up else -F.col(metric)
+    key = F.struct(F.col(metric).isNull().alias("n"), value.alias("m"), F.col(run).alias("r"))
     return wide.groupBy(group).agg(F.min_by(F.col(run), key).alias(run),
                                    F.min_by(F.col(metric), key).alias(metric))
 
@@ -118,8 +136,9 @@ def version_in_stage(current: DataFrame, stage: str = "production") -> DataFrame
 # =========================================================== the store
 class RunStore:
     """Append-only run tables under ``root`` (the shared checkpoint folder by
-    default).  Metadata rows are few and built on the driver; each run is
-    written once when it ends (not one write per key)."""
+    default).  Metadata rows are few and built on the driver; a run is there
+    as RUNNING from its start, and its parameters and metrics are written once
+    when it ends (not one write per key)."""
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
@@ -140,16 +159,29 @@ class RunStore:
         path = jvm.org.apache.hadoop.fs.Path(self._path(t))
         if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
             return self.spark.createDataFrame([], schema)      # nothing written yet
-        return self.spark.read.schema(schema).parquet(self._path(t))
+        rows = self.spark.read.schema(schema).parquet(self._path(t))
+        return latest_status(rows).select("run_id", "parent_run_id", "name", "started_at", "status") \
+            if t == "runs" else rows
 
     # ------------------------------------------------------------ runs
     def start_run(self, name: str, parent_run_id: str | None = None) -> str:
         run_id = uuid.uuid4().hex
-        self._open[run_id] = {"name": name, "parent": parent_run_id,
-                              "started": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
-                              "params": {}, "metrics": []}
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        self._open[run_id] = {"name": name, "parent": parent_run_id, "started": now, "params": {}, "metrics": []}
+        self._append("runs", [(run_id, parent_run_id, name, now, "RUNNING")], RUNS)
         return run_id
 
+    @contextmanager
+    def run(self, name: str, parent_run_id: str | None = None):
+        """A run that ends as FINISHED, or as FAILED if its body raises."""
+        run_id = self.start_run(name, parent_run_id)
+        try:
+            yield run_id
+        except BaseException:
+            self.end_run(run_id, "FAILED")
+            raise
+        self.end_run(run_id)
+
     def log_params(self, run_id: str, params: dict) -> None:
         self._open[run_id]["params"].update({k: str(v) for k, v in params.items()})
 
@@ -168,14 +200,18 @@ class RunStore:
         self._append("run_metrics", [(run_id, k, s, v) for k, s, v in r["metrics"]], METRICS)
 
     def search_runs(self, parent_run_id: str | None = None, metric: str = "val_accuracy",
-                    param_keys: list[str] = (), metric_keys: list[str] = ("val_loss", "val_accuracy")) -> DataFrame:
+                    param_keys: list[str] = (), metric_keys: list[str] = ("val_loss", "val_accuracy"),
+                    ascending: bool | None = None) -> DataFrame:
+        """Runs with their parameters and metrics, the best by ``metric`` first
+        (the smallest for losses, unless ``ascending`` says otherwise)."""
         runs = self.table("runs")
         if parent_run_id is not None:
             runs = filter_children(runs, parent_run_id)
         wide = wide_runs(runs, self.table("run_params"), self.table("run_metrics"),
                          list(param_keys), list(metric_keys))
         require_metric(wide, metric)
-        return wide.orderBy(F.col(metric).desc_nulls_last(), F.col("run_id"))
+        up = lower_is_better(metric) if ascending is None else ascending
+        return wide.orderBy(F.col(metric).asc_nulls_last() if up else F.col(metric).desc_nulls_last(), F.col("run_id"))
 
     # ------------------------------------------------------------ artifacts
     def log_model(self, run_id: str, model) -> str:

@@ -60,3 +60,27 @@ def test_child_runs_and_wide(spark):
                                  "run_id string, key string, step long, value double")
     w = {r.run_id: r for r in R.wide_runs(runs, params, mets, ["lr"], ["loss"]).collect()}
     assert w["b"].lr == "0.1" and w["b"].loss == 1.0 and w["a"].loss is None
+
+
+def test_loss_is_ranked_ascending(spark, tmp_dir):
+    st = R.RunStore(spark, f"{tmp_dir}/by_loss")
+    parent = st.start_run("p")
+    for v in (0.5, 0.1, 0.9):
+        rid = st.start_run(f"r{v}", parent)
+        st.log_metrics(rid, {"val_loss": v, "val_accuracy": v})
+        st.end_run(rid)
+    by = lambda m, **kw: [r[m] for r in st.search_runs(parent, m, **kw).collect()]
+    assert by("val_loss") == [0.1, 0.5, 0.9]
+    assert by("val_accuracy") == [0.9, 0.5, 0.1]
+    assert by("val_loss", ascending=False) == [0.9, 0.5, 0.1]
+
+
+def test_a_run_is_there_while_it_runs_and_fails_visibly(spark, tmp_dir):
+    st = R.RunStore(spark, f"{tmp_dir}/status")
+    rid = st.start_run("slow")
+    assert [r.status for r in st.table("runs").collect()] == ["RUNNING"]
+    st.end_run(rid)
+    with pytest.raises(ValueError):
+        with st.run("bad"):
+            raise ValueError("no")
+    assert sorted((r.name, r.status) for r in st.table("runs").collect()) == [("bad", "FAILED"), ("slow", "FINISHED")]
