@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowline.functions.columns import hash_unit, label_from_path
-from flowline.operators.ranking import MAX_BROADCAST_ROWS, join_small, row_index
 
 
 # ---------------------------------------------------------------- labels
@@ -85,45 +84,32 @@ def num_classes(df: DataFrame, idx_col: str = "label_idx") -> DataFrame:
     return df.agg(F.count_distinct(idx_col).alias("num_classes"))
 
 
-def build_vocab(df: DataFrame, label_col: str = "label", idx_col: str = "label_idx",
-                max_window_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def build_vocab(df: DataFrame, label_col: str = "label", idx_col: str = "label_idx") -> DataFrame:
     """Sorted labels numbered from 0: ``{l: i for i, l in enumerate(sorted(labels))}``.
 
-    Small vocabularies (the usual case: a few classes) are numbered by one
-    window over the distinct labels.  Past ``max_window_rows`` the labels are
-    numbered by the distributed ``row_index`` instead."""
-    # One scan of the input: the distinct labels are checkpointed (reliable,
-    # under spark.checkpoint.dir), so the count here and every later count,
-    # join or window reads the small stored set instead of re-running the
-    # distinct over the whole table.
-    labels = distinct_labels(df, label_col).checkpoint(eager=True)
-    k = labels.count()
-    if k <= max_window_rows:
-        out = labels.withColumn(idx_col, (F.row_number().over(Window.orderBy(label_col)) - 1).cast("int"))
-    else:
-        out = row_index(labels, [label_col], out=idx_col).withColumn(idx_col, F.col(idx_col).cast("int"))
-    return out.select(label_col, idx_col)
+    One lazy plan: the distinct labels (one row per class, partial aggregation
+    over the data) are numbered by a window over these few rows."""
+    number = F.row_number().over(Window.orderBy(label_col)) - 1
+    return distinct_labels(df, label_col).select(label_col, number.cast("int").alias(idx_col))
 
 
 def index_labels(df: DataFrame, vocab: DataFrame, label_col: str = "label",
-                 idx_col: str = "label_idx", handle_unseen: str = "error",
-                 vocab_size: int | None = None) -> DataFrame:
+                 idx_col: str = "label_idx", handle_unseen: str = "error") -> DataFrame:
     """Attach ``label_idx`` by an equi-join with the vocabulary.
 
     handle_unseen: ``error`` fails the job on a label missing from the
     vocabulary (like a dictionary lookup), ``skip`` drops such rows,
     ``keep`` gives them index ``len(vocab)``."""
-    k = vocab.count() if vocab_size is None else vocab_size
     v = vocab.select(F.col(label_col).alias("_vl"), F.col(idx_col).alias("_vi"))
     how = "inner" if handle_unseen == "skip" else "left"
-    j = join_small(df, v, df[label_col] == v["_vl"], how, small_rows=k)
+    j = df.join(v, df[label_col] == v["_vl"], how)
     if handle_unseen == "error":
         idx = F.when(F.col("_vi").isNull(),
                      F.raise_error(F.concat(F.lit("label not in vocabulary: "),
                                             F.coalesce(F.col(label_col).cast("string"), F.lit("NULL")))))\
                .otherwise(F.col("_vi"))
     elif handle_unseen == "keep":
-        idx = F.coalesce(F.col("_vi"), F.lit(k).cast("int"))
+        idx = F.coalesce(F.col("_vi"), vocab.agg(F.count(F.lit(1))).scalar().cast("int"))
     elif handle_unseen == "skip":
         idx = F.col("_vi")
     else:
@@ -134,10 +120,10 @@ def index_labels(df: DataFrame, vocab: DataFrame, label_col: str = "label",
 def unseen_labels(df: DataFrame, vocab: DataFrame, label_col: str = "label") -> DataFrame:
     """Rows whose label has no vocabulary entry (validation report)."""
     v = vocab.select(F.col(label_col).alias("_vl"))
-    return join_small(df, v, df[label_col] == v["_vl"], "left_anti")
+    return df.join(v, df[label_col] == v["_vl"], "left_anti")
 
 
 def index_to_label(df: DataFrame, vocab: DataFrame, idx_col: str = "label_idx",
-                   out: str = "label", vocab_size: int | None = None) -> DataFrame:
+                   out: str = "label") -> DataFrame:
     v = vocab.select(F.col(idx_col).alias("_vi"), F.col("label").alias(out))
-    return join_small(df, v, df[idx_col] == v["_vi"], "left", small_rows=vocab_size).drop("_vi")
+    return df.join(v, df[idx_col] == v["_vi"], "left").drop("_vi")

@@ -14,7 +14,7 @@ data, a global vocabulary order holds all of it) that task is the whole job.
    ``partitions + groups`` rows;
 3. a running sum over that small table gives each (partition, g) the number
    of rows of g that live in earlier partitions;
-4. join back (broadcast when the small table is proven small) and add.
+4. join back (AQE chooses the join by bytes) and add.
 """
 
 from __future__ import annotations
@@ -26,30 +26,12 @@ from pyspark.sql import functions as F
 
 from flowline.session import scratch_path
 
-# Row bound under which a side table may be broadcast.  Tables above it go
-# through a regular (shuffle) join and AQE decides at run time.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               small_rows: int | None = None,
-               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join with a broadcast hint only when ``small`` is proven to be small.
-
-    ``small_rows`` may be passed when already known; otherwise it is counted
-    (one cheap job on the small side)."""
-    n = small.count() if small_rows is None else small_rows
-    side = F.broadcast(small) if n <= max_rows else small
-    return big.join(side, on, how)
-
-
 def default_partitions(spark) -> int:
     sp = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(sp, spark.sparkContext.defaultParallelism)
 
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_PARTITIONS = 200_000
 
 
 def partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
@@ -62,33 +44,27 @@ def partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) ->
     def as_int(v):
         return v if isinstance(v, int) else int(v.toString())
 
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        top = as_int(plan.stats().sizeInBytes())
-        # Join estimates can be wildly high (a 2,000-row join was estimated
-        # at ~1 TB), so bound the estimate by what is actually read: the sum
-        # of the leaves' sizes (scans, cached or checkpointed relations).
-        # Leaves with no statistics report Long.MaxValue and are ignored.
-        leaves = plan.collectLeaves()
-        known = [as_int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.length())]
-        known = [k for k in known if k < (1 << 62)]
-        size = min(top, sum(known)) if known else top
-    except Exception:   # no estimate available
-        return base
-    if size >= (1 << 62):
+    plan = df._jdf.queryExecution().optimizedPlan()
+    # Join estimates can be wildly high (a 2,000-row join was estimated at
+    # ~1 TB), so bound the estimate by what is actually read: the sum of the
+    # leaves' sizes (scans, cached or checkpointed relations).  Leaves with no
+    # statistics report Long.MaxValue and are ignored.
+    leaves = plan.collectLeaves()
+    sizes = [as_int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.length())]
+    known = [k for k in sizes if k < (1 << 62)]
+    if not known:
         return base
-    return int(min(MAX_PARTITIONS, max(base, -(-size // target_bytes))))
+    size = min(as_int(plan.stats().sizeInBytes()), sum(known))
+    return int(max(base, -(-size // target_bytes)))
 
 
 def row_index(df: DataFrame, order_cols, group_cols=(), out: str = "row_idx",
               partitions: int | None = None, path: str | None = None,
-              groups_bound: int | None = None, staged_paths: list | None = None) -> DataFrame:
+              staged_paths: list | None = None) -> DataFrame:
     """0-based position of each row in its group, ordered by ``order_cols``.
 
     ``order_cols`` must give a total order inside each group (end with a
-    unique id) so the result is deterministic.  ``groups_bound`` (a known
-    upper bound on the number of groups) proves the offsets table small
-    (at most partitions + groups rows) without counting it."""
+    unique id) so the result is deterministic."""
     spark = df.sparkSession
     order_cols = list(order_cols)
     group_cols = list(group_cols)
@@ -115,7 +91,6 @@ def row_index(df: DataFrame, order_cols, group_cols=(), out: str = "row_idx",
     cond = [F.shiftright(snap["_rid"], 33) == offs["_part"]]
     cond += [snap[g].eqNullSafe(offs[f"_g_{g}"]) for g in group_cols]
     cond = reduce(lambda a, b: a & b, cond)
-    bound = None if groups_bound is None and group_cols else p + (groups_bound or 1)
-    joined = join_small(snap, offs, cond, "inner", small_rows=bound)
-    return (joined.withColumn(out, (F.col("_rid") - F.col("_first") + F.col("_off")).cast("bigint"))
+    # AQE broadcasts the offsets if their bytes are few
+    return (snap.join(offs, cond).withColumn(out, (F.col("_rid") - F.col("_first") + F.col("_off")).cast("bigint"))
                   .drop("_rid", "_part", "_first", "_off", *[f"_g_{g}" for g in group_cols]))

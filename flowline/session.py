@@ -9,6 +9,7 @@ folder of our own when it is unset (tests on a laptop).
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -57,6 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        # a machine-local folder serves one machine only
+        if not fallback and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         conf_dir = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"),
                                             "flowline-checkpoints")
     sc.setCheckpointDir(conf_dir)
