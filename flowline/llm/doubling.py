@@ -130,8 +130,14 @@ def _candidates(docs: DataFrame, marks: DataFrame | None) -> DataFrame:
     return docs.join(marks, ["doc_id", "text_hash"])
 
 
+def _settled_first(rows: DataFrame, *order: str) -> DataFrame:
+    """Rows dealt by their key and sorted; what a chunk has settled travels by
+    document, the rest by hash."""
+    return rows.repartition("settled", "key").sortWithinPartitions("settled", "key", *order)
+
+
 def _level(docs: DataFrame, marks: DataFrame | None, before: int | None, level: int, length: int) -> DataFrame:
-    """(doc_id, text_hash, marks): positions of the repeated minimizers of
+    """(doc_id, text_hash, ats): positions of the repeated minimizers of
     ``level`` words, for the windows alive after ``before``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _chunks(batches):
@@ -141,18 +147,41 @@ def _level(docs: DataFrame, marks: DataFrame | None, before: int | None, level:
             alive = c.valid if before is None else c.alive(t.column("marks").to_pylist(), before, length)
             hashes = window_hashes(c.words, level)
             at = np.unique(minimizers(hashes, length - level + 1)[alive])
-            if len(at):
-                doc = c.doc[at]
-                yield pa.RecordBatch.from_arrays(
-                    [_long(hashes[at].view(np.int64)),
-                     _long(t.column("doc_id").to_numpy()[doc]), _long(t.column("text_hash").to_numpy()[doc]),
-                     pa.array((at - c.first[doc]).astype(np.int32))],
-                    names=["hash", "doc_id", "text_hash", "at"])
+            if not len(at):
+                continue
+            _, first, place, many = np.unique(hashes[at], return_index=True, return_inverse=True, return_counts=True)
+            doc = c.doc[at]
+            ids, texts = t.column("doc_id").to_numpy()[doc], t.column("text_hash").to_numpy()[doc]
+            settled = many[place] > 1                    # repeated within this chunk
+            witness = first[many > 1]                    # tells the other chunks
+            key = np.concatenate([np.where(settled, ids, hashes[at].view(np.int64)), hashes[at[witness]].view(np.int64)])
+            rows = np.concatenate([np.arange(len(at)), witness])
+            yield pa.RecordBatch.from_arrays(
+                [_long(key), pa.array(np.concatenate([settled, np.zeros(len(witness), bool)])),
+                 _long(ids[rows]), _long(texts[rows]),
+                 pa.array(np.concatenate([at - c.first[doc], np.full(len(witness), -1)]).astype(np.int32))],
+                names=["key", "settled", "doc_id", "text_hash", "at"])
 
-    rows = _candidates(docs, marks).mapInArrow(run, "hash long, doc_id long, text_hash long, at int")
-    seen = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
-    return (rows.join(seen, "hash", "left_semi").groupBy("doc_id", "text_hash")
-            .agg(F.collect_list("at").alias("ats")))
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, known = None, None             # the last row, if alone so far; the last key, if not
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b] if held is None else [held, b]).combine_chunks().to_batches()[0]
+            key, settled = t.column("key").to_numpy(), t.column("settled").to_numpy(zero_copy_only=False)
+            same = (key[1:] == key[:-1]) & (settled[1:] == settled[:-1])
+            twin = np.r_[False, same] | np.r_[same, False]
+            twin |= ~settled & (key == known) if known is not None else False
+            keep = (settled | twin) & (t.column("at").to_numpy() >= 0)
+            alone = not settled[-1] and not twin[-1]
+            held = t.slice(t.num_rows - 1) if alone else None
+            known = None if alone or settled[-1] else key[-1]
+            yield t.select(["doc_id", "text_hash", "at"]).filter(pa.array(keep))
+
+    rows = _candidates(docs, marks).mapInArrow(
+        run, "key long, settled boolean, doc_id long, text_hash long, at int")
+    return (_settled_first(rows).mapInArrow(repeated, "doc_id long, text_hash long, at int")
+            .groupBy("doc_id", "text_hash").agg(F.collect_list("at").alias("ats")))
 
 
 def _pack(marks: DataFrame) -> DataFrame:
@@ -190,15 +219,15 @@ def _later(docs: DataFrame, marks: DataFrame | None, before: int | None, length:
             key = np.where(later, i, h.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [_long(key), pa.array(later), _long(i), pa.array(s.astype(np.int32)), _long(texts[order])],
-                names=["hash", "later", "doc_id", "at", "text_hash"])
+                names=["key", "settled", "doc_id", "at", "text_hash"])
 
     def losers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None                         # hash, doc_id, start of the current first
         for b in batches:
             if not b.num_rows:
                 continue
-            h, i, s = (b.column(c).to_numpy() for c in ("hash", "doc_id", "at"))
-            settled = b.column("later").to_numpy(zero_copy_only=False)
+            h, i, s = (b.column(c).to_numpy() for c in ("key", "doc_id", "at"))
+            settled = b.column("settled").to_numpy(zero_copy_only=False)
             new = np.r_[last is None or h[0] != last[0] or settled[0] != last[3],
                         (h[1:] != h[:-1]) | (settled[1:] != settled[:-1])]
             lead = np.maximum.accumulate(np.where(new, np.arange(len(h)), -1))
@@ -209,9 +238,8 @@ def _later(docs: DataFrame, marks: DataFrame | None, before: int | None, length:
             last = (h[-1], li[-1], ls[-1], settled[-1])
 
     rows = _candidates(docs, marks).mapInArrow(
-        windows, "hash long, later boolean, doc_id long, at int, text_hash long")
-    return (rows.repartition("later", "hash").sortWithinPartitions("later", "hash", "doc_id", "at")
-            .mapInArrow(losers, "doc_id long, text_hash long, at int"))
+        windows, "key long, settled boolean, doc_id long, at int, text_hash long")
+    return (_settled_first(rows, "doc_id", "at").mapInArrow(losers, "doc_id long, text_hash long, at int"))
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH, start: int = START) -> DataFrame | None:
