@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowline.llm.common import releasing, table
+from flowline.llm.common import portions, releasing, table
 
 BLOCK = 65_536
 END_ID = 0
@@ -209,10 +209,12 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, unit: int = 1, block:
                 number, done, size = number + 1, done + n, size - n
 
         for b in batches:
-            for doc, raw in zip(b.column("doc_id").to_pylist(), coder.encode(b.column("text").to_pylist())):
-                held.append((doc, raw + end))
-                size += len(raw) // 4 + 1
-            yield from put(False)
+            ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
+            for k, e in portions(texts):
+                for doc, raw in zip(ids[k:e], coder.encode(texts[k:e])):
+                    held.append((doc, raw + end))
+                    size += len(raw) // 4 + 1
+                yield from put(False)
         yield from put(True)
 
     rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")

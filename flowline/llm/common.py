@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -45,6 +46,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def portions(texts: list[str | None], chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
+    """(begin, end) of runs of texts of about ``chars`` characters (a longer
+    text is a run of its own): what a worker holds cut into words at a time."""
+    begin = size = 0
+    for k, t in enumerate(texts):
+        size += len(t or "")
+        if size >= chars:
+            yield begin, k + 1
+            begin, size = k + 1, 0
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
 def mix64(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Order-sensitive 64-bit hash of two uint64 arrays, element by element."""
     x = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b + np.uint64(0x7F4A7C159E3779B9))
