@@ -6,8 +6,7 @@
    Character references are decoded, white space becomes one space.
 2. *Features* of a block: its ancestors' tags, words of their class, id and
    role, and the nearest tag; and of the text, its length, the share inside
-   links, final punctuation, digits, a copyright mark, and whether it is
-   the first or last.
+   links, final punctuation, digits, a copyright mark.
 3. *Chain*: labels main and other, with weights for features per label and for
    pairs of neighbours.  Training maximises the likelihood (forward-backward,
    L-BFGS-free gradient steps with momentum) on labelled pages; decoding is by
@@ -167,7 +166,7 @@ def _cell(feature: str) -> int:
 def features(page: list[Block]) -> list[list[int]]:
     """Cells of each block's features."""
     out = []
-    for k, b in enumerate(page):
+    for b in page:
         n = len(b.text)
         names = ["bias", f"size {min(n.bit_length(), 12)}", f"links {min(4, int(5 * b.linked / (n + 1)))}"]
         names += [f"in {t}" for t in set(b.path) - {"html", "body"}]
@@ -183,10 +182,6 @@ def features(page: list[Block]) -> list[list[int]]:
             names.append("digits")
         if "©" in b.text or "copyright" in b.text.lower():
             names.append("copyright")
-        if k == 0:
-            names.append("first")
-        if k == len(page) - 1:
-            names.append("last")
         out.append([_cell(f) for f in names])
     return out
 
@@ -379,8 +374,10 @@ def labelled_pages(n: int, seed: int = 5) -> list[str]:
 
     out = []
     for _ in range(n):
+        bare = chance(0.1)                              # nothing but the article
+
         def zero(f, p):
-            return f'<div data-main="0">{f()}</div>' if chance(p) else ""
+            return f'<div data-main="0">{f()}</div>' if not bare and chance(p) else ""
         body = zero(notice, 0.2) + zero(header, 0.5) + zero(menu, 0.6) + zero(advert, 0.5) + zero(sidebar, 0.2)
         body += f'<div data-main="1">{article()}</div>'
         body += zero(comments, 0.4) + zero(sidebar, 0.3) + zero(advert, 0.3) + zero(form, 0.2) + zero(footer, 0.8) + zero(notice, 0.1)
