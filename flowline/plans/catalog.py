@@ -794,6 +794,15 @@ def q_run_status(spark, d):
     return R.latest_status(events).select("run_id", "parent_run_id", "status")
 
 
+@register("children_of_run", f"""
+WITH {_WIDE_SQL} SELECT run_id, parent_run_id, val_accuracy FROM wide
+WHERE parent_run_id = (SELECT min(o_custkey) FROM orders)""")
+def q_children_of_run(spark, d):
+    """The runs of one parent."""
+    parent = T(spark, d, "orders").agg(F.min("o_custkey")).scalar()
+    return R.filter_children(_wide(spark, d), parent).select("run_id", "parent_run_id", "val_accuracy")
+
+
 @register("child_runs", """
 SELECT c.o_orderkey AS run_id, c.o_custkey AS parent_run_id, p.o_orderstatus AS parent_status
 FROM orders c JOIN orders p ON c.o_custkey = p.o_orderkey""")
@@ -1260,6 +1269,74 @@ def early_stop_fold(epoch_metrics: DataFrame, patience: int, min_delta: float,
     return out.select(run, F.col("r.stop").alias("stop_epoch"), _r6("r.best").alias("best_loss"))
 
 
+@register("adam_step1", f"""
+WITH {_GRAD_SQL}
+SELECT k, pos, round(-0.01 * sqrt(1 - 0.999) / (1 - 0.9) * (0.1 * g) / (sqrt(0.001 * g * g) + 1e-7), 6) + 0.0 AS w
+FROM grad""")
+def q_adam_step1(spark, d):
+    """M4: Adam's first step from zero, on the all-reduced gradient."""
+    return _first_step(spark, d, "adam", 0.01)
+
+
+@register("adadelta_step1", f"""
+WITH {_GRAD_SQL}
+SELECT k, pos, round(-1.0 * sqrt(1e-7) / sqrt(0.05 * g * g + 1e-7) * g, 6) + 0.0 AS w FROM grad""")
+def q_adadelta_step1(spark, d):
+    """M5: Adadelta's first step from zero, on the all-reduced gradient."""
+    return _first_step(spark, d, "adadelta", 1.0)
+
+
+def _first_step(spark, d, optimizer, lr):
+    g, _, _ = TR.gradient(_emb_features(spark, d), np.zeros((DIM, NUM_CLASSES)))
+    w = TR.Optimizer(optimizer, g.shape).update(np.zeros_like(g), g, lr)
+    rows = TB.weights_frame(spark, optimizer, w[:DIM], w[DIM])
+    return rows.select("k", "pos", (F.round("w", 6) + F.lit(0.0)).alias("w"))
+
+
+def _scored_sql(weights: str, out: str) -> str:
+    """SQL of every row's probabilities, loss and hit under a weights table."""
+    return f"""{out}_lg AS (
+  SELECT r.vec_id, any_value(r.label) AS label, w.k, sum(CAST(r.x AS DOUBLE) * w.w) + any_value(b.w) AS logit
+  FROM rows r JOIN {weights} w ON r.pos = w.pos JOIN (SELECT k, w FROM {weights} WHERE pos = {DIM}) b ON b.k = w.k
+  GROUP BY r.vec_id, w.k),
+{out}_p AS (
+  SELECT vec_id, label, k, logit, mx, exp(logit - mx) / sum(exp(logit - mx)) OVER (PARTITION BY vec_id) AS p
+  FROM (SELECT *, max(logit) OVER (PARTITION BY vec_id) AS mx FROM {out}_lg)),
+{out} AS (
+  SELECT avg(ce) AS loss, avg(hit) AS accuracy FROM (
+    SELECT -ln(max(CASE WHEN k = label THEN p END)) AS ce,
+           CASE WHEN arg_max(k, logit) = any_value(label) THEN 1.0 ELSE 0.0 END AS hit
+    FROM {out}_p GROUP BY vec_id))"""
+
+
+@register("sgd_two_epochs", f"""
+WITH {_GRAD_SQL},
+w1 AS (SELECT k, pos, -0.5 * g AS w FROM grad),
+{_scored_sql('w1', 's1')},
+g2 AS (
+  SELECT s.k, r.pos, sum(CAST(r.x AS DOUBLE) * (p - CASE WHEN s.label = s.k THEN 1.0 ELSE 0.0 END)) / (SELECT n FROM n) AS g
+  FROM s1_p s JOIN rows r ON r.vec_id = s.vec_id GROUP BY s.k, r.pos
+  UNION ALL
+  SELECT k, {DIM} AS pos, sum(p - CASE WHEN label = k THEN 1.0 ELSE 0.0 END) / (SELECT n FROM n) AS g FROM s1_p GROUP BY k),
+w2 AS (SELECT k, pos, w - 0.5 * g AS w FROM w1 JOIN g2 USING (k, pos)),
+{_scored_sql('w2', 's2')}
+SELECT 0 AS epoch, round(ln({NUM_CLASSES}.0), 6) AS loss,
+       round((SELECT avg(CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END) FROM embeddings), 6) AS accuracy,
+       round(loss, 6) AS val_loss, round(accuracy, 6) AS val_accuracy FROM s1
+UNION ALL
+SELECT 1, round(s1.loss, 6), round(s1.accuracy, 6), round(s2.loss, 6), round(s2.accuracy, 6) FROM s1, s2""")
+def q_sgd_two_epochs(spark, d):
+    """The trainer's history over two epochs of one full-batch SGD
+    step each, from zero: training figures before, validation after a step."""
+    data = _emb_features(spark, d)
+    n = T(spark, d, "embeddings").count()
+    cfg = TR.TrainConfig(epochs=2, batch_size=n, workers=1, learning_rate=0.5, optimizer="sgd", dropout=0.0,
+                         scale_lr=False)
+    fit = TR.fit(data, data, NUM_CLASSES, cfg, init=np.zeros((DIM + 1, NUM_CLASSES)))
+    cols = ["loss", "accuracy", "val_loss", "val_accuracy"]
+    return _history_frame(spark, fit.history).select(F.col("epoch").cast("int"), *[_r6(c).alias(c) for c in cols])
+
+
 @register("weights_round_trip", f"""
 WITH {_GRAD_SQL} SELECT k, pos, round(-0.5 * g, 6) + 0.0 AS w FROM grad""")
 def q_weights_round_trip(spark, d):
@@ -1282,12 +1359,28 @@ FROM logits GROUP BY vec_id""")
 def q_score_table(spark, d):
     """Batch scoring of the whole table with a packaged head (fixed sine
     weights) through predict_batch_udf; class names from the vocabulary."""
+    return _scored(spark, d, lambda model: model)
+
+
+@register("packaged_model_round_trip", ORACLE["score_table"])
+def q_packaged_model_round_trip(spark, d):
+    """The same head saved, loaded and scored."""
+    path = scratch_path(spark, "models")
+
+    def saved(model):
+        model.save(spark, path)
+        return PackagedModel.load(spark, path)
+
+    return _scored(spark, d, saved)
+
+
+def _scored(spark, d, through):
     from flowline.plans.pipelines import embeddings_silver
     silver = embeddings_silver(spark, d)
     vocab = prepare.build_vocab(silver)
     classes = [r.label for r in vocab.orderBy("label_idx").collect()]   # bounded: K rows
     w = np.array(metrics.sine_weights(DIM, NUM_CLASSES)).T
-    model = PackagedModel(w, np.zeros(NUM_CLASSES), classes, {"img_height": 224, "img_width": 224})
+    model = through(PackagedModel(w, np.zeros(NUM_CLASSES), classes, {"img_height": 224, "img_width": 224}))
     out = score(silver, model, "features", "prediction", batch_size=128)
     return out.select(F.col("row_id").alias("vec_id"), "label", "prediction")
 
@@ -1308,6 +1401,15 @@ def q_bernoulli_sample(spark, d):
     return prepare.bernoulli_sample(T(spark, d, "documents"), 0.5, seed=1).select("doc_id")
 
 
+@register("random_split_is_partition", """
+SELECT count(*) AS n_rows, count(DISTINCT vec_id) AS n_ids FROM embeddings""")
+def q_random_split_is_partition(spark, d):
+    """The two parts of a random split hold each row once, together all."""
+    tr, va = prepare.random_split(T(spark, d, "embeddings"), (0.9, 0.1), 42)
+    both = tr.select("vec_id").union(va.select("vec_id"))
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("vec_id").alias("n_ids"))
+
+
 @register("random_split_parity")
 def q_random_split_parity(spark, d):
     """randomSplit([0.9, 0.1], seed=42) for parity; sizes only (layout-dependent)."""
