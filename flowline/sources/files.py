@@ -86,8 +86,6 @@ def _filesystem(root: str):
     from pyarrow import fs as pafs
     if root.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + root[5:].lstrip("/")
-    if "://" not in root:
-        return pafs.LocalFileSystem(), root
     return pafs.FileSystem.from_uri(root)
 
 
@@ -97,7 +95,11 @@ def write_png_files(df: DataFrame, root: str, path_col: str, pixels_col: str,
     folder); file names come from the data, so a retried task rewrites the
     same files; each file appears atomically (written aside, then renamed),
     so a speculative duplicate task cannot leave a torn file.  Returns
-    (path, n_bytes) per file (lazy)."""
+    (path, n_bytes) per file (lazy).  A ``root`` without a scheme means the
+    default file system, as everywhere in Spark."""
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    root = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
 
     def write(batches):
         fs, base = _filesystem(root)
