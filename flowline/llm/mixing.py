@@ -180,8 +180,9 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, ca
             .groupBy("uid", "pass").agg(F.sum("words").alias("_n"),
                                         F.sort_array(F.collect_list(F.struct("begin", "words"))).alias("_runs")))
     words = F.split(F.trim(F.regexp_replace("row.text", SPACE_PATTERN, " ")), " ")
-    part = F.array_join(F.flatten(F.transform(
-        "_runs", lambda r: F.slice(words, (r["begin"] + 1).cast("int"), r["words"].cast("int")))), " ")
+    # the words are bound once per row: in the inner lambda they would be cut anew for every run
+    part = F.element_at(F.transform(F.array(words), lambda w: F.array_join(F.flatten(F.transform(
+        "_runs", lambda r: F.slice(w, (r["begin"] + 1).cast("int"), r["words"].cast("int")))), " ")), 1)
     text = F.when(F.col("_n") == F.col("size"), F.col("row.text")).otherwise(part)
     schema: StructType = docs.schema
     rows = sizes.join(runs.hint("merge"), "uid").select("row", text.alias("_text"))
