@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowline.llm.common import SPACE_PATTERN, WORD_PATTERN, staged, table
+from flowline.operators.ranking import default_partitions
 
 WEIGHTS = (5, 2, 1)
 PERCENT = 150        # words of the mix, in percent of all words
@@ -33,26 +34,35 @@ CAP = 2              # a source (and a document) is taken at most so often
 BLOCK_WORDS = 64
 BUCKETS = 4096       # parts of a source's prefix sum
 SHARD_SLOTS = 1024   # blocks of an output shard
-SEQUENCE = 65_536    # slots made from one row
+SEQUENCE = 16_384    # slots made from one row
 ROUNDS = 24          # of the permutation
 PRIME, PRIME_2 = 2_147_483_647, 2_147_483_629
 
 
-def _swap_sql(v: str, r: str, n: str, key: str) -> str:
-    """SQL (of Spark and of DuckDB) for round ``r`` of a swap-or-not shuffle of
-    0..n-1: v and its partner K - v change places if a hash of the larger of
-    the two says so, which makes each round a bijection for any n."""
-    turn = f"((((({key} + {r} * 104729) * 69621) % {PRIME}) * 40503) % {n})"
+def _turn_sql(r: str, n: str, key: str) -> str:
+    """SQL (of Spark and of DuckDB) for the constant of round ``r``."""
+    return f"(((({key} + {r} * 104729) * 69621) % {PRIME}) * 40503) % {n}"
+
+
+def _swap_sql(v: str, turn: str, n: str) -> str:
+    """SQL (of Spark and of DuckDB) for a round of a swap-or-not shuffle of
+    0..n-1: v and its partner turn - v change places if a hash of the larger
+    of the two says so, which makes each round a bijection for any n."""
     partner = f"(({turn} + {n} - {v}) % {n})"
     high = f"greatest({v}, {partner})"
-    bits = (f"((({high} % {PRIME}) * 1103515245 + ({high} % {PRIME_2}) * 69069 + {key} + {r} * 40503) % {PRIME})"
+    bits = (f"((({high} % {PRIME}) * 1103515245 + ({high} % {PRIME_2}) * 69069 + {turn}) % {PRIME})"
             f" * 1566083941 % {PRIME}")
     return f"CASE WHEN ({bits}) % 1024 < 512 THEN {partner} ELSE {v} END"
 
 
-def permute(x: str, n: str, key: str) -> Column:
+def turns(n: str, key: str) -> Column:
+    """The constants of all rounds for a permutation of 0..n-1."""
+    return F.expr(f"transform(sequence(1L, {ROUNDS}L), r -> {_turn_sql('r', n, key)})")
+
+
+def permute(x: str, n: str, turns_col: str) -> Column:
     """A pseudorandom permutation of 0..n-1 at ``x``."""
-    return F.expr(f"aggregate(sequence(1L, {ROUNDS}L), {x}, (v, r) -> {_swap_sql('v', 'r', n, key)})")
+    return F.expr(f"aggregate({turns_col}, {x}, (v, turn) -> {_swap_sql('v', 'turn', n)})")
 
 
 def sized(docs: DataFrame, *carry: str) -> DataFrame:
@@ -105,14 +115,18 @@ def slots(targets: DataFrame, cap: int = CAP, block_words: int = BLOCK_WORDS,
                 .withColumn("total", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding,
                                                                        Window.unboundedFollowing)))
                 .filter("n > 0"))
+    # the rounds' constants once per source and pass, not once per slot
+    per_pass = (per_pass.withColumn("key", (F.col("src") * 7919 + F.col("pass") * 104_729 + 12_345) % PRIME)
+                .withColumn("own_turns", turns("blocks", "key"))
+                .withColumn("all_turns", turns("total", "CAST(777 AS BIGINT)")))
+    # an explicit count: AQE would join these few rows, each thousands of slots, to one task
     rows = (per_pass.withColumn("from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1,
                                                              F.lit(SEQUENCE).cast("bigint"))))
-            .repartition("src", "pass", "from")
+            .repartition(default_partitions(targets.sparkSession), "src", "pass", "from")
             .withColumn("j", F.explode(F.sequence("from", F.least(F.col("from") + SEQUENCE, F.col("n")) - 1))))
-    return (rows.withColumn("key", (F.col("src") * 7919 + F.col("pass") * 104_729 + 12_345) % PRIME)
-            .withColumn("global", F.col("base") + F.col("j"))
-            .select(permute("global", "total", "CAST(777 AS BIGINT)").alias("position"),
-                    "src", "pass", permute("j", "blocks", "key").alias("block"),
+    return (rows.withColumn("global", F.col("base") + F.col("j"))
+            .select(permute("global", "total", "all_turns").alias("position"),
+                    "src", "pass", permute("j", "blocks", "own_turns").alias("block"),
                     F.when(F.col("words") == F.col("source_size"), block_words)   # a whole pass
                      .otherwise(F.least(F.lit(block_words), F.col("words") - F.col("j") * block_words))
                      .cast("bigint").alias("words"))
@@ -233,7 +247,7 @@ drawn AS (SELECT *, unnest(range(n)) AS j FROM counted WHERE n > 0),
 takes AS (
   SELECT src, CASE WHEN words = source_size THEN {b} ELSE least({b}, words - j * {b}) END AS words,
          list_reduce([j] || range(1, {ROUNDS + 1}),
-                     lambda v, r: {_swap_sql('v', 'r', 'blocks', 'key')}) AS block
+                     lambda v, r: {_swap_sql('v', '(' + _turn_sql('r', 'blocks', 'key') + ')', 'blocks')}) AS block
   FROM drawn),
 places AS (
   SELECT doc_id, size, t.src, source_size, target,

@@ -59,7 +59,8 @@ def test_equals_sql(small):
 def test_permutation_is_one(spark):
     for n in (1, 2, 3, 10, 97, 4096, 5000):
         got = [r[0] for r in spark.range(n).select(
-            F.expr("id AS x"), M.permute("id", f"CAST({n} AS BIGINT)", "CAST(99 AS BIGINT)").alias("p"))
+            F.expr("id AS x"), "id", M.turns(f"CAST({n} AS BIGINT)", "CAST(99 AS BIGINT)").alias("turns"))
+               .select("x", M.permute("id", f"CAST({n} AS BIGINT)", "turns").alias("p"))
                .orderBy("x").select("p").collect()]
         assert sorted(got) == list(range(n))
         if n > 90:
