@@ -47,7 +47,7 @@ from flowline.llm.common import portions, releasing, table
 BLOCK = 65_536
 END_ID = 0
 MAGIC = b"BPL1"
-CACHE = 250_000          # pieces in each of the two generations of a worker's cache
+CACHE = 500_000          # pieces in each of the two generations of a worker's cache
 
 
 # ---------------------------------------------------------------- format
