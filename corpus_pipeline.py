@@ -6,7 +6,8 @@
 3. *secrets*: spans of secrets become ``[SECRET]``; every document stays.
 4. *mixing*: sources are mixed to their target weights; a document that is
    taken twice is two rows, one that is taken in part holds the taken words.
-5. *pieces*: the four best SentencePiece segmentations, decoded and checked.
+5. *pieces*: the ids of the four best SentencePiece segmentations, each decoded
+   and checked.
 
 Each stage takes (spark, docs, sf_dir); all but the last return the columns of
 documents.  ``run`` writes each stage's result as Parquet under the shared
