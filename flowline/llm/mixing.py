@@ -13,6 +13,10 @@
    a shard are multinomial, conditioned on the totals, so targets are met.
 4. Slot ``j`` of a pass takes block ``permute(j)`` of its source; slots and
    document pieces meet in one join by (source, block).
+5. *Order*: ``mixed_blocks`` gives the blocks by (shard, position), and
+   ``mixed_documents`` the documents by the place of their first word's block;
+   a partition holds whole shards, one after the other.  What ``mix`` takes of
+   a document does not depend on the draw.
 
 Nulls: a null source is a source of its own, ranked last; null or empty texts
 have size 0 and are kept with nothing taken; a null ``doc_id`` is kept.
@@ -101,7 +105,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, percent: int = PERCENT, ca
 
 def slots(targets: DataFrame, cap: int = CAP, block_words: int = BLOCK_WORDS,
           shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """(shard, position, src, pass, block, words): the blocks of the mix.
+    """(shard, shards, position, src, pass, block, words): the blocks of the mix.
     Counting its rows by (shard, src) gives the multinomial draw."""
     want = F.round("target").cast("bigint")
     per_pass = (targets.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(cap - 1))))
@@ -129,7 +133,8 @@ def slots(targets: DataFrame, cap: int = CAP, block_words: int = BLOCK_WORDS,
                     "src", "pass", permute("j", "blocks", "own_turns").alias("block"),
                     F.when(F.col("words") == F.col("source_size"), block_words)   # a whole pass
                      .otherwise(F.least(F.lit(block_words), F.col("words") - F.col("j") * block_words))
-                     .cast("bigint").alias("words"))
+                     .cast("bigint").alias("words"),
+                    F.ceil(F.col("total") / shard_slots).cast("bigint").alias("shards"))
             .withColumn("shard", F.floor(F.col("position") / shard_slots).cast("bigint")))
 
 
@@ -148,7 +153,9 @@ def placed(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def taken_pieces(docs: DataFrame, takes: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(uid, pass, begin, words): the runs of each document that slots take."""
+    """(uid, pass, begin, words, lo, shard, shards, position): the runs of each
+    document that slots take, with their place in the mix; ``lo`` is the first
+    word's index in its block."""
     first = F.floor(F.col("start") / block_words)
     last = F.floor((F.col("start") + F.col("size") - 1) / block_words)
     pieces = (docs.filter("size > 0").select("uid", "src", "start", "size",
@@ -159,9 +166,18 @@ def taken_pieces(docs: DataFrame, takes: DataFrame, block_words: int = BLOCK_WOR
               .withColumn("begin", F.col("block") * block_words + F.col("lo") - F.col("start"))
               .drop("start", "size"))
     # slots come out of an explode, whose size no estimate sees: never broadcast them
-    hit = pieces.join(takes.select("src", "pass", "block", "words").hint("merge"), ["src", "block"])
+    hit = pieces.join(takes.select("src", "pass", "block", "words", "shard", "shards", "position").hint("merge"),
+                      ["src", "block"])
     return (hit.withColumn("words", F.least("hi", "words") - F.col("lo")).filter("words > 0")
-            .select("uid", "pass", "begin", "words"))
+            .select("uid", "pass", "begin", "words", "lo", "shard", "shards", "position"))
+
+
+def by_shard(rows: DataFrame, *order: str) -> DataFrame:
+    """``rows`` with whole shards in each partition, in the order of shards,
+    and sorted by ``order`` within it."""
+    n = default_partitions(rows.sparkSession)
+    return (rows.repartitionById(n, F.floor(F.col("shard") * n / F.col("shards")).cast("int"))
+            .sortWithinPartitions(*order))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, cap: int = CAP,
@@ -178,10 +194,43 @@ def mix(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, cap: int = CAP
                     F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken")))
 
 
+def _words(text: str) -> Column:
+    return F.split(F.trim(F.regexp_replace(text, SPACE_PATTERN, " ")), " ")
+
+
+def mixed_blocks(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, cap: int = CAP,
+                 block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """shard, position, source, words, text, pieces: the mix as blocks, by
+    (shard, position); their counts by (shard, source) are the draw.  The text
+    is the words joined by one space; ``pieces`` are the documents they come
+    from, in order: doc_id, first word and number of words."""
+    sizes = sized(docs, "text")
+    slim = sizes.drop("text")
+    targets = staged(source_targets(slim, weights, percent, cap), "mixing_targets")
+    taken = (taken_pieces(placed(slim, targets), slots(targets, cap, block_words, shard_slots), block_words)
+             .groupBy("uid").agg(F.collect_list(F.struct("shard", "shards", "position", "lo", "begin", "words"))
+                                 .alias("_runs")))
+    # the words are bound once per row, as in mixed_documents
+    cut = F.element_at(F.transform(F.array(_words("text")), lambda w: F.transform("_runs", lambda r: F.struct(
+        r["shard"].alias("shard"), r["shards"].alias("shards"), r["position"].alias("position"),
+        r["lo"].alias("lo"), r["begin"].alias("begin"), r["words"].alias("words"),
+        F.array_join(F.slice(w, (r["begin"] + 1).cast("int"), r["words"].cast("int")), " ").alias("text")))), 1)
+    runs = (sizes.join(taken.hint("merge"), "uid").select("doc_id", "source", F.explode(cut).alias("r"))
+            .select("doc_id", "source", "r.*"))
+    blocks = (runs.groupBy("shard", "shards", "position", "source")
+              .agg(F.sort_array(F.collect_list(F.struct("lo", "doc_id", "begin", "words", "text"))).alias("_p")))
+    return by_shard(blocks, "position").select(
+        "shard", "position", "source", F.expr("aggregate(_p.words, 0L, (a, w) -> a + w)").alias("words"),
+        F.array_join("_p.text", " ").alias("text"),
+        F.transform("_p", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["begin"].alias("begin"),
+                                             p["words"].alias("words"))).alias("pieces"))
+
+
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, cap: int = CAP,
-                    block_words: int = BLOCK_WORDS) -> DataFrame:
+                    block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """The mix as documents, with the columns of ``docs``: one row for each
-    pass that takes words of a document.  A pass that takes all of it keeps
+    pass that takes words of a document, by shard, in the order of the blocks
+    that hold their first words.  A pass that takes all of it keeps
     the text as it is; else the text is the taken words joined by one space.
     ``n_chars`` follows the text.  Documents without words are not in a mix."""
     from pyspark.sql.types import StructType
@@ -190,16 +239,19 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, ca
     slim = sizes.drop("row")
     targets = staged(source_targets(slim, weights, percent, cap), "mixing_targets")
     d = placed(slim, targets)
-    runs = (taken_pieces(d, slots(targets, cap, block_words), block_words)
+    place = F.struct("begin", "words", "shard", "shards", "position", "lo")
+    runs = (taken_pieces(d, slots(targets, cap, block_words, shard_slots), block_words)
             .groupBy("uid", "pass").agg(F.sum("words").alias("_n"),
-                                        F.sort_array(F.collect_list(F.struct("begin", "words"))).alias("_runs")))
-    words = F.split(F.trim(F.regexp_replace("row.text", SPACE_PATTERN, " ")), " ")
+                                        F.sort_array(F.collect_list(place)).alias("_runs")))
+    words = _words("row.text")
     # the words are bound once per row: in the inner lambda they would be cut anew for every run
     part = F.element_at(F.transform(F.array(words), lambda w: F.array_join(F.flatten(F.transform(
         "_runs", lambda r: F.slice(w, (r["begin"] + 1).cast("int"), r["words"].cast("int")))), " ")), 1)
     text = F.when(F.col("_n") == F.col("size"), F.col("row.text")).otherwise(part)
     schema: StructType = docs.schema
-    rows = sizes.join(runs.hint("merge"), "uid").select("row", text.alias("_text"))
+    rows = by_shard(sizes.join(runs.hint("merge"), "uid").withColumn("_first", F.col("_runs")[0])
+                    .select("row", text.alias("_text"), "_first.shard", "_first.shards", "_first.position", "_first.lo"),
+                    "position", "lo")
     return rows.select(*[F.col("_text").alias(f.name) if f.name == "text"
                          else F.length("_text").cast(f.dataType).alias(f.name) if f.name == "n_chars"
                          else F.col("row").getField(f.name).alias(f.name) for f in schema])

@@ -100,3 +100,42 @@ def test_empty_table(spark, no_docs):
     blank = spark.createDataFrame([(k, rng.choice(["", None, " "]), "s") for k in range(5)],
                                   "doc_id long, text string, source string")
     assert {(r.size, r.taken, r.target) for r in M.mix(blank).collect()} == {(0, 0, 0.0)}
+
+
+def test_blocks_are_the_draw(docs):
+    out = M.mixed_blocks(docs, shard_slots=16)
+    rows = out.withColumn("part", F.spark_partition_id()).collect()
+    t = M.source_targets(M.sized(docs))
+    drawn = M.slots(t, shard_slots=16).join(t.select("src", "source"), "src").collect()
+    source = {r.position: (r.shard, r.source) for r in drawn}
+    assert {r.position: (r.shard, r.source) for r in rows} == source and len(rows) == len(source) > 160
+    at = [(r.part, r.shard, r.position) for r in rows]
+    assert at == sorted(at) and len({r.part for r in rows}) > 1
+    assert len({(r.part, r.shard) for r in rows}) == len({r.shard for r in rows})       # whole shards
+    text = {r.doc_id: (r.text or "").encode().split() for r in docs.collect()}
+    taken: dict = {}
+    for r in rows:
+        want = [w for p in r.pieces for w in text[p.doc_id][p.begin:p.begin + p.words]]
+        assert r.text.encode() == b" ".join(want) and r.words == len(want) <= M.BLOCK_WORDS
+        for p in r.pieces:
+            taken[p.doc_id] = taken.get(p.doc_id, 0) + p.words
+    want = {}
+    for r in M.mix(docs).collect():
+        want[r.doc_id] = want.get(r.doc_id, 0) + r.taken
+    assert taken == {k: v for k, v in want.items() if v}
+
+
+def test_documents_follow_the_draw(small):
+    last: dict = {}
+    for r in M.mixed_blocks(small, block_words=512, shard_slots=16).collect():
+        for p in r.pieces:
+            last.setdefault(p.doc_id, set()).add((r.shard, r.position))
+    rows = M.mixed_documents(small, block_words=512, shard_slots=16).withColumn("part", F.spark_partition_id()).collect()
+    shards: dict = {}
+    for r in rows:
+        shards.setdefault(r.part, []).append(r)
+    assert len(shards) > 1
+    # one document of one block of one pass has one place: these come in the order of shard and position
+    places = [next(iter(last[r.doc_id])) for r in rows if len(last[r.doc_id]) == 1]
+    assert len(places) > 10 and places == sorted(places)
+    assert [r.source for r in rows] != sorted([r.source for r in rows])
