@@ -2,7 +2,9 @@
 
 1. *Blocks*: a page is read tag by tag; text between block-level tags is one
    leaf block, with the tags, classes, ids and roles of its ancestors.
-   Scripts, styles, comments, head matter and form controls hold no text.
+   Scripts, styles, comments, head matter and form controls hold no text.  Of
+   them, one that is never closed ends at the next block-level tag, and a head
+   at the first tag or text that cannot stand in it.
    Character references are decoded, white space becomes one space.
 2. *Features* of a block: its ancestors' tags, words of their class, id and
    role, and the nearest tag; and of the text, its length, the share inside
@@ -50,7 +52,10 @@ tr ul""".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT_TAGS = frozenset("""script style head title noscript template svg math iframe object select textarea
 button canvas audio video option""".split())
+FOREIGN_TAGS = frozenset(("svg", "math"))
 RAW_TAGS = frozenset("script style textarea title".split())
+HEAD_TAGS = frozenset("""head html base basefont bgsound link meta title script style noscript noframes template
+object""".split())
 # an opening tag that closes these open ones (an unclosed <p>, <li> and so on)
 IMPLIED_END = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
                "th": ("td", "th"), "option": ("option",)}
@@ -65,6 +70,56 @@ NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 SPACES = re.compile(r"\s+")
 
 
+def _self_closed(attributes: str) -> bool:
+    """Whether a tag ends in '/>', the '/' being no part of a bare value."""
+    if not attributes.endswith("/"):
+        return False
+    tail = 1 + max(attributes.rfind(c) for c in " \t\n\r\f\"'")
+    return "=" not in attributes[tail:] and not attributes[:tail].rstrip().endswith("=")
+
+
+def _tokens(page: str) -> list[list]:
+    """[begin, end, tag or None, is end tag, attributes, closed] of the markup
+    in page order.  Of an opening tag, closed is True if its end tag comes
+    before that of an element around it, and None if it is empty ('/>')."""
+    out: list[list] = []
+    stack: list[list] = []
+    depth: dict = {}                                    # open elements by tag
+    at = 0
+    while m := TOKEN.search(page, at):
+        at = m.end()
+        tag = m[2] and m[2].lower()
+        one = [m.start(), at, tag, bool(m[1]), m[3] or "", False]
+        out.append(one)
+        if tag is None or (tag in VOID_TAGS and not m[1]):
+            continue
+        if m[1]:
+            if depth.get(tag):
+                while True:
+                    x = stack.pop()
+                    depth[x[2]] -= 1
+                    if x[2] == tag:
+                        x[5] = True
+                        break
+            continue
+        if _self_closed(one[4]) and (tag in FOREIGN_TAGS or any(depth.get(t) for t in FOREIGN_TAGS)):
+            one[5] = None
+            continue
+        stack.append(one)
+        depth[tag] = depth.get(tag, 0) + 1
+        if tag in RAW_TAGS:                             # no markup inside
+            stop = re.compile(f"</{tag}", re.I).search(page, at)
+            if stop is not None:
+                at = stop.start()
+            elif tag in ("script", "style"):
+                out.append([len(page), len(page), None, False, "", False])
+                break
+    for one in out:                                     # never closed, and written as empty
+        if one[5] is False and one[2] in SILENT_TAGS and not one[3] and _self_closed(one[4]):
+            one[5] = None
+    return out
+
+
 class Block:
     """A leaf block: its text, the characters in links, and its ancestors."""
 
@@ -77,7 +132,7 @@ class Block:
 def blocks(page: str | None) -> list[Block]:
     """The leaf blocks of a page, in page order."""
     out: list[Block] = []
-    stack: list = [("", (), None)]                      # tag, words of its names, label
+    stack: list = [("", (), None, False)]               # tag, words of its names, label, has an end tag
     parts: list[str] = []
     linked = silent = links = 0
     page = page or ""
@@ -94,27 +149,36 @@ def blocks(page: str | None) -> list[Block]:
 
     def close(k: int):
         nonlocal silent, links
-        for tag, _, _ in stack[k:]:
+        for tag, _, _, _ in stack[k:]:
             silent -= tag in SILENT_TAGS
             links -= tag == "a"
         del stack[k:]
 
+    def end_unclosed():
+        """Close what holds no text, has no end tag and lies in nothing that has one."""
+        at = None
+        for k in range(len(stack) - 1, 0, -1):
+            if stack[k][0] in SILENT_TAGS:
+                if stack[k][3]:
+                    break
+                at = k
+        if at is not None:
+            close(at)
+
     at, size = 0, len(page)
-    while at < size:
-        m = TOKEN.search(page, at)
-        end = m.start() if m else size
-        if end > at and not silent:
-            text = entities.unescape(page[at:end])
-            parts.append(text)
-            if links:
-                linked += len(text)
-        if not m:
-            break
-        at = m.end()
-        if m[2] is None:
+    for begin, end, tag, ends, attributes, closed in [*_tokens(page), (size, size, None, False, "", False)]:
+        if begin > at:
+            if stack[-1][0] == "head" and not page[at:begin].isspace():
+                close(len(stack) - 1)
+            if not silent:
+                text = entities.unescape(page[at:begin])
+                parts.append(text)
+                if links:
+                    linked += len(text)
+        at = end
+        if tag is None:
             continue
-        tag = m[2].lower()
-        if m[1]:                                        # an end tag
+        if ends:                                        # an end tag
             if tag in BLOCK_TAGS:
                 flush()
             for k in range(len(stack) - 1, 0, -1):
@@ -124,6 +188,13 @@ def blocks(page: str | None) -> list[Block]:
             continue
         if tag in BLOCK_TAGS:
             flush()
+        if silent:
+            if tag == "body" or (stack[-1][0] == "head" and tag not in HEAD_TAGS):
+                k = next((k for k, x in enumerate(stack) if x[0] == "head"), None)
+                if k is not None:
+                    close(k)
+            if tag in CLOSES_P:
+                end_unclosed()
         if tag in CLOSES_P or tag in IMPLIED_END:
             gone = IMPLIED_END.get(tag, ("p",))
             for k in range(len(stack) - 1, 0, -1):
@@ -132,26 +203,19 @@ def blocks(page: str | None) -> list[Block]:
                     break
                 if stack[k][0] in SCOPES:
                     break
-        if tag in VOID_TAGS:
+        if tag in VOID_TAGS or closed is None:
             continue
         words, label = (), None
-        if m[3].strip():
-            found = {a[0].lower(): a[1] or a[2] or a[3] for a in ATTRIBUTE.findall(m[3])}
+        if attributes.strip():
+            found = {a[0].lower(): a[1] or a[2] or a[3] for a in ATTRIBUTE.findall(attributes)}
             words = tuple(w.lower() for key in ("class", "id", "role", "aria-label", "itemprop") if key in found
                           for w in NAME_WORD.findall(found[key]))
             if "hidden" in found or "display:none" in found.get("style", "").replace(" ", ""):
                 words += ("hidden",)
             label = found.get("data-main")
-        stack.append((tag, words, label))
+        stack.append((tag, words, label, closed))
         silent += tag in SILENT_TAGS
         links += tag == "a"
-        if tag in RAW_TAGS:                             # no markup inside
-            stop = re.compile(f"</{tag}", re.I).search(page, at)
-            if stop is None:
-                if tag in ("script", "style"):
-                    break
-            else:
-                at = stop.start()
     flush()
     return out
 

@@ -79,3 +79,36 @@ def test_given_pages_are_their_articles(spark, chain):
         body = re.search("<article>(.*?)</article>", r.html, re.S)[1]
         body = re.sub("</?(b|i|a|em|strong|span)>", "", body)
         assert H.main_text(r.html, chain) == " ".join(html.unescape(re.sub("<[^>]+>", " ", body)).split())
+
+
+def shown(page):
+    return " ".join(b.text for b in H.blocks(page))
+
+
+def test_head_without_end_tag(chain):
+    body = "<article><h1>A title</h1><p>One sentence of text.</p></article>"
+    want = "A title One sentence of text."
+    for head in ("<head><title>t</title>", "<head><meta charset=utf-8><title>t</title><script>x</script>", "<head>",
+                 "<head><title>t</title><noscript><link rel=x></noscript>", "<head><noscript>", "<head><title>t"):
+        assert H.main_text(f"<html>{head}<body>{body}", chain) == want
+    assert H.main_text(f"<head><title>t</title>{body}", chain) == want              # no <body> either
+    assert shown("<head><title>t</title>\n Plain text") == "Plain text"
+    assert shown("<head><title>t</title><style>p{}</style></head><body>x") == "x"
+
+
+def test_silent_elements_without_end_tag(chain):
+    for tag in ("button", "select", "noscript", "video", "audio", "canvas", "iframe", "object", "template", "svg",
+                "math", "textarea", "select><option", "button><svg"):
+        page = f"<article><p>One sentence here.</p><{tag}>x<p>Two sentences here.</p><p>Three of them.</p></article>"
+        assert H.main_text(page, chain) == "One sentence here. Two sentences here. Three of them.", tag
+    for tag in ("noscript", "video", "object"):                 # with one, what it holds stays out
+        assert shown(f"<p>a</p><{tag}><p>b</p><button>c<p>d</p></{tag}><p>e</p>") == "a e", tag
+    assert shown("<noscript><button><p>a</p></button><p>b</p>") == "b"
+
+
+def test_self_closed_silent_elements():
+    for tag in ("svg", "svg width='1' ", "math", "iframe src=\"x\" ", "video src='x'", "canvas", "object"):
+        assert shown(f"<p>a <{tag}/> b</p><p>c</p>") == "a b c", tag
+    assert shown("<p>a <svg><title/><path d='x'/></svg> b</p>") == "a b"
+    assert shown("<p>a <iframe src=http://x/></iframe> b <svg class=x/>c</svg></p>") == "a b"
+    assert shown("<div>a<div/>b</div>c") == "a b c"
