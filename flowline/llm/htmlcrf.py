@@ -241,8 +241,7 @@ def features(page: list[Block]) -> list[list[int]]:
             names.append("ends")
         if b.text[-1] == ":":
             names.append("colon")
-        digits = sum(map(str.isdigit, b.text[:200]))
-        if digits * 4 > min(n, 200):
+        if sum(map(str.isdigit, b.text)) * 4 > n:
             names.append("digits")
         if "©" in b.text or "copyright" in b.text.lower():
             names.append("copyright")

@@ -112,3 +112,10 @@ def test_self_closed_silent_elements():
     assert shown("<p>a <svg><title/><path d='x'/></svg> b</p>") == "a b"
     assert shown("<p>a <iframe src=http://x/></iframe> b <svg class=x/>c</svg></p>") == "a b"
     assert shown("<div>a<div/>b</div>c") == "a b c"
+
+
+def test_digits_of_the_whole_block():
+    digits = H._cell("digits")
+    prose, numbers = "words in a sentence " * 100, "1234567 " * 30
+    for text, want in ((numbers + prose, False), (prose[:220] + numbers * 10, True), (numbers, True), ("no 1", False)):
+        assert (digits in H.features(H.blocks(f"<p>{text}</p>"))[0]) == want
