@@ -4,7 +4,8 @@ naive Bayes log-count ratio.
 Features say whether an n-gram (4 to 6 bytes of the lower-cased text) occurs,
 hashed into 2**18 cells.  Training reads a bounded sample of labelled rows:
 
-1. the ``max_train`` labelled documents with the smallest hash of doc_id;
+1. the ``max_train`` labelled documents with the smallest hash of doc_id; of
+   several rows of one doc_id, the text with the smallest hash;
 2. documents of either class that hold a cell, counted by Spark;
 3. r = log of the ratio of the two classes' smoothed frequencies; cells whose
    r stands out from chance by ``MIN_Z`` standard errors are features;
@@ -60,12 +61,15 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """(doc_id, text, toxic): at most ``max_train`` labelled documents."""
+    """(doc_id, text, toxic): at most ``max_train`` labelled documents, one row
+    for each doc_id."""
     chosen = (labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(~is_held_out())
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train))
-    # max_train ids at most
-    return staged(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxic_sample")
+    # max_train ids at most; every task merges the rows of an id before they are dealt
+    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic")
+            .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("row")))
+    return staged(rows.select("doc_id", "row.text", "toxic"), "toxic_sample")
 
 
 def _counts(sample: DataFrame) -> pd.DataFrame:

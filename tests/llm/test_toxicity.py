@@ -56,3 +56,17 @@ def test_gradient_reaches_the_optimum():
     w, b = T._logistic(np.ones(len(rows)), rows, cols, y, 6)
     p = 1 / (1 + np.exp(-(x @ w + b)))
     assert np.abs(x.T @ (p - y) + T.L2 * w).max() < 1.5 and w[0] > 3 * np.abs(w[1:]).max()
+
+
+def test_sample_has_one_row_per_document(spark):
+    from pyspark.sql import functions as F
+    rows = [(k, f"text {k}") for k in range(40)] + [(8, f"other {k}") for k in range(300)] + [(9, None)] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int").filter(~T.is_held_out())
+    n = labels.count()
+    sample = T.training_sample(docs, labels).collect()
+    assert sorted(r.doc_id for r in sample) == sorted(r.doc_id for r in labels.collect())
+    assert T.training_sample(docs, labels, n - 3).count() == n - 3
+    least = docs.orderBy(F.xxhash64("text"), "text").collect()
+    for r in sample:
+        assert r.toxic == r.doc_id % 2 and r.text == next(x.text for x in least if x.doc_id == r.doc_id)
