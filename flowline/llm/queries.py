@@ -19,7 +19,5 @@ QUERIES = {
 
 ORACLE = {
     "op6_voronoi": voronoi.oracle_sql(),
-    "op3_nbest": nbest.op3_nbest,
-    "op4_doubling": doubling.op4_doubling,
     "op8_mixing": mixing.oracle_sql(),
 }

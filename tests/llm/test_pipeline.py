@@ -67,3 +67,9 @@ def test_registered():
 def test_package_guard():
     import __spark_entry__ as e
     assert "pipeline" in e.queries() and "op1_htmlcrf" in e.queries()
+
+
+def test_sql_is_text():
+    import __spark_entry__ as e
+    assert all(isinstance(sql, str) for sql in e.oracle_sql().values())
+    assert set(queries.ORACLE) == {"op6_voronoi", "op8_mixing"}
