@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowline.llm import bitplane, doubling, graphann, htmlcrf, hyperminhash, mixing, nbest, secrets, toxicity, voronoi
+from flowline.llm import anchors, bitplane, doubling, graphann, htmlcrf, hyperminhash, mixing, nbest, secrets, toxicity, voronoi
 
 QUERIES = {
     "op1_htmlcrf": htmlcrf.op1_htmlcrf,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_graphann": graphann.op10_graphann,
+    "op11_anchors": anchors.op11_anchors,
 }
 
 ORACLE = {
