@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowline.llm import anchors, bitplane, doubling, graphann, htmlcrf, hyperminhash, mixing, nbest, secrets, toxicity, voronoi
+from flowline.llm import anchors, bitplane, doubling, graphann, htmlcrf, hyperminhash, mixing, nbest, periodic, secrets, toxicity, voronoi
 
 QUERIES = {
     "op1_htmlcrf": htmlcrf.op1_htmlcrf,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_graphann": graphann.op10_graphann,
     "op11_anchors": anchors.op11_anchors,
+    "op12_periodic": periodic.op12_periodic,
 }
 
 ORACLE = {
