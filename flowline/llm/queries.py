@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowline.llm import anchors, bitplane, doubling, graphann, htmlcrf, hyperminhash, mixing, nbest, periodic, secrets, toxicity, voronoi
+from flowline.llm import anchors, bitplane, cascade, doubling, graphann, htmlcrf, hyperminhash, mixing, nbest, periodic, secrets, toxicity, voronoi
 
 QUERIES = {
     "op1_htmlcrf": htmlcrf.op1_htmlcrf,
@@ -17,9 +17,11 @@ QUERIES = {
     "op10_graphann": graphann.op10_graphann,
     "op11_anchors": anchors.op11_anchors,
     "op12_periodic": periodic.op12_periodic,
+    "op13_cascade": cascade.op13_cascade,
 }
 
 ORACLE = {
     "op6_voronoi": voronoi.oracle_sql(),
     "op8_mixing": mixing.oracle_sql(),
+    "op13_cascade": cascade.oracle_sql(),
 }
