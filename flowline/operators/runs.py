@@ -19,6 +19,7 @@ put the group in one task.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -28,6 +29,9 @@ from pyspark.sql import functions as F
 from flowline.operators.ranking import row_index
 from flowline.session import scratch_path
 
+# Appends to one folder share a staging folder: threads take turns.
+_APPEND = threading.Lock()
+
 RUNS = "run_id string, parent_run_id string, name string, started_at timestamp, status string"
 PARAMS = "run_id string, key string, value string"
 METRICS = "run_id string, key string, step bigint, value double"
@@ -150,7 +154,8 @@ class RunStore:
 
     def _append(self, t: str, rows: list, schema: str) -> None:
         if rows:
-            self.spark.createDataFrame(rows, schema).write.mode("append").parquet(self._path(t))
+            with _APPEND:
+                self.spark.createDataFrame(rows, schema).write.mode("append").parquet(self._path(t))
 
     def table(self, t: str) -> DataFrame:
         schema = {"runs": RUNS, "run_params": PARAMS, "run_metrics": METRICS,

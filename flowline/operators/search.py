@@ -4,13 +4,12 @@
   log bounds, as ``exp(U(lo, hi))``).  Points are pure functions of a key
   and a salt (md5 -> u in [0, 1)), so any keyed table -- ``spark.range(n)`` for
   fresh proposals -- turns into points inside the plan.
-* Proposal: random, or a Parzen-estimator ratio (TPE-style).  Trials are split
-  by loss into the best ``gamma`` fraction ("good") and the rest; for every
-  candidate the score is  sum over dimensions of  log l(x) - log g(x), with
-  Gaussian kernels (bandwidth ``bw`` in unit space) for numeric dimensions and
-  add-one smoothed frequencies for choices.  Candidates are a DataFrame; the
-  trial history (bounded by ``max_evals``) enters the plan as arrays produced
-  by scalar subqueries -- no cross join.
+* Proposal: random, or adaptive (``operators/parzen.py``: candidates drawn from
+  the good trials' densities, with a bandwidth per kernel).  ``tpe_scores`` is
+  the plain ratio of two Parzen densities with one fixed Gaussian bandwidth
+  ``bw`` and add-one smoothed choices, for candidates of any origin.  In both
+  the trial history (bounded by ``max_evals``) enters the plan as arrays of a
+  scalar subquery -- no cross join, no job while the plan is built.
 * Evaluation: an objective over a *batch* of points; ``fused_fit_objective``
   trains all points of a round in one data pass per step (trials sharing a
   batch size are fused).
@@ -115,21 +114,21 @@ def tpe_scores(candidates: DataFrame, trials: DataFrame, space: dict, gamma: flo
 
     The good/bad trial values are aggregated into ONE row of arrays -- the
     history is the search state, bounded by ``max_evals`` -- and enter the
-    plan as literal arrays; kernels are per-row array expressions, so no
-    candidate x trial pairs are ever materialised and no join is needed."""
+    plan by a scalar subquery; kernels are per-row array expressions, so no
+    candidate x trial pairs are ever materialised, no join is needed, and no
+    job runs while the plan is built."""
     labelled = split_good_bad(trials, gamma, trial)
     aggs = []
     for name, spec in space.items():
         v = F.col(name) if spec[0] == "choice" else unit_value(name, spec)
         for side, flag in (("l", True), ("g", False)):
             aggs.append(F.collect_list(F.when(F.col("good") == F.lit(flag), v)).alias(f"_h_{side}_{name}"))
-    hist = labelled.agg(*aggs).first()          # one row, bounded by the trial count
+    hist = labelled.agg(*aggs).select(F.struct("*")).scalar()     # one row, bounded by the trial count
+    candidates = candidates.withColumn("_hist", hist)
     score = F.lit(0.0)
     for name, spec in space.items():
         for side in ("l", "g"):
-            vals = F.array(*[F.lit(x) for x in hist[f"_h_{side}_{name}"]])
-            if not hist[f"_h_{side}_{name}"]:
-                vals = vals.cast(f"array<{param_type(spec)}>")
+            vals = F.col("_hist")[f"_h_{side}_{name}"]
             if spec[0] == "choice":
                 k = len(spec[1])
                 dens = (F.size(F.filter(vals, lambda v: v == F.col(name))) + F.lit(1.0)) / \
@@ -143,17 +142,15 @@ def tpe_scores(candidates: DataFrame, trials: DataFrame, space: dict, gamma: flo
                 dens = (kern * norm + F.lit(1.0)) / (F.size(vals) + F.lit(1.0))
             term = F.log(dens)
             score = score + term if side == "l" else score - term
-    return candidates.withColumn("score", score)
+    return candidates.withColumn("score", score).drop("_hist")
 
 
 def tpe_propose(trials: DataFrame, space: dict, n: int, round_id: int, n_candidates: int = 24,
-                gamma: float = 0.25, bw: float = 0.2, seed: str = "tpe") -> DataFrame:
-    """The ``n`` best of ``n_candidates`` fresh random candidates (a top-n
-    report: the limit is the feature)."""
-    spark = trials.sparkSession
-    cands = sample_points(spark, space, n_candidates, f"{seed}{round_id}:")
-    scored = tpe_scores(cands, trials, space, gamma, bw)
-    return scored.orderBy(F.col("score").desc(), "point_id").limit(n)
+                gamma: float = 0.25, prior_weight: float = 1.0, seed: str = "tpe") -> DataFrame:
+    """``n`` points, each the best of ``n_candidates`` draws from the good
+    trials' densities (``parzen.propose``)."""
+    from flowline.operators.parzen import propose
+    return propose(trials.sparkSession, trials, space, n, n_candidates, gamma, prior_weight, f"{seed}{round_id}")
 
 
 # ---------------------------------------------------------------- driver loop

@@ -6,8 +6,8 @@ multinomial logistic regression.  Features are computed once (they are
 frozen), written as a snapshot, and every optimisation step is one Spark job:
 
     weights (broadcast, D x K) -> mapInPandas, one array of partial sums per
-    partition -> merged ``FAN_IN`` at a time (the all-reduce) -> optimizer on
-    the driver
+    partition -> added up ``FAN_IN`` at a time in the JVM (the all-reduce) ->
+    optimizer on the driver
 
 The driver only ever holds model-sized arrays (trials x (D+1) x K).  Several
 trials that share a batch size are fused: one scan computes every trial's
@@ -21,6 +21,7 @@ and the result does not depend on partitioning.
 from __future__ import annotations
 
 import math
+import threading
 from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
@@ -33,7 +34,7 @@ from flowline.session import scratch_path
 from flowline.sources.tables import Snapshot
 
 PARTIAL_SCHEMA = "t int, k int, pos int, g double"
-SUMS_SCHEMA = "part int, sums binary"
+SUMS_SCHEMA = "part int, place int, n long, known long, sums array<double>"
 # Partial sums that one task merges.
 FAN_IN = 64
 # Extra partial rows (k = 0) carry statistics next to the gradient cells.
@@ -155,9 +156,10 @@ def all_reduce(df: DataFrame, weights: np.ndarray, dropout: np.ndarray, seeds,
     correct (T,), rows, rows of a known class).  Gradient sums are not yet
     divided.
 
-    Each input partition gives one array; a second stage merges at most
-    ``FAN_IN`` of them per task, so the driver adds partitions / FAN_IN arrays
-    of the model's size.  A ``visits`` column, if there, repeats rows."""
+    Each input partition gives one array (``partial_arrays``, the step's only
+    Python stage); ``tree_sums`` adds up to ``FAN_IN`` of them per group in the
+    JVM, so the driver adds partitions / FAN_IN arrays of the model's size.  A
+    ``visits`` column, if there, repeats rows."""
     T, D1, K = weights.shape
     sc = df.sparkSession.sparkContext
     shared = sc.broadcast((np.array(weights, dtype=np.float64), np.array(dropout, dtype=np.float64)))
@@ -169,28 +171,44 @@ def all_reduce(df: DataFrame, weights: np.ndarray, dropout: np.ndarray, seeds,
         w, d = shared.value
         grad, loss, correct, n, known = _accumulate(it, w, d, seeds, epoch, step, train,
                                                     feature_col, label_col, key_col, ids)
-        sums = np.concatenate([loss, correct, [float(n), float(known)], grad.ravel() if train else []])
-        yield pd.DataFrame({"part": np.array([TaskContext.get().partitionId() // fan_in], np.int32),
-                            "sums": [sums.tobytes()]})
-
-    def merge(it):
-        total: dict = {}
-        for pdf in it:
-            for part, raw in zip(pdf["part"], pdf["sums"]):
-                x = np.frombuffer(raw)
-                total[part] = x + total[part] if part in total else x
-        yield pd.DataFrame({"part": np.array(sorted(total), np.int32),
-                            "sums": [total[k].tobytes() for k in sorted(total)]})
+        place = TaskContext.get().partitionId()
+        yield sums_row(place // fan_in, place, n, known, loss, correct, grad if train else None)
 
     cols = [key_col, feature_col, label_col] + (["visits"] if "visits" in df.columns else [])
-    parts = df.select(*cols).mapInPandas(partial, SUMS_SCHEMA)
-    merged = parts.repartition("part").mapInPandas(merge, SUMS_SCHEMA).collect()
+    merged = tree_sums(df.select(*cols).mapInPandas(partial, SUMS_SCHEMA)).collect()
     shared.unpersist()
-    total = np.zeros(2 * T + 2 + (T * D1 * K if train else 0))
+    return total_of(merged, (T, D1, K), train)
+
+
+def sums_row(part: int, place: int, n: int, known: int, loss: np.ndarray, correct: np.ndarray,
+             grad: np.ndarray | None) -> pd.DataFrame:
+    """One task's sums as a row of ``SUMS_SCHEMA``."""
+    sums = np.concatenate([loss, correct, [] if grad is None else grad.ravel()])
+    return pd.DataFrame({"part": np.array([part], np.int32), "place": np.array([place], np.int32),
+                         "n": np.array([n], np.int64), "known": np.array([known], np.int64), "sums": [sums]})
+
+
+def tree_sums(parts: DataFrame) -> DataFrame:
+    """(part, n, known, sums): the rows of each ``part`` added up in the JVM,
+    in the order of their ``place``, so that the result repeats to the bit."""
+    def add(total, row):
+        return F.when(F.size(total) == 0, row["sums"]).otherwise(
+            F.zip_with(total, row["sums"], lambda x, y: x + y))
+
+    rows = F.array_sort(F.collect_list(F.struct("place", "sums")))
+    return parts.groupBy("part").agg(F.sum("n").alias("n"), F.sum("known").alias("known"), rows.alias("rows")).select(
+        "part", "n", "known", F.aggregate("rows", F.array().cast("array<double>"), add).alias("sums"))
+
+
+def total_of(merged: list, shape: tuple, train: bool):
+    """(grad, loss, correct, rows, known) of collected ``tree_sums``."""
+    T, D1, K = shape
+    total = np.zeros(2 * T + (T * D1 * K if train else 0))
     for row in sorted(merged, key=lambda r: r["part"]):
-        total += np.frombuffer(row["sums"])
-    grad = total[2 * T + 2:].reshape(T, D1, K) if train else np.zeros((T, D1, K))
-    return grad, total[:T].copy(), total[T:2 * T].copy(), int(total[2 * T]), int(total[2 * T + 1])
+        total += np.array(row["sums"])
+    grad = total[2 * T:].reshape(T, D1, K) if train else np.zeros((T, D1, K))
+    return (grad, total[:T].copy(), total[T:2 * T].copy(), sum(r["n"] for r in merged),
+            sum(r["known"] for r in merged))
 
 
 # ---------------------------------------------------------------- optimizers
@@ -372,16 +390,19 @@ class FeedCache:
         self.cols = (key_col, feature_col, label_col)
         self._train: dict = {}
         self._val = None
+        self._lock = threading.Lock()       # trials of several threads share the snapshots
 
     def train(self, workers: int) -> Snapshot:
-        if workers not in self._train:
-            self._train[workers] = feature_snapshot(self.train_df, *self.cols, workers)
-        return self._train[workers]
+        with self._lock:
+            if workers not in self._train:
+                self._train[workers] = feature_snapshot(self.train_df, *self.cols, workers)
+            return self._train[workers]
 
     def val(self) -> Snapshot | None:
-        if self._val is None and self.val_df is not None:
-            self._val = Snapshot(self.val_df.select(*self.cols))
-        return self._val
+        with self._lock:
+            if self._val is None and self.val_df is not None:
+                self._val = Snapshot(self.val_df.select(*self.cols))
+            return self._val
 
     def release(self) -> None:
         for s in self._train.values():

@@ -22,9 +22,11 @@ from pyspark.sql import functions as F
 from flowline.functions import columns as C
 from flowline.operators import features as FE
 from flowline.operators import feed, metrics, prepare
+from flowline.operators import parzen as PZ
 from flowline.operators import runs as R
 from flowline.operators import search as S
 from flowline.operators import trainer as TR
+from flowline.operators import trials as TS
 from flowline.operators.infer import PackagedModel, score
 from flowline.sources import files as FS
 from flowline.sources import tables as TB
@@ -1021,6 +1023,90 @@ def q_tpe_density_ratio(spark, d):
     return scored.select("p_name", _r6("score").alias("score"))
 
 
+def _running(trials: DataFrame) -> DataFrame:
+    """The trials with every tenth one still running."""
+    return trials.withColumn("status", F.when(F.col("trial_id") % 10 == 0, "running").otherwise(F.col("status")))
+
+
+def _parzen_sql() -> str:
+    """Both sides' kernels and options of the trials, draws from the good side
+    and their scores, as joins."""
+    unit = {"learning_rate": "(ln(learning_rate) + 5.0) / 5.0", "dropout": "(dropout - 0.1) / 0.8"}
+    draws = ", ".join(f"{u_sql('p_partkey', f'p:{n}:{x}')} AS {n}_{x}"
+                      for n in ("optimizer", "learning_rate", "dropout", "batch_size") for x in ("which", "where"))
+    observed = " UNION ALL ".join(f"SELECT '{n}' AS par, good, {u} AS v, 0 AS prior FROM lab" for n, u in unit.items())
+    priors = " UNION ALL ".join(f"SELECT '{n}', {g}, 0.5, 1" for n in unit for g in ("true", "false"))
+    options = {"optimizer": "['Adadelta', 'Adam']", "batch_size": "[32, 64, 128]"}
+    size = {"optimizer": 2, "batch_size": 3}
+
+    def number(n, back):
+        return f"""{n}_x AS (SELECT p_partkey, least(greatest(v + scale * ln((low + {n}_where * span) / (1 - (low + {n}_where * span))), 0), 1) AS {n}_u
+  FROM draws JOIN cut ON par = '{n}' AND good AND slot = least(floor({n}_which * n), n - 1)),
+{n}_d AS (SELECT p_partkey, any_value({n}_u) AS {n}_u, {back} AS {n},
+       {"".join(f", sum(CASE WHEN {g} THEN w * e / ((1 + e) * (1 + e) * scale * span) END) / any_value(n_{s}) AS {n}_{s}" for s, g in (("good", "good"), ("bad", "NOT good")))[2:]}
+  FROM (SELECT *, exp(-abs(({n}_u - v) / scale)) AS e FROM {n}_x JOIN cut ON par = '{n}')
+  JOIN (SELECT max(CASE WHEN good THEN n END) AS n_good, max(CASE WHEN NOT good THEN n END) AS n_bad FROM cut WHERE par = '{n}') ON true
+  GROUP BY p_partkey)"""
+
+    def option(n):
+        k = size[n]
+        return f"""{n}_d AS (SELECT p_partkey, x AS {n},
+       ((SELECT count(*) FROM lab WHERE good AND {n} = x) + 1.0) / (n_good + {k}) AS {n}_good,
+       ((SELECT count(*) FROM lab WHERE NOT good AND {n} = x) + 1.0) / (n_bad + {k}) AS {n}_bad
+  FROM (SELECT p_partkey, n_good, n_bad, coalesce(l.{n}, {options[n]}[least(CAST(floor({n}_which * (n_good + {k}) - n_good) AS INTEGER), {k - 1}) + 1]) AS x
+        FROM draws CROSS JOIN (SELECT count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE NOT good) AS n_bad FROM lab)
+        LEFT JOIN (SELECT {n}, r FROM lab WHERE good) l ON l.r = floor({n}_which * (n_good + {k}))))"""
+
+    return f"""
+WITH {_TRIALS_SQL},
+st AS (SELECT * REPLACE (CASE WHEN trial_id % 10 = 0 THEN 'running' ELSE status END AS status) FROM trials),
+done AS (SELECT *, row_number() OVER (ORDER BY loss, trial_id) - 1 AS r, count(*) OVER () AS n_ok
+         FROM st WHERE status = 'ok' AND loss IS NOT NULL),
+lab AS (SELECT * EXCLUDE (n_ok), r < greatest(1, ceil(n_ok * 0.25)) AS good FROM done
+        UNION ALL SELECT *, NULL, false FROM st WHERE status = 'running'),
+obs AS ({observed} UNION ALL {priors}),
+near AS (SELECT *, lag(v) OVER w AS before, lead(v) OVER w AS behind, count(*) OVER (PARTITION BY par, good) AS n,
+                row_number() OVER (PARTITION BY par, good ORDER BY prior, v) - 1 AS slot
+         FROM obs WINDOW w AS (PARTITION BY par, good ORDER BY v, prior)),
+kern AS (SELECT *, 1.0 AS w, {PZ.LOGISTIC!r} * CASE WHEN prior = 1 THEN 1.0 ELSE
+           least(1.0, greatest(1.0 / least(100.0, n + 1.0), coalesce(v - before, 0), coalesce(behind - v, 0))) END AS scale FROM near),
+cut AS (SELECT *, 1 / (1 + exp(v / scale)) AS low, 1 / (1 + exp(-(1 - v) / scale)) - 1 / (1 + exp(v / scale)) AS span FROM kern),
+draws AS (SELECT p_partkey, {draws} FROM part),
+{number("learning_rate", "any_value(exp(-5.0 + 5.0 * learning_rate_u))")},
+{number("dropout", "any_value(0.1 + 0.8 * dropout_u)")},
+{option("optimizer")},
+{option("batch_size")}
+SELECT p_partkey, optimizer, round(learning_rate, 6) + 0.0 AS learning_rate, round(dropout, 6) + 0.0 AS dropout, batch_size,
+       round(ln(optimizer_good) - ln(optimizer_bad) + ln(learning_rate_good) - ln(learning_rate_bad)
+             + ln(dropout_good) - ln(dropout_bad) + ln(batch_size_good) - ln(batch_size_bad), 6) + 0.0 AS score
+FROM learning_rate_d JOIN dropout_d USING (p_partkey) JOIN optimizer_d USING (p_partkey) JOIN batch_size_d USING (p_partkey)"""
+
+
+@register("adaptive_candidates", _parzen_sql())
+def q_adaptive_candidates(spark, d):
+    """H5: candidates drawn from the good trials' densities (a bandwidth per
+    kernel, running trials on the bad side) and their scores, one lazy plan."""
+    model = PZ.parzen_model(_running(_trials(spark, d)), SPACE)
+    keys = T(spark, d, "part").select("p_partkey")
+    scored = PZ.score(PZ.draw(keys, "p_partkey", model, SPACE, "p:"), model, SPACE)
+    return scored.select("p_partkey", "optimizer", _r6("learning_rate").alias("learning_rate"),
+                         _r6("dropout").alias("dropout"), "batch_size", _r6("score").alias("score"))
+
+
+@register("kernel_bandwidths", f"""
+WITH {_TRIALS_SQL},
+done AS (SELECT *, row_number() OVER (ORDER BY loss, trial_id) - 1 AS r, count(*) OVER () AS n_ok FROM trials WHERE status = 'ok'),
+obs AS (SELECT (dropout - 0.1) / 0.8 AS v, 0 AS prior FROM done WHERE r < greatest(1, ceil(n_ok * 0.25)) UNION ALL SELECT 0.5, 1),
+near AS (SELECT *, lag(v) OVER w AS before, lead(v) OVER w AS behind, count(*) OVER () AS n FROM obs WINDOW w AS (ORDER BY v, prior))
+SELECT round(v, 9) AS value, round(CASE WHEN prior = 1 THEN 1.0 ELSE least(1.0, greatest(1.0 / least(100.0, n + 1.0),
+       coalesce(v - before, 0), coalesce(behind - v, 0))) END, 9) AS bandwidth FROM near""")
+def q_kernel_bandwidths(spark, d):
+    """H5: the good side's kernels of one parameter, each with its own bandwidth."""
+    model = PZ.parzen_model(_trials(spark, d), {"dropout": SPACE["dropout"]})
+    return model.select(F.inline("good_dropout")).select(
+        F.round("value", 9).alias("value"), F.round(F.col("scale") / F.lit(PZ.LOGISTIC), 9).alias("bandwidth"))
+
+
 # =========================================================== files and images
 
 
@@ -1172,6 +1258,20 @@ def q_parallel_trials(spark, d):
         return S.run_search(spark, obj, space, max_evals=20, parallelism=4, n_startup=4, seed="par").trials
 
 
+@register("concurrent_trials")
+def q_concurrent_trials(spark, d):
+    """H3: trials that don't wait for each other (4 at a time, each a
+    distributed fit of one epoch), with the finished and running trials that
+    each proposal knew of."""
+    t = _split_indexed(spark, d)
+    base = TR.TrainConfig(epochs=1, batch_size=256, workers=2)
+    space = {k: SPACE[k] for k in ("optimizer", "learning_rate", "dropout")}
+    obj = TS.fit_objective(t.train, t.val, t.num_classes, base, metric="val_accuracy")
+    with obj.cache:
+        found = TS.run_trials(spark, obj, TS.Proposer(space, n_startup=4, seed="con"), max_evals=12, parallelism=4)
+    return found.trials.join(found.log, "trial_id")
+
+
 @register("sequential_trials")
 def q_sequential_trials(spark, d):
     """Sequential search (one trial at a time, each a distributed fit)
