@@ -260,7 +260,7 @@ def fused_fit_objective(train: DataFrame, val: DataFrame, num_classes: int, base
         groups: dict = {}
         for i, c in enumerate(cfgs):
             if errors[i] is None:
-                groups.setdefault((c.batch_size, c.workers), []).append(i)
+                groups.setdefault((c.batch_size, c.workers, c.local_steps), []).append(i)
         for idx in groups.values():
             on_epoch = None
             if checkpoint_root is not None:

@@ -312,6 +312,7 @@ class TrainConfig:
     plateau_patience: int | None = None
     early_stop_patience: int | None = None
     early_stop_min_delta: float = 1e-2
+    local_steps: int = 1            # steps a shard takes by itself between two averages
 
     def params(self) -> dict:
         return asdict(self)
@@ -380,6 +381,47 @@ def feed_step(snap: Snapshot, first: int, last: int) -> DataFrame:
             .withColumn("visits", visits(F.col("pos"), F.element_at(rows, F.col("shard")), first, last)))
 
 
+def local_steps(snap: Snapshot, first: int, batch_size: int, count: int, weights: np.ndarray, rates: np.ndarray,
+                dropout: np.ndarray, seeds, epoch: int, step: int, feature_col: str = "features",
+                label_col: str = "label_idx", key_col: str = "row_id", trial_ids=None):
+    """One pass of local-step averaging: every shard starts from ``weights`` and
+    takes ``count`` gradient steps of its own rows, ``batch_size`` each, from
+    row ``first`` of its endless feed on.  Returns what ``all_reduce`` does;
+    the gradient is that of the average over shards (by rows) of the weights
+    they end with: weights - rate * count * gradient / rows of a known class.
+
+    A task holds one shard's ``count * batch_size`` rows of the pass."""
+    T, D1, K = weights.shape
+    shared = snap.df.sparkSession.sparkContext.broadcast((np.array(weights, np.float64), np.array(dropout, np.float64)))
+    ids, rows = None if trial_ids is None else [int(i) for i in trial_ids], dict(snap.shard_rows)
+    rates, fan_in = np.array(rates, np.float64)[:, None, None], FAN_IN
+
+    def shard_pass(key, pdf):
+        w0, drop = shared.value
+        shard, w = int(key[0]), w0.copy()
+        pdf = pdf.sort_values("pos")
+        held = pdf["pos"].to_numpy(np.int64)
+        X = np.stack(pdf[feature_col].to_numpy()).astype(np.float64)
+        y, keys = pdf[label_col].to_numpy().astype(np.int64), pdf[key_col].to_numpy().astype(np.int64)
+        loss, correct, moved, known = np.zeros(T), np.zeros(T), np.zeros((T, D1, K)), 0
+        for h in range(count):
+            at = np.searchsorted(held, (first + h * batch_size + np.arange(batch_size)) % rows[shard])
+            grad = np.zeros((T, D1, K))
+            good = batch_partials(X[at], y[at], keys[at], w, drop, seeds, epoch, step + h, True, grad, loss, correct, ids)
+            known += good
+            if good:
+                moved += grad / good
+                w = w - rates * grad / good
+        return sums_row(shard // fan_in, shard, count * batch_size, known, loss, correct, moved * (known / count))
+
+    columns = ["shard", "pos", key_col, feature_col, label_col]
+    parts = (feed_step(snap, first, first + count * batch_size).select(*columns)
+             .groupBy("shard").applyInPandas(shard_pass, SUMS_SCHEMA))
+    merged = tree_sums(parts).collect()
+    shared.unpersist()
+    return total_of(merged, (T, D1, K), True)
+
+
 class FeedCache:
     """Feature snapshots keyed by the worker count, shared by every fit that
     uses the same shards (e.g. all rounds of a search, at any batch size)."""
@@ -437,9 +479,17 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
     Step t of the whole fit reads rows t*B up to (t+1)*B of every shard's
     endless feed, so an epoch goes on where the last one ended and no row is
     left out.  ``on_epoch(epoch, W, histories, states)`` may store the states;
-    ``resume`` takes them back and the fit goes on exactly as it would have."""
-    if len({(c.batch_size, c.workers) for c in configs}) != 1:
-        raise ValueError("fused trials must share batch_size and workers")
+    ``resume`` takes them back and the fit goes on exactly as it would have.
+
+    With ``local_steps`` H > 1 the fit is *local-step averaging*: in one pass
+    (one job) every shard takes H gradient steps from the same weights, and
+    the optimizer makes one step of H times the rate along the average of what
+    the shards moved; for SGD that is the average of their weights.  H = 1 is
+    the synchronous fit."""
+    if len({(c.batch_size, c.workers, c.local_steps) for c in configs}) != 1:
+        raise ValueError("fused trials must share batch_size, workers and local_steps")
+    if configs[0].local_steps < 1:
+        raise ValueError("local_steps must be positive")
     base = configs[0]
     own = feed is None
     feed = feed or FeedCache(train_df, val_df, key_col, feature_col, label_col)
@@ -482,12 +532,24 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
             tr_loss, tr_corr, lrs = np.zeros(T), np.zeros(T), np.zeros(T)
             tr_n = tr_known = 0
             live = np.flatnonzero(active)          # finished trials leave the pass
-            for s in range(steps):
+            for s in range(0, steps, base.local_steps):
                 at = (epoch * steps + s) * base.batch_size
-                batch = feed_step(snap, at, at + base.batch_size)
-                grad, loss, corr, nb, known = all_reduce(batch, W[live], drops[live], seeds[live], epoch, s,
-                                                         True, feature_col, label_col, key_col,
-                                                         trial_ids=ids[live])
+                count = min(base.local_steps, steps - s)
+                for t in live:
+                    c = configs[t]
+                    target = c.learning_rate * (c.workers if c.scale_lr else 1)
+                    lrs[t] = warmup_lr(target, c.workers, epoch + s / steps, c.warmup_epochs)
+                    if plateaus[t]:
+                        lrs[t] = plateaus[t].apply(lrs[t])
+                if base.local_steps == 1:
+                    batch = feed_step(snap, at, at + base.batch_size)
+                    grad, loss, corr, nb, known = all_reduce(batch, W[live], drops[live], seeds[live], epoch, s,
+                                                             True, feature_col, label_col, key_col,
+                                                             trial_ids=ids[live])
+                else:
+                    grad, loss, corr, nb, known = local_steps(snap, at, base.batch_size, count, W[live], lrs[live],
+                                                              drops[live], seeds[live], epoch, s, feature_col,
+                                                              label_col, key_col, trial_ids=ids[live])
                 tr_loss[live] += loss
                 tr_corr[live] += corr
                 tr_n += nb
@@ -495,13 +557,7 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
                 if known == 0:
                     continue
                 for g, t in zip(grad, live):
-                    c = configs[t]
-                    target = c.learning_rate * (c.workers if c.scale_lr else 1)
-                    lr = warmup_lr(target, c.workers, epoch + s / steps, c.warmup_epochs)
-                    if plateaus[t]:
-                        lr = plateaus[t].apply(lr)
-                    lrs[t] = lr
-                    W[t] = opts[t].update(W[t], g / known, lr)
+                    W[t] = opts[t].update(W[t], g / known, lrs[t] * count)
             vl = va = None
             if val_snap is not None:
                 _, vloss, vcorr, vn, vknown = all_reduce(val_snap.df, W[live], drops[live], seeds[live], epoch,

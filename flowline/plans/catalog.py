@@ -1437,6 +1437,48 @@ def q_sgd_two_epochs(spark, d):
     return _history_frame(spark, fit.history).select(F.col("epoch").cast("int"), *[_r6(c).alias(c) for c in cols])
 
 
+def _local_sql(steps: int, local: int, rate: float) -> str:
+    """Two shards' gradient steps, unrolled: a shard's own weights move within
+    a round of ``local`` steps, and are averaged behind it."""
+    parts = [f"""
+WITH b AS (SELECT count(*) // {2 * steps} AS b FROM embeddings),
+shards AS (SELECT vec_id, embedding, label, {u32_sql('vec_id', 'shard')} % 2 AS shard,
+                  row_number() OVER (PARTITION BY {u32_sql('vec_id', 'shard')} % 2 ORDER BY {u32_sql('vec_id', 'order')}, vec_id) - 1 AS place
+           FROM embeddings),
+feed AS (SELECT shard, f, f // b AS step, embedding, label
+         FROM (SELECT shard, count(*) AS n FROM shards GROUP BY shard) JOIN (SELECT b, unnest(range({steps} * b)) AS f FROM b) ON true
+         JOIN shards USING (shard) WHERE place = f % n),
+cells AS (SELECT shard, f, step, label, unnest(range({DIM})) AS pos, unnest(embedding) AS x FROM feed
+          UNION ALL SELECT shard, f, step, label, {DIM}, 1.0 FROM feed),
+w0 AS (SELECT shard, k, pos, 0.0 AS w FROM range(2) s(shard), range({NUM_CLASSES}) c(k), range({DIM + 1}) p(pos))"""]
+    for t in range(steps):
+        moved = f"m{t}" if (t + 1) % local == 0 else f"w{t + 1}"
+        parts.append(f"""
+l{t} AS (SELECT c.shard, f, any_value(label) AS label, k, sum(CAST(x AS DOUBLE) * w) AS z
+        FROM cells c JOIN w{t} w ON w.shard = c.shard AND w.pos = c.pos WHERE step = {t} GROUP BY c.shard, f, k),
+p{t} AS (SELECT shard, f, k, exp(z) / sum(exp(z)) OVER (PARTITION BY shard, f) - CASE WHEN label = k THEN 1.0 ELSE 0.0 END AS r FROM l{t}),
+{moved} AS (SELECT w.shard, w.k, w.pos, w - {rate} * g AS w FROM w{t} w JOIN (
+        SELECT c.shard, k, pos, sum(CAST(x AS DOUBLE) * r) / (SELECT b FROM b) AS g
+        FROM cells c JOIN p{t} p ON p.shard = c.shard AND p.f = c.f GROUP BY c.shard, k, pos) USING (shard, k, pos))""")
+        if moved == f"m{t}":
+            parts.append(f"""
+w{t + 1} AS (SELECT shard, k, pos, avg(w) OVER (PARTITION BY k, pos) AS w FROM m{t})""")
+    return ",".join(parts) + f"""
+SELECT k, pos, round(w, 6) + 0.0 AS w FROM w{steps} WHERE shard = 0"""
+
+
+@register("local_step_rounds", _local_sql(4, 2, 0.5))
+def q_local_step_rounds(spark, d):
+    """M6: two rounds of two local SGD steps on two shards, weights averaged
+    after each round (one job a round)."""
+    n = T(spark, d, "embeddings").count()
+    cfg = TR.TrainConfig(epochs=1, batch_size=n // 8, workers=2, learning_rate=0.5, optimizer="sgd", dropout=0.0,
+                         scale_lr=False, local_steps=2)
+    fit = TR.fit(_emb_features(spark, d), None, NUM_CLASSES, cfg, init=np.zeros((DIM + 1, NUM_CLASSES)))
+    rows = TB.weights_frame(spark, "local", fit.weights, fit.bias)
+    return rows.select("k", "pos", (F.round("w", 6) + F.lit(0.0)).alias("w"))
+
+
 @register("weights_round_trip", f"""
 WITH {_GRAD_SQL} SELECT k, pos, round(-0.5 * g, 6) + 0.0 AS w FROM grad""")
 def q_weights_round_trip(spark, d):

@@ -246,3 +246,58 @@ def test_empty_training_table_is_a_clear_error(spark):
     df = _emb(spark).limit(0)
     with pytest.raises(ValueError, match="no training rows"):
         TR.fit(df, None, 10, TR.TrainConfig(epochs=1))
+
+
+def test_one_local_step_is_the_synchronous_pass(spark):
+    """H = 1 through the local path gives the all-reduce's sums, masks included."""
+    df = _emb(spark)
+    rng = np.random.default_rng(3)
+    W, drops = rng.normal(size=(2, 65, 10)), np.array([0.0, 0.3])
+    with TR.FeedCache(df, None) as cache:
+        snap = cache.train(3)
+        for at in (0, 40, 100_000):                          # also where the feed wraps around
+            plain = TR.all_reduce(TR.feed_step(snap, at, at + 40), W, drops, [5, 6], 1, 2, True)
+            local = TR.local_steps(snap, at, 40, 1, W, np.array([0.1, 9.0]), drops, [5, 6], 1, 2)
+            for x, y in zip(plain, local):
+                assert np.allclose(x, y, rtol=0, atol=1e-9)
+
+
+def test_local_steps_by_hand(spark):
+    """Three local steps of two shards, then the average, against numpy."""
+    df, rate, H = _emb(spark), 0.3, 3
+    with TR.FeedCache(df, None) as cache:
+        snap = cache.train(2)
+        rows = snap.df.orderBy("shard", "pos").collect()
+        B = 20
+        ends = []
+        for shard in (0, 1):
+            mine = [r for r in rows if r.shard == shard]
+            w = np.zeros((65, 10))
+            for h in range(H):
+                part = [mine[(7 + h * B + i) % len(mine)] for i in range(B)]
+                X = np.array([[*r.features, 1.0] for r in part], np.float64)
+                z = X @ w
+                p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+                p[np.arange(B), [r.label_idx for r in part]] -= 1
+                w = w - rate * X.T @ p / B
+            ends.append(w)
+        g, _, _, n, known = TR.local_steps(snap, 7, B, H, np.zeros((1, 65, 10)), np.array([rate]), np.zeros(1), [0], 0, 0)
+    assert n == known == 2 * H * B
+    assert np.allclose(-rate * H * g[0] / known, np.mean(ends, axis=0), atol=1e-10)
+
+
+def test_local_steps_need_fewer_jobs(spark, monkeypatch):
+    passes = []
+    real = TR.local_steps
+    monkeypatch.setattr(TR, "local_steps", lambda *a, **k: passes.append(a[3]) or real(*a, **k))
+    cfg = TR.TrainConfig(epochs=2, batch_size=32, workers=2, learning_rate=0.05, optimizer="sgd", dropout=0.0, local_steps=3)
+    df = _emb(spark)
+    fit = TR.fit(df, df, 10, cfg)
+    steps = fit.steps_per_epoch
+    assert steps > 3 and sum(passes) == 2 * steps and len(passes) == 2 * -(-steps // 3)
+    assert fit.history[1]["loss"] < fit.history[0]["loss"]
+    assert all(h["rows"] == steps * 64 for h in fit.history)
+    with pytest.raises(ValueError):
+        TR.fit(df, None, 10, replace(cfg, local_steps=0))
+    with pytest.raises(ValueError):
+        TR.fit_many(df, None, 10, [cfg, replace(cfg, local_steps=2)])
