@@ -6,9 +6,16 @@ Tables (append-only Parquet under one root):
                                                   the start, one more at the end
     run_params(run_id, key, value)                 value as string
     run_metrics(run_id, key, step, value)          value as double
-    registrations(name, run_id, registered_at)
+    run_tags(run_id, key, value)                   value as string
+    registrations(name, run_id, registered_at, version)
     stage_events(name, version, stage, ts, seq)
 
+A version number is fixed when it is given: the store claims it by creating a
+file of that number, which only one writer can do, so neither a second writer
+nor a registration with an older time moves it.  Stage events take their
+sequence numbers in the same way.  A writer that is lost between its claim and
+its row leaves a gap in the numbers, nothing else.
+
 The query side is plain DataFrame operators that work on any tables of those
 shapes; nothing is kept in a server.  Where a group can be hot (one parent
 run with most children, one model name with most versions) the operators use
@@ -19,10 +26,15 @@ put the group in one task.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import threading
 import uuid
+import warnings
+from collections.abc import Sequence
 from contextlib import contextmanager
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +47,8 @@ _APPEND = threading.Lock()
 RUNS = "run_id string, parent_run_id string, name string, started_at timestamp, status string"
 PARAMS = "run_id string, key string, value string"
 METRICS = "run_id string, key string, step bigint, value double"
-REGS = "name string, run_id string, registered_at timestamp"
+TAGS = "run_id string, key string, value string"
+REGS = "name string, run_id string, registered_at timestamp, version bigint"
 STAGES = "name string, version bigint, stage string, ts timestamp, seq bigint"
 
 
@@ -75,9 +88,77 @@ def child_runs(runs: DataFrame, run: str = "run_id", parent: str = "parent_run_i
     return children.join(parents, F.col(parent) == F.col("_prun")).drop("_prun")
 
 
+LOWER, HIGHER = ("loss", "error", "rmse", "mse", "mae"), ("accuracy", "acc", "auc", "f1", "precision", "recall", "r2", "score")
+
+
+def direction_known(metric: str) -> bool:
+    return any(w in metric.lower() for w in LOWER + HIGHER)
+
+
 def lower_is_better(metric: str) -> bool:
-    """Losses and errors are minimised, every other metric maximised."""
-    return any(w in metric.lower() for w in ("loss", "error", "rmse", "mse", "mae"))
+    """Losses and errors are minimised, every other metric maximised.  A name
+    that says neither is warned of: give the direction."""
+    if not direction_known(metric):
+        warnings.warn(f"it isn't known whether {metric!r} should be low or high; taking high as better, "
+                      "say ascending=True or False", stacklevel=3)
+    return any(w in metric.lower() for w in LOWER)
+
+
+# ------------------------------------------------------------ conditions on runs
+# A key of a run in a condition or an order: kind.name or kind.`any name`;
+# quoted text stands before it, so that nothing inside is taken for a key.
+_KEY = re.compile(r"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|\b(metrics|params|tags|attributes)\.(`[^`]+`|[A-Za-z_][\w.]*)""")
+_ORDER = re.compile(r"(?is)^\s*(.*?)(?:\s+(asc|desc))?\s*$")
+
+
+def _keys(text: str) -> set[tuple[str, str]]:
+    return {(m[2], m[3].strip("`")) for m in _KEY.finditer(text) if m[2]}
+
+
+def _compiled(text: str) -> str:
+    """The text with keys as columns; the rest is Spark SQL as it stands."""
+    return _KEY.sub(lambda m: m[1] if m[1] else f"`{m[2]}.{m[3].strip('`')}`", text)
+
+
+def select_runs(runs: DataFrame, params: DataFrame | None = None, metrics: DataFrame | None = None,
+                tags: DataFrame | None = None, where: str | None = None, order_by: Sequence[str] = (),
+                show: Sequence[str] = (), run: str = "run_id") -> DataFrame:
+    """The runs that meet a condition, in the order of several keys.
+
+    Keys are ``metrics.m`` (a run's last value of m), ``params.p`` and
+    ``tags.t`` (text) and ``attributes.c`` (a column of ``runs``); a name with
+    other characters goes between backticks.  ``where`` is a Spark SQL
+    condition on keys (``tags.team = 'a' AND (metrics.loss < 0.2 OR params.opt
+    LIKE 'Ad%')``); ``order_by`` are keys or expressions with ASC or DESC,
+    nulls last, then the run.  Only named keys are pivoted, in one aggregate a
+    table; they come back as columns of that name (those of ``show`` too)."""
+    named = sorted({k for text in (*([where] if where else []), *order_by, *show) for k in _keys(text)})
+    out = runs
+    for kind, key in named:
+        if kind == "attributes":
+            if key not in runs.columns:
+                raise ValueError(f"runs have no attribute {key!r}")
+            out = out.withColumn(f"attributes.{key}", F.col(key))
+    for kind, table, step in (("params", params, None), ("tags", tags, None), ("metrics", metrics, "step")):
+        keys = [k for name, k in named if name == kind]
+        if not keys:
+            continue
+        if table is None:
+            raise ValueError(f"no table of {kind}")
+        values = table.filter(F.col("key").isin(keys)).groupBy(run).agg(*[
+            (F.max_by(F.when(F.col("key") == k, F.col("value")), F.when(F.col("key") == k, F.col(step))) if step
+             else F.max(F.when(F.col("key") == k, F.col("value")))).alias(f"{kind}.{k}") for k in keys])
+        out = out.join(values, run, "left")
+    if where:
+        out = out.filter(F.expr(_compiled(where)))
+    if order_by:
+        order = []
+        for text in order_by:
+            by, way = _ORDER.match(text).groups()
+            column = F.expr(_compiled(by))
+            order.append(column.desc_nulls_last() if (way or "").lower() == "desc" else column.asc_nulls_last())
+        out = out.orderBy(*order, F.col(run))
+    return out
 
 
 def latest_status(runs: DataFrame) -> DataFrame:
@@ -158,7 +239,7 @@ class RunStore:
                 self.spark.createDataFrame(rows, schema).write.mode("append").parquet(self._path(t))
 
     def table(self, t: str) -> DataFrame:
-        schema = {"runs": RUNS, "run_params": PARAMS, "run_metrics": METRICS,
+        schema = {"runs": RUNS, "run_params": PARAMS, "run_metrics": METRICS, "run_tags": TAGS,
                   "registrations": REGS, "stage_events": STAGES}[t]
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self._path(t))
@@ -172,7 +253,7 @@ class RunStore:
     def start_run(self, name: str, parent_run_id: str | None = None) -> str:
         run_id = uuid.uuid4().hex
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        self._open[run_id] = {"name": name, "parent": parent_run_id, "started": now, "params": {}, "metrics": []}
+        self._open[run_id] = {"name": name, "parent": parent_run_id, "started": now, "params": {}, "metrics": [], "tags": {}}
         self._append("runs", [(run_id, parent_run_id, name, now, "RUNNING")], RUNS)
         return run_id
 
@@ -190,6 +271,9 @@ class RunStore:
     def log_params(self, run_id: str, params: dict) -> None:
         self._open[run_id]["params"].update({k: str(v) for k, v in params.items()})
 
+    def set_tags(self, run_id: str, tags: dict) -> None:
+        self._open[run_id]["tags"].update({k: str(v) for k, v in tags.items()})
+
     def log_metrics(self, run_id: str, metrics: dict, step: int = 0) -> None:
         self._open[run_id]["metrics"] += [(k, int(step), float(v)) for k, v in metrics.items()
                                           if v is not None]
@@ -203,6 +287,12 @@ class RunStore:
         self._append("runs", [(run_id, r["parent"], r["name"], r["started"], status)], RUNS)
         self._append("run_params", [(run_id, k, v) for k, v in r["params"].items()], PARAMS)
         self._append("run_metrics", [(run_id, k, s, v) for k, s, v in r["metrics"]], METRICS)
+        self._append("run_tags", [(run_id, k, v) for k, v in r["tags"].items()], TAGS)
+
+    def find_runs(self, where: str | None = None, order_by: Sequence[str] = (), show: Sequence[str] = ()) -> DataFrame:
+        """``select_runs`` over the store's tables."""
+        return select_runs(self.table("runs"), self.table("run_params"), self.table("run_metrics"),
+                           self.table("run_tags"), where, order_by, show)
 
     def search_runs(self, parent_run_id: str | None = None, metric: str = "val_accuracy",
                     param_keys: list[str] = (), metric_keys: list[str] = ("val_loss", "val_accuracy"),
@@ -237,15 +327,20 @@ class RunStore:
         return self.load_model(rid)
 
     # ------------------------------------------------------------ registry
-    def register_model(self, name: str, run_id: str) -> int:
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        self._append("registrations", [(name, run_id, now)], REGS)
-        v = model_versions(self.table("registrations").filter(F.col("name") == name))
-        return int(v.filter(F.col("run_id") == run_id).agg(F.max("version")).first()[0])
+    def register_model(self, name: str, run_id: str, registered_at: _dt.datetime | None = None) -> int:
+        return self.register_models([(name, run_id)], registered_at)[0]
+
+    def register_models(self, models: Sequence[tuple[str, str]], registered_at: _dt.datetime | None = None) -> list[int]:
+        """Claim the next version of each (name, run) in turn, and write all
+        their rows at once."""
+        at = registered_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        rows = [(name, run_id, at, claim_next(self.spark, f"{self._path('versions')}/{_folder(name)}"))
+                for name, run_id in models]
+        self._append("registrations", rows, REGS)
+        return [r[3] for r in rows]
 
     def transition_stage(self, name: str, version: int, stage: str) -> None:
-        ev = self.table("stage_events")
-        seq = (ev.agg(F.max("seq")).first()[0] or 0) + 1
+        seq = claim_next(self.spark, self._path("stage_numbers"))
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         self._append("stage_events", [(name, int(version), stage, now, int(seq))], STAGES)
 
@@ -254,6 +349,46 @@ class RunStore:
         best = version_in_stage(cur, stage).first()
         if best is None:
             return None
-        regs = model_versions(self.table("registrations").filter(F.col("name") == name))
-        row = regs.filter(F.col("version") == best.version).select("run_id").first()
+        row = (self.table("registrations").filter((F.col("name") == name) & (F.col("version") == best.version))
+               .select("run_id").first())
         return row.run_id if row else None
+
+
+def _folder(name: str) -> str:
+    """A model name as a folder's name, one to one."""
+    return quote(name, safe="") or "%"
+
+
+def claim_next(spark: SparkSession, folder: str) -> int:
+    """The next number of ``folder``, ours alone: the file of that number is
+    created if it isn't there, and the number after it is tried if it is."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(conf)
+    fs.mkdirs(path)
+    number = max((int(f.getPath().getName()) for f in fs.listStatus(path) if f.getPath().getName().isdigit()), default=0)
+    while True:
+        number += 1
+        if _created(jvm, fs, jvm.org.apache.hadoop.fs.Path(path, str(number))):
+            return number
+
+
+def _created(jvm, fs, path) -> bool:
+    """Create an empty file unless there is one, in one step: distributed
+    stores refuse to create what exists; Hadoop's local file system looks
+    first and creates then, so a local folder goes by the JVM's own call."""
+    try:
+        if fs.getUri().getScheme() == "file":
+            jvm.java.nio.file.Files.createFile(jvm.java.io.File(path.toUri().getPath()).toPath(), _no_attributes(jvm))
+        else:
+            fs.create(path, False).close()
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def _no_attributes(jvm):
+    from pyspark import SparkContext
+    return SparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0)

@@ -240,6 +240,7 @@ def fused_fit_objective(train: DataFrame, val: DataFrame, num_classes: int, base
     cache = TR.FeedCache(train, val)
     sign = 1 if lower_is_better(metric) else -1
     done = 0
+    folders: dict = {}              # trials of each folder's name so far
 
     def record(point, fit, error):
         nonlocal done
@@ -267,11 +268,17 @@ def fused_fit_objective(train: DataFrame, val: DataFrame, num_classes: int, base
                 from flowline.sources import tables as TB
                 spark = train.sparkSession
 
-                def on_epoch(epoch, W, histories, states, idx=idx):
-                    # one checkpoint per trial and epoch, in a folder named
-                    # after the trial's hyper-parameters
+                # one checkpoint per trial and epoch, in a folder named after
+                # the trial's hyper-parameters; equal points are told apart
+                own = {}
+                for i in idx:
+                    name = checkpoint_name(points[i])
+                    folders[name] = folders.get(name, 0) + 1
+                    own[i] = name if folders[name] == 1 else f"{name}_trial_{folders[name]}"
+
+                def on_epoch(epoch, W, histories, states, idx=idx, own=own):
                     for j, i in enumerate(idx):
-                        TB.save_checkpoint(spark, f"{checkpoint_root}/{checkpoint_name(points[i])}",
+                        TB.save_checkpoint(spark, f"{checkpoint_root}/{own[i]}",
                                            "trial", epoch, W[j, :-1], W[j, -1])
             for i, f in zip(idx, TR.fit_many(train, val, num_classes, [cfgs[i] for i in idx], feed=cache,
                                              on_epoch=on_epoch)):

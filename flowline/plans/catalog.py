@@ -11,6 +11,7 @@ with their class index.
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from dataclasses import replace
 
@@ -748,6 +749,28 @@ def q_search_runs(spark, d):
     return ranked.select("parent_run_id", "run_id", "val_accuracy", F.col("rank").cast("bigint").alias("rank"))
 
 
+@register("runs_by_condition", f"""
+WITH {_WIDE_SQL}
+SELECT run_id, status, optimizer, batch_size, val_loss, val_accuracy,
+       row_number() OVER (ORDER BY optimizer DESC NULLS LAST, val_loss ASC NULLS LAST, run_id) AS place
+FROM wide WHERE (status = 'F' AND val_accuracy > 0.03 OR optimizer LIKE '%-URGENT') AND batch_size <> '64' AND val_loss <= 0.06
+ORDER BY place LIMIT 100""")
+def q_runs_by_condition(spark, d):
+    """Runs by a condition of and, or, like and comparisons over
+    attributes, parameters and metrics, in the order of two keys: the first
+    hundred of all that meet it (a top report)."""
+    runs, params, mets = _runs_tables(spark, d)
+    found = R.select_runs(
+        runs, params, mets, where="(attributes.status = 'F' AND round(metrics.val_accuracy, 6) > 0.03 OR params.optimizer LIKE '%-URGENT')"
+                                  " AND params.batch_size <> '64' AND round(metrics.val_loss, 6) <= 0.06",
+        order_by=["params.optimizer DESC", "round(metrics.val_loss, 6)"]).limit(100)
+    w = Window.orderBy(F.desc_nulls_last("optimizer"), F.asc_nulls_last("val_loss"), "run_id")     # over the hundred
+    return found.select("run_id", "status", F.col("`params.optimizer`").alias("optimizer"),
+                        F.col("`params.batch_size`").alias("batch_size"), _r6("`metrics.val_loss`").alias("val_loss"),
+                        _r6("`metrics.val_accuracy`").alias("val_accuracy")).withColumn(
+        "place", F.row_number().over(w).cast("bigint"))
+
+
 @register("top_run", f"""
 WITH {_WIDE_SQL}
 SELECT parent_run_id, run_id, val_accuracy FROM (
@@ -874,6 +897,25 @@ cur AS (SELECT name, version, stage FROM (
   SELECT *, row_number() OVER (PARTITION BY name, version ORDER BY ts DESC, seq DESC) AS rn FROM ev) WHERE rn = 1)"""
 
 
+@register("committed_versions", """
+WITH best AS (SELECT o_orderpriority AS name, year(o_orderdate) AS y,
+                     CAST(arg_max(o_orderkey, (o_totalprice, o_orderkey)) AS VARCHAR) AS run_id FROM orders GROUP BY 1, 2)
+SELECT name, run_id, CAST(row_number() OVER (PARTITION BY name ORDER BY y DESC) AS BIGINT) AS version FROM best""")
+def q_committed_versions(spark, d):
+    """Every priority's dearest order of each year, registered from the
+    newest year to the oldest, each under its own (older) time: a version is
+    the turn of its registration and stays so."""
+    best = (T(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("name"), F.year("o_orderdate").alias("y"))
+            .agg(F.max_by("o_orderkey", F.struct("o_totalprice", "o_orderkey")).cast("string").alias("run_id")))
+    store = R.RunStore(spark, scratch_path(spark, "versions"))
+    by_year: dict = {}
+    for r in best.orderBy(F.desc("y"), "name").collect():     # one row a priority and year
+        by_year.setdefault(r.y, []).append((r.name, r.run_id))
+    for y, models in by_year.items():
+        store.register_models(models, dt.datetime(y, 12, 31))
+    return store.table("registrations").select("name", "run_id", "version")
+
+
 @register("current_stage", f"WITH {_STAGES_SQL} SELECT name, version, stage FROM cur")
 def q_current_stage(spark, d):
     """Latest stage of every model version (append-only events)."""

@@ -84,3 +84,65 @@ def test_a_run_is_there_while_it_runs_and_fails_visibly(spark, tmp_dir):
         with st.run("bad"):
             raise ValueError("no")
     assert sorted((r.name, r.status) for r in st.table("runs").collect()) == [("bad", "FAILED"), ("slow", "FINISHED")]
+
+
+def test_two_writers_at_once_get_two_versions(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+    stores = [R.RunStore(spark, f"{tmp_dir}/runs") for _ in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda k: stores[k % 4].register_model("m/ö 1", f"r{k}"), range(12)))
+    assert sorted(got) == list(range(1, 13))
+    rows = {r.run_id: r.version for r in stores[0].table("registrations").collect()}
+    assert rows == {f"r{k}": v for k, v in enumerate(got)}
+    assert stores[1].register_model("other", "x") == 1
+
+
+def test_an_older_registration_moves_no_number(spark, tmp_dir):
+    import datetime as dt
+    st = R.RunStore(spark, f"{tmp_dir}/runs")
+    assert st.register_models([("m", "r1"), ("m", "r2")]) == [1, 2]
+    st.transition_stage("m", 2, "Production")
+    assert st.register_model("m", "late", dt.datetime(2001, 1, 1)) == 3
+    assert st.run_for_stage("m") == "r2"
+    assert {r.run_id: r.version for r in st.table("registrations").collect()} == {"r1": 1, "r2": 2, "late": 3}
+
+
+def test_a_claimed_number_without_a_row_is_a_gap(spark, tmp_dir):
+    st = R.RunStore(spark, f"{tmp_dir}/runs")
+    st.register_model("m", "r1")
+    assert R.claim_next(spark, f"{st.root}/versions/m") == 2          # a writer that was lost
+    assert st.register_model("m", "r3") == 3
+
+
+def test_conditions_and_orders(spark, tmp_dir):
+    st = R.RunStore(spark, f"{tmp_dir}/runs")
+    for i, (opt, acc, loss, team) in enumerate([("Adam", 0.9, 0.3, "a"), ("Adadelta", 0.95, 0.2, "b"), ("sgd", None, 0.1, "a"),
+                                                ("Adam", 0.9, 0.1, "it's")]):
+        with st.run(f"run{i}") as rid:
+            st.log_params(rid, {"optimizer": opt, "odd key": i})
+            st.set_tags(rid, {"team": team})
+            st.log_metrics(rid, {"acc": 0.0, "loss": 9.0}, step=0)
+            st.log_metrics(rid, {"acc": acc, "loss": loss}, step=1)
+
+    def names(where=None, order_by=("attributes.name",)):
+        return [r.name for r in st.find_runs(where, order_by).collect()]
+
+    assert names() == ["run0", "run1", "run2", "run3"]
+    assert names("metrics.acc >= 0.9 AND params.optimizer LIKE 'Ad%'") == ["run0", "run1", "run3"]
+    assert names("tags.team = 'a' OR metrics.loss < 0.15") == ["run0", "run2", "run3"]
+    assert names("(tags.team = 'a' OR tags.team = 'b') AND NOT metrics.loss < 0.15") == ["run0", "run1"]
+    assert names("tags.team = \"it's\"") == ["run3"]
+    assert names("params.`odd key` IN ('1', '2')") == ["run1", "run2"]
+    assert names("tags.team <> 'metrics.loss'") == ["run0", "run1", "run2", "run3"]      # text is no key
+    assert names(None, ["metrics.acc DESC", "metrics.loss ASC"]) == ["run1", "run3", "run0", "run2"]
+    assert names(None, ["params.optimizer desc", "metrics.loss"]) == ["run2", "run3", "run0", "run1"]
+    assert names("metrics.nothing > 1") == []
+    with pytest.raises(ValueError):
+        st.find_runs("attributes.nothing = 1")
+
+
+def test_unknown_direction_is_warned_of(spark):
+    df = spark.createDataFrame([("r1", "p", 10.0), ("r2", "p", 99.0)], "run_id string, parent_run_id string, perplexity double")
+    with pytest.warns(UserWarning, match="perplexity"):
+        R.top_runs(df, "perplexity")
+    assert R.top_runs(df, "perplexity", ascending=True).first().run_id == "r1"

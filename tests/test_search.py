@@ -114,3 +114,19 @@ def test_one_bad_trial_fails_alone(spark):
         res = obj([{"optimizer": o, "learning_rate": 0.01, "dropout": 0.2} for o in ("adam", "nosuch", "adadelta")])
     assert [r[1] for r in res] == ["ok", "fail", "ok"]
     assert res[1][0] is None and "nosuch" in res[1][2]
+
+
+def test_equal_points_have_folders_of_their_own(spark, tmp_dir):
+    import os
+    from flowline.operators import trainer as TR
+    from flowline.plans.pipelines import embeddings_silver, prepare_tables
+    t = prepare_tables(embeddings_silver(spark, "/root/testdata/sf0.001"), "row_id")
+    obj = S.fused_fit_objective(t.train, t.val, t.num_classes, TR.TrainConfig(epochs=1, batch_size=256, workers=2),
+                                "val_loss", checkpoint_root=f"{tmp_dir}/ckpt")
+    point = {"learning_rate": 0.01}
+    with obj.cache:
+        obj([point, point])
+        obj([point])
+    name = S.checkpoint_name(point)
+    assert sorted(os.listdir(f"{tmp_dir}/ckpt")) == [name, f"{name}_trial_2", f"{name}_trial_3"]
+    assert len({spark.read.parquet(f"{tmp_dir}/ckpt/{x}").count() for x in os.listdir(f"{tmp_dir}/ckpt")}) == 1
