@@ -18,7 +18,8 @@ put together from per-block CRC-32 values, not from its ids.
 Encoding: texts are cut before single spaces between characters that aren't
 white space.  No token of a byte-level BPE with the usual word pattern spans
 such a cut, so the pieces' ids in a row are the text's ids; pieces that a
-worker has seen are looked up.
+worker has seen are looked up, unseen ones are encoded many to a text and cut
+apart where their bytes end (if a token does not end there, one by one).
 
 Nulls and ties: a null text is empty (the end id alone); a null doc_id sorts
 first; rows of one doc_id are ordered by the hash of their text, and each
@@ -48,6 +49,7 @@ BLOCK = 65_536
 END_ID = 0
 MAGIC = b"BPL1"
 CACHE = 500_000          # pieces in each of the two generations of a worker's cache
+JOINED = 512             # unseen pieces encoded as one text
 
 
 # ---------------------------------------------------------------- format
@@ -142,6 +144,12 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"       # Spark runs one task a core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        # bytes of each id's text: a character each in a byte-level vocabulary
+        special = self.tokenizer.get_added_tokens_decoder()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for t, i in vocabulary.items():
+            self.size[i] = len(t.encode("utf-8")) if i in special else len(t)
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -164,7 +172,21 @@ class Encoder:
                     missing.append(p)
                 else:
                     self.new[p] = known
-        for p, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
+        # pieces with their space in a row are a text that is cut at each of them
+        rest = [p for p in missing if p[0] != " "]
+        spaced = [p for p in missing if p[0] == " "]
+        rows = [spaced[k:k + JOINED] for k in range(0, len(spaced), JOINED)]
+        texts = ["".join(row) for row in rows]
+        for row, e in zip(rows, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            ends, wanted = np.cumsum(self.size[ids]), np.cumsum([len(p.encode("utf-8")) for p in row])
+            at = np.searchsorted(ends, wanted)
+            if len(ids) == 0 or at[-1] != len(ids) - 1 or (ends[at] != wanted).any():
+                rest += row                                  # a token spans two pieces: each by itself
+                continue
+            raw, cuts = ids.tobytes(), (4 * (at + 1)).tolist()
+            self.new.update((p, raw[i:j]) for p, i, j in zip(row, [0, *cuts], cuts))
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             self.new[p] = array("I", e.ids).tobytes()
         return [b"".join(map(self.new.__getitem__, c)) for c in cut]
 
