@@ -33,6 +33,22 @@ class PackagedModel:
         return int(self.weights.shape[0])
 
     # ------------------------------------------------------------ scoring
+    def make_shared_predict_fn(self, spark: SparkSession, output: str = "label"):
+        """As ``make_predict_fn``, with the head in a broadcast: a function's
+        pickled plan stays small, and an executor fetches the head once."""
+        shared = spark.sparkContext.broadcast((np.asarray(self.weights, np.float64), np.asarray(self.bias, np.float64),
+                                               list(self.classes)))
+
+        def make():
+            w, b, names = shared.value
+            classes = np.asarray(names, dtype=object)
+
+            def predict(x: np.ndarray) -> np.ndarray:
+                idx = np.argmax(x.astype(np.float64) @ w + b, axis=1)
+                return classes[idx] if output == "label" else idx.astype(np.int32)
+            return predict
+        return make
+
     def make_predict_fn(self, output: str = "label"):
         w = np.asarray(self.weights, dtype=np.float64)
         b = np.asarray(self.bias, dtype=np.float64)
@@ -81,3 +97,35 @@ def score(df: DataFrame, model: PackagedModel, features_col: str = "features",
     if limit is not None:
         df = (df.orderBy(*order_by) if order_by else df).limit(limit)
     return df.withColumn(out, model.udf(output, batch_size)(F.col(features_col)))
+
+
+def resolve(store, uri: str) -> str:
+    """The run behind ``runs:/<run>``, ``models:/<name>/<stage>`` or
+    ``models:/<name>/<version>`` of a ``RunStore``."""
+    kind, _, rest = uri.partition(":/")
+    if kind == "runs" and rest:
+        return rest
+    name, _, which = rest.rpartition("/")
+    if kind != "models" or not name or not which:
+        raise ValueError(f"{uri!r} is neither runs:/<run> nor models:/<name>/<stage or version>")
+    if which.isdigit():
+        row = (store.table("registrations").filter((F.col("name") == name) & (F.col("version") == int(which)))
+               .select("run_id").first())
+        run = row.run_id if row else None
+    else:
+        run = store.run_for_stage(name, which)
+    if run is None:
+        raise KeyError(f"no model at {uri!r}")
+    return run
+
+
+def register_function(spark: SparkSession, store, uri: str, name: str, output: str = "label", batch_size: int = 128) -> PackagedModel:
+    """Make the model at ``uri`` a SQL function of a feature array:
+    ``SELECT name(features) FROM t``.  It stays the version that the address
+    meant when it was registered; register again after a promotion."""
+    model = store.load_model(resolve(store, uri))
+    udf = predict_batch_udf(model.make_shared_predict_fn(spark, output),
+                            return_type=StringType() if output == "label" else IntegerType(),
+                            batch_size=batch_size, input_tensor_shapes=[[model.num_features]])
+    spark.udf.register(name, udf)
+    return model

@@ -28,7 +28,7 @@ from flowline.operators import runs as R
 from flowline.operators import search as S
 from flowline.operators import trainer as TR
 from flowline.operators import trials as TS
-from flowline.operators.infer import PackagedModel, score
+from flowline.operators.infer import PackagedModel, register_function, score
 from flowline.sources import files as FS
 from flowline.sources import tables as TB
 from flowline.session import scratch_path
@@ -1546,6 +1546,19 @@ def q_score_table(spark, d):
     return _scored(spark, d, lambda model: model)
 
 
+@register("sql_model_function", ORACLE["score_table"])
+def q_sql_model_function(spark, d):
+    """The same head logged, registered, promoted, and called from SQL
+    through its address."""
+    silver, model = _fixed_head(spark, d)
+    store = R.RunStore(spark, scratch_path(spark, "served"))
+    with store.run("fixed head") as run:
+        store.log_model(run, model)
+    store.transition_stage("head", store.register_model("head", run), "Production")
+    register_function(spark, store, "models:/head/production", "predict_label")
+    return spark.sql("SELECT row_id AS vec_id, label, predict_label(features) AS prediction FROM {silver}", silver=silver)
+
+
 @register("packaged_model_round_trip", ORACLE["score_table"])
 def q_packaged_model_round_trip(spark, d):
     """The same head saved, loaded and scored."""
@@ -1558,14 +1571,19 @@ def q_packaged_model_round_trip(spark, d):
     return _scored(spark, d, saved)
 
 
-def _scored(spark, d, through):
+def _fixed_head(spark, d):
+    """(rows, the packaged head of fixed sine weights)."""
     from flowline.plans.pipelines import embeddings_silver
     silver = embeddings_silver(spark, d)
     vocab = prepare.build_vocab(silver)
     classes = [r.label for r in vocab.orderBy("label_idx").collect()]   # bounded: K rows
     w = np.array(metrics.sine_weights(DIM, NUM_CLASSES)).T
-    model = through(PackagedModel(w, np.zeros(NUM_CLASSES), classes, {"img_height": 224, "img_width": 224}))
-    out = score(silver, model, "features", "prediction", batch_size=128)
+    return silver, PackagedModel(w, np.zeros(NUM_CLASSES), classes, {"img_height": 224, "img_width": 224})
+
+
+def _scored(spark, d, through):
+    silver, model = _fixed_head(spark, d)
+    out = score(silver, through(model), "features", "prediction", batch_size=128)
     return out.select(F.col("row_id").alias("vec_id"), "label", "prediction")
 
 
