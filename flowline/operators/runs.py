@@ -32,6 +32,7 @@ import uuid
 import warnings
 from collections.abc import Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 from urllib.parse import quote
 
 from py4j.protocol import Py4JJavaError
@@ -219,6 +220,26 @@ def version_in_stage(current: DataFrame, stage: str = "production") -> DataFrame
 
 
 # =========================================================== the store
+_ACTIVE: ContextVar = ContextVar("active run", default=None)
+
+
+def log_fit(fit) -> None:
+    """A fit's configuration, history and head (classes by number), if a run is active."""
+    if _ACTIVE.get() is not None:
+        from flowline.operators.infer import PackagedModel
+        store, run_id = _ACTIVE.get()
+        store.log_params(run_id, fit.config.params())
+        store.log_history(run_id, fit.history)
+        store.log_model(run_id, PackagedModel(fit.weights, fit.bias, [str(k) for k in range(len(fit.bias))]))
+
+
+def log_evaluation(found: dict) -> None:
+    """An evaluation's figures, prefixed ``eval_``, if a run is active."""
+    if _ACTIVE.get() is not None:
+        store, run_id = _ACTIVE.get()
+        store.log_metrics(run_id, {f"eval_{k}": v for k, v in found.items()})
+
+
 class RunStore:
     """Append-only run tables under ``root`` (the shared checkpoint folder by
     default).  Metadata rows are few and built on the driver; a run is there
@@ -268,6 +289,18 @@ class RunStore:
             raise
         self.end_run(run_id)
 
+    @contextmanager
+    def active_run(self, name: str, parent_run_id: str | None = None):
+        """As ``run``; besides, every ``trainer.fit`` and ``trainer.evaluate``
+        inside logs to it by itself (this thread's context; nested ones log to
+        the innermost)."""
+        with self.run(name, parent_run_id) as run_id:
+            token = _ACTIVE.set((self, run_id))
+            try:
+                yield run_id
+            finally:
+                _ACTIVE.reset(token)
+
     def log_params(self, run_id: str, params: dict) -> None:
         self._open[run_id]["params"].update({k: str(v) for k, v in params.items()})
 

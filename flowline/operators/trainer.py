@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowline.operators.feed import steps_per_epoch, visits, with_positions
+from flowline.operators.runs import log_evaluation, log_fit
 from flowline.session import scratch_path
 from flowline.sources.tables import Snapshot
 
@@ -600,8 +601,10 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
 
 def fit(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
         config: TrainConfig | None = None, **kw) -> FitResult:
-    """Synchronous data-parallel fit of one softmax head."""
-    return fit_many(train_df, val_df, num_classes, [config or TrainConfig()], **kw)[0]
+    """Data-parallel fit of one softmax head; an active run (``runs``) logs it."""
+    result = fit_many(train_df, val_df, num_classes, [config or TrainConfig()], **kw)[0]
+    log_fit(result)
+    return result
 
 
 def gradient_frame(df: DataFrame, weights: np.ndarray, dropout: float = 0.0, seed: int = 0,
@@ -648,8 +651,10 @@ def evaluate(df: DataFrame, weights: np.ndarray, bias: np.ndarray,
     W = np.zeros((1, D + 1, K))
     W[0, :D], W[0, D] = weights, bias
     _, loss, corr, n, known = all_reduce(df, W, np.zeros(1), 0, 0, -1, False, feature_col, label_col, key_col)
-    return {"loss": float(loss[0] / max(known, 1)), "accuracy": float(corr[0] / max(n, 1)), "n": n,
-            "unknown": n - known}
+    found = {"loss": float(loss[0] / max(known, 1)), "accuracy": float(corr[0] / max(n, 1)), "n": n,
+             "unknown": n - known}
+    log_evaluation(found)
+    return found
 
 
 def fit_full_batch(train_df: DataFrame, num_classes: int, feature_col: str = "features",

@@ -224,17 +224,16 @@ def q_label_index_join(spark, d):
 
 @register("label_index_pandas", ORACLE["label_index_join"])
 def q_label_index_pandas(spark, d):
-    """The same index through a pandas UDF: the vocabulary, one row per
-    class, travels beside each batch as two arrays of one broadcast row."""
+    """The same index through a pandas UDF, the vocabulary (one number a
+    class) as a broadcast variable: an executor gets it once."""
     ev = _events_labelled(spark, d)
-    vocab = prepare.build_vocab(ev).agg(F.sort_array(F.collect_list(F.struct("label", "label_idx"))).alias("v"))
+    shared = spark.sparkContext.broadcast({r.label: r.label_idx for r in prepare.build_vocab(ev).collect()})   # K rows
 
     @F.pandas_udf("int")
-    def to_idx(labels: pd.Series, names: pd.Series, numbers: pd.Series) -> pd.Series:
-        return labels.map(pd.Series(numbers.iloc[0], index=names.iloc[0])).astype("Int32")
+    def to_idx(labels: pd.Series) -> pd.Series:
+        return labels.map(shared.value).astype("Int32")
 
-    return (ev.withColumns({"_n": vocab.select("v.label").scalar(), "_i": vocab.select("v.label_idx").scalar()})
-            .withColumn("label_idx", to_idx("label", "_n", "_i")).drop("_n", "_i"))
+    return ev.withColumn("label_idx", to_idx("label"))
 
 
 def _vocab_without_view(spark, d):
@@ -1470,13 +1469,29 @@ SELECT 1, round(s1.loss, 6), round(s1.accuracy, 6), round(s2.loss, 6), round(s2.
 def q_sgd_two_epochs(spark, d):
     """The trainer's history over two epochs of one full-batch SGD
     step each, from zero: training figures before, validation after a step."""
+    fit = _two_epochs(spark, d)
+    cols = ["loss", "accuracy", "val_loss", "val_accuracy"]
+    return _history_frame(spark, fit.history).select(F.col("epoch").cast("int"), *[_r6(c).alias(c) for c in cols])
+
+
+def _two_epochs(spark, d):
     data = _emb_features(spark, d)
     n = T(spark, d, "embeddings").count()
     cfg = TR.TrainConfig(epochs=2, batch_size=n, workers=1, learning_rate=0.5, optimizer="sgd", dropout=0.0,
                          scale_lr=False)
-    fit = TR.fit(data, data, NUM_CLASSES, cfg, init=np.zeros((DIM + 1, NUM_CLASSES)))
+    return TR.fit(data, data, NUM_CLASSES, cfg, init=np.zeros((DIM + 1, NUM_CLASSES)))
+
+
+@register("active_run_history", ORACLE["sgd_two_epochs"])
+def q_active_run_history(spark, d):
+    """The same fit inside an active run, which logs by itself: its
+    history as the run tables have it."""
+    store = R.RunStore(spark, scratch_path(spark, "active"))
+    with store.active_run("two epochs"):
+        _two_epochs(spark, d)
     cols = ["loss", "accuracy", "val_loss", "val_accuracy"]
-    return _history_frame(spark, fit.history).select(F.col("epoch").cast("int"), *[_r6(c).alias(c) for c in cols])
+    return (store.table("run_metrics").groupBy(F.col("step").cast("int").alias("epoch"))
+            .agg(*[_r6(F.max(F.when(F.col("key") == c, F.col("value")))).alias(c) for c in cols]))
 
 
 def _local_sql(steps: int, local: int, rate: float) -> str:

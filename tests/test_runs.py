@@ -146,3 +146,20 @@ def test_unknown_direction_is_warned_of(spark):
     with pytest.warns(UserWarning, match="perplexity"):
         R.top_runs(df, "perplexity")
     assert R.top_runs(df, "perplexity", ascending=True).first().run_id == "r1"
+
+
+def test_an_active_run_logs_by_itself(spark, tmp_dir):
+    from flowline.operators import trainer as TR
+    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    df = e.select(F.col("vec_id").alias("row_id"), F.col("embedding").alias("features"), F.col("label").alias("label_idx"))
+    st = R.RunStore(spark, f"{tmp_dir}/runs")
+    cfg = TR.TrainConfig(epochs=2, batch_size=250, workers=1, dropout=0.0)
+    with st.active_run("fit") as rid:
+        fit = TR.fit(df, df, 10, cfg)
+        TR.evaluate(df, fit.weights, fit.bias)
+    TR.evaluate(df, fit.weights, fit.bias)                    # no active run: logged nowhere
+    row = st.find_runs("params.epochs = '2' AND metrics.eval_n > 0", show=["metrics.val_loss"]).collect()
+    assert [r.run_id for r in row] == [rid] and row[0]["metrics.val_loss"] == fit.history[-1]["val_loss"]
+    assert st.table("run_metrics").filter("key = 'loss'").count() == 2
+    assert st.table("run_metrics").filter("key = 'eval_n'").count() == 1
+    assert (st.load_model(rid).weights == fit.weights).all()
