@@ -2,22 +2,29 @@
 candidate and its surroundings.
 
 *Base spans* come from the three patterns below and always stay.  *Candidates*
-are all base spans and all runs of 16 or more token characters with a digit.
-The network reads each candidate with 24 characters before and 8 after it
-(byte classes, embedding, one convolution, maximum over positions, a dense
-layer) and adds the candidates it accepts that touch no base span, as kind
-``model``.  It is written in numpy, trained once per process on labelled
-findings that ``labelled_findings`` makes from a fixed seed: credentials of
-many formats, and look-alikes (addresses, paths, numbers, versions, dates,
-long words) in plain text.  Scores are calibrated on a second part of the
-findings (Platt scaling); the threshold is the highest that keeps
-``MIN_RECALL`` of the secrets of a third part.
+are the base spans, all runs of 16 or more token characters that touch none of
+them, and what base spans leave of such a run (8 characters or more); the
+latter two need a digit or an upper-case letter after a lower-case one.  The
+network reads each candidate with 24 characters before and 8 after it (byte
+classes, embedding, one convolution, maximum over positions, a dense layer).
+Its calibrated probability is the score of every span; candidates beside the
+base spans that reach the threshold are added as kind ``model``.  It is written
+in numpy, trained once per process on labelled findings that
+``labelled_findings`` makes from a fixed seed: credentials of many formats, and
+look-alikes (addresses, paths, numbers, versions, dates, long words) in plain
+text.  Scores are calibrated on a second part of the findings (Platt scaling);
+the threshold is the highest at which ``spans`` covers ``MIN_RECALL`` of those
+secrets of a third part that the patterns alone don't cover.
 
 A candidate longer than the window is read in windows that overlap by half;
-the best one counts.
+the best one counts.  A text of any length takes time in proportion to it:
+spans and runs are merged in order, and windows are read some thousands at a
+time.
 
 Nulls and ties: a null text counts as empty and has no spans; a null doc_id
-is returned; repeated rows give a row each.
+is returned; repeated rows give a row each; an empty table gives none.  Only
+``doc_id`` and ``text`` are read by ``scan``; ``redact`` hands on every other
+column, also one named like a span kind or a score.
 """
 
 from __future__ import annotations
@@ -33,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowline.llm.common import table
+from flowline.llm.common import portions, table
 
 KINDS = ("assign", "access", "hex", "model")
 # The base patterns and the shortest match (group 2 for assignments).
@@ -44,6 +51,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 SHORTEST_VALUE = 6
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=~-]{16,}")
 DIGIT = re.compile(r"[0-9]")
+MIXED = re.compile(r"[0-9]|[a-z][A-Z]")
+SHORTEST_REST = 8        # characters that base spans leave of a run
 
 BEFORE, INSIDE, AFTER = 24, 48, 8
 WINDOW = BEFORE + INSIDE + AFTER
@@ -51,6 +60,7 @@ EMBED, FILTERS, WIDTH, HIDDEN = 8, 32, 5, 16
 MIN_RECALL = 0.98
 FINDINGS = 3_000
 EPOCHS = 12
+READ = 4_096             # windows read at a time
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -65,32 +75,58 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def candidates(text: str) -> list[tuple[int, int]]:
-    """Runs of token characters with a digit."""
-    if not DIGIT.search(text):
-        return []
-    return [m.span() for m in CANDIDATE.finditer(text) if DIGIT.search(m.group())]
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Runs of token characters with a digit or mixed case, without the parts
+    that the base spans (in order) cover."""
+    out, k = [], 0
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        done, touched = start, False
+        while k < len(base) and base[k][0] < end:
+            s, _, e = base[k]
+            if e > start:
+                touched = True
+                if s - done >= SHORTEST_REST and MIXED.search(text, done, s):
+                    out.append((done, s))
+                done = max(done, e)
+                if e > end:
+                    break                    # it may reach into the next run
+            k += 1
+        if end - done >= (SHORTEST_REST if touched else 1) and MIXED.search(text, done, end):
+            out.append((done, end))
+    return out
 
 
 # ---------------------------------------------------------------- windows
 
-def _codes(text: str, start: int, end: int) -> np.ndarray:
-    """One row of character classes per window of the span: printable ASCII
-    1..95, white space and control 96, others 97, padding 0; a flag in the
-    upper half marks the span itself."""
+_CLASS = np.array([96] * 33 + list(range(2, 96)) + [97], np.uint8)
+
+
+def _classes(text: str) -> np.ndarray:
+    """Character classes between padding: printable ASCII 2..95, white space
+    and control 96, others 97, padding 0."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    out = np.zeros(BEFORE + len(points) + INSIDE + AFTER, np.uint8)
+    out[BEFORE:BEFORE + len(points)] = _CLASS[np.minimum(points, 127)]
+    return out
+
+
+def _cut(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, start, end) of the windows of spans."""
     step = INSIDE // 2
-    rows = []
-    for s in range(start, max(start + 1, end - step), step):
-        e = min(end, s + INSIDE)
-        piece = text[max(0, s - BEFORE):s], text[s:e], text[e:e + AFTER]
-        row = np.zeros(WINDOW, np.int64)
-        for place, part, flag in ((BEFORE - len(piece[0]), piece[0], 0), (BEFORE, piece[1], 98),
-                                  (BEFORE + INSIDE, piece[2], 0)):
-            c = np.array([ord(x) for x in part], np.int64)
-            c = np.where((c > 32) & (c < 127), c - 31, np.where(c <= 32, 96, 97))
-            row[place:place + len(c)] = c + flag
-        rows.append(row)
-    return np.stack(rows)
+    many = np.maximum(1, -(-(end - step - start) // step))
+    owner = np.repeat(np.arange(len(start)), many)
+    s = start[owner] + step * (np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many))
+    return owner, s, np.minimum(end[owner], s + INSIDE)
+
+
+def _codes(classes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """One row of classes per window (places in ``classes``); 98 more marks the
+    span itself."""
+    left = classes[start[:, None] + np.arange(-BEFORE, 0)]
+    at = start[:, None] + np.arange(INSIDE)
+    inside = np.where(at < end[:, None], classes[at] + np.uint8(98), np.uint8(0))
+    return np.concatenate([left, inside, classes[end[:, None] + np.arange(AFTER)]], axis=1)
 
 
 # ---------------------------------------------------------------- findings
@@ -133,10 +169,12 @@ def labelled_findings(n: int, seed: int) -> list[tuple[str, int, int, int]]:
             return "AIza" + chars(_ALNUM + "-_", 35)
         if kind == 6:
             return chars("0123456789ABCDEF", int(pick([32, 40])))
+        if kind == 7:
+            return "aB" + chars(_ALNUM[:52], k)              # no digit
         return chars(_ALNUM, k)
 
     def harmless():
-        kind = rng.integers(10)
+        kind = rng.integers(13)
         if kind == 0:
             return chars("0123456789", int(rng.integers(16, 24)))
         if kind == 1:
@@ -155,6 +193,10 @@ def labelled_findings(n: int, seed: int) -> list[tuple[str, int, int, int]]:
             return "+" + "-".join(chars("0123456789", 4) for _ in range(4))
         if kind == 8:
             return f"{word()}.{word()}{rng.integers(1, 999)}.{word()}.example.org"
+        if kind == 9:
+            return word() + "".join(word().capitalize() for _ in range(int(rng.integers(3, 6))))
+        if kind == 10:
+            return pick([".", "/", "-", "..."]).join([word() + word(), (word() + word()).capitalize(), word().capitalize()])
         return pick(["=", "-", "_"]) * int(rng.integers(14, 40)) + str(rng.integers(0, 9))
 
     names = ["token", "secret", "password", "api_key", "apikey", "key", "Authorization", "auth", "credential", "pwd"]
@@ -167,9 +209,15 @@ def labelled_findings(n: int, seed: int) -> list[tuple[str, int, int, int]]:
             lead = " " + pick(names) + pick([" = ", ": ", "=", ' = "', ": '", " Bearer ", " is "])
         elif not is_secret and rng.random() < 0.3:
             lead = " " + pick(["see", "page", "call", "on", "file", "ref", "id"]) + pick([" ", ": "])
-        left = prose(int(rng.integers(0, 8))) + lead
-        out.append((left + body + pick([" ", ". ", '" ', "\n", ", "]) + prose(4), len(left), len(left) + len(body),
-                    is_secret))
+        left, right = prose(int(rng.integers(0, 8))) + lead, pick([" ", ". ", '" ', "\n", ", "]) + prose(4)
+        beside = rng.random()
+        if is_secret and beside < 0.08:                      # what a pattern leaves of a longer secret
+            left = prose(3) + " " + pick(names[:5]) + pick(["=", ": "]) + chars(_ALNUM, int(rng.integers(6, 13)))
+            body = "~" + chars(_ALNUM, int(rng.integers(12, 33)))
+        elif not is_secret and beside < 0.06:                # what stands before one
+            body = "/".join([word(), word() + str(rng.integers(1, 999)), word() + "-"])
+            right = pick(names[:5]) + "=" + chars(_ALNUM, 16) + right
+        out.append((left + body + right, len(left), len(left) + len(body), is_secret))
     return out
 
 
@@ -245,15 +293,40 @@ class CharNet:
     def probability(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(x) + self.shift, -30, 30)))
 
-    def constrain(self, x: np.ndarray, y: np.ndarray, recall: float = MIN_RECALL) -> None:
-        """The highest threshold that keeps ``recall`` of the secrets."""
-        own = np.sort(self.probability(x)[y == 1])
-        self.threshold = float(own[int(np.floor((1 - recall) * len(own)))])
+    def constrain(self, findings, recall: float = MIN_RECALL) -> None:
+        """The highest threshold at which ``spans`` covers ``recall`` of the
+        secrets that the patterns alone don't."""
+        own = covered_at([f for f in findings if f[3]], self)
+        own = np.sort(own[own < np.inf])
+        if len(own):
+            lowest = float(own[int(np.floor((1 - recall) * len(own)))])
+            if lowest < 0:
+                raise ValueError("too many secrets are no candidates for this recall")
+            self.threshold = lowest
 
 
 def _windows(findings) -> tuple[np.ndarray, np.ndarray]:
-    rows = [(_codes(t, s, e)[0], y) for t, s, e, y in findings]
-    return np.stack([r for r, _ in rows]), np.array([float(y) for _, y in rows])
+    """The first window of each finding, and its label."""
+    rows = []
+    for t, s, e, _ in findings:
+        _, start, end = _cut(np.array([s]), np.array([e]))
+        rows.append(_codes(_classes(t), start[:1] + BEFORE, end[:1] + BEFORE))
+    return np.concatenate(rows), np.array([float(f[3]) for f in findings])
+
+
+def covered_at(findings, net: CharNet) -> np.ndarray:
+    """For each finding the highest threshold at which spans cover all of it:
+    infinite if the patterns do, -1 if candidates leave a part of it."""
+    out = []
+    for (_, start, end, _), parts in zip(findings, _scored([f[0] for f in findings], net)):
+        done, least = start, np.inf
+        for s, kind, e, p in parts:                          # in order
+            if s <= done < e:
+                done, least = e, least if kind < 3 else min(least, p)
+            if done >= end:
+                break
+        out.append(least if done >= end else -1.0)
+    return np.array(out)
 
 
 @functools.lru_cache(maxsize=2)
@@ -261,31 +334,45 @@ def trained(findings: int = FINDINGS, recall: float = MIN_RECALL) -> CharNet:
     net = CharNet()
     net.fit(*_windows(labelled_findings(findings, 1)))
     net.calibrate(*_windows(labelled_findings(findings // 3, 2)))
-    net.constrain(*_windows(labelled_findings(findings // 3, 3)), recall)
+    net.constrain(labelled_findings(findings // 3, 3), recall)
     return net
 
 
+def _scored(texts: list[str], net: CharNet) -> list[list[tuple[int, int, int, float]]]:
+    """(start, kind, end, score) of all candidates of each text, in order; the
+    network reads those of many texts together."""
+    found, shift, classes, at = [], [], [], 0
+    for t in texts:
+        base = base_spans(t)
+        found.append(sorted(base + [(s, 3, e) for s, e in candidates(t, base)]))
+        shift.append(at + BEFORE)
+        if found[-1]:
+            classes.append(_classes(t))
+            at += len(classes[-1])
+    if not classes:
+        return [[] for _ in texts]
+    place = np.concatenate(classes)
+    move = np.repeat(np.array(shift), [len(f) for f in found])
+    owner, start, end = _cut(np.array([s for f in found for s, _, _ in f]) + move,
+                             np.array([e for f in found for _, _, e in f]) + move)
+    score = np.concatenate([net.probability(_codes(place, start[i:i + READ], end[i:i + READ]))
+                            for i in range(0, len(start), READ)])
+    best = np.maximum.reduceat(score, np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]))
+    scores = iter(np.round(best, 6).tolist())
+    return [[(s, k, e, next(scores)) for s, k, e in f] for f in found]
+
+
+def _accepted(texts: list[str], net: CharNet) -> Iterator[list[tuple[int, int, int, float]]]:
+    """The spans of each text with their scores: base spans, and candidates
+    from the threshold on."""
+    for begin, end in portions(texts):
+        for parts in _scored(texts[begin:end], net):
+            yield [x for x in parts if x[1] < 3 or x[3] >= net.threshold]
+
+
 def spans(text: str, net: CharNet) -> list[tuple[int, int, int]]:
     """(start, kind, end) of base spans and accepted candidates, in order."""
-    return _spans_of([text], net)[0]
-
-
-def _spans_of(texts: list[str], net: CharNet) -> list[list[tuple[int, int, int]]]:
-    """The spans of many texts; the network reads their candidates together."""
-    found = [base_spans(t) for t in texts]
-    where, rows = [], []
-    for k, t in enumerate(texts):
-        for s, e in candidates(t):
-            if not any(a < e and s < b for a, _, b in found[k]):
-                codes = _codes(t, s, e)
-                where += [(k, s, e)] * len(codes)
-                rows.append(codes)
-    if rows:
-        ok = net.probability(np.concatenate(rows)) >= net.threshold
-        for (k, s, e), hit in zip(where, ok.tolist()):
-            if hit and (not found[k] or found[k][-1] != (s, 3, e)):
-                found[k].append((s, 3, e))
-    return [sorted(set(f)) for f in found]
+    return [x[:3] for x in next(_accepted([text], net))]
 
 
 def _joined(parts: list[tuple[int, int, int]]) -> str:
@@ -293,22 +380,26 @@ def _joined(parts: list[tuple[int, int, int]]) -> str:
 
 
 def scan(docs: DataFrame, findings: int = FINDINGS, recall: float = MIN_RECALL) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans per document."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, scores (of the
+    spans, by the network) per document."""
     net = docs.sparkSession.sparkContext.broadcast(trained(findings, recall))     # 20 kB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            every = _spans_of([t or "" for t in b.column("text").to_pylist()], net.value)
+            scored = list(_accepted([t or "" for t in b.column("text").to_pylist()], net.value))
+            every = [[x[:3] for x in f] for f in scored]
             base = [[x for x in f if x[1] < 3] for f in every]
             n = [pa.array([sum(x[1] == k for x in f) for f in base], pa.int64()) for k in range(3)]
             digest = [hashlib.sha256(_joined(f).encode()).hexdigest() for f in base]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").cast(pa.int64()), *n, pa.array(digest, pa.string()),
-                 pa.array([_joined(f) for f in every], pa.string())],
-                names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+                 pa.array([_joined(f) for f in every], pa.string()),
+                 pa.array([[x[3] for x in f] for f in scored], pa.list_(pa.float64()))],
+                names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "scores"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+        run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
+             "scores array<double>")
 
 
 def redact(docs: DataFrame, findings: int = FINDINGS, recall: float = MIN_RECALL) -> DataFrame:
@@ -320,10 +411,10 @@ def redact(docs: DataFrame, findings: int = FINDINGS, recall: float = MIN_RECALL
     def clean(texts: pd.Series) -> pd.Series:
         values = [None if t is None else str(t) for t in texts]
         out = []
-        for t, parts in zip(values, _spans_of([t or "" for t in values], net.value)):
+        for t, parts in zip(values, _accepted([t or "" for t in values], net.value)):
             if t is not None and parts:
                 pieces, done = [], 0
-                for s, _, e in parts:
+                for s, _, e, _ in parts:
                     if s >= done:
                         pieces += [t[done:s], "[SECRET]"]
                     done = max(done, e)
