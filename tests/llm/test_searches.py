@@ -55,6 +55,66 @@ def test_exact_search_equals_sql(spark):
     assert {tuple(r) for r in V.op6_voronoi(spark, path).collect()} == want
 
 
+def brute(data, k=5):
+    """The exact search in Python's integers; scores held within 64 bits."""
+    most, want = 2 ** 63 - 1, set()
+    for q in data:
+        if q % 50 == 0:
+            score = {i: max(-most, min(most, sum(a * b for a, b in zip(data[q], v)))) for i, v in data.items() if i != q}
+            best = sorted(score, key=lambda i: (-score[i], i))[:k]
+            want |= {(q, n + 1, i, score[i]) for n, i in enumerate(best)}
+    return want
+
+
+@pytest.mark.parametrize("far", [1e10, 3e15, 1e18, 1e40, 1e200])
+def test_exact_search_with_huge_components(spark, far):
+    rng = np.random.default_rng(8)
+    x = {k: v.tolist() for k, v in enumerate(rng.normal(size=(200, 2)))}
+    x |= {500: [far, far], 501: [-far, 1.0], 550: [0.0, 0.0], 600: [far, -1.0]}
+    df = spark.createDataFrame(list(x.items()), "vec_id long, embedding array<double>")
+    data = {i: [int(np.floor(256 * c)) for c in v] for i, v in x.items()}
+    assert {tuple(r) for r in V.top_k(df, F.col("id") % 50 == 0).collect()} == brute(data)
+
+
+def test_vectors_that_overflow_when_scaled_take_no_part(spark):
+    df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1e308, 0.0]), (2, [3.0, 1.0])],
+                               "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in V.top_k(df, F.col("id") % 50 == 0).collect()} == {(0, 1, 2, 256 * 768 + 512 * 256)}
+
+
+def test_replication_follows_the_queries(spark, monkeypatch):
+    """Far clusters: a vector goes to the reducers of its own cluster; one
+    reducer gets each vector once."""
+    rng = np.random.default_rng(9)
+    n, centres = 4_000, rng.normal(size=(8, 6)) * 50
+    centres /= np.linalg.norm(centres, axis=1)[:, None] / 50
+    x = (centres[np.arange(n) % 8] + rng.normal(scale=0.5, size=(n, 6))).astype(np.float32)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(3)
+    one = V.replication(df, F.col("id") % 50 == 0).collect()
+    assert len(one) == 1 and one[0].queries == 80 and one[0].copies <= n
+    monkeypatch.setattr(V, "QUERY_BLOCK", 10)
+    monkeypatch.setattr(V, "DATA_BLOCK", 500)
+    many = V.replication(df, F.col("id") % 50 == 0).collect()
+    assert len(many) >= 8 and sum(r.queries for r in many) == 80 and max(r.queries for r in many) <= 40
+    assert sum(r.copies for r in many) <= 4 * n              # of 8 n and more without bounds
+    data = {k: np.floor(256 * v.astype(float)).astype(int).tolist() for k, v in enumerate(x)}
+    assert {tuple(r) for r in V.top_k(df, F.col("id") % 50 == 0).collect()} == brute(data)
+
+
+def test_one_id_with_many_vectors(spark):
+    """A query whose own id holds the nearest vectors still gets k others."""
+    rng = np.random.default_rng(10)
+    x = [(0, v) for v in (rng.normal(scale=0.01, size=(40, 3)) + 9).tolist()]
+    x += [(k, v) for k, v in enumerate(rng.normal(size=(60, 3)).tolist(), 1)]
+    df = spark.createDataFrame(x, "vec_id long, embedding array<double>")
+    v = [(i, np.floor(256 * np.array(c)).astype(np.int64)) for i, c in x]
+    want = []
+    for q in (0, 50):
+        score = sorted((-int(a @ b), i) for j, a in v if j == q for i, b in v if i != q)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(score)]
+    assert sorted(tuple(r) for r in V.top_k(df, F.col("id") % 50 == 0).collect()) == want
+
+
 def test_graph_search_recall_and_scores(spark, vectors):
     data = usable(zero=False)
     got: dict = {}
