@@ -60,7 +60,7 @@ def test_mix_and_pieces(stages):
 
 def test_registered():
     names = set(queries.QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(queries.ORACLE) <= names
 
 
@@ -72,4 +72,4 @@ def test_package_guard():
 def test_sql_is_text():
     import __spark_entry__ as e
     assert all(isinstance(sql, str) for sql in e.oracle_sql().values())
-    assert set(queries.ORACLE) == {"op6_voronoi", "op8_mixing"}
+    assert set(queries.ORACLE) == {"op6_voronoi", "op8_mixing", "op13_cascade"}
