@@ -17,8 +17,10 @@ own rows, so a window found in a third of all documents sends one row a chunk.
 Nulls and ties: a null or empty text has no words (kept_sha256 of "").  Rows
 with a null ``doc_id`` are returned as they are and take no part.  Repeated
 rows of one ``doc_id`` with one text start their windows at the same place,
-which isn't earlier: none removes the other.  Texts of under ``length`` words
-stay whole.  Only ``doc_id`` and ``text`` are read.
+which isn't earlier: none removes the other; a task reads them once, and a
+position is kept once, however many rows hold it.  Texts of under ``length``
+words stay whole; a text of any length is one chunk, in one task.  An empty
+table gives no rows.  Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ from flowline.llm.common import mix64, staged, table, word_hashes
 LENGTH = 20
 START = 5
 CHUNK_WORDS = 1_000_000     # words hashed in one go
+SEEN = 200_000              # rows that a task remembers
 
 
 def levels(length: int, start: int) -> list[int]:
@@ -96,10 +99,24 @@ class _Chunk:
         return self.valid & marked[at]
 
 
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches without rows whose (doc_id, text_hash) the task has seen;
+    what it remembers is bounded, later repeats are only work."""
+    seen: set = set()
+    for b in batches:
+        keep = []
+        for key in zip(b.column("doc_id").to_pylist(), b.column("text_hash").to_pylist()):
+            keep.append(key not in seen)
+            seen.add(key)
+        if len(seen) > SEEN:
+            seen.clear()
+        yield b if all(keep) else b.filter(pa.array(keep, pa.bool_()))
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Row groups of about CHUNK_WORDS words (a long document is whole)."""
     held, size = [], 0
-    for b in batches:
+    for b in _once(batches):
         lengths = pc.fill_null(pc.binary_length(b.column("text")), 0)
         begin = 0
         for i, n in enumerate(lengths.to_pylist()):
@@ -181,7 +198,7 @@ def _level(docs: DataFrame, marks: DataFrame | None, before: int | None, level:
     rows = _candidates(docs, marks).mapInArrow(
         run, "key long, settled boolean, doc_id long, text_hash long, at int")
     return (_settled_first(rows).mapInArrow(repeated, "doc_id long, text_hash long, at int")
-            .groupBy("doc_id", "text_hash").agg(F.collect_list("at").alias("ats")))
+            .groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("ats")))
 
 
 def _pack(marks: DataFrame) -> DataFrame:
@@ -251,7 +268,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, start: int = START)
         before = level
         if marks.isEmpty():
             return None
-    found = _later(texts, marks, before, length).groupBy("doc_id", "text_hash").agg(F.collect_list("at").alias("ats"))
+    found = _later(texts, marks, before, length).groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("ats"))
     return staged(_pack(found), f"windows_{length}")
 
 

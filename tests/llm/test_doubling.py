@@ -42,3 +42,26 @@ def test_empty_table_and_no_candidates(spark, no_docs):
 
 def test_levels():
     assert D.levels(20, 5) == [5, 10, 20] and D.levels(7, 3) == [7] and D.levels(32, 4) == [4, 8, 16, 32]
+
+
+def test_a_third_of_all_rows_equal(spark):
+    """Equal rows of one doc_id: none removes the other, and a position is
+    kept once, not once a row."""
+    text = " ".join(f"w{k}" for k in range(100))
+    rows = [(1, text)] * 1_500 + [(2, text)] + [(k, f"{k} a b c " * 10) for k in range(3, 1_500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    marks = D.repeated_windows(df)
+    assert max(len(r.marks) // 4 for r in marks.filter("doc_id <= 2").collect()) <= 81
+    out = D.remove_repeats(df)
+    got = {tuple(r) for r in out.filter("doc_id <= 2").select("doc_id", "n_words", "n_removed").collect()}
+    assert got == {(1, 100, 0), (2, 100, 100)} and out.count() == len(rows)
+
+
+def test_rows_once_a_task(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(D, "SEEN", 3)
+    ids = [1, 1, 2, 3, 1, 2, 4, 4]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x), pa.array([7] * len(x))], names=["doc_id", "text_hash"])
+               for x in (ids[:2], [], ids[2:5], ids[5:])]
+    left = [i for b in D._once(iter(batches)) for i in b.column("doc_id").to_pylist()]
+    assert left == [1, 2, 3, 4]
