@@ -20,7 +20,9 @@
 
 Nulls: a null source is a source of its own, ranked last; null or empty texts
 have size 0 and are kept with nothing taken; a null ``doc_id`` is kept.
-Repeated rows are separate documents.  An empty table gives an empty result.
+Repeated rows are separate documents, also those of one ``doc_id``, which are
+dealt to parts of the prefix sum by their texts.  A very long text is cut in one
+row, into blocks as any other.  An empty table gives an empty result.
 Only the named columns are read, so others may have any name.
 """
 
@@ -36,9 +38,11 @@ WEIGHTS = (5, 2, 1)
 PERCENT = 150        # words of the mix, in percent of all words
 CAP = 2              # a source (and a document) is taken at most so often
 BLOCK_WORDS = 64
-BUCKETS = 4096       # parts of a source's prefix sum
+DIGITS = 3           # hexadecimal digits that make a bucket: 4,096 parts of a source's prefix sum
 SHARD_SLOTS = 1024   # blocks of an output shard
+PART_SLOTS = 262_144 # slots of an output partition, about 100 MB of text
 SEQUENCE = 16_384    # slots made from one row
+TASK_SLOTS = 1 << 20 # slots made in one task
 ROUNDS = 24          # of the permutation
 PRIME, PRIME_2 = 2_147_483_647, 2_147_483_629
 
@@ -76,7 +80,9 @@ def sized(docs: DataFrame, *carry: str) -> DataFrame:
         F.monotonically_increasing_id().alias("uid"), "doc_id", "source",
         F.regexp_count(text, F.lit(WORD_PATTERN)).cast("bigint").alias("size"),
         F.xxhash64(text).alias("tie"),
-        F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 3), 16, 10)
+        # by text as well: one doc_id may hold a third of all rows
+        F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(" "),
+                                          F.md5(text))), 1, DIGITS), 16, 10)
          .cast("bigint").alias("bucket"), *carry), "mixing_sizes")
 
 
@@ -103,16 +109,28 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, percent: int = PERCENT, ca
                     F.least(F.col("most").cast("double"), F.col("level") * F.col("weight")).alias("target"))
 
 
+def _passes(targets: DataFrame, cap: int, block_words: int) -> DataFrame:
+    """``targets`` by pass: its words, slots (n) and the source's blocks."""
+    want = F.round("target").cast("bigint")
+    return (targets.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(cap - 1))))
+            .withColumn("words", F.greatest(F.lit(0), F.least("source_size",
+                                                              want - F.col("pass") * F.col("source_size"))))
+            .withColumn("n", F.ceil(F.col("words") / block_words).cast("bigint"))
+            .withColumn("blocks", F.ceil(F.col("source_size") / block_words).cast("bigint")))
+
+
+def _parts(targets: DataFrame, cap: int, block_words: int, each: int) -> int:
+    """Partitions that hold ``each`` slots of the mix, the session's number at
+    least: AQE doesn't split partitions of a given number."""
+    total = _passes(targets, cap, block_words).agg(F.sum("n")).first()[0] or 0
+    return max(default_partitions(targets.sparkSession), -(-int(total) // each))
+
+
 def slots(targets: DataFrame, cap: int = CAP, block_words: int = BLOCK_WORDS,
           shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """(shard, shards, position, src, pass, block, words): the blocks of the mix.
     Counting its rows by (shard, src) gives the multinomial draw."""
-    want = F.round("target").cast("bigint")
-    per_pass = (targets.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(cap - 1))))
-                .withColumn("words", F.greatest(F.lit(0), F.least("source_size",
-                                                                  want - F.col("pass") * F.col("source_size"))))
-                .withColumn("n", F.ceil(F.col("words") / block_words).cast("bigint"))
-                .withColumn("blocks", F.ceil(F.col("source_size") / block_words).cast("bigint")))
+    per_pass = _passes(targets, cap, block_words)
     order = Window.orderBy("src", "pass")
     per_pass = (per_pass
                 .withColumn("base", F.sum("n").over(order) - F.col("n"))
@@ -126,7 +144,7 @@ def slots(targets: DataFrame, cap: int = CAP, block_words: int = BLOCK_WORDS,
     # an explicit count: AQE would join these few rows, each thousands of slots, to one task
     rows = (per_pass.withColumn("from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1,
                                                              F.lit(SEQUENCE).cast("bigint"))))
-            .repartition(default_partitions(targets.sparkSession), "src", "pass", "from")
+            .repartition(_parts(targets, cap, block_words, TASK_SLOTS), "src", "pass", "from")
             .withColumn("j", F.explode(F.sequence("from", F.least(F.col("from") + SEQUENCE, F.col("n")) - 1))))
     return (rows.withColumn("global", F.col("base") + F.col("j"))
             .select(permute("global", "total", "all_turns").alias("position"),
@@ -172,10 +190,9 @@ def taken_pieces(docs: DataFrame, takes: DataFrame, block_words: int = BLOCK_WOR
             .select("uid", "pass", "begin", "words", "lo", "shard", "shards", "position"))
 
 
-def by_shard(rows: DataFrame, *order: str) -> DataFrame:
-    """``rows`` with whole shards in each partition, in the order of shards,
-    and sorted by ``order`` within it."""
-    n = default_partitions(rows.sparkSession)
+def by_shard(rows: DataFrame, n: int, *order: str) -> DataFrame:
+    """``rows`` with whole shards in each of ``n`` partitions, in the order of
+    shards, and sorted by ``order`` within it."""
     return (rows.repartitionById(n, F.floor(F.col("shard") * n / F.col("shards")).cast("int"))
             .sortWithinPartitions(*order))
 
@@ -219,7 +236,7 @@ def mixed_blocks(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, cap:
             .select("doc_id", "source", "r.*"))
     blocks = (runs.groupBy("shard", "shards", "position", "source")
               .agg(F.sort_array(F.collect_list(F.struct("lo", "doc_id", "begin", "words", "text"))).alias("_p")))
-    return by_shard(blocks, "position").select(
+    return by_shard(blocks, _parts(targets, cap, block_words, PART_SLOTS), "position").select(
         "shard", "position", "source", F.expr("aggregate(_p.words, 0L, (a, w) -> a + w)").alias("words"),
         F.array_join("_p.text", " ").alias("text"),
         F.transform("_p", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["begin"].alias("begin"),
@@ -251,7 +268,7 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, ca
     schema: StructType = docs.schema
     rows = by_shard(sizes.join(runs.hint("merge"), "uid").withColumn("_first", F.col("_runs")[0])
                     .select("row", text.alias("_text"), "_first.shard", "_first.shards", "_first.position", "_first.lo"),
-                    "position", "lo")
+                    _parts(targets, cap, block_words, PART_SLOTS), "position", "lo")
     return rows.select(*[F.col("_text").alias(f.name) if f.name == "text"
                          else F.length("_text").cast(f.dataType).alias(f.name) if f.name == "n_chars"
                          else F.col("row").getField(f.name).alias(f.name) for f in schema])
@@ -269,7 +286,8 @@ def oracle_sql() -> str:
 WITH sizes AS (
   SELECT doc_id, source,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 3) AS BIGINT) AS bucket
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ' ' || md5(coalesce(text, ''))),
+                             1, {DIGITS}) AS BIGINT) AS bucket
   FROM documents),
 named AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

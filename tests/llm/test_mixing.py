@@ -139,3 +139,20 @@ def test_documents_follow_the_draw(small):
     places = [next(iter(last[r.doc_id])) for r in rows if len(last[r.doc_id]) == 1]
     assert len(places) > 10 and places == sorted(places)
     assert [r.source for r in rows] != sorted([r.source for r in rows])
+
+
+def test_rows_of_one_doc_id_are_spread(spark):
+    """A third of the rows hold one doc_id: no bucket gets more than a few."""
+    df = spark.range(6_000).selectExpr("IF(id % 3 = 0, 7L, id) AS doc_id", "concat('t ', id) AS text", "'s' AS source")
+    sizes = M.sized(df).groupBy("bucket").count().agg(F.max("count")).first()[0]
+    assert sizes <= 12
+    rows = M.mix(df).collect()
+    assert len(rows) == 6_000 and abs(sum(r.taken for r in rows) - 18_000) <= 2 * M.BLOCK_WORDS
+
+
+def test_partitions_follow_the_slots(spark):
+    t = M.source_targets(spark.range(3).selectExpr("concat('s', id) AS source", "(id + 1) * 1000000 AS size"))
+    n = M.slots(t).count()
+    assert M._parts(t, M.CAP, M.BLOCK_WORDS, 1_000) == -(-n // 1_000) > 100
+    assert M._parts(t, M.CAP, M.BLOCK_WORDS, 10 ** 9) == M.default_partitions(spark)
+    assert M._parts(t.limit(0), M.CAP, M.BLOCK_WORDS, 10) == M.default_partitions(spark)
