@@ -3,13 +3,18 @@
 The trainable part of the original network is one dense layer after frozen,
 pooled features, trained with sparse categorical cross-entropy on logits:
 multinomial logistic regression.  Features are computed once (they are
-frozen), written as a snapshot, and every optimisation step is one Spark job:
+frozen) and written as a snapshot.  A step needs the weights of the one before,
+and a small step's arithmetic takes far less than a Spark job, so consecutive
+small steps are made in one job (``run_steps``): each task streams the rows of
+the job's steps in order and makes the steps of its share of the fused trials.
+A step of ``STEP_VALUES`` values or more, an evaluation and a gradient are a job
+each, spread over the data's partitions:
 
     weights (broadcast, D x K) -> mapInPandas, one array of partial sums per
     partition -> added up ``FAN_IN`` at a time in the JVM (the all-reduce) ->
     optimizer on the driver
 
-The driver only ever holds model-sized arrays (trials x (D+1) x K).  Several
+Driver and tasks only ever hold model-sized arrays (trials x (D+1) x K).  Several
 trials that share a batch size are fused: one scan computes every trial's
 gradient (hyper-parameter search, H3).
 
@@ -21,6 +26,7 @@ and the result does not depend on partitioning.
 from __future__ import annotations
 
 import math
+import pickle
 import threading
 from dataclasses import asdict, dataclass, field, replace
 
@@ -40,6 +46,9 @@ SUMS_SCHEMA = "part int, place int, n long, known long, sums array<double>"
 FAN_IN = 64
 # Extra partial rows (k = 0) carry statistics next to the gradient cells.
 POS_LOSS, POS_CORRECT, POS_COUNT = -1, -2, -3
+# Feature values of a step from which on it is a job of its own, and of all
+# the smaller steps that one job makes.
+STEP_VALUES, RUN_VALUES = 1 << 21, 1 << 24
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -423,6 +432,93 @@ def local_steps(snap: Snapshot, first: int, batch_size: int, count: int, weights
     return total_of(merged, (T, D1, K), True)
 
 
+def steps_a_job(step_rows: int, num_features: int) -> int:
+    """Steps of ``step_rows`` rows that one job makes; 1: each is a job of its own."""
+    values = max(1, step_rows * num_features)
+    return max(1, RUN_VALUES // values) if values < STEP_VALUES else 1
+
+
+def feed_run(snap: Snapshot, first: int, batch_size: int, count: int, parts: int) -> DataFrame:
+    """The rows that ``count`` steps read from row ``first`` of every shard's
+    endless feed on, with ``step`` (from 0), in each of ``parts`` partitions,
+    sorted by step.  A row that the feed passes more than once comes as often."""
+    rows = F.element_at(F.create_map(*[F.lit(x) for kv in sorted(snap.shard_rows.items()) for x in kv]), F.col("shard"))
+    last = first + count * batch_size
+    begin = F.floor((first - F.col("pos") + rows - 1) / rows)       # the first round of the feed that passes it
+    at = (F.col("round") * rows + F.col("pos") - first).cast("bigint")
+    return (feed_step(snap, first, last)
+            .withColumn("round", F.explode(F.sequence(begin, begin + F.col("visits") - 1))).withColumn("at", at)
+            .withColumn("step", F.floor(F.col("at") / batch_size).cast("bigint"))
+            .withColumn("part", F.explode(F.array(*[F.lit(i) for i in range(parts)])))
+            .repartitionById(parts, "part").sortWithinPartitions("step", "shard", "at"))
+
+
+def run_steps(snap: Snapshot, first: int, batch_size: int, count: int, weights: np.ndarray, opts: list, rate,
+              dropout: np.ndarray, seeds, epoch: int, step: int, feature_col: str = "features",
+              label_col: str = "label_idx", key_col: str = "row_id", trial_ids=None):
+    """``count`` synchronous steps in one job, the same as a job for each: the
+    gradient of a step is that of all shards' rows.  The trials are spread over
+    tasks; ``rate(trial, step)`` is a trial's learning rate.  Returns (weights,
+    opts, loss sums, correct, rows, rows of a known class), the sums over all
+    steps.  A task streams the rows; it holds an Arrow batch and its trials."""
+    T, D1, K = weights.shape
+    sc = snap.df.sparkSession.sparkContext
+    parts = max(1, min(T, sc.defaultParallelism))
+    shared = sc.broadcast(pickle.dumps((np.array(weights, np.float64), opts, np.array(dropout, np.float64))))
+    seeds = [int(x) for x in seeds]
+    ids = [0] * T if trial_ids is None else [int(i) for i in trial_ids]
+
+    def work(batches):
+        w, own, drop = pickle.loads(shared.value)
+        mine, part, n, known, blocks = None, 0, 0, 0, step_blocks(batches, feature_col, label_col, key_col)
+        loss, correct = np.zeros(T), np.zeros(T)
+        block = next(blocks, None)
+        while block is not None:
+            if mine is None:
+                part = block[4]
+                mine = np.arange(part, T, parts)
+                at = [int(t) for t in mine]
+                lost, hits = np.zeros(len(at)), np.zeros(len(at))
+            s, grad, good = block[0], np.zeros((len(at), D1, K)), 0
+            while block is not None and block[0] == s:
+                _, X, y, keys, _ = block
+                n += len(y)
+                good += batch_partials(X, y, keys, w[mine], drop[mine], [seeds[t] for t in at], epoch, step + s, True,
+                                       grad, lost, hits, [ids[t] for t in at])
+                block = next(blocks, None)
+            known += good
+            if good:
+                for g, t in zip(grad, at):
+                    w[t] = own[t].update(w[t], g / good, rate(t, step + s))
+            loss[mine], correct[mine] = lost, hits
+        if mine is not None:
+            yield pd.DataFrame({"state": [pickle.dumps((at, w[mine], [own[t] for t in at], loss, correct, n, known))]})
+
+    columns = ["step", "part", key_col, feature_col, label_col]
+    rows = feed_run(snap, first, batch_size, count, parts).select(*columns)
+    w, own, loss, correct, n, known = weights.copy(), list(opts), np.zeros(T), np.zeros(T), 0, 0
+    for row in rows.mapInPandas(work, "state binary").collect():         # a row per task: its trials' models
+        at, done, after, lost, hits, n, known = pickle.loads(bytes(row["state"]))
+        w[at], loss, correct = done, loss + lost, correct + hits
+        for t, o in zip(at, after):
+            own[t] = o
+    shared.unpersist()
+    return w, own, loss, correct, n, known
+
+
+def step_blocks(batches, feature_col: str, label_col: str, key_col: str):
+    """(step, features, classes, keys, part) of consecutive rows of a step."""
+    for pdf in batches:
+        if len(pdf) == 0:
+            continue
+        X = np.stack(pdf[feature_col].to_numpy()).astype(np.float64)
+        y, keys = pdf[label_col].to_numpy().astype(np.int64), pdf[key_col].to_numpy().astype(np.int64)
+        step, part = pdf["step"].to_numpy(np.int64), int(pdf["part"].iloc[0])
+        cuts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), len(step)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield int(step[a]), X[a:b], y[a:b], keys[a:b], part
+
+
 class FeedCache:
     """Feature snapshots keyed by the worker count, shared by every fit that
     uses the same shards (e.g. all rounds of a search, at any batch size)."""
@@ -482,6 +578,9 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
     left out.  ``on_epoch(epoch, W, histories, states)`` may store the states;
     ``resume`` takes them back and the fit goes on exactly as it would have.
 
+    Small steps are made many to a job (``run_steps``), large ones a job each;
+    both make the same steps.
+
     With ``local_steps`` H > 1 the fit is *local-step averaging*: in one pass
     (one job) every shard takes H gradient steps from the same weights, and
     the optimizer makes one step of H times the rate along the average of what
@@ -524,6 +623,11 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
                      "plateau": {k: getattr(plateaus[t], k) for k in ("best", "wait", "scale")} if plateaus[t] else None,
                      "stopped": stopped[t]} for t in range(T)]
 
+        def rate_of(c, plateau, frac):
+            target = c.learning_rate * (c.workers if c.scale_lr else 1)
+            lr = warmup_lr(target, c.workers, frac, c.warmup_epochs)
+            return plateau.apply(lr) if plateau else lr
+
         for epoch in range(start_epoch, max(c.epochs for c in configs)):
             for t, c in enumerate(configs):
                 if epoch >= c.epochs:
@@ -533,16 +637,23 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
             tr_loss, tr_corr, lrs = np.zeros(T), np.zeros(T), np.zeros(T)
             tr_n = tr_known = 0
             live = np.flatnonzero(active)          # finished trials leave the pass
-            for s in range(0, steps, base.local_steps):
+            run = steps_a_job(base.batch_size * len(snap.shard_rows), D) if base.local_steps == 1 else base.local_steps
+            mine = [(configs[t], plateaus[t]) for t in live]
+
+            def rate(i, s, mine=mine, epoch=epoch):
+                return rate_of(*mine[i], epoch + s / steps)
+
+            for s in range(0, steps, run):
                 at = (epoch * steps + s) * base.batch_size
-                count = min(base.local_steps, steps - s)
-                for t in live:
-                    c = configs[t]
-                    target = c.learning_rate * (c.workers if c.scale_lr else 1)
-                    lrs[t] = warmup_lr(target, c.workers, epoch + s / steps, c.warmup_epochs)
-                    if plateaus[t]:
-                        lrs[t] = plateaus[t].apply(lrs[t])
-                if base.local_steps == 1:
+                count = min(run, steps - s)
+                lrs[live] = [rate(i, s) for i in range(len(live))]
+                if base.local_steps == 1 and run > 1:
+                    W[live], after, loss, corr, nb, known = run_steps(
+                        snap, at, base.batch_size, count, W[live], [opts[t] for t in live], rate, drops[live],
+                        seeds[live], epoch, s, feature_col, label_col, key_col, trial_ids=ids[live])
+                    for i, t in enumerate(live):
+                        opts[t], lrs[t] = after[i], rate(i, s + count - 1)
+                elif base.local_steps == 1:
                     batch = feed_step(snap, at, at + base.batch_size)
                     grad, loss, corr, nb, known = all_reduce(batch, W[live], drops[live], seeds[live], epoch, s,
                                                              True, feature_col, label_col, key_col,
@@ -555,7 +666,7 @@ def fit_many(train_df: DataFrame, val_df: DataFrame | None, num_classes: int,
                 tr_corr[live] += corr
                 tr_n += nb
                 tr_known += known
-                if known == 0:
+                if known == 0 or (base.local_steps == 1 and run > 1):
                     continue
                 for g, t in zip(grad, live):
                     W[t] = opts[t].update(W[t], g / known, lrs[t] * count)

@@ -301,3 +301,41 @@ def test_local_steps_need_fewer_jobs(spark, monkeypatch):
         TR.fit(df, None, 10, replace(cfg, local_steps=0))
     with pytest.raises(ValueError):
         TR.fit_many(df, None, 10, [cfg, replace(cfg, local_steps=2)])
+
+
+def _jobs(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_small_steps_are_made_in_one_job_and_the_same_fit(spark, monkeypatch):
+    """Smaller batches make more steps, not more jobs; the fit is that of a job
+    a step, with fused trials, masks, warm-up, rows read twice and unseen classes."""
+    df = _emb(spark)
+    one = TR.TrainConfig(epochs=2, batch_size=24, workers=2, dropout=0.3, warmup_epochs=1, plateau_patience=1)
+    configs = [one, replace(one, optimizer="adadelta", learning_rate=0.5), replace(one, optimizer="sgd", epochs=1)]
+    many, jobs = _jobs(spark, "few", lambda: TR.fit_many(df, df, 8, configs))
+    finer, more = _jobs(spark, "fine", lambda: TR.fit_many(df, df, 8, [replace(c, batch_size=4) for c in configs]))
+    assert finer[0].steps_per_epoch >= 5 * many[0].steps_per_epoch and more == jobs
+    with monkeypatch.context() as m:
+        m.setattr(TR, "RUN_VALUES", 24 * 2 * 64 * 2)          # two steps a job
+        two = TR.fit_many(df, df, 8, configs)
+    monkeypatch.setattr(TR, "STEP_VALUES", 1)
+    for a, b in [*zip(many, two), *zip(many, TR.fit_many(df, df, 8, configs))]:
+        assert np.allclose(a.weights, b.weights, rtol=1e-9, atol=1e-12) and len(a.history) == len(b.history)
+        for x, y in zip(a.history, b.history):
+            assert x.keys() == y.keys() and all(x[k] == pytest.approx(y[k], rel=1e-9) for k in x)
+
+
+def test_a_batch_larger_than_the_shards_repeats_rows(spark, monkeypatch):
+    few = _emb(spark).filter("row_id < 7")
+    cfg = TR.TrainConfig(epochs=2, batch_size=16, workers=2, dropout=0.0)
+    fit = TR.fit(few, None, 10, cfg)
+    monkeypatch.setattr(TR, "STEP_VALUES", 1)
+    plain = TR.fit(few, None, 10, cfg)
+    assert np.allclose(fit.weights, plain.weights, rtol=1e-9, atol=1e-12)
+    assert [h["rows"] for h in fit.history] == [h["rows"] for h in plain.history]
