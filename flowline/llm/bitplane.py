@@ -28,28 +28,31 @@ gets its own row.
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
 import struct
 import zlib
-from array import array
 from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowline.llm.common import portions, releasing, table
+from flowline.llm.common import portions, ranges, releasing, table
 
 BLOCK = 65_536
 END_ID = 0
 MAGIC = b"BPL1"
 CACHE = 500_000          # pieces in each of the two generations of a worker's cache
 JOINED = 512             # unseen pieces encoded as one text
+SPACES = re.compile(r"\s\s")
 
 
 # ---------------------------------------------------------------- format
@@ -135,6 +138,26 @@ def pieces(text: str) -> list[str]:
     return out
 
 
+class Known:
+    """One generation of the cache: the rows of pieces by their text, with
+    their ids (all in a row, where each begins, how many)."""
+
+    def __init__(self):
+        self.row: dict[str, int] = {}
+        self.ids, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, some: list[str], ids: list[np.ndarray], size: list[np.ndarray]) -> None:
+        """New pieces: their ids in order, and how many each has."""
+        self.row.update(zip(some, range(len(self.row), len(self.row) + len(some))))
+        more = np.concatenate(size)
+        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(more) - more])
+        self.ids, self.size = np.concatenate([self.ids, *ids]), np.concatenate([self.size, more])
+
+    def of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the rows, and how many each has."""
+        return self.ids[ranges(self.begin[rows], self.size[rows])], self.size[rows]
+
+
 class Encoder:
     """Texts to the bytes of their ids (uint32), with a cache by piece."""
 
@@ -150,8 +173,7 @@ class Encoder:
         self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for t, i in vocabulary.items():
             self.size[i] = len(t.encode("utf-8")) if i in special else len(t)
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.new, self.old = Known(), Known()
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -160,35 +182,69 @@ class Encoder:
             cls._own[path] = cls(path)
         return cls._own[path]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.new) >= CACHE:
-            self.old, self.new = self.new, {}
-        cut = [pieces(t) if t else [] for t in texts]
-        missing = []
-        for p in set().union(*cut):
-            if p not in self.new:
-                known = self.old.get(p)
-                if known is None:
-                    missing.append(p)
-                else:
-                    self.new[p] = known
+    def cut(self, texts: list[str | None]) -> tuple[list[str], list[np.ndarray]]:
+        """The pieces of the texts (some may be there twice), and the places of
+        each text's own among them.  Texts without white space in a row are cut
+        at every space, by Arrow."""
+        single = [bool(t) and t[0] != " " != t[-1] and not SPACES.search(t) for t in texts]
+        halves = [t.partition(" ") for t, s in zip(texts, single) if s]
+        parts = pc.split_pattern(pa.array([after if space else None for _, space, after in halves], pa.large_string()), " ")
+        found = parts.flatten().dictionary_encode()
+        out = [" " + p for p in found.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        inner = iter(np.split(found.indices.to_numpy(), np.cumsum(pc.list_value_length(parts).fill_null(0).to_numpy())[:-1]))
+        first = iter(halves)
+        places = []
+        for t, s in zip(texts, single):
+            own = [next(first)[0]] if s else pieces(t) if t else []
+            at = np.arange(len(out), len(out) + len(own))
+            places.append(np.concatenate([at, next(inner)]) if s else at)
+            out += own
+        return out, places
+
+    def rows(self, some: list[str]) -> np.ndarray:
+        """The pieces' rows in the newer generation of the cache."""
+        if len(self.new.row) >= CACHE:
+            self.old, self.new = self.new, Known()
+        rows = np.fromiter(map(self.new.row.get, some, itertools.repeat(-1)), np.int64, len(some))
+        unseen = np.flatnonzero(rows < 0)
+        names = [some[k] for k in unseen.tolist()]
+        self.learn(set(names))
+        rows[unseen] = np.fromiter(map(self.new.row.__getitem__, names), np.int64, len(names))
+        return rows
+
+    def learn(self, unseen: set[str]) -> None:
+        """Put pieces that aren't there into the newer generation of the cache."""
+        known = [p for p in unseen if p in self.old.row]
+        if known:
+            ids, size = self.old.of(np.array([self.old.row[p] for p in known]))
+            self.new.add(known, [ids], [size])
+        missing = unseen.difference(known)
         # pieces with their space in a row are a text that is cut at each of them
         rest = [p for p in missing if p[0] != " "]
         spaced = [p for p in missing if p[0] == " "]
         rows = [spaced[k:k + JOINED] for k in range(0, len(spaced), JOINED)]
-        texts = ["".join(row) for row in rows]
-        for row, e in zip(rows, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        done, made, sizes = [], [], []
+        for row, e in zip(rows, self.tokenizer.encode_batch_fast(["".join(row) for row in rows], add_special_tokens=False)):
             ids = np.array(e.ids, np.uint32)
-            ends, wanted = np.cumsum(self.size[ids]), np.cumsum([len(p.encode("utf-8")) for p in row])
-            at = np.searchsorted(ends, wanted)
-            if len(ids) == 0 or at[-1] != len(ids) - 1 or (ends[at] != wanted).any():
+            ends, at_end = np.cumsum(self.size[ids]), np.cumsum([len(p.encode("utf-8")) for p in row])
+            at = np.searchsorted(ends, at_end)
+            if len(ids) == 0 or at[-1] != len(ids) - 1 or (ends[at] != at_end).any():
                 rest += row                                  # a token spans two pieces: each by itself
                 continue
-            raw, cuts = ids.tobytes(), (4 * (at + 1)).tolist()
-            self.new.update((p, raw[i:j]) for p, i, j in zip(row, [0, *cuts], cuts))
+            done += row
+            made.append(ids)
+            sizes.append(np.diff(at, prepend=-1))
         for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.new[p] = array("I", e.ids).tobytes()
-        return [b"".join(map(self.new.__getitem__, c)) for c in cut]
+            done.append(p)
+            made.append(np.array(e.ids, np.uint32))
+            sizes.append(np.array([len(e.ids)]))
+        if done:
+            self.new.add(done, made, sizes)
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        out, places = self.cut(texts)
+        rows = self.rows(out)
+        return [self.new.of(rows[at])[0].tobytes() for at in places]
 
 
 # ---------------------------------------------------------------- write, read

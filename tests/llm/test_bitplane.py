@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -64,3 +65,23 @@ def test_empty_table(spark, no_docs):
     path = scratch_path(spark, "test_ids")
     B.write_ids(no_docs, path, PATH)
     assert B.digest(spark, path).count() == 0
+
+
+def test_cut_as_the_pieces_in_order():
+    """Texts cut by Arrow, many at once, give the pieces of each alone."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("ab  \n'é\x1c") for _ in range(rng.randrange(0, 12))) for _ in range(400)]
+    texts += [None, "", "one", " lead", "end ", "the same words\nthe same words", "a b", "two  spaces", "a\x1c b"]
+    some, places = B.Encoder.of(PATH).cut(texts)
+    assert [[some[k] for k in p.tolist()] for p in places] == [B.pieces(t) if t else [] for t in texts]
+    some, places = B.Encoder.of(PATH).cut(["the same words the same words"] * 50)
+    assert len(some) == 53                  # every text's own first piece, the others once
+
+
+def test_two_generations_of_pieces(monkeypatch):
+    monkeypatch.setattr(B, "CACHE", 4)
+    one, t = B.Encoder(PATH), Tokenizer.from_file(PATH)
+    for text in ("a few words here", "other words there and here", "words few", "a\n b  c", "a few words here"):
+        for texts in ([text], [text, None, text + " more"]):
+            assert [np.frombuffer(x, np.uint32).tolist() for x in one.encode(texts)] == \
+                [t.encode(x or "", add_special_tokens=False).ids for x in texts]
