@@ -35,6 +35,7 @@ returned, repeated rows give a row each, an empty table gives none.  Only
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import re
@@ -45,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowline.llm.common import portions, staged, table
+from flowline.llm.common import portions, spelled, staged, table
 
 CACHE = 100_000          # windows in each of the two generations of a worker's memo
 LONG_SPACE = 10_000      # characters of white space in a row that tiktoken isn't given
@@ -141,6 +142,7 @@ class Aligner:
 
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = ByteBpe(a_path), PieceBpe(b_path)
+        self.a_words, self.b_words = (pa.array(t.bytes, pa.large_binary()) for t in (self.a, self.b))
         self.a_size, self.b_size = (np.array([len(x) for x in t.bytes]) for t in (self.a, self.b))
         self.a_mark, self.b_mark = (np.array([x[:1] == b" " for x in t.bytes]) for t in (self.a, self.b))
         self.width = len(self.b.bytes)
@@ -198,6 +200,13 @@ class Aligner:
         shared, in_a, in_b = np.intersect1d(end_a[at_a - 1], end_b[at_b - 1], assume_unique=True, return_indices=True)
         return [*(4 * at_a[in_a]).tolist(), 4 * len(a)], [*(4 * at_b[in_b]).tolist(), 4 * len(b)]
 
+    @staticmethod
+    def _said(words: pa.Array, found: list[list[int]]) -> tuple[list[np.ndarray], list[bytes]]:
+        """The ids of each text as an array, and the bytes they spell."""
+        sizes = [len(x) for x in found]
+        flat = np.fromiter(itertools.chain.from_iterable(found), "<i4", sum(sizes))
+        return np.split(flat, np.cumsum(sizes)[:-1]), spelled(words, flat, sizes)
+
     def align(self, texts: list[str | None]) -> list[tuple[int, int, str, bytes]]:
         """(tokens of A, tokens of B, groups, links) of each text."""
         if len(self.new) >= CACHE:
@@ -206,21 +215,25 @@ class Aligner:
         out: list = [(0, 0, "", b"")] * len(texts)
         found_a = self.a.encode([" " + texts[k] for k in live])
         found_b = self.b.encode([texts[k] for k in live])
+        (ids_a, said_a), (ids_b, said_b) = self._said(self.a_words, found_a), self._said(self.b_words, found_b)
         cut, unseen = [], set()
-        for k, a, b in zip(live, found_a, found_b):
-            raw = (" " + texts[k]).encode("utf-8")
-            if not (b"".join(map(self.a.bytes.__getitem__, a)) == raw == b"".join(map(self.b.bytes.__getitem__, b))):
+        for k, packed_a, packed_b, spelled_a, spelled_b in zip(live, ids_a, ids_b, said_a, said_b):
+            if not spelled_a == (" " + texts[k]).encode("utf-8") == spelled_b:
                 continue
-            packed_a, packed_b = np.array(a, "<i4"), np.array(b, "<i4")
+            n_a, n_b = len(packed_a), len(packed_b)
             to_a, to_b = self.anchors(packed_a, packed_b)
             packed_a, packed_b = packed_a.tobytes(), packed_b.tobytes()
             keys = [packed_a[i:m] + BETWEEN + packed_b[j:n]
                     for i, m, j, n in zip([0, *to_a], to_a, [0, *to_b], to_b)]
-            unseen.update(keys)
-            cut.append((k, len(a), len(b), keys))
-        self.learn(unseen.difference(self.new))
-        for k, n_a, n_b, keys in cut:
-            groups, links = zip(*map(self.new.__getitem__, keys))
+            known = list(map(self.new.get, keys))
+            holes = {i: keys[i] for i, x in enumerate(known) if x is None}
+            unseen.update(holes.values())
+            cut.append((k, n_a, n_b, known, holes))
+        self.learn(unseen)
+        for k, n_a, n_b, known, holes in cut:
+            for i, key in holes.items():
+                known[i] = self.new[key]
+            groups, links = zip(*known)
             out[k] = (n_a, n_b, ";".join(groups), b"".join(links))
         return out
 

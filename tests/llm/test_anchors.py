@@ -88,3 +88,14 @@ def test_linkable_pairs_bound():
 
 def test_empty_table(no_docs):
     assert found(no_docs) == []
+
+
+def test_bytes_are_joined_many_texts_at_once():
+    one = N.Aligner.of(A, B)
+    texts = ["the first", "é日 second\n", "x"]
+    for coder, words in ((one.a, one.a_words), (one.b, one.b_words)):
+        ids = coder.encode([*texts, ""])
+        packed, said = one._said(words, ids)
+        assert [x.tolist() for x in packed] == ids
+        assert said == [b"".join(coder.bytes[i] for i in x) for x in ids]
+    assert one._said(one.a_words, [])[1] == [] and one._said(one.a_words, [[], []])[1] == [b"", b""]
